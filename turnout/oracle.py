@@ -385,6 +385,114 @@ def report_sql() -> dict[str, str]:
     return {k: with_views(v, *ALL_VIEWS) for k, v in raw.items()}
 
 
+
+
+# ---- live path and operator checks ------------------------------------------------------------
+
+SOD = "((log_ms // 1000) % 86400)"
+TOD = f"printf('%02d:%02d:%02d', {SOD} // 3600, ({SOD} // 60) % 60, {SOD} % 60)"
+MIN_CARRY = f"least({SOD} // 60 + CASE WHEN {SOD} % 60 >= 30 THEN 1 ELSE 0 END, 1439)"
+MINUTE = f"printf('%02d:%02d', {MIN_CARRY} // 60, {MIN_CARRY} % 60)"
+MINUTE_NOCARRY = f"printf('%02d:%02d', {SOD} // 3600, ({SOD} // 60) % 60 + CASE WHEN {SOD} % 60 >= 30 THEN 1 ELSE 0 END)"
+MINUTE_CUT = f"printf('%02d:%02d', {SOD} // 3600, ({SOD} // 60) % 60)"
+LIVE_FLAGS = ", ".join(f"{flag(half_open('age', lo, hi))}::BIGINT AS {n}" for n, lo, hi in C.LIVE_BINS)
+HIST_FLAGS = ", ".join(f"{flag(half_open('age', lo, hi))}::BIGINT AS {n}" for n, lo, hi in C.HISTORY_BINS)
+SUMM_FLAGS = ", ".join(f"{flag(closed('age', lo, hi))}::BIGINT AS {n}" for n, lo, hi in C.SUMMARY_BINS)
+MALE = f"{flag('sex = 1')}::BIGINT"
+FEMALE = f"{flag('sex = 2')}::BIGINT"
+FEMALE_H = f"{flag('sex IS DISTINCT FROM 1')}::BIGINT"
+OP = ("CASE WHEN event_id % 103 = 0 OR event_id % 101 = 0 THEN NULL WHEN event_id % 89 = 0 THEN 'u' "
+      "WHEN event_id % 97 = 0 THEN 'd' ELSE 'c' END")
+BALLOT_FIELDS = ["citizen_id", "age", "sex", "reg_year", "log_ms", "area_l1", "area_l2"]
+FEATURES = f"SELECT {TOD} AS time_of_day, {MINUTE} AS minute, area_l1, area_l2, {MALE} AS male, {FEMALE} AS female, {LIVE_FLAGS} FROM ballots"
+
+
+def rollup_sql() -> str:
+    spec = {
+        "nation": ("0::BIGINT", "NULL", "NULL", "NULL", ""),
+        "l1": ("area_l1", "area_l1", "NULL", "NULL", "GROUP BY area_l1"),
+        "l2": ("area_l2", "area_l1", "area_l2", "NULL", "GROUP BY area_l1, area_l2"),
+        "hour": ("0::BIGINT", "NULL", "NULL", "hour", "GROUP BY hour"),
+        "l1_hour": ("area_l1", "area_l1", "NULL", "hour", "GROUP BY area_l1, hour"),
+        "l2_hour": ("area_l2", "area_l1", "area_l2", "hour", "GROUP BY area_l1, area_l2, hour"),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{lv}' AS level, {a}::BIGINT AS area_id, {l1}::BIGINT AS area_l1, {l2}::BIGINT AS area_l2, "
+        f"{h}::BIGINT AS hour, {sums(MEASURES)} FROM bm {g}" for lv, (a, l1, l2, h, g) in spec.items())
+
+
+def live_sql() -> dict[str, str]:
+    d = {
+        "cdc_range_read": "SELECT 'server1.votes.dbo.ballots' AS topic, 0 AS partition, event_id AS offset, "
+                          "(CASE WHEN event_id % 103 = 0 THEN 0 ELSE 1 END)::BIGINT AS has_value FROM ballots",
+        "cdc_decode": f"SELECT event_id AS offset, op, " + ", ".join(
+            f"CASE WHEN op IN ('c', 'u') THEN {c} END AS {c}" for c in BALLOT_FIELDS)
+            + f" FROM (SELECT *, {OP} AS op FROM ballots)",
+        "ballot_features": FEATURES,
+        "minute_counts": "SELECT area_l1, area_l2, minute, " + sums(C.COUNTERS) + f" FROM ({FEATURES}) "
+                         "GROUP BY area_l1, area_l2, minute",
+        "gender_flags": f"SELECT event_id, sex, {MALE} AS male, {FEMALE} AS female FROM ballots",
+        "gender_flags_history": f"SELECT event_id, sex, {MALE} AS male, {FEMALE_H} AS female FROM ballots",
+        "age_flags_live": f"SELECT event_id, age, {LIVE_FLAGS} FROM ballots",
+        "age_flags_history": f"SELECT event_id, age, {HIST_FLAGS} FROM ballots",
+        "age_summary_bins": f"SELECT event_id, age, {SUMM_FLAGS} FROM ballots",
+        "drop_incomplete": "SELECT event_id, age, sex FROM ballots WHERE age IS NOT NULL AND sex IS NOT NULL",
+        "minute_round": f"SELECT event_id, log_ms, {MINUTE} AS minute FROM ballots",
+        "minute_round_nocarry": f"SELECT event_id, log_ms, {MINUTE_NOCARRY} AS minute FROM ballots",
+        "time_of_day": f"SELECT event_id, {TOD} AS time_of_day FROM ballots",
+        "minute_truncate": f"SELECT event_id, {MINUTE_CUT} AS minute FROM ballots",
+        "polling_hours_filter": f"SELECT * FROM (SELECT event_id, {MINUTE_CUT} AS minute FROM ballots) "
+                                "WHERE minute BETWEEN '07:00' AND '18:59'",
+        "area_filter": "SELECT event_id, area_l2 FROM ballots WHERE area_l2 IN (SELECT area_id FROM reg_l2)",
+        "area_rollup": rollup_sql(),
+        "summary_scan": "SELECT area_id, total, male, female FROM s_l2 WHERE total > 0",
+        "registered_dim": "SELECT * FROM reg_l2",
+        "area_dim": "SELECT n.n_regionkey::BIGINT AS area_l1, trim(r.r_name) AS l1_name, n.n_nationkey::BIGINT AS area_l2, "
+                    "trim(n.n_name) AS l2_name FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey",
+        "area_names": "SELECT i.level, i.area_id, coalesce(nm.area_name, i.area_id::VARCHAR) AS area_name FROM "
+                      "(SELECT DISTINCT 'l1' AS level, area_l1 AS area_id FROM ballots UNION "
+                      " SELECT DISTINCT 'l2', area_l2 FROM ballots) i "
+                      "LEFT JOIN names nm ON nm.level = i.level AND nm.area_id = i.area_id",
+        "hour_12h": f"SELECT hour, {label12('hour')} AS label FROM (SELECT DISTINCT ((log_ms // 3600000) % 24)::BIGINT AS hour FROM ballots)",
+        "coerce_bad_values": "SELECT event_id, CASE WHEN event_id % 59 = 0 THEN NULL "
+                             "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts, age FROM ballots",
+        "pct_half_even": f"SELECT s.area_id, {pct('s.male', 'r.male_count', 'E')} AS pct FROM s_l2 s "
+                         "LEFT JOIN reg_l2_full r ON r.area_id = s.area_id",
+        "pct_half_up": f"SELECT s.area_id, {pct('s.male', 'r.male_count', 'U')} AS pct FROM s_l2 s "
+                       "LEFT JOIN reg_l2_full r ON r.area_id = s.area_id",
+        "zero_denominator_policy": "SELECT s.area_id, "
+            f"{pct('s.female', 'r.female_count', 'E', 'null')} AS p_error, "
+            f"{pct('s.female', 'r.female_count', 'E', 'zero')} AS p_zero, "
+            f"{pct('s.female', 'r.female_count', 'E', 'one')} AS p_one, "
+            f"{pct('s.female', 'r.female_count', 'E', 'null', 'pct_zero')} AS p_missing_zero, "
+            f"{pct('s.female', 'r.female_count', 'E', 'null', 'den_one')} AS p_missing_one "
+            "FROM s_l2 s LEFT JOIN reg_l2 r ON r.area_id = s.area_id",
+        "national_turnout": f"SELECT s.total, r.voters, {pct('s.total', 'r.voters')} AS pct FROM s_nation s, reg_nat r",
+        "region_age_turnout": "SELECT area_id, label, label_ord::BIGINT AS label_ord, pct FROM (" + age_pct_long("l1") + ")",
+        "area_lookup_strict": "SELECT s.area_id, s.total, r.voters FROM s_l2 s JOIN reg_l2 r ON r.area_id = s.area_id",
+        "forecast_by_slot": " UNION ALL ".join(
+            f"SELECT '{lv}' AS level, {a}::BIGINT AS area_id, strftime(time_slot, '%Y-%m-%d %H:%M:%S') AS time_slot, "
+            f"sum(male + female)::BIGINT AS total FROM prediction GROUP BY {g}time_slot"
+            for lv, a, g in [("nation", "0", ""), ("l1", "area_l1", "area_l1, "), ("l2", "area_l2", "area_l2, ")]),
+        "next_hour_slot": "SELECT area_l2, strftime(date_trunc('hour', max(ts) + INTERVAL 1 HOUR), '%Y-%m-%d %H:%M:%S') "
+                          "AS slot FROM ballots GROUP BY area_l2",
+        "area_hourly": "SELECT 'l1_hour' AS level, area_id, hour, total FROM s_l1_hour UNION ALL "
+                       "SELECT 'l2_hour', area_id, hour, total FROM s_l2_hour",
+        "age_unpivot": " UNION ALL ".join(f"SELECT area_id, '{lbl}' AS label, {c} AS n, {i + 1}::BIGINT AS label_ord FROM s_l1"
+                                          for i, (lbl, c) in enumerate(zip(C.SUMMARY_LABELS, AGE_COLS))),
+        "gender_pivot": "SELECT x AS area_name, max(y) FILTER (WHERE series = 'MalePercentage')::DOUBLE AS MalePercentage, "
+                        "max(y) FILTER (WHERE series = 'FemalePercentage')::DOUBLE AS FemalePercentage "
+                        f"FROM ({_r8()}) GROUP BY x",
+        "ampm_order": f"SELECT v_time AS label, {ampm_ord('v_time', True)} AS legacy_ord, {ampm_ord('v_time')} AS hour_ord "
+                      f"FROM ({TSUM})",
+        "registered_age_fold": " UNION ALL ".join(
+            f"SELECT '{lbl}' AS label, {i + 1}::BIGINT AS label_ord, coalesce(f.d{i}, 0)::BIGINT AS n FROM {FOLD} f"
+            for i, lbl in enumerate(C.FORECAST_AGE_LABELS)),
+    }
+    return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(report_sql())
+    out.update(live_sql())
     return out

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from turnout import constants as C
+from turnout.plans import live as L
 from turnout.plans import reports as R
 from turnout.plans.inputs import Inputs
 
@@ -18,4 +20,42 @@ def _report(fn) -> Query:
 
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {k: _report(fn) for k, fn in R.REPORTS.items()}
+    q.update({
+        "cdc_range_read": L.cdc_range_read,
+        "cdc_decode": L.cdc_decode,
+        "ballot_features": L.features,
+        "minute_counts": L.live_minute_counts,
+        "gender_flags": L.gender_flags,
+        "gender_flags_history": lambda s, d: L.gender_flags(s, d, history_rule=True),
+        "age_flags_live": lambda s, d: L.age_flag_rows(s, d, C.LIVE_BINS),
+        "age_flags_history": lambda s, d: L.age_flag_rows(s, d, C.HISTORY_BINS),
+        "age_summary_bins": lambda s, d: L.age_flag_rows(s, d, C.SUMMARY_BINS, closed=True),
+        "drop_incomplete": L.drop_incomplete_rows,
+        "minute_round": L.minute_round,
+        "minute_round_nocarry": lambda s, d: L.minute_round(s, d, carry=False),
+        "time_of_day": L.time_of_day,
+        "minute_truncate": L.minute_truncate,
+        "polling_hours_filter": L.polling_hours_filter,
+        "area_filter": L.area_filter,
+        "area_rollup": L.area_rollup,
+        "summary_scan": L.summary_scan,
+        "registered_dim": L.registered_dim,
+        "area_dim": L.area_dim_rows,
+        "area_names": _report(R.h1_area_names),
+        "hour_12h": _report(R.h2_hour_12h),
+        "coerce_bad_values": L.coerce_bad_values,
+        "pct_half_even": lambda s, d: L.pct_rounding(s, d, "even"),
+        "pct_half_up": lambda s, d: L.pct_rounding(s, d, "up"),
+        "zero_denominator_policy": L.zero_denominator_policy,
+        "national_turnout": L.national_turnout,
+        "region_age_turnout": L.region_age_turnout,
+        "area_lookup_strict": L.area_lookup_strict,
+        "forecast_by_slot": L.forecast_by_slot_rows,
+        "next_hour_slot": L.next_hour_slot,
+        "area_hourly": L.area_hourly,
+        "age_unpivot": L.age_unpivot,
+        "gender_pivot": L.gender_pivot,
+        "ampm_order": L.ampm_order,
+        "registered_age_fold": _report(R.registered_age_fold),
+    })
     return q
