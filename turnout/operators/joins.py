@@ -38,7 +38,7 @@ def densify(df: DataFrame, keys: list[str], step_col: str, lo: int, hi: int, fil
     The grid is built from distinct keys (A13) exploded against ``sequence(lo, hi)``, so its
     size is keys x steps and nothing is collected to the driver.
     """
-    grid = df.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(lo), F.lit(hi))).cast("long").alias(step_col))
+    grid = df.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"))).alias(step_col))
     j = grid.join(df, keys + [step_col], "left")
     return j.select(*keys, step_col, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in fill_cols])
 

@@ -39,7 +39,7 @@ def pad_steps(df: DataFrame, keys: list[str], n: int, fill_cols: list[str], step
     """Groups shorter than ``n`` steps get zero rows appended up to ``n``."""
     carried = [F.first(c).alias(c) for c in carry_cols]
     groups = df.groupBy(*keys).agg(*carried) if carried else df.select(*keys).distinct()
-    grid = groups.select(*keys, *carry_cols, F.explode(F.sequence(F.lit(1), F.lit(n))).cast("long").alias(step))
+    grid = groups.select(*keys, *carry_cols, F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long"))).alias(step))
     j = grid.join(df.drop(*carry_cols), keys + [step], "left")
     return j.select(*keys, *carry_cols, step, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in fill_cols])
 

@@ -492,7 +492,139 @@ def live_sql() -> dict[str, str]:
     return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()}
 
 
+# ---- history, forecast, prediction table ------------------------------------------------------
+
+COUNTERS = C.COUNTERS
+view("hist", f"SELECT (day(ts) % 3)::BIGINT AS dataset, area_l1, area_l2, ({SOD} // 60)::BIGINT AS minute, "
+     f"{MALE} AS male, {FEMALE_H} AS female, {HIST_FLAGS} FROM ballots "
+     f"WHERE {MINUTE_CUT} BETWEEN '07:00' AND '18:59'", ["ballots"])
+
+
+def dense_sql(area: str, split: bool) -> str:
+    ds = "dataset" if split else "0::BIGINT"
+    series = (f"SELECT {ds} AS dataset, {area} AS area_id, minute, {sums(COUNTERS)} FROM hist "
+              f"GROUP BY {'dataset, ' if split else ''}{area}, minute")
+    return (f"SELECT k.dataset, k.area_id, g.minute, "
+            + ", ".join(f"coalesce(s.{c}, 0)::BIGINT AS {c}" for c in COUNTERS)
+            + f" FROM (SELECT DISTINCT dataset, area_id FROM ({series})) k "
+            f"CROSS JOIN (SELECT range::BIGINT AS minute FROM range({C.POLL_FIRST_MINUTE}, {C.POLL_LAST_MINUTE + 1})) g "
+            f"LEFT JOIN ({series}) s ON s.dataset = k.dataset AND s.area_id = k.area_id AND s.minute = g.minute")
+
+
+view("dense_l1", dense_sql("area_l1", False), ["hist"])
+view("dense_l2", dense_sql("area_l2", True), ["hist"])
+view("iqr_l1", "SELECT dataset, area_id, " + ", ".join(
+    f"quantile_cont({c}::DOUBLE, 0.25) AS q1_{c}, quantile_cont({c}::DOUBLE, 0.75) AS q3_{c}" for c in COUNTERS)
+    + " FROM dense_l1 GROUP BY dataset, area_id", ["dense_l1"])
+view("zeroed_l1", "SELECT d.dataset, d.area_id, d.minute, " + ", ".join(
+    f"CASE WHEN d.{c} < q.q1_{c} - 1.5 * (q.q3_{c} - q.q1_{c}) OR d.{c} > q.q3_{c} + 1.5 * (q.q3_{c} - q.q1_{c}) "
+    f"THEN 0.0 ELSE d.{c}::DOUBLE END AS {c}" for c in COUNTERS)
+    + " FROM dense_l1 d JOIN iqr_l1 q ON q.dataset = d.dataset AND q.area_id = d.area_id", ["iqr_l1"])
+
+
+def fit_sql(src: str) -> str:
+    return (f"SELECT area_id, " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in COUNTERS)
+            + f" FROM {src} z WHERE dataset = (SELECT min(dataset) FROM {src} z2 WHERE z2.area_id = z.area_id) "
+            "GROUP BY area_id")
+
+
+def scale_sql(src: str, params: str) -> str:
+    return ("SELECT z.dataset, z.area_id, z.minute, " + ", ".join(
+        f"(z.{c} - p.lo_{c}) / (CASE WHEN p.hi_{c} = p.lo_{c} THEN 1.0 ELSE (p.hi_{c} - p.lo_{c})::DOUBLE END) AS {c}"
+        for c in COUNTERS) + f" FROM {src} z JOIN ({params}) p ON p.area_id = z.area_id")
+
+
+view("fit_l1", fit_sql("zeroed_l1"), ["zeroed_l1"])
+view("scaled_l1", scale_sql("zeroed_l1", "SELECT * FROM fit_l1"), ["fit_l1"])
+VEC = "[" + ", ".join(COUNTERS) + "]"
+view("windows_l1", f"SELECT dataset, area_id, minute AS start, list({VEC}) OVER w_in AS inputs, "
+     f"list({VEC}) OVER w_out AS targets FROM scaled_l1 "
+     "WINDOW w_in AS (PARTITION BY dataset, area_id ORDER BY minute ROWS BETWEEN CURRENT ROW AND 59 FOLLOWING), "
+     "w_out AS (PARTITION BY dataset, area_id ORDER BY minute ROWS BETWEEN 60 FOLLOWING AND 119 FOLLOWING) "
+     "QUALIFY len(inputs) = 60 AND len(targets) = 60", ["scaled_l1"])
+view("split_l1", "SELECT dataset, area_id, start, CASE WHEN row_number() OVER (PARTITION BY dataset, area_id ORDER BY start) "
+     "> count(*) OVER (PARTITION BY dataset, area_id) - ceil(0.1 * count(*) OVER (PARTITION BY dataset, area_id)) "
+     "THEN 'test' ELSE 'train' END AS split FROM windows_l1", ["windows_l1"])
+
+view("mc", "SELECT area_l1, area_l2, minute, " + sums(COUNTERS) + f" FROM ({FEATURES}) GROUP BY area_l1, area_l2, minute",
+     ["ballots"])
+view("first60", "SELECT *, row_number() OVER (PARTITION BY area_l2 ORDER BY minute)::BIGINT AS step FROM mc "
+     "QUALIFY step <= 60", ["mc"])
+view("steps60", "SELECT k.area_l1, k.area_l2, g.step, " + ", ".join(f"coalesce(f.{c}, 0)::BIGINT AS {c}" for c in COUNTERS)
+     + " FROM (SELECT DISTINCT area_l1, area_l2 FROM first60) k CROSS JOIN (SELECT range::BIGINT AS step FROM range(1, 61)) g "
+     "LEFT JOIN first60 f ON f.area_l2 = k.area_l2 AND f.step = g.step", ["first60"])
+view("fc", "SELECT area_l1, area_l2, " + ", ".join(f"max(v) FILTER (WHERE feature = '{c}') AS {c}" for c in COUNTERS)
+     + " FROM (SELECT area_l1, area_l2, feature, "
+     "trunc(round((60 * regr_intercept(y, step) + 5430 * regr_slope(y, step)) * any_value(span) + any_value(lo), 6))::BIGINT AS v "
+     "FROM (SELECT l.*, s.lo, CASE WHEN s.hi = s.lo THEN 1.0 ELSE (s.hi - s.lo)::DOUBLE END AS span, "
+     "      (l.x - s.lo) / (CASE WHEN s.hi = s.lo THEN 1.0 ELSE (s.hi - s.lo)::DOUBLE END) AS y "
+     "      FROM (UNPIVOT steps60 ON " + ", ".join(COUNTERS) + " INTO NAME feature VALUE x) l "
+     "      JOIN (SELECT area_l2, feature, min(x) AS lo, max(x) AS hi FROM (UNPIVOT steps60 ON " + ", ".join(COUNTERS)
+     + " INTO NAME feature VALUE x) GROUP BY area_l2, feature) s ON s.area_l2 = l.area_l2 AND s.feature = l.feature) "
+     "GROUP BY area_l1, area_l2, feature) GROUP BY area_l1, area_l2", ["steps60"])
+view("fc_live", "SELECT f.area_l1, f.area_l2, f.male + s.male AS male, f.female + s.female AS female, "
+     + ", ".join(f"f.col_{i + 1} + s.{AGE_COLS[i]} AS col_{i + 1}" for i in range(5))
+     + ", f.col_6 + f.col_7 + s.age_71_p AS col_6 FROM fc f JOIN s_l2 s ON s.area_id = f.area_l2", ["fc", "s_l2"])
+view("slot", "SELECT date_trunc('hour', max(ts) + INTERVAL 1 HOUR) AS slot FROM ballots", ["ballots"])
+view("seeded", "SELECT area_l1, area_l2, time_slot, " + ", ".join(C.PREDICTION_COUNTERS) + " FROM prediction UNION ALL "
+     "SELECT d.area_l1, d.area_l2, (SELECT slot FROM slot), " + ", ".join(f"0::BIGINT" for _ in C.PREDICTION_COUNTERS)
+     + " FROM (SELECT DISTINCT n_regionkey::BIGINT AS area_l1, n_nationkey::BIGINT AS area_l2 FROM nation) d "
+     "WHERE NOT EXISTS (SELECT 1 FROM prediction p WHERE p.area_l1 = d.area_l1 AND p.area_l2 = d.area_l2)",
+     ["prediction", "slot"])
+
+
+def eval_sql() -> str:
+    lf = ("SELECT dataset, area_id, feature, k, y FROM (SELECT *, (row_number() OVER (PARTITION BY dataset, area_id "
+          "ORDER BY minute) - 1)::DOUBLE AS k FROM scaled_l1) UNPIVOT (y FOR feature IN (" + ", ".join(COUNTERS) + "))")
+    wf = (f"SELECT dataset, area_id, feature, k, regr_slope(y, k) OVER win AS b, regr_intercept(y, k) OVER win AS a, "
+          "count(*) OVER wout AS nt, sum(y) OVER wout AS sy, sum(y * y) OVER wout AS syy, sum(k * y) OVER wout AS sky, "
+          f"sum(k) OVER wout AS sk, sum(k * k) OVER wout AS skk FROM ({lf}) "
+          "WINDOW win AS (PARTITION BY dataset, area_id, feature ORDER BY k ROWS BETWEEN CURRENT ROW AND 59 FOLLOWING), "
+          "wout AS (PARTITION BY dataset, area_id, feature ORDER BY k ROWS BETWEEN 60 FOLLOWING AND 119 FOLLOWING)")
+    per = ("SELECT dataset, area_id, k, sum(syy - 2 * a * sy - 2 * b * sky + 60 * a * a + 2 * a * b * sk + b * b * skk) "
+           f"/ {60 * len(COUNTERS)} AS mse FROM ({wf}) WHERE nt = 60 GROUP BY dataset, area_id, k")
+    spl = ("SELECT *, CASE WHEN row_number() OVER (PARTITION BY dataset, area_id ORDER BY k) > count(*) OVER "
+           "(PARTITION BY dataset, area_id) - ceil(0.1 * count(*) OVER (PARTITION BY dataset, area_id)) "
+           f"THEN 'test' ELSE 'train' END AS split FROM ({per})")
+    return (f"SELECT dataset, area_id, split, count(*)::BIGINT AS n_windows, round(avg(mse), 6) AS mse FROM ({spl}) "
+            "GROUP BY dataset, area_id, split")
+
+
+def modeling_sql() -> dict[str, str]:
+    fmt = "strftime(time_slot, '%Y-%m-%d %H:%M:%S') AS time_slot"
+    pc = ", ".join(C.PREDICTION_COUNTERS)
+    d = {
+        "history_load": "SELECT (day(ts) % 3)::BIGINT AS dataset, citizen_id, area_l2, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, "
+                        "age, sex, reg_year, area_l1 FROM ballots",
+        "history_prepared": "SELECT * FROM dense_l2",
+        "minute_grid_dense": "SELECT * FROM dense_l1",
+        "iqr_bounds": "SELECT * FROM iqr_l1",
+        "outlier_zeroed": "SELECT * FROM zeroed_l1",
+        "minmax_scaled": scale_sql("dense_l2", fit_sql("dense_l2")),
+        "scaler_params": "SELECT * FROM fit_l1",
+        "history_scaled": "SELECT * FROM scaled_l1",
+        "supervised_windows": "SELECT * FROM windows_l1",
+        "time_split": "SELECT * FROM split_l1",
+        "first_60_steps": "SELECT area_l1, area_l2, minute, " + ", ".join(COUNTERS) + ", step FROM first60",
+        "pad_to_60": "SELECT * FROM steps60",
+        "forecast_minutes": "SELECT * FROM fc",
+        "forecast_trend_sql": "SELECT * FROM fc",
+        "forecast_eval": eval_sql(),
+        "forecast_plus_live": "SELECT * FROM fc_live",
+        "prediction_seed": f"SELECT area_l1, area_l2, {fmt}, {pc} FROM seeded",
+        "prediction_upsert": f"SELECT t.area_l1, t.area_l2, strftime(CASE WHEN u.area_l2 IS NULL THEN t.time_slot "
+                             f"ELSE (SELECT slot FROM slot) END, '%Y-%m-%d %H:%M:%S') AS time_slot, "
+                             + ", ".join(f"(CASE WHEN u.area_l2 IS NULL THEN t.{c} ELSE u.{c} END)::BIGINT AS {c}"
+                                         for c in C.PREDICTION_COUNTERS)
+                             + " FROM seeded t LEFT JOIN fc_live u ON u.area_l1 = t.area_l1 AND u.area_l2 = t.area_l2",
+    }
+    views = ALL_VIEWS + ["hist", "dense_l1", "dense_l2", "iqr_l1", "zeroed_l1", "fit_l1", "scaled_l1", "windows_l1",
+                         "split_l1", "mc", "first60", "steps60", "fc", "fc_live", "slot", "seeded"]
+    return {k: with_views(v, *views) for k, v in d.items()}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(report_sql())
     out.update(live_sql())
+    out.update(modeling_sql())
     return out

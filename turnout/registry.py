@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from turnout import constants as C
 from turnout.plans import live as L
+from turnout.plans import modeling as M
 from turnout.plans import reports as R
 from turnout.plans.inputs import Inputs
 
@@ -57,5 +58,23 @@ def queries() -> dict[str, Query]:
         "gender_pivot": L.gender_pivot,
         "ampm_order": L.ampm_order,
         "registered_age_fold": _report(R.registered_age_fold),
+        "history_load": M.history_load,
+        "history_prepared": M.history_prepared,
+        "minute_grid_dense": M.minute_grid_dense,
+        "iqr_bounds": M.iqr_bounds,
+        "outlier_zeroed": M.outlier_zeroed,
+        "minmax_scaled": M.minmax_scaled,
+        "scaler_params": M.scaler_params,
+        "history_scaled": M.history_scaled,
+        "supervised_windows": M.supervised_windows,
+        "time_split": M.time_split,
+        "first_60_steps": M.first_60_steps,
+        "pad_to_60": M.pad_to_60,
+        "forecast_minutes": M.forecast_minutes,
+        "forecast_trend_sql": M.forecast_trend_sql,
+        "forecast_eval": M.forecast_eval,
+        "forecast_plus_live": M.forecast_plus_live,
+        "prediction_seed": M.prediction_seed,
+        "prediction_upsert": M.prediction_upsert,
     })
     return q
