@@ -11,9 +11,10 @@ from turnout.functions import timeofday as tod
 
 
 def ballot_features(ballots: DataFrame, carry: bool = True, bins=C.LIVE_BINS,
-                    other_is_female: bool = False) -> DataFrame:
+                    other_is_female: bool = False, keep: tuple = ()) -> DataFrame:
     """time of day, rounded minute, area ids, gender and age one-hots; one row per ballot."""
     return ballots.select(
+        *keep,
         tod.time_of_day(F.col("log_ms")).alias("time_of_day"),
         tod.minute_key(F.col("log_ms"), carry=carry).alias("minute"),
         F.col("area_l1"), F.col("area_l2"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.sources.dims import bounded
 
 
 def with_registered(df: DataFrame, reg: DataFrame, on: str = "area_id", prefix: str = "reg_",
@@ -14,10 +13,11 @@ def with_registered(df: DataFrame, reg: DataFrame, on: str = "area_id", prefix:
 
     ``how="left"`` keeps areas missing from the dimension (their counts are null and the
     percentage policy decides); ``how="inner"`` is the strict lookup where an unknown area has
-    no result.  The dimension has one row per area and is broadcast after a row-count check.
+    no result.  The dimension has one row per area; Spark broadcasts it when its measured size
+    is under the broadcast threshold (AQE re-plans on runtime statistics), else sort-merges.
     """
     r = reg.select(F.col(on).alias("_rk"), *[F.col(c).alias(prefix + c) for c in reg.columns if c != on])
-    j = df.join(bounded(r), df[on] == F.col("_rk"), how)
+    j = df.join(r, df[on] == F.col("_rk"), how)
     return j.drop("_rk")
 
 

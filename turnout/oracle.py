@@ -422,6 +422,10 @@ def rollup_sql() -> str:
 
 
 def live_sql() -> dict[str, str]:
+    return {k: with_views(v, *ALL_VIEWS) for k, v in live_sql_raw().items()}
+
+
+def live_sql_raw() -> dict[str, str]:
     d = {
         "cdc_range_read": "SELECT 'server1.votes.dbo.ballots' AS topic, 0 AS partition, event_id AS offset, "
                           "(CASE WHEN event_id % 103 = 0 THEN 0 ELSE 1 END)::BIGINT AS has_value FROM ballots",
@@ -489,7 +493,7 @@ def live_sql() -> dict[str, str]:
             f"SELECT '{lbl}' AS label, {i + 1}::BIGINT AS label_ord, coalesce(f.d{i}, 0)::BIGINT AS n FROM {FOLD} f"
             for i, lbl in enumerate(C.FORECAST_AGE_LABELS)),
     }
-    return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()}
+    return d
 
 
 # ---- history, forecast, prediction table ------------------------------------------------------
@@ -623,8 +627,35 @@ def modeling_sql() -> dict[str, str]:
     return {k: with_views(v, *views) for k, v in d.items()}
 
 
+def stream_sql() -> dict[str, str]:
+    decoded = f"SELECT *, {OP} AS op FROM ballots"
+    d = {
+        "stream_minute_counts": "SELECT area_l1, area_l2, minute, " + sums(C.COUNTERS) + " FROM ("
+                                + FEATURES.replace("FROM ballots", f"FROM ({decoded}) WHERE op IN ('c', 'u')")
+                                + ") GROUP BY area_l1, area_l2, minute",
+        "stream_dedup": live_sql_raw()["cdc_decode"],
+        "cdc_latest_state": "SELECT citizen_id, event_id AS offset, age, sex, reg_year, log_ms, area_l1, area_l2 FROM ("
+                            f"SELECT * FROM ({decoded}) WHERE op IS NOT NULL "
+                            "QUALIFY row_number() OVER (PARTITION BY citizen_id ORDER BY log_ms DESC, event_id DESC) = 1"
+                            ") WHERE op <> 'd'",
+    }
+    return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()}
+
+
+def publish_sql() -> dict[str, str]:
+    r15 = _r15()
+    d = {
+        "chart_plots_json": "SELECT level, area_id, '{' || string_agg('\"' || x || '\":' || y::VARCHAR, ',' ORDER BY x_ord) || '}' AS plots "
+                            f"FROM ({r15}) "
+                            "GROUP BY level, area_id",
+    }
+    return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()}
+
+
 def all_sql() -> dict[str, str]:
     out = dict(report_sql())
     out.update(live_sql())
     out.update(modeling_sql())
+    out.update(stream_sql())
+    out.update(publish_sql())
     return out

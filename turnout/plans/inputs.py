@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout import constants as C
-from turnout.operators.aggregate import at_level, level_counts
+from turnout.operators.aggregate import at_level, summaries
 from turnout.sources import proof_views as pv
 from turnout.sources.dims import area_dim, area_names
 
 
+def _names(spark: SparkSession, data_dir: str) -> DataFrame:
+    nat = spark.range(1).select(F.lit(C.LEVEL_NATION).alias("level"), F.lit(0).cast("long").alias("area_id"),
+                                F.lit(C.LEVEL_NATION).alias("area_name"))
+    return area_names(pv.memo(area_dim)(spark, data_dir)).unionByName(nat)
+
+
 @dataclass
 class Inputs:
     spark: SparkSession
@@ -43,23 +49,25 @@ class Inputs:
 
     @cached_property
     def dim(self) -> DataFrame:
-        return area_dim(self.spark, self.data_dir)
+        return pv.memo(area_dim)(self.spark, self.data_dir)
 
     @cached_property
     def names(self) -> DataFrame:
-        nat = self.spark.range(1).select(F.lit(C.LEVEL_NATION).alias("level"), F.lit(0).cast("long").alias("area_id"),
-                                         F.lit(C.LEVEL_NATION).alias("area_name"))
-        return area_names(self.dim).unionByName(nat)
+        return pv.memo(_names)(self.spark, self.data_dir)
 
     @cached_property
     def prediction(self) -> DataFrame:
         return pv.prediction(self.spark, self.data_dir)
 
     def level(self, lv: str) -> DataFrame:
-        """One summary level: from the shared summary when present, else aggregated directly."""
-        if self.summary is not None:
-            return at_level(self.summary, lv)
-        return level_counts(self.ballots, lv)
+        """One summary level, always cut from the same all-levels summary frame, so every level a
+        query uses comes from one pass over ballots (Spark reuses the identical exchange)."""
+        if self.summary is None:
+            key = ("summaries", id(self.spark), self.data_dir)
+            if key not in pv._MEMO:
+                pv._MEMO[key] = summaries(self.ballots)
+            self.summary = pv._MEMO[key]
+        return at_level(self.summary, lv)
 
     def registered(self, lv: str) -> DataFrame:
         return {C.LEVEL_L1: self.reg_l1, C.LEVEL_L2: self.reg_l2, C.LEVEL_NATION: self.reg_nat}[lv]

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from turnout import constants as C
 from turnout.plans import live as L
 from turnout.plans import modeling as M
+from turnout.plans import publish as PB
 from turnout.plans import reports as R
+from turnout.plans import streams as S
 from turnout.plans.inputs import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,5 +78,13 @@ def queries() -> dict[str, Query]:
         "forecast_plus_live": M.forecast_plus_live,
         "prediction_seed": M.prediction_seed,
         "prediction_upsert": M.prediction_upsert,
+        "stream_minute_counts": S.stream_minute_counts,
+        "stream_ingest_counts": S.stream_ingest_counts,
+        "stream_dedup": S.stream_dedup,
+        "cdc_latest_state": S.cdc_latest_state,
+        "stream_forecast": S.stream_forecast,
+        "chart_plots_json": PB.chart_plots_json,
+        "weighted_pick": PB.weighted_pick,
+        "report_bundle_json": PB.report_bundle_json,
     })
     return q

@@ -47,6 +47,7 @@ def envelope_schema(row_schema: T.StructType = ROW_SCHEMA) -> T.StructType:
 LOG_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()), T.StructField("value", T.BinaryType()),
+    T.StructField("timestamp", T.TimestampType()),
 ])
 
 

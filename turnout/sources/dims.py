@@ -24,11 +24,14 @@ def clean_name(c: Column) -> Column:
 
 
 def bounded(df: DataFrame, max_rows: int = MAX_AREA_ROWS) -> DataFrame:
-    """Broadcast hint for a dimension whose row count is checked first.
-
-    ``limit(max_rows + 1).count()`` stops reading after ``max_rows + 1`` rows,
-    so the check is cheap; above the bound the frame is returned unhinted and
-    Spark falls back to a shuffle join.
+    """Explicit broadcast for a frame whose row count is checked first (one small job).
+
+    ``limit(max_rows + 1).count()`` stops after ``max_rows + 1`` rows; above the bound the
+    frame is returned unhinted and Spark falls back to a shuffle join.  Hot paths do not call
+    this: they leave join selection to Spark, which broadcasts a side only when its estimated
+    size (file statistics, or AQE's runtime shuffle statistics) is under
+    ``spark.sql.autoBroadcastJoinThreshold`` / ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+    and sort-merges otherwise.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
@@ -58,8 +61,7 @@ def area_names(dim: DataFrame) -> DataFrame:
 def with_area_name(df: DataFrame, names: DataFrame, level_col: str = "level", id_col: str = "area_id",
                    out: str = "area_name") -> DataFrame:
     """Left lookup of a display name; an unknown id shows as its own text."""
-    n = bounded(names.select(F.col("level").alias("_nl"), F.col("area_id").alias("_ni"),
-                             F.col("area_name").alias("_nn")))
+    n = names.select(F.col("level").alias("_nl"), F.col("area_id").alias("_ni"), F.col("area_name").alias("_nn"))
     j = df.join(n, (df[level_col] == n["_nl"]) & (df[id_col] == n["_ni"]), "left")
     return j.withColumn(out, F.coalesce(F.col("_nn"), F.col(id_col).cast("string"))).drop("_nl", "_ni", "_nn")
 

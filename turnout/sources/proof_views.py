@@ -7,12 +7,13 @@ aggregates group by area, so all views grow with the data.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout import constants as C
 from turnout.functions import flags
-from turnout.sources.dims import bounded
 from turnout.sources.tables import read_table
 
 # area whose registered row is left out, and area whose female count is zero
@@ -21,11 +22,30 @@ ZERO_FEMALE_L2 = 3
 REGISTERED_FACTOR = 20
 PREDICTION_BASE = "2024-01-31 00:00:00"
 
+_MEMO: dict = {}
+
+
+def memo(fn):
+    """Build a view once per (session, data directory); DataFrames are immutable plans, and
+    reusing the same object lets Spark reuse identical exchanges inside one query."""
+    @wraps(fn)
+    def wrapper(spark: SparkSession, data_dir: str) -> DataFrame:
+        key = (fn.__name__, id(spark), data_dir)
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, data_dir)
+        return _MEMO[key]
+    return wrapper
+
+
+def clear_memo() -> None:
+    _MEMO.clear()
+
 
+@memo
 def citizen_areas(spark: SparkSession, data_dir: str) -> DataFrame:
-    """citizen -> (area_l1, area_l2); the nation side is a bounded dimension."""
+    """citizen -> (area_l1, area_l2)."""
     cust = read_table(spark, data_dir, "customer", ["c_custkey", "c_nationkey"])
-    nation = bounded(read_table(spark, data_dir, "nation", ["n_nationkey", "n_regionkey"]))
+    nation = read_table(spark, data_dir, "nation", ["n_nationkey", "n_regionkey"])
     return cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
         F.col("c_custkey").alias("citizen_id"),
         F.col("n_regionkey").cast("long").alias("area_l1"),
@@ -33,6 +53,7 @@ def citizen_areas(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+@memo
 def ballots(spark: SparkSession, data_dir: str) -> DataFrame:
     """One ballot per event.
 
@@ -65,8 +86,9 @@ def _after_struct(b) -> "F.Column":
         b.area_l1.alias("REGIONID"), b.area_l2.alias("WILAYATID"))
 
 
+@memo
 def cdc_raw(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Change log of ballots: (topic, partition, offset, value BINARY).
+    """Change log of ballots in the Kafka record shape: (topic, partition, offset, value BINARY, timestamp).
 
     op 'd' when event_id % 97 = 0 (after null, before set), 'u' when % 89 = 0, the text
     ``garbage`` when % 101 = 0 and a null value when % 103 = 0; the later rule wins.
@@ -95,11 +117,13 @@ def cdc_raw(spark: SparkSession, data_dir: str) -> DataFrame:
         F.lit(0).alias("partition"),
         eid.alias("offset"),
         value.cast("binary").alias("value"),
+        F.timestamp_millis(b.log_ms).alias("timestamp"),
     )
 
 
 # ---- registered voters ---------------------------------------------------------------------
 
+@memo
 def registered_l2_full(spark: SparkSession, data_dir: str) -> DataFrame:
     """Registered counts per area_l2 from citizens: sex by custkey parity, single age
     18 + custkey % 80, registration year by custkey % 10, all times 20."""
@@ -116,6 +140,7 @@ def registered_l2_full(spark: SparkSession, data_dir: str) -> DataFrame:
     return reg.select("area_id", *[F.col(c).cast("long") for c in reg.columns[1:]])
 
 
+@memo
 def registered_l2(spark: SparkSession, data_dir: str) -> DataFrame:
     """As ``registered_l2_full`` with one area missing and one zero female count."""
     full = registered_l2_full(spark, data_dir)
@@ -129,19 +154,22 @@ def _measure_sums(df: DataFrame, by: list) -> DataFrame:
     return df.groupBy(*by).agg(*[F.sum(c).cast("long").alias(c) for c in measures])
 
 
+@memo
 def registered_l1(spark: SparkSession, data_dir: str) -> DataFrame:
     full = registered_l2_full(spark, data_dir)
-    nation = bounded(read_table(spark, data_dir, "nation", ["n_nationkey", "n_regionkey"]))
+    nation = read_table(spark, data_dir, "nation", ["n_nationkey", "n_regionkey"])
     j = full.join(nation, full.area_id == nation.n_nationkey).drop("n_nationkey")
     return _measure_sums(j.drop("area_id").withColumnRenamed("n_regionkey", "area_id")
                          .withColumn("area_id", F.col("area_id").cast("long")), ["area_id"])
 
 
+@memo
 def registered_nat(spark: SparkSession, data_dir: str) -> DataFrame:
     full = registered_l2_full(spark, data_dir)
     return _measure_sums(full, []).withColumn("area_id", F.lit(0).cast("long"))
 
 
+@memo
 def registered_single_ages(spark: SparkSession, data_dir: str) -> DataFrame:
     """Nation-level registered voters per single year of age: (age, n)."""
     cust = read_table(spark, data_dir, "customer", ["c_custkey"])
@@ -151,6 +179,7 @@ def registered_single_ages(spark: SparkSession, data_dir: str) -> DataFrame:
 
 # ---- prediction table and history --------------------------------------------------------
 
+@memo
 def prediction(spark: SparkSession, data_dir: str) -> DataFrame:
     """One forecast row per (area_l1, area_l2): slot at 08:00-12:00 of a fixed day by area,
     counters = 2 x ballot sums in the history age classes folded to six."""
@@ -168,6 +197,7 @@ def prediction(spark: SparkSession, data_dir: str) -> DataFrame:
                     *[F.col(c).cast("long") for c in C.PREDICTION_COUNTERS])
 
 
+@memo
 def history(spark: SparkSession, data_dir: str) -> DataFrame:
     """Ballots with dataset = day(ts) % 3, times cut to the minute, polling hours kept."""
     from turnout.functions.timeofday import truncated_minute_key
