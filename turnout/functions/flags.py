@@ -28,3 +28,26 @@ def in_bin(age: Column, lo: int, hi: int | None, closed: bool = False) -> Column
 def age_flags(age: Column, bins, closed: bool = False) -> list[Column]:
     """Generated flag list for a named bin set, aliased by the bin names."""
     return [in_bin(age, lo, hi, closed).alias(name) for name, lo, hi in bins]
+
+
+# SQL-text forms of the same rules (one JVM call per expression when building wide selects)
+
+def male_sql(sex: str) -> str:
+    return f"CAST(CASE WHEN {sex} = 1 THEN 1 ELSE 0 END AS BIGINT)"
+
+
+def female_sql(sex: str, other_is_female: bool = False) -> str:
+    if other_is_female:
+        return f"CAST(CASE WHEN {sex} <=> 1 THEN 0 ELSE 1 END AS BIGINT)"
+    return f"CAST(CASE WHEN {sex} = 2 THEN 1 ELSE 0 END AS BIGINT)"
+
+
+def in_bin_sql(age: str, lo: int, hi: int | None, closed: bool = False) -> str:
+    cond = f"{age} >= {lo}"
+    if hi is not None:
+        cond += f" AND {age} {'<=' if closed else '<'} {hi}"
+    return f"CAST(CASE WHEN {cond} THEN 1 ELSE 0 END AS BIGINT)"
+
+
+def age_flags_sql(age: str, bins, closed: bool = False) -> list[str]:
+    return [f"{in_bin_sql(age, lo, hi, closed)} AS {name}" for name, lo, hi in bins]

@@ -30,9 +30,30 @@ def round_pct(x: Column, rounding: str | None) -> Column:
     return x
 
 
-def percent(num: Column, den: Column, rounding: str | None = EVEN, on_zero: str = ZERO_NULL,
+def percent_sql(num: str, den: str, rounding: str | None = EVEN, on_zero: str = ZERO_NULL,
+                on_missing: str = MISSING_AS_ZERO_DEN) -> str:
+    """The same rule as a Spark SQL expression over column names (one JVM call to build)."""
+    d = {MISSING_DEN_ONE: f"coalesce({den}, 1)", MISSING_AS_ZERO_DEN: f"coalesce({den}, 0)"}.get(on_missing, den)
+    raw = f"try_divide({num} * 100, cast({d} as double))"
+    if rounding == EVEN:
+        raw = f"cast(rint({raw}) as bigint)"
+    elif rounding == UP:
+        raw = f"cast(round({raw}, 0) as bigint)"
+    zero = {ZERO_NULL: "NULL", ZERO_ZERO: "0", ZERO_ONE: "1"}[on_zero]
+    out = f"CASE WHEN {d} = 0 THEN {zero} ELSE {raw} END"
+    if on_missing == MISSING_PCT_ZERO:
+        out = f"CASE WHEN {den} IS NULL THEN 0 ELSE {out} END"
+    return f"cast({out} as {'bigint' if rounding else 'double'})"
+
+
+def percent(num, den, rounding: str | None = EVEN, on_zero: str = ZERO_NULL,
             on_missing: str = MISSING_AS_ZERO_DEN) -> Column:
-    """``num * 100 / den`` (integer product, double quotient), then rounding and policies."""
+    """``num * 100 / den`` (integer product, double quotient), then rounding and policies.
+
+    ``num`` and ``den`` are column names or Columns; names compile to one SQL expression.
+    """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(percent_sql(num, den, rounding, on_zero, on_missing))
     if on_missing == MISSING_DEN_ONE:
         den = F.coalesce(den, F.lit(1))
     elif on_missing == MISSING_AS_ZERO_DEN:

@@ -26,12 +26,10 @@ _ALL_KEYS = ["area_l1", "area_l2", "hour"]
 
 def ballot_measures(ballots: DataFrame) -> list[Column]:
     """Per-ballot 0/1 measure expressions (live gender rule, closed summary age intervals)."""
-    sex, age, ry = F.col("sex"), F.col("age"), F.col("reg_year")
-    out = [F.lit(1).cast("long").alias("total"), flags.male_flag(sex).alias("male"),
-           flags.female_flag(sex).alias("female")]
-    out += flags.age_flags(age, C.SUMMARY_BINS, closed=True)
-    out += [F.when(ry == y, 1).otherwise(0).cast("long").alias(f"ry_{y}") for y in C.REG_YEARS]
-    return out
+    out = ["1 AS total", f"{flags.male_sql('sex')} AS male", f"{flags.female_sql('sex')} AS female"]
+    out += flags.age_flags_sql("age", C.SUMMARY_BINS, closed=True)
+    out += [f"CAST(CASE WHEN reg_year = {y} THEN 1 ELSE 0 END AS BIGINT) AS ry_{y}" for y in C.REG_YEARS]
+    return [F.expr(e) for e in out]
 
 
 def _measure_rows(ballots: DataFrame) -> DataFrame:
@@ -39,7 +37,7 @@ def _measure_rows(ballots: DataFrame) -> DataFrame:
 
 
 def _sums(cols=SUMMARY_MEASURES) -> list[Column]:
-    return [F.sum(m).cast("long").alias(m) for m in cols]
+    return [F.expr(f"CAST(sum({m}) AS BIGINT) AS {m}") for m in cols]
 
 
 def _shape(df: DataFrame, level: str) -> DataFrame:

@@ -13,12 +13,13 @@ def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str], label:
     The position of a measure in ``measures`` is kept as ``{label}_ord`` so charts keep order.
     """
     long = df.unpivot(ids, measures, label, value)
-    pos = F.create_map(*[x for i, m in enumerate(measures) for x in (F.lit(m), F.lit(i + 1))])
-    long = long.withColumn(f"{label}_ord", pos[F.col(label)].cast("long"))
+    q = lambda v: "'" + str(v).replace("'", "''") + "'"
+    pos = "CASE `{0}` ".format(label) + " ".join(f"WHEN {q(m)} THEN {i + 1}" for i, m in enumerate(measures)) + " END"
+    cols = [F.expr(f"cast({pos} as bigint)").alias(f"{label}_ord")]
     if labels:
-        names = F.create_map(*[x for m in measures for x in (F.lit(m), F.lit(labels.get(m, m)))])
-        long = long.withColumn(label, names[F.col(label)])
-    return long
+        name = "CASE `{0}` ".format(label) + " ".join(f"WHEN {q(m)} THEN {q(labels.get(m, m))}" for m in measures) + " END"
+        return long.select(*[c for c in long.columns if c != label], F.expr(name).alias(label), *cols)
+    return long.select(*long.columns, *cols)
 
 
 def columns_with_suffix(df: DataFrame, suffix: str) -> list[str]:

@@ -45,10 +45,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _pairs(df: DataFrame, pairs: list[tuple[str, Column]], keys: list[str], series: str | None = None) -> DataFrame:
-    """Wide (one column per label) -> long (x, x_ord, y) in the listed order."""
-    return _union([df.select(*keys, F.lit(lbl).alias("x"), F.lit(i + 1).alias("x_ord"), val.alias("y"),
-                             F.lit(series or C.STATS).alias("series"))
-                   for i, (lbl, val) in enumerate(pairs)])
+    """Wide (one column per label) -> long (x, x_ord, y) in the listed order: one select and one
+    unpivot, so the input is read once whatever the number of labels."""
+    cols = [f"_v{i}" for i in range(len(pairs))]
+    wide = df.select(*keys, *[val.alias(c) for c, (_, val) in zip(cols, pairs)])
+    long = unpivot_measures(wide, keys, cols, "x", "y", labels={c: lbl for c, (lbl, _) in zip(cols, pairs)})
+    return long.select(*keys, "x", F.col("x_ord"), "y", F.lit(series or C.STATS).alias("series"))
 
 
 # ---- forecast table helpers ------------------------------------------------------------------
@@ -73,7 +75,7 @@ def r1_forecast_by_hour(inp: Inputs) -> DataFrame:
     """Forecast turnout per hour slot (not cumulative); same hour: the later slot wins; null -> 0."""
     s = last_per(forecast_by_slot(inp), ["hour"], ["time_slot"])
     s = with_national(s, inp.reg_nat)
-    y = F.coalesce(P.percent(F.col("total"), F.col("reg_voters"), P.EVEN, P.ZERO_NULL), F.lit(0).cast("long"))
+    y = F.coalesce(P.percent("total", "reg_voters", P.EVEN, P.ZERO_NULL), F.lit(0).cast("long"))
     return _finish(s.select("level", "area_id", F.lit(C.FORECASTED).alias("series"),
                             F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"), y.alias("y")), inp)
 
@@ -84,7 +86,7 @@ def time_summary(inp: Inputs) -> DataFrame:
     h = cumulative(h, [], [F.col("hour")], "total", "cum_total")
     h = with_national(h, inp.reg_nat)
     return h.select("hour", hour_12h(F.col("hour")).alias("v_time"),
-                    P.percent(F.col("cum_total"), F.col("reg_voters"), P.NONE, P.ZERO_NULL).alias("percentage"))
+                    P.percent("cum_total", "reg_voters", P.NONE, P.ZERO_NULL).alias("percentage"))
 
 
 def r2_hour_summary(inp: Inputs, legacy_ampm_order: bool = True) -> DataFrame:
@@ -110,8 +112,7 @@ def r3_turnout_with_forecast(inp: Inputs, keep_live: bool = True) -> DataFrame:
 
 def r4_gender_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
-    pairs = [("M", P.percent(F.col("male"), F.col("reg_male_count"))),
-             ("F", P.percent(F.col("female"), F.col("reg_female_count")))]
+    pairs = [("M", P.percent("male", "reg_male_count")), ("F", P.percent("female", "reg_female_count"))]
     return _finish(_pairs(n, pairs, ["level", "area_id"]), inp)
 
 
@@ -119,7 +120,7 @@ def top_ages_summary(inp: Inputs) -> DataFrame:
     """Per single year of age: ballots / registered voters of that age (unrounded percentage)."""
     live = inp.ballots.filter(F.col("age").isNotNull()).groupBy("age").agg(F.count("*").alias("n"))
     j = live.join(F.broadcast(inp.reg_ages.withColumnRenamed("n", "den")), "age", "left")
-    return j.select("age", P.percent(F.col("n"), F.col("den"), P.NONE, P.ZERO_NULL).alias("percentage"))
+    return j.select("age", P.percent("n", "den", P.NONE, P.ZERO_NULL).alias("percentage"))
 
 
 def r5_top_ages(inp: Inputs, k: int = 10) -> DataFrame:
@@ -140,8 +141,7 @@ def _prediction_totals(inp: Inputs, level: str, cols: list[str]) -> DataFrame:
 
 def r6_gender_forecast(inp: Inputs) -> DataFrame:
     n = with_national(_prediction_totals(inp, C.LEVEL_NATION, ["male", "female"]), inp.reg_nat)
-    pairs = [("Male", P.percent(F.col("male"), F.col("reg_male_count"))),
-             ("Female", P.percent(F.col("female"), F.col("reg_female_count")))]
+    pairs = [("Male", P.percent("male", "reg_male_count")), ("Female", P.percent("female", "reg_female_count"))]
     return _finish(_pairs(n, pairs, ["level", "area_id"], C.FORECASTED), inp)
 
 
@@ -164,7 +164,7 @@ def r7_age_forecast(inp: Inputs) -> DataFrame:
     j = long.join(F.broadcast(fold), long.col_ord == fold.label_ord)
     return _finish(j.select("level", "area_id", F.lit(C.FORECASTED).alias("series"), F.col("label").alias("x"),
                             F.col("label_ord").alias("x_ord"),
-                            P.percent(F.col("n"), F.col("den"), P.EVEN, P.ZERO_ZERO).alias("y")), inp)
+                            P.percent("n", "den", P.EVEN, P.ZERO_ZERO).alias("y")), inp)
 
 
 def _area_axis(df: DataFrame, level: str, inp: Inputs) -> DataFrame:
@@ -176,7 +176,7 @@ def _area_axis(df: DataFrame, level: str, inp: Inputs) -> DataFrame:
 
 def r8_region_gender_turnout(inp: Inputs) -> DataFrame:
     s = with_registered(inp.level(C.LEVEL_L1), inp.reg_l1)
-    pct = lambda n, d: P.percent(F.col(n), F.col(d), P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO)
+    pct = lambda n, d: P.percent(n, d, P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO)
     long = _union([s.select("area_id", F.lit(lbl).alias("series"), pct(n, d).alias("y"))
                    for lbl, n, d in [("MalePercentage", "male", "reg_male_count"),
                                      ("FemalePercentage", "female", "reg_female_count")]])
@@ -187,7 +187,7 @@ def r9_wilayat_gender_top10(inp: Inputs, k: int = 10) -> DataFrame:
     s = inp.level(C.LEVEL_L2).withColumn("g", F.lit(0))
     s = top_per_group(s, ["g"], [(F.col("male") + F.col("female")).desc(), F.col("area_id")], k)
     s = with_registered(s, inp.reg_l2)
-    pct = lambda n, d: P.percent(F.col(n), F.col(d), P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO)
+    pct = lambda n, d: P.percent(n, d, P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO)
     long = _union([s.select("area_id", F.lit(lbl).alias("series"), pct(n, d).alias("y"))
                    for lbl, n, d in [("M", "male", "reg_male_count"), ("F", "female", "reg_female_count")]])
     return _finish(_area_axis(long, C.LEVEL_L2, inp), inp)
@@ -195,27 +195,27 @@ def r9_wilayat_gender_top10(inp: Inputs, k: int = 10) -> DataFrame:
 
 def r10_age_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
-    pairs = [(lbl, P.percent(F.col(c), F.col("reg_" + c))) for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)]
+    pairs = [(lbl, P.percent(c, "reg_" + c)) for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)]
     return _finish(_pairs(n, pairs, ["level", "area_id"]), inp)
 
 
 def r11_regyear_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
-    pairs = [(f"RY_{y}", P.percent(F.col(f"ry_{y}"), F.col(f"reg_ry_{y}"), P.UP)) for y in C.REG_YEARS]
+    pairs = [(f"RY_{y}", P.percent(f"ry_{y}", f"reg_ry_{y}", P.UP)) for y in C.REG_YEARS]
     return _finish(_pairs(n, pairs, ["level", "area_id"]), inp)
 
 
 def r12_region_turnout(inp: Inputs) -> DataFrame:
     s = with_registered(inp.level(C.LEVEL_L1), inp.reg_l1)
     long = s.select("area_id", F.lit(C.STATS).alias("series"),
-                    P.percent(F.col("total"), F.col("reg_voters"), P.EVEN, P.ZERO_NULL).alias("y"))
+                    P.percent("total", "reg_voters", P.EVEN, P.ZERO_NULL).alias("y"))
     return _finish(_area_axis(long, C.LEVEL_L1, inp), inp)
 
 
 def area_age_percent(inp: Inputs, level: str) -> DataFrame:
     """Six age percentages per area; a zero or missing denominator gives 1 (published rule)."""
     s = with_registered(inp.level(level), inp.registered(level))
-    wide = s.select("area_id", *[P.percent(F.col(c), F.col("reg_" + c), P.EVEN, P.ZERO_ONE).alias(c) for c in AGE_COLS])
+    wide = s.select("area_id", *[P.percent(c, "reg_" + c, P.EVEN, P.ZERO_ONE).alias(c) for c in AGE_COLS])
     return unpivot_measures(wide, ["area_id"], AGE_COLS, "label", "pct",
                             labels=dict(zip(AGE_COLS, C.SUMMARY_LABELS)))
 
@@ -247,7 +247,7 @@ def _hourly_cumulative(inp: Inputs, level: str) -> DataFrame:
     h = with_registered(h, inp.registered(level), how="inner")
     return h.select(F.lit(level).alias("level"), "area_id", F.lit(C.STATS).alias("series"),
                     F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"),
-                    P.percent(F.col("cum_total"), F.col("reg_voters"), P.EVEN, P.ZERO_NULL).alias("y"))
+                    P.percent("cum_total", "reg_voters", P.EVEN, P.ZERO_NULL).alias("y"))
 
 
 def r15_area_cumulative_turnout(inp: Inputs) -> DataFrame:
@@ -258,8 +258,8 @@ def r16_area_gender_turnout(inp: Inputs) -> DataFrame:
     frames = []
     for lv in AREA_LEVELS:
         s = with_registered(inp.level(lv), inp.registered(lv), how="inner").withColumn("level", F.lit(lv))
-        pairs = [("M", P.percent(F.col("male"), F.col("reg_male_count"), P.EVEN, P.ZERO_ZERO)),
-                 ("F", P.percent(F.col("female"), F.col("reg_female_count"), P.EVEN, P.ZERO_ZERO))]
+        pairs = [("M", P.percent("male", "reg_male_count", P.EVEN, P.ZERO_ZERO)),
+                 ("F", P.percent("female", "reg_female_count", P.EVEN, P.ZERO_ZERO))]
         frames.append(_pairs(s, pairs, ["level", "area_id"]))
     return _finish(_union(frames), inp)
 
@@ -269,7 +269,7 @@ def _forecast_cumulative(inp: Inputs, level: str) -> DataFrame:
     s = cumulative(s, ["area_id"], [F.col("hour"), F.col("time_slot")], "total", "cum_total")
     s = last_per(s, ["area_id", "hour"], ["time_slot"])
     s = with_registered(s, inp.registered(level), how="inner")
-    y = F.coalesce(P.percent(F.col("cum_total"), F.col("reg_voters"), P.EVEN, P.ZERO_ZERO), F.lit(0).cast("long"))
+    y = F.coalesce(P.percent("cum_total", "reg_voters", P.EVEN, P.ZERO_ZERO), F.lit(0).cast("long"))
     return s.select(F.lit(level).alias("level"), "area_id", F.lit(C.FORECASTED).alias("series"),
                     F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"), y.alias("y"))
 
@@ -290,8 +290,8 @@ def r19_area_gender_forecast(inp: Inputs) -> DataFrame:
     frames = []
     for lv in AREA_LEVELS:
         t = with_registered(_prediction_totals(inp, lv, ["male", "female"]), inp.registered(lv), how="inner")
-        pairs = [("Male", P.percent(F.col("male"), F.col("reg_male_count"), P.UP, P.ZERO_NULL)),
-                 ("Female", P.percent(F.col("female"), F.col("reg_female_count"), P.UP, P.ZERO_NULL))]
+        pairs = [("Male", P.percent("male", "reg_male_count", P.UP, P.ZERO_NULL)),
+                 ("Female", P.percent("female", "reg_female_count", P.UP, P.ZERO_NULL))]
         frames.append(_pairs(t, pairs, ["level", "area_id"], C.FORECASTED))
     return _finish(_union(frames), inp)
 
@@ -300,7 +300,7 @@ def r20_area_age_turnout(inp: Inputs) -> DataFrame:
     frames = []
     for lv in AREA_LEVELS:
         s = with_registered(inp.level(lv), inp.registered(lv)).withColumn("level", F.lit(lv))
-        pairs = [(lbl, P.percent(F.col(c), F.col("reg_" + c), P.EVEN, P.ZERO_NULL, P.MISSING_DEN_ONE).cast("double"))
+        pairs = [(lbl, P.percent(c, "reg_" + c, P.EVEN, P.ZERO_NULL, P.MISSING_DEN_ONE).cast("double"))
                  for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)]
         frames.append(_pairs(s, pairs, ["level", "area_id"]))
     return _finish(_union(frames), inp)

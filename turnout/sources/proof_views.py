@@ -63,19 +63,18 @@ def ballots(spark: SparkSession, data_dir: str) -> DataFrame:
     """
     ev = read_table(spark, data_dir, "events", ["event_id", "ts", "user_id"])
     areas = citizen_areas(spark, data_dir)
-    eid = F.col("event_id")
-    years = F.array(*[F.lit(y).cast("long") for y in C.REG_YEARS])
-    return ev.join(areas, ev.user_id == areas.citizen_id).select(
-        eid,
-        F.col("ts"),
-        F.col("citizen_id"),
-        F.when(eid % 61 == 0, F.lit(None)).otherwise(18 + eid % 80).cast("long").alias("age"),
-        F.when(eid % 53 == 0, F.lit(None)).when(eid % 50 == 0, F.lit(0))
-         .otherwise(1 + F.floor(eid / 7) % 2).cast("long").alias("sex"),
-        F.element_at(years, (eid % 10 + 1).cast("int")).alias("reg_year"),
-        F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("log_ms"),
-        F.col("area_l1"),
-        F.col("area_l2"),
+    years = ", ".join(f"{y}L" for y in C.REG_YEARS)
+    return ev.join(areas, ev.user_id == areas.citizen_id).selectExpr(
+        "event_id",
+        "ts",
+        "citizen_id",
+        "CAST(CASE WHEN event_id % 61 = 0 THEN NULL ELSE 18 + event_id % 80 END AS BIGINT) AS age",
+        "CAST(CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 50 = 0 THEN 0 "
+        "ELSE 1 + (event_id DIV 7) % 2 END AS BIGINT) AS sex",
+        f"element_at(array({years}), CAST(event_id % 10 + 1 AS INT)) AS reg_year",
+        "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS log_ms",
+        "area_l1",
+        "area_l2",
     )
 
 
@@ -128,16 +127,14 @@ def registered_l2_full(spark: SparkSession, data_dir: str) -> DataFrame:
     """Registered counts per area_l2 from citizens: sex by custkey parity, single age
     18 + custkey % 80, registration year by custkey % 10, all times 20."""
     cust = read_table(spark, data_dir, "customer", ["c_custkey", "c_nationkey"])
-    k = F.col("c_custkey")
-    age = 18 + k % 80
-    f = F.lit(REGISTERED_FACTOR)
-    aggs = [(F.count("*") * f).alias("voters"),
-            (F.sum(F.when(k % 2 == 0, 1).otherwise(0)) * f).alias("male_count"),
-            (F.sum(F.when(k % 2 == 1, 1).otherwise(0)) * f).alias("female_count")]
-    aggs += [(F.sum(flags.in_bin(age, lo, hi, closed=True)) * f).alias(name) for name, lo, hi in C.SUMMARY_BINS]
-    aggs += [(F.sum(F.when(k % 10 == i, 1).otherwise(0)) * f).alias(f"ry_{y}") for i, y in enumerate(C.REG_YEARS)]
-    reg = cust.groupBy(F.col("c_nationkey").cast("long").alias("area_id")).agg(*aggs)
-    return reg.select("area_id", *[F.col(c).cast("long") for c in reg.columns[1:]])
+    f = REGISTERED_FACTOR
+    cnt = lambda cond, name: F.expr(f"CAST({f} * count_if({cond}) AS BIGINT) AS {name}")
+    aggs = [F.expr(f"CAST({f} * count(*) AS BIGINT) AS voters"),
+            cnt("c_custkey % 2 = 0", "male_count"), cnt("c_custkey % 2 = 1", "female_count")]
+    aggs += [cnt(f"(18 + c_custkey % 80) >= {lo}" + (f" AND (18 + c_custkey % 80) <= {hi}" if hi else ""), name)
+             for name, lo, hi in C.SUMMARY_BINS]
+    aggs += [cnt(f"c_custkey % 10 = {i}", f"ry_{y}") for i, y in enumerate(C.REG_YEARS)]
+    return cust.groupBy(F.col("c_nationkey").cast("long").alias("area_id")).agg(*aggs)
 
 
 @memo
@@ -151,7 +148,8 @@ def registered_l2(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _measure_sums(df: DataFrame, by: list) -> DataFrame:
     measures = [c for c in df.columns if c != "area_id"]
-    return df.groupBy(*by).agg(*[F.sum(c).cast("long").alias(c) for c in measures])
+    aggs = [F.expr(f"CAST(sum({c}) AS BIGINT) AS {c}") for c in measures]
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
 @memo
