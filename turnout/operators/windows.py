@@ -22,6 +22,16 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, n: int) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def top_k(df: DataFrame, order: list, k: int, rank: str = "x_ord") -> DataFrame:
+    """Global top ``k`` under a total order, numbered 1..k.
+
+    ``orderBy().limit()`` plans as TakeOrderedAndProject: every partition keeps its own top k and
+    only those k rows per partition meet in the final step, so no task sees the whole input.
+    """
+    top = df.orderBy(*order).limit(k)
+    return top.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("long"))
+
+
 def last_per(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The last row per key in ``order`` (the later row wins)."""
     w = Window.partitionBy(*keys).orderBy(*[o.desc() if isinstance(o, Column) else F.col(o).desc() for o in order])

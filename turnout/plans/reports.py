@@ -20,7 +20,7 @@ from turnout.functions import percent as P
 from turnout.functions.timeofday import ampm_hour, hour_12h
 from turnout.operators.joins import overlay_last, with_national, with_registered
 from turnout.operators.reshape import unpivot_measures
-from turnout.operators.windows import cumulative, last_per, top_per_group
+from turnout.operators.windows import cumulative, last_per, top_k, top_per_group
 from turnout.plans.inputs import Inputs
 from turnout.sources.dims import with_area_name
 
@@ -126,9 +126,7 @@ def top_ages_summary(inp: Inputs) -> DataFrame:
 def r5_top_ages(inp: Inputs, k: int = 10) -> DataFrame:
     """TOP 10 ages by percentage (ties: younger first); values as stored, no rounding."""
     t = top_ages_summary(inp).filter(F.col("percentage").isNotNull())
-    t = top_per_group(t.withColumn("g", F.lit(0)), ["g"], [F.col("percentage").desc(), F.col("age")], k)
-    from pyspark.sql import Window
-    t = t.withColumn("x_ord", F.row_number().over(Window.partitionBy("g").orderBy(F.col("percentage").desc(), "age")))
+    t = top_k(t, [F.col("percentage").desc(), F.col("age")], k)
     return _finish(_nation(t).select("level", "area_id", F.lit(C.STATS).alias("series"),
                                      F.concat(F.lit("Age_"), F.col("age").cast("string")).alias("x"),
                                      "x_ord", F.col("percentage").alias("y")), inp)
@@ -184,8 +182,7 @@ def r8_region_gender_turnout(inp: Inputs) -> DataFrame:
 
 
 def r9_wilayat_gender_top10(inp: Inputs, k: int = 10) -> DataFrame:
-    s = inp.level(C.LEVEL_L2).withColumn("g", F.lit(0))
-    s = top_per_group(s, ["g"], [(F.col("male") + F.col("female")).desc(), F.col("area_id")], k)
+    s = top_k(inp.level(C.LEVEL_L2), [(F.col("male") + F.col("female")).desc(), F.col("area_id")], k).drop("x_ord")
     s = with_registered(s, inp.reg_l2)
     pct = lambda n, d: P.percent(n, d, P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO)
     long = _union([s.select("area_id", F.lit(lbl).alias("series"), pct(n, d).alias("y"))
@@ -223,8 +220,8 @@ def area_age_percent(inp: Inputs, level: str) -> DataFrame:
 def _age_top2(inp: Inputs, level: str, n_areas: int = 10, n_labels: int = 2) -> DataFrame:
     long = area_age_percent(inp, level)
     named = with_area_name(long.withColumn("level", F.lit(level)), inp.names)
-    means = named.groupBy("area_id", "area_name").agg(F.avg("pct").alias("m")).withColumn("g", F.lit(0))
-    top = top_per_group(means, ["g"], [F.col("m").desc(), F.col("area_name")], n_areas)
+    means = named.groupBy("area_id", "area_name").agg(F.avg("pct").alias("m"))
+    top = top_k(means, [F.col("m").desc(), F.col("area_name")], n_areas)
     kept = named.join(top.select("area_id"), "area_id", "left_semi")
     best = top_per_group(kept, ["area_id"], [F.col("pct").desc(), F.col("label_ord")], n_labels)
     out = best.select("area_id", F.col("label").alias("series"), F.col("pct").alias("y"))
