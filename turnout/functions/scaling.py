@@ -34,3 +34,14 @@ def minmax(x: Column, lo: Column, hi: Column) -> Column:
 def inverse_minmax(s: Column, lo: Column, hi: Column) -> Column:
     """inverse of one scaled value -- applied to a *sum* of scaled steps, lo is added once."""
     return s * span(lo, hi) + lo
+
+
+# SQL-text forms over column names (one JVM call per expression when building wide selects)
+
+def zero_outliers_sql(x: str, q1: str, q3: str, k: float = IQR_FENCE) -> str:
+    return (f"CASE WHEN {x} < {q1} - {k} * ({q3} - {q1}) OR {x} > {q3} + {k} * ({q3} - {q1}) "
+            f"THEN CAST(0 AS DOUBLE) ELSE CAST({x} AS DOUBLE) END")
+
+
+def minmax_sql(x: str, lo: str, hi: str) -> str:
+    return f"({x} - {lo}) / CASE WHEN {hi} = {lo} THEN CAST(1 AS DOUBLE) ELSE CAST({hi} - {lo} AS DOUBLE) END"

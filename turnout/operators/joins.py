@@ -40,7 +40,7 @@ def densify(df: DataFrame, keys: list[str], step_col: str, lo: int, hi: int, fil
     """
     grid = df.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"))).alias(step_col))
     j = grid.join(df, keys + [step_col], "left")
-    return j.select(*keys, step_col, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in fill_cols])
+    return j.selectExpr(*keys, step_col, *[f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in fill_cols])
 
 
 def overlay_last(stats: DataFrame, fc: DataFrame, keys: list[str], x: str, y: str, order: str,

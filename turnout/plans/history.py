@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from turnout import constants as C
 from turnout.functions import flags
-from turnout.functions import timeofday as tod
-from turnout.functions.scaling import minmax, zero_outliers
+from turnout.functions.scaling import minmax_sql, zero_outliers_sql
 from turnout.operators.joins import densify
 from turnout.operators.windows import supervised_windows, time_split
 from turnout.sources import proof_views as pv
@@ -24,19 +23,19 @@ KEYS = ["dataset", "area_id"]
 
 def history_features(hist: DataFrame, area_col: str = "area_l2", split: bool = True) -> DataFrame:
     """History gender rule (not 1 -> female), history age classes, minute of day (cut)."""
-    return hist.select(
-        (F.col("dataset") if split else F.lit(0)).cast("long").alias("dataset"),
-        F.col(area_col).cast("long").alias("area_id"),
-        tod.minute_of_key(F.col("time")).alias("minute"),
-        flags.male_flag(F.col("sex")).alias("male"),
-        flags.female_flag(F.col("sex"), other_is_female=True).alias("female"),
-        *flags.age_flags(F.col("age"), C.HISTORY_BINS),
+    return hist.selectExpr(
+        f"CAST({'dataset' if split else '0'} AS BIGINT) AS dataset",
+        f"CAST({area_col} AS BIGINT) AS area_id",
+        "CAST(substring(time, 1, 2) AS BIGINT) * 60 + CAST(substring(time, 4, 2) AS BIGINT) AS minute",
+        f"{flags.male_sql('sex')} AS male",
+        f"{flags.female_sql('sex', other_is_female=True)} AS female",
+        *flags.age_flags_sql("age", C.HISTORY_BINS),
     )
 
 
 def minute_series(feat: DataFrame) -> DataFrame:
     """Per (dataset, area, minute) sums."""
-    return feat.groupBy(*KEYS, "minute").agg(*[F.sum(c).cast("long").alias(c) for c in C.COUNTERS])
+    return feat.groupBy(*KEYS, "minute").agg(*[F.expr(f"CAST(sum({c}) AS BIGINT) AS {c}") for c in C.COUNTERS])
 
 
 def dense_grid(series: DataFrame) -> DataFrame:
@@ -51,16 +50,15 @@ def prepared(spark: SparkSession, data_dir: str, area_col: str = "area_l2", spli
 
 def iqr_bounds(dense: DataFrame, cols=C.COUNTERS) -> DataFrame:
     """Exact quartiles (linear interpolation) per (dataset, area) and column."""
-    aggs = [F.percentile(F.col(c).cast("double"), [0.25, 0.75]).alias(f"_q_{c}") for c in cols]
+    aggs = [F.expr(f"percentile(CAST({c} AS DOUBLE), array(0.25, 0.75)) AS _q_{c}") for c in cols]
     q = dense.groupBy(*KEYS).agg(*aggs)
-    return q.select(*KEYS, *[x for c in cols for x in (F.col(f"_q_{c}")[0].alias(f"q1_{c}"),
-                                                          F.col(f"_q_{c}")[1].alias(f"q3_{c}"))])
+    return q.selectExpr(*KEYS, *[x for c in cols for x in (f"_q_{c}[0] AS q1_{c}", f"_q_{c}[1] AS q3_{c}")])
 
 
 def outliers_zeroed(dense: DataFrame, cols=C.COUNTERS) -> DataFrame:
     """values outside the strict 1.5 x IQR fence of their own series become 0."""
     j = dense.join(iqr_bounds(dense, cols), KEYS)
-    return j.select(*KEYS, "minute", *[zero_outliers(F.col(c), F.col(f"q1_{c}"), F.col(f"q3_{c}")).alias(c) for c in cols])
+    return j.selectExpr(*KEYS, "minute", *[f"{zero_outliers_sql(c, f'q1_{c}', f'q3_{c}')} AS {c}" for c in cols])
 
 
 def fit_minmax(zeroed: DataFrame, cols=C.COUNTERS) -> DataFrame:
@@ -68,13 +66,13 @@ def fit_minmax(zeroed: DataFrame, cols=C.COUNTERS) -> DataFrame:
     from pyspark.sql import Window
     first = F.min("dataset").over(Window.partitionBy("area_id"))
     fit = zeroed.withColumn("_first", first).filter(F.col("dataset") == F.col("_first"))
-    return fit.groupBy("area_id").agg(*[x for c in cols for x in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))])
+    return fit.groupBy("area_id").agg(*[F.expr(e) for c in cols for e in (f"min({c}) AS lo_{c}", f"max({c}) AS hi_{c}")])
 
 
 def apply_minmax(zeroed: DataFrame, params: DataFrame, cols=C.COUNTERS) -> DataFrame:
     """F18 with stored parameters: later datasets reuse the scaler of the first."""
     j = zeroed.join(params, "area_id")
-    return j.select(*KEYS, "minute", *[minmax(F.col(c), F.col(f"lo_{c}"), F.col(f"hi_{c}")).alias(c) for c in cols])
+    return j.selectExpr(*KEYS, "minute", *[f"{minmax_sql(c, f'lo_{c}', f'hi_{c}')} AS {c}" for c in cols])
 
 
 def scaled(spark: SparkSession, data_dir: str, area_col: str = "area_l1", split: bool = False) -> DataFrame:

@@ -41,7 +41,7 @@ def area_dim(spark: SparkSession, data_dir: str) -> DataFrame:
     """Two-level hierarchy with names: (area_l1, l1_name, area_l2, l2_name)."""
     nation = read_table(spark, data_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, data_dir, "region", ["r_regionkey", "r_name"])
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         F.col("n_regionkey").cast("long").alias("area_l1"),
         clean_name(F.col("r_name")).alias("l1_name"),
         F.col("n_nationkey").cast("long").alias("area_l2"),
