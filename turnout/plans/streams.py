@@ -14,7 +14,7 @@ from turnout.sources import proof_views as pv
 from turnout.streaming import ingest as ST
 from turnout.streaming import pipeline as PL
 
-FILES_PER_TRIGGER = 7
+FILES_PER_TRIGGER = 15
 
 
 def write_log_files(raw: DataFrame, path: str, copies: int = 1) -> None:
