@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from turnout import constants as C
 from turnout.operators.windows import first_steps, pad_steps
+from turnout.session import ship_package
 
 STEPS = C.WINDOW_IN
 # sum of the forecast step indices n+1 .. 2n for n = 60
@@ -66,6 +67,7 @@ def _group_forecaster(model: Callable[[np.ndarray], np.ndarray]):
 def forecast(minute_counts: DataFrame, model: Callable[[np.ndarray], np.ndarray] = trend_model) -> DataFrame:
     """M5: one forecast row per area_l2 -- scale by the group's own min/max (M6 parity), model,
     sum the predicted steps, invert, cut to integers (negative forecasts are kept)."""
+    ship_package(minute_counts.sparkSession)
     steps = model_steps(minute_counts)
     return steps.groupBy("area_l2").applyInPandas(_group_forecaster(model), FORECAST_SCHEMA)
 
@@ -108,4 +110,5 @@ def evaluate(windows_with_split: DataFrame, model: Callable[[np.ndarray], np.nda
             rows.append({"dataset": int(g["dataset"].iloc[0]), "area_id": int(g["area_id"].iloc[0]),
                          "split": split, "n_windows": len(errs), "mse": round(float(np.mean(errs)), SNAP_DECIMALS)})
         return pd.DataFrame(rows, columns=[f.name for f in EVAL_SCHEMA.fields])
+    ship_package(windows_with_split.sparkSession)
     return windows_with_split.groupBy("dataset", "area_id").applyInPandas(run, EVAL_SCHEMA)

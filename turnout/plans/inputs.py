@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +25,6 @@ class Inputs:
     spark: SparkSession
     data_dir: str
     summary: DataFrame | None = None          # all levels, shared when many reports run together
-    _cache: dict = field(default_factory=dict)
 
     @cached_property
     def ballots(self) -> DataFrame:

@@ -54,3 +54,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "turnout", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``turnout`` importable on executors (the ``--py-files`` step), once per session.
+
+    Grouped pandas functions reference this package by module name, so Python workers must be
+    able to import it wherever the driver was started from.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = scratch_path(spark, "pyfiles") + ".zip"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.join("turnout", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

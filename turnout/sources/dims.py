@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,11 +70,6 @@ def registered_measures() -> list[str]:
             + [f"ry_{y}" for y in C.REG_YEARS])
 
 
-def fold_years(single_ages: DataFrame, lo: int, hi: int, value: str = "n") -> Column:
-    """A14 on a wide row: sum of single-age columns ``age_lo .. age_hi``."""
-    return reduce(add, [F.coalesce(F.col(f"age_{a}"), F.lit(0)) for a in range(lo, hi + 1)])
-
-
 def registered_doc_schema() -> T.StructType:
     fields = [T.StructField("area_id", T.LongType())] + [
         T.StructField(m, T.LongType()) for m in registered_measures()]

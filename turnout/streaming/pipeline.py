@@ -18,9 +18,6 @@ from turnout.plans import forecast as FC
 from turnout.plans import predictions as PR
 from turnout.streaming.ingest import decoded_ballots, log_stream
 
-SUMMARY_COLS = None  # filled lazily from level_counts
-
-
 def _version(path: str, batch_id: int) -> str:
     return f"{path}/v={batch_id}"
 
@@ -45,7 +42,7 @@ def merge_summary(prev: DataFrame | None, inc: DataFrame) -> DataFrame:
 def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, slot_of=None):
     """foreachBatch body for the live pipeline."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        ballots = decoded_ballots(batch).withColumn("ts", F.timestamp_millis("log_ms"))
+        ballots = decoded_ballots(batch)
         ballots.persist()
         try:
             prev_summary = _read_version(spark, f"{state_dir}/summary", batch_id - 1)
@@ -54,7 +51,8 @@ def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, slot_of
             summary = spark.read.parquet(_version(f"{state_dir}/summary", batch_id))
             fc = FC.forecast(minute_counts(ballot_features(ballots)))
             updates = PR.add_live_totals(fc, summary)
-            slot = ballots.agg(F.date_trunc("hour", F.max("ts") + F.expr("INTERVAL 1 HOUR")).alias("slot"))
+            # next full hour after the newest ballot, by epoch arithmetic (no session zone involved)
+            slot = ballots.agg(F.expr("timestamp_millis((max(log_ms) DIV 3600000 + 1) * 3600000)").alias("slot"))
             prev_pred = _read_version(spark, f"{state_dir}/prediction", batch_id - 1)
             if prev_pred is None:
                 empty = pairs.select("area_l1", "area_l2").limit(0).withColumn("time_slot", F.lit(None).cast("timestamp"))
