@@ -62,7 +62,7 @@ class Inputs:
         """One summary level, always cut from the same all-levels summary frame, so every level a
         query uses comes from one pass over ballots (Spark reuses the identical exchange)."""
         if self.summary is None:
-            key = ("summaries", id(self.spark), self.data_dir)
+            key = ("summaries", pv.session_key(self.spark), self.data_dir)
             if key not in pv._MEMO:
                 pv._MEMO[key] = summaries(self.ballots)
             self.summary = pv._MEMO[key]

@@ -68,7 +68,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    key = id(sc)
+    key = (id(sc), sc.applicationId)
     if key in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))

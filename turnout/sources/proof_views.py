@@ -30,13 +30,18 @@ def memo(fn):
     reusing the same object lets Spark reuse identical exchanges inside one query."""
     @wraps(fn)
     def wrapper(spark: SparkSession, data_dir: str) -> DataFrame:
-        key = (fn.__name__, id(spark), data_dir)
+        key = (fn.__name__, session_key(spark), data_dir)
         if key not in _MEMO:
             _MEMO[key] = fn(spark, data_dir)
         return _MEMO[key]
     return wrapper
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: a stopped and recreated session never reuses cached plans."""
+    return id(spark), spark.sparkContext.applicationId
+
+
 def clear_memo() -> None:
     _MEMO.clear()
 
