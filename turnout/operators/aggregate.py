@@ -59,14 +59,35 @@ def level_counts(ballots: DataFrame, level: str) -> DataFrame:
     return _shape(agg, level)
 
 
-def summaries(ballots: DataFrame, levels=("nation", "l1", "l2", "hour", "l1_hour", "l2_hour")) -> DataFrame:
+ALL_LEVELS = ("nation", "l1", "l2", "hour", "l1_hour", "l2_hour")
+
+
+def summaries(ballots: DataFrame, levels=ALL_LEVELS) -> DataFrame:
     """Every requested level at once.
 
     Ballots are first reduced to (area_l1, area_l2, hour) -- one pass, combined map-side -- and
     the grouping sets run over that small result, so raw rows are never expanded per level.
     Output rows carry ``level`` and ``area_id`` (0 at nation level).
     """
-    base = _measure_rows(ballots).groupBy(*_ALL_KEYS).agg(*_sums())
+    return rollup(_measure_rows(ballots).groupBy(*_ALL_KEYS).agg(*_sums()), levels)
+
+
+def summaries_eager(events: DataFrame, citizens: DataFrame, levels=ALL_LEVELS) -> DataFrame:
+    """A17 when ballots still need the citizen -> area lookup: aggregate first, look up after.
+
+    Measures depend only on the event row, and the area is a function of the citizen, so the
+    events are summed per (citizen, hour) before the join.  The partial aggregate runs map-side,
+    so a citizen holding a third of all events becomes one row per hour before any shuffle, and
+    the join moves per-citizen rows instead of ballots.
+    """
+    rows = events.select("user_id", hour_of(F.col("log_ms")).alias("hour"), *ballot_measures(events))
+    per_citizen = rows.groupBy("user_id", "hour").agg(*_sums())
+    j = per_citizen.join(citizens, per_citizen.user_id == citizens.citizen_id)
+    return rollup(j.groupBy(*_ALL_KEYS).agg(*_sums()), levels)
+
+
+def rollup(base: DataFrame, levels=ALL_LEVELS) -> DataFrame:
+    """Grouping sets over per-(area_l1, area_l2, hour) sums."""
     sets = [LEVEL_KEYS[lv] for lv in levels]
     rolled = base.groupingSets(sets, *_ALL_KEYS).agg(*_sums(), F.grouping_id().alias("_gid"))
     gid_of = {lv: sum(1 << (2 - i) for i, k in enumerate(_ALL_KEYS) if k not in LEVEL_KEYS[lv]) for lv in levels}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout import constants as C
-from turnout.operators.aggregate import at_level, summaries
+from turnout.operators.aggregate import at_level, summaries_eager
 from turnout.sources import proof_views as pv
 from turnout.sources.dims import area_dim, area_names
 
@@ -64,7 +64,8 @@ class Inputs:
         if self.summary is None:
             key = ("summaries", pv.session_key(self.spark), self.data_dir)
             if key not in pv._MEMO:
-                pv._MEMO[key] = summaries(self.ballots)
+                pv._MEMO[key] = summaries_eager(pv.ballot_events(self.spark, self.data_dir),
+                                                pv.citizen_areas(self.spark, self.data_dir))
             self.summary = pv._MEMO[key]
         return at_level(self.summary, lv)
 

@@ -10,7 +10,6 @@ from turnout import constants as C
 from turnout.functions import flags
 from turnout.functions import percent as P
 from turnout.functions import timeofday as tod
-from turnout.operators.aggregate import summaries
 from turnout.operators.features import ballot_features, drop_incomplete, minute_counts
 from turnout.operators.joins import unknown_areas, with_national, with_registered
 from turnout.operators.reshape import pivot_series, unpivot_measures
@@ -101,13 +100,14 @@ def area_filter(spark, data_dir) -> DataFrame:
 
 
 def area_rollup(spark, data_dir) -> DataFrame:
-    return summaries(pv.ballots(spark, data_dir))
+    inp = Inputs(spark, data_dir)
+    inp.level("nation")
+    return inp.summary
 
 
 def summary_scan(spark, data_dir) -> DataFrame:
     """The l2 summary as a catalog view, scanned with a projection and a filter."""
-    s = summaries(pv.ballots(spark, data_dir), levels=("l2",))
-    s.createOrReplaceTempView("l2_summary")
+    Inputs(spark, data_dir).level("l2").createOrReplaceTempView("l2_summary")
     return table(spark, "l2_summary", ["area_id", "total", "male", "female"], F.col("total") > 0)
 
 
@@ -195,7 +195,8 @@ def next_hour_slot(spark, data_dir) -> DataFrame:
 
 
 def area_hourly(spark, data_dir) -> DataFrame:
-    s = summaries(pv.ballots(spark, data_dir), levels=("l1_hour", "l2_hour"))
+    inp = Inputs(spark, data_dir)
+    s = inp.level("l1_hour").unionByName(inp.level("l2_hour"))
     return s.select("level", "area_id", "hour", "total")
 
 

@@ -59,30 +59,37 @@ def citizen_areas(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 @memo
-def ballots(spark: SparkSession, data_dir: str) -> DataFrame:
-    """One ballot per event.
-
-    The citizen lookup is a plain equi-join: Spark broadcasts the citizen side only when its
-    measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges,
-    with AQE splitting a skewed (hot citizen) partition.
-    """
+def ballot_events(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Ballot attributes derived from the event row alone (no lookup): everything but the areas."""
     ev = read_table(spark, data_dir, "events", ["event_id", "ts", "user_id"])
-    areas = citizen_areas(spark, data_dir)
     years = ", ".join(f"{y}L" for y in C.REG_YEARS)
-    return ev.join(areas, ev.user_id == areas.citizen_id).selectExpr(
+    return ev.selectExpr(
         "event_id",
         "ts",
-        "citizen_id",
+        "user_id",
         "CAST(CASE WHEN event_id % 61 = 0 THEN NULL ELSE 18 + event_id % 80 END AS BIGINT) AS age",
         "CAST(CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 50 = 0 THEN 0 "
         "ELSE 1 + (event_id DIV 7) % 2 END AS BIGINT) AS sex",
         f"element_at(array({years}), CAST(event_id % 10 + 1 AS INT)) AS reg_year",
         "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS log_ms",
-        "area_l1",
-        "area_l2",
     )
 
 
+@memo
+def ballots(spark: SparkSession, data_dir: str) -> DataFrame:
+    """One ballot per event, with its areas.
+
+    The citizen lookup is a plain equi-join: Spark broadcasts the citizen side only when its
+    measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges,
+    with AQE splitting a skewed (hot citizen) partition.  Area-level summaries do not use this
+    row-level join at all (see ``operators.aggregate.summaries_eager``).
+    """
+    ev = ballot_events(spark, data_dir)
+    areas = citizen_areas(spark, data_dir)
+    return ev.join(areas, ev.user_id == areas.citizen_id).select(
+        "event_id", "ts", "citizen_id", "age", "sex", "reg_year", "log_ms", "area_l1", "area_l2")
+
+
 def _after_struct(b) -> "F.Column":
     return F.struct(
         b.citizen_id.alias("CITIZENID"), b.age.alias("Age"), b.sex.alias("SEX"),
