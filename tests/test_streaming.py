@@ -85,3 +85,20 @@ def test_latest_state_drops_deleted_citizens(spark):
     log = spark.createDataFrame(rows, "partition int, offset long, value string").withColumn("value", F.col("value").cast("binary"))
     st = ST.latest_state(cdc.decode_state(log)).collect()
     assert [(r["citizen_id"], r["age"]) for r in st] == [(1, 41)]
+
+
+def test_live_pipeline_publishes_every_batch(spark):
+    from turnout.plans import streams as S
+    from turnout.plans.inputs import Inputs
+    from turnout.streaming import pipeline as PL
+    src = S._source(spark, SMALL)
+    state, ckpt = scratch_path(spark, "live"), scratch_path(spark, "live-ckpt")
+    q = PL.run_live_pipeline(spark, src, state, ckpt, Inputs(spark, SMALL).dim, data_dir=SMALL)
+    q.awaitTermination()
+    n_batches = len(q.recentProgress)
+    reports = spark.read.json(f"{state}/reports")
+    per = {(r["batch_id"], r["endpoint"]): r["count"] for r in reports.groupBy("batch_id", "endpoint").count().collect()}
+    assert {b for b, _ in per} == set(range(n_batches))
+    assert all(per[(b, "nation_en")] == 1 for b in range(n_batches))
+    pred = PL.latest_version(spark, f"{state}/prediction")
+    assert pred.count() == Inputs(spark, SMALL).dim.count()          # one row per hierarchy pair

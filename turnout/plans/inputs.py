@@ -25,6 +25,7 @@ class Inputs:
     spark: SparkSession
     data_dir: str
     summary: DataFrame | None = None          # all levels, shared when many reports run together
+    prediction_table: DataFrame | None = None  # the live prediction table, when reports follow an upsert
 
     @cached_property
     def ballots(self) -> DataFrame:
@@ -56,6 +57,8 @@ class Inputs:
 
     @cached_property
     def prediction(self) -> DataFrame:
+        if self.prediction_table is not None:
+            return self.prediction_table
         return pv.prediction(self.spark, self.data_dir)
 
     def level(self, lv: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The live job as one streaming query (ST8, ST9): every micro-batch counts its minutes,
-forecasts the next hour per area, adds the running live totals and upserts the prediction
-table -- all inside ``foreachBatch``, all DataFrame work, nothing collected.
+forecasts the next hour per area, adds the running live totals, upserts the prediction table and
+publishes every report bundle -- all inside ``foreachBatch``, all DataFrame work, nothing
+collected.
 
 State tables are versioned by ``batch_id``: batch ``n`` reads version ``n-1`` and writes
 version ``n``, so a batch replayed after a failure rewrites the same version.
@@ -12,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout import constants as C
-from turnout.operators.aggregate import level_counts
+from turnout.operators.aggregate import SUMMARY_MEASURES, at_level, level_counts, rollup
 from turnout.operators.features import ballot_features, minute_counts
 from turnout.plans import forecast as FC
 from turnout.plans import predictions as PR
+from turnout.plans.charts import bundles, write_reports
+from turnout.plans.inputs import Inputs
 from turnout.streaming.ingest import decoded_ballots, log_stream
 
 def _version(path: str, batch_id: int) -> str:
@@ -29,28 +32,40 @@ def _read_version(spark: SparkSession, path: str, batch_id: int) -> DataFrame |
     return spark.read.parquet(_version(path, batch_id))
 
 
-def merge_summary(prev: DataFrame | None, inc: DataFrame) -> DataFrame:
-    """Running l2 totals: previous version + this batch's increments, by area (bounded by areas)."""
-    measures = [c for c in inc.columns if c not in ("level", "area_id", "area_l1", "area_l2", "hour")]
-    inc = inc.select("area_id", *measures)
+BASE_KEYS = ["area_l1", "area_l2", "hour"]
+
+
+def batch_base(ballots: DataFrame) -> DataFrame:
+    """This batch's sums per (area_l1, area_l2, hour) -- the finest summary grain."""
+    s = level_counts(ballots, "l2_hour")
+    return s.select(*BASE_KEYS, *SUMMARY_MEASURES)
+
+
+def merge_base(prev: DataFrame | None, inc: DataFrame) -> DataFrame:
+    """Running totals: previous version + this batch, by (area, hour); bounded by areas x 24."""
     if prev is None:
         return inc
-    u = prev.select("area_id", *measures).unionByName(inc)
-    return u.groupBy("area_id").agg(*[F.sum(c).cast("long").alias(c) for c in measures])
+    u = prev.select(*BASE_KEYS, *SUMMARY_MEASURES).unionByName(inc)
+    return u.groupBy(*BASE_KEYS).agg(*[F.sum(c).cast("long").alias(c) for c in SUMMARY_MEASURES])
+
 
+def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, data_dir: str | None = None,
+                  publish: bool = True):
+    """foreachBatch body for the live pipeline.
 
-def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, slot_of=None):
-    """foreachBatch body for the live pipeline."""
+    ``data_dir`` names where the registered-voter and area dimensions come from; with
+    ``publish`` the report bundles of the batch go to ``{state_dir}/reports/batch_id=<n>``.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         ballots = decoded_ballots(batch)
         ballots.persist()
         try:
-            prev_summary = _read_version(spark, f"{state_dir}/summary", batch_id - 1)
-            summary = merge_summary(prev_summary, level_counts(ballots, C.LEVEL_L2))
-            summary.write.mode("overwrite").parquet(_version(f"{state_dir}/summary", batch_id))
-            summary = spark.read.parquet(_version(f"{state_dir}/summary", batch_id))
+            prev_base = _read_version(spark, f"{state_dir}/summary", batch_id - 1)
+            base = merge_base(prev_base, batch_base(ballots))
+            base.write.mode("overwrite").parquet(_version(f"{state_dir}/summary", batch_id))
+            summary = rollup(spark.read.parquet(_version(f"{state_dir}/summary", batch_id)))
             fc = FC.forecast(minute_counts(ballot_features(ballots)))
-            updates = PR.add_live_totals(fc, summary)
+            updates = PR.add_live_totals(fc, at_level(summary, C.LEVEL_L2))
             # next full hour after the newest ballot, by epoch arithmetic (no session zone involved)
             slot = ballots.agg(F.expr("timestamp_millis((max(log_ms) DIV 3600000 + 1) * 3600000)").alias("slot"))
             prev_pred = _read_version(spark, f"{state_dir}/prediction", batch_id - 1)
@@ -62,14 +77,19 @@ def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, slot_of
             table = PR.seed_predictions(prev_pred, pairs, slot)
             PR.upsert_predictions(table, updates, slot).write.mode("overwrite").parquet(
                 _version(f"{state_dir}/prediction", batch_id))
+            if publish and data_dir:
+                pred = spark.read.parquet(_version(f"{state_dir}/prediction", batch_id))
+                inp = Inputs(spark, data_dir, summary=summary, prediction_table=pred)
+                write_reports(bundles(inp, batch_id), f"{state_dir}/reports/batch_id={batch_id}")
         finally:
             ballots.unpersist()
     return run
 
 
 def run_live_pipeline(spark: SparkSession, source: dict, state_dir: str, checkpoint: str, pairs: DataFrame,
-                      trigger: dict | None = None):
-    q = (log_stream(spark, source).writeStream.foreachBatch(process_batch(spark, state_dir, pairs))
+                      trigger: dict | None = None, data_dir: str | None = None, publish: bool = True):
+    body = process_batch(spark, state_dir, pairs, data_dir, publish)
+    q = (log_stream(spark, source).writeStream.foreachBatch(body)
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     return q.start()
 
