@@ -19,7 +19,7 @@ from turnout import constants as C
 from turnout.functions import percent as P
 from turnout.functions.timeofday import ampm_hour, hour_12h
 from turnout.operators.joins import overlay_last, with_national, with_registered
-from turnout.operators.reshape import unpivot_measures
+from turnout.operators.reshape import columns_with_suffix, strip_suffix, unpivot_measures
 from turnout.operators.windows import cumulative, last_per, top_k, top_per_group
 from turnout.plans.inputs import Inputs
 from turnout.sources.dims import with_area_name
@@ -294,12 +294,22 @@ def r19_area_gender_forecast(inp: Inputs) -> DataFrame:
 
 
 def r20_area_age_turnout(inp: Inputs) -> DataFrame:
+    """Six age percentages of each area: missing area divides by 1, zero denominator gives null.
+
+    The percentage columns are named ``<interval>_Percentage``, picked by that suffix (U7) and
+    unpivoted with the suffix stripped from the label (F21).
+    """
+    suffix = "_Percentage"
     frames = []
     for lv in AREA_LEVELS:
         s = with_registered(inp.level(lv), inp.registered(lv)).withColumn("level", F.lit(lv))
-        pairs = [(lbl, P.percent(c, "reg_" + c, P.EVEN, P.ZERO_NULL, P.MISSING_DEN_ONE).cast("double"))
-                 for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)]
-        frames.append(_pairs(s, pairs, ["level", "area_id"]))
+        wide = s.select("level", "area_id", *[
+            P.percent(c, "reg_" + c, P.EVEN, P.ZERO_NULL, P.MISSING_DEN_ONE).cast("double").alias(lbl + suffix)
+            for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)])
+        picked = columns_with_suffix(wide, suffix)
+        long = unpivot_measures(wide, ["level", "area_id"], picked, "x", "y")
+        frames.append(long.select("level", "area_id", strip_suffix(F.col("x"), suffix).alias("x"), "x_ord", "y",
+                                  F.lit(C.STATS).alias("series")))
     return _finish(_union(frames), inp)
 
 
