@@ -30,3 +30,22 @@ def test_area_reports_scan_events_once(spark):
     scans = p.count("events.parquet")
     reused = p.count("ReusedExchange")
     assert scans == 1 or reused >= 1
+
+
+def test_minute_counts_combines_before_shuffle_unless_colocated(spark):
+    from turnout.operators.features import ballot_features, minute_counts
+    from turnout.sources import proof_views as pv
+    f = ballot_features(pv.ballots(spark, SMALL))
+    default = _plan(minute_counts(f))
+    assert default.count("Exchange hashpartitioning") == 1 and "partial_sum" in default
+    colocated = _plan(minute_counts(f, colocate=8))
+    assert colocated.count("Exchange hashpartitioning(area_l2") == 1
+    assert colocated.count("Exchange hashpartitioning") == 1        # the aggregate reuses the area partitioning
+
+
+def test_small_dimensions_are_broadcast_by_size(spark):
+    """No hint needed: at this size Spark's measured-size rule picks broadcast joins for dimensions."""
+    df = R.r16_area_gender_turnout(Inputs(spark, SMALL))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final

@@ -29,12 +29,19 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
-def minute_counts(features: DataFrame, counters=C.COUNTERS) -> DataFrame:
+def minute_counts(features: DataFrame, counters=C.COUNTERS, colocate: int | None = None) -> DataFrame:
     """A1: nine sums per (area_l1, area_l2, minute), then incomplete rows dropped.
 
-    No repartition by area before the aggregate: the hash aggregate combines map-side, so only
-    (area, minute) partials cross the shuffle and a hot area cannot overload one task.
+    Default: no repartition by area before the aggregate.  The hash aggregate combines map-side,
+    so only (area, minute) partials cross the shuffle and a hot area cannot overload one task.
+
+    ``colocate=n`` is T7, the published plan: hash-partition raw rows into ``n`` partitions by
+    area_l2 first.  That one exchange then serves both this aggregate and a later per-area step,
+    at the price of shuffling every raw row with no map-side combining.  Use it only when areas
+    are many and even.
     """
+    if colocate:
+        features = features.repartition(int(colocate), "area_l2")
     agg = features.groupBy("area_l1", "area_l2", "minute").agg(
         *[F.sum(c).cast("long").alias(c) for c in counters])
     return drop_incomplete(agg)
