@@ -585,13 +585,22 @@ def eval_sql() -> str:
           f"sum(k) OVER wout AS sk, sum(k * k) OVER wout AS skk FROM ({lf}) "
           "WINDOW win AS (PARTITION BY dataset, area_id, feature ORDER BY k ROWS BETWEEN CURRENT ROW AND 59 FOLLOWING), "
           "wout AS (PARTITION BY dataset, area_id, feature ORDER BY k ROWS BETWEEN 60 FOLLOWING AND 119 FOLLOWING)")
-    per = ("SELECT dataset, area_id, k, sum(syy - 2 * a * sy - 2 * b * sky + 60 * a * a + 2 * a * b * sk + b * b * skk) "
-           f"/ {60 * len(COUNTERS)} AS mse FROM ({wf}) WHERE nt = 60 GROUP BY dataset, area_id, k")
+    # predicted sum over the 60 target steps k+60 .. k+119 is 60 a + b (60 k + 5370)
+    params = ("SELECT area_id, feature, lo, hi FROM (UNPIVOT (SELECT * FROM fit_l1) ON "
+              + ", ".join(f"(lo_{c}, hi_{c}) AS {c}" for c in COUNTERS) + " INTO NAME feature VALUE lo, hi)")
+    pos = "CASE feature " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(COUNTERS)) + " END"
+    per = ("SELECT w.dataset, w.area_id, w.k, "
+           "sum(syy - 2 * a * sy - 2 * b * sky + 60 * a * a + 2 * a * b * sk + b * b * skk) "
+           f"/ {60 * len(COUNTERS)} AS mse, "
+           "list(round_even(round((60 * a + b * (60 * w.k + 5370)) * (CASE WHEN p.hi = p.lo THEN 1.0 ELSE p.hi - p.lo END) "
+           f"+ p.lo, 6), 0)::BIGINT ORDER BY {pos.replace('feature', 'w.feature')}) AS counts "
+           f"FROM ({wf}) w JOIN ({params}) p ON p.area_id = w.area_id AND p.feature = w.feature "
+           "WHERE nt = 60 GROUP BY w.dataset, w.area_id, w.k")
     spl = ("SELECT *, CASE WHEN row_number() OVER (PARTITION BY dataset, area_id ORDER BY k) > count(*) OVER "
            "(PARTITION BY dataset, area_id) - ceil(0.1 * count(*) OVER (PARTITION BY dataset, area_id)) "
            f"THEN 'test' ELSE 'train' END AS split FROM ({per})")
-    return (f"SELECT dataset, area_id, split, count(*)::BIGINT AS n_windows, round(avg(mse), 6) AS mse FROM ({spl}) "
-            "GROUP BY dataset, area_id, split")
+    return (f"SELECT dataset, area_id, split, count(*)::BIGINT AS n_windows, round(avg(mse), 6) AS mse, "
+            f"arg_max(counts, k) AS last_counts FROM ({spl}) GROUP BY dataset, area_id, split")
 
 
 def modeling_sql() -> dict[str, str]:

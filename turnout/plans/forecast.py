@@ -94,21 +94,31 @@ def trend_forecast_sql(minute_counts: DataFrame) -> DataFrame:
 
 EVAL_SCHEMA = T.StructType([T.StructField("dataset", T.LongType()), T.StructField("area_id", T.LongType()),
                             T.StructField("split", T.StringType()), T.StructField("n_windows", T.LongType()),
-                            T.StructField("mse", T.DoubleType())])
+                            T.StructField("mse", T.DoubleType()),
+                            T.StructField("last_counts", T.ArrayType(T.LongType()))])
 
 
 def evaluate(windows_with_split: DataFrame, model: Callable[[np.ndarray], np.ndarray] = trend_model) -> DataFrame:
-    """Mean squared error of the model on each window's targets, per series and split."""
+    """Mean squared error of the model on each window's targets, per series and split,
+    and the last window's forecast back in counts (summed steps, inverse-scaled with the
+    series' ``lo_*``/``hi_*`` parameters, rounded half-even)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
+        lo = np.array([float(pdf[f"lo_{c}"].iloc[0]) for c in C.COUNTERS])
+        hi = np.array([float(pdf[f"hi_{c}"].iloc[0]) for c in C.COUNTERS])
+        span = np.where(hi == lo, 1.0, hi - lo)
         for split, g in pdf.groupby("split"):
-            errs = []
+            g = g.sort_values("start")
+            errs, last = [], None
             for xin, yout in zip(g["inputs"], g["targets"]):
                 x = np.array([np.asarray(s, dtype=float) for s in xin])
                 y = np.array([np.asarray(s, dtype=float) for s in yout])
-                errs.append(float(((np.asarray(model(x)) - y) ** 2).mean()))
+                p = np.asarray(model(x), dtype=float)
+                errs.append(float(((p - y) ** 2).mean()))
+                last = p.sum(axis=0) * span + lo
             rows.append({"dataset": int(g["dataset"].iloc[0]), "area_id": int(g["area_id"].iloc[0]),
-                         "split": split, "n_windows": len(errs), "mse": round(float(np.mean(errs)), SNAP_DECIMALS)})
+                         "split": split, "n_windows": len(errs), "mse": round(float(np.mean(errs)), SNAP_DECIMALS),
+                         "last_counts": [int(v) for v in np.rint(np.round(last, SNAP_DECIMALS))]})
         return pd.DataFrame(rows, columns=[f.name for f in EVAL_SCHEMA.fields])
     ship_package(windows_with_split.sparkSession)
     return windows_with_split.groupBy("dataset", "area_id").applyInPandas(run, EVAL_SCHEMA)

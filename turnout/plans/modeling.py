@@ -87,9 +87,11 @@ def forecast_trend_sql(spark, data_dir) -> DataFrame:
 
 
 def forecast_eval(spark, data_dir) -> DataFrame:
-    w = H.windows(spark, data_dir)
-    from turnout.operators.windows import time_split as split
-    return FC.evaluate(split(w, H.KEYS, "start", C.TEST_FRACTION))
+    from turnout.operators.windows import supervised_windows, time_split as split
+    z = H.outliers_zeroed(H.prepared(spark, data_dir, "area_l1", split=False))
+    params = H.fit_minmax(z)
+    w = supervised_windows(H.apply_minmax(z, params), H.KEYS, "minute", C.COUNTERS, C.WINDOW_IN, C.WINDOW_OUT)
+    return FC.evaluate(split(w, H.KEYS, "start", C.TEST_FRACTION).join(params, "area_id"))
 
 
 def forecast_plus_live(spark, data_dir) -> DataFrame:
