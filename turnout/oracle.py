@@ -651,9 +651,21 @@ def stream_sql() -> dict[str, str]:
     return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()}
 
 
+def pick_sql() -> str:
+    from turnout.plans.charts import PICK_ROWS
+    cands = " UNION ALL ".join(f"SELECT {g} AS grp, '{n}' AS name, {w}::DOUBLE AS weight" for g, n, w in PICK_ROWS)
+    u = ("((('0x' || substr(md5(b.batch_id::VARCHAR || ':' || c.name), 1, 13))::BIGINT)::DOUBLE + 0.5) "
+         f"/ {float(1 << 52)}")
+    return ("SELECT batch_id, grp, name, rnk::BIGINT AS rank FROM (SELECT b.batch_id, c.grp, c.name, "
+            f"row_number() OVER (PARTITION BY b.batch_id, c.grp ORDER BY -ln({u}) / c.weight, c.name) AS rnk "
+            "FROM (SELECT DISTINCT (ts::DATE - DATE '1970-01-01')::BIGINT AS batch_id FROM ballots) b "
+            f"CROSS JOIN ({cands}) c) WHERE rnk <= 1")
+
+
 def publish_sql() -> dict[str, str]:
     r15 = _r15()
     d = {
+        "weighted_pick": pick_sql(),
         "chart_plots_json": "SELECT level, area_id, '{' || string_agg('\"' || x || '\":' || y::VARCHAR, ',' ORDER BY x_ord) || '}' AS plots "
                             f"FROM ({r15}) "
                             "GROUP BY level, area_id",

@@ -90,9 +90,10 @@ def charts(rows: DataFrame) -> DataFrame:
 
 
 def pick_u(batch_id: Column, name: Column) -> Column:
-    """Uniform (0, 1) draw that repeats for the same (batch, name)."""
-    h = F.pmod(F.xxhash64(batch_id, name), F.lit(1 << 53))
-    return (h.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+    """Uniform (0, 1) draw that repeats for the same (batch, name): the first 52 bits of
+    md5("<batch>:<name>"), so any engine with md5 draws the same numbers."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", batch_id.cast("string"), name)), 1, 13), 16, 10).cast("double")
+    return (h + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
 def weighted_pick(candidates: DataFrame, batches: DataFrame, k: int = 1) -> DataFrame:
@@ -106,13 +107,16 @@ def weighted_pick(candidates: DataFrame, batches: DataFrame, k: int = 1) -> Data
     j = batches.crossJoin(F.broadcast(candidates))
     j = j.withColumn("key", -F.log(pick_u(F.col("batch_id"), F.col("name"))) / F.col("weight"))
     w = Window.partitionBy("batch_id", "grp").orderBy("key", "name")
-    return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("batch_id", "grp", "name", "rank")
+    return (j.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
+             .select("batch_id", "grp", "name", "rank"))
+
+
+PICK_ROWS = ([(1, n, float(w)) for n, w in zip(NATION_PICK_1, C.NATION_PICK_WEIGHTS)]
+                              + [(2, n, float(w)) for n, w in zip(NATION_PICK_2, C.FORECAST_PICK_WEIGHTS)])
 
 
 def pick_candidates(spark) -> DataFrame:
-    rows = ([(1, n, float(w)) for n, w in zip(NATION_PICK_1, C.NATION_PICK_WEIGHTS)]
-            + [(2, n, float(w)) for n, w in zip(NATION_PICK_2, C.FORECAST_PICK_WEIGHTS)])
-    return spark.createDataFrame(rows, "grp int, name string, weight double")
+    return spark.createDataFrame(PICK_ROWS, "grp int, name string, weight double")
 
 
 def bundles(inp: Inputs, batch_id: int = 0) -> DataFrame:
