@@ -58,8 +58,7 @@ def versioned_sink(table_path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer for update-mode aggregates: each batch's changed keys go to
     ``batch_id=<n>``; replaying a batch overwrites that folder only (idempotent)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-              .write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}"))
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
     return write
 
 
@@ -89,7 +88,6 @@ def run_ingest_counts(spark: SparkSession, source: dict, out_path: str, checkpoi
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.agg(F.count(F.lit(1)).alias("ballots"), F.min("offset").alias("first_offset"),
                    F.max("offset").alias("last_offset"))
-              .withColumn("batch_id", F.lit(batch_id).cast("long"))
               .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
 
     return (b.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -97,10 +95,10 @@ def run_ingest_counts(spark: SparkSession, source: dict, out_path: str, checkpoi
 
 
 def dedup_stream(log: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """ST6 option: a redelivered message (same partition and offset) counts once.
+    """ST6 option: a redelivered message (same topic, partition and offset) counts once.
     State is bounded by the watermark delay (``dropDuplicatesWithinWatermark``)."""
     return (log.withWatermark("timestamp", delay)
-               .dropDuplicatesWithinWatermark(["partition", "offset"]))
+               .dropDuplicatesWithinWatermark(["topic", "partition", "offset"]))
 
 
 def latest_state(decoded: DataFrame) -> DataFrame:
