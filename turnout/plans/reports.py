@@ -85,14 +85,14 @@ def time_summary(inp: Inputs) -> DataFrame:
     h = inp.level("hour").select("hour", "total")
     h = cumulative(h, [], [F.col("hour")], "total", "cum_total")
     h = with_national(h, inp.reg_nat)
-    return h.select("hour", hour_12h(F.col("hour")).alias("v_time"),
+    return h.select("hour", hour_12h("hour").alias("v_time"),
                     P.percent("cum_total", "reg_voters", P.NONE, P.ZERO_NULL).alias("percentage"))
 
 
 def r2_hour_summary(inp: Inputs, legacy_ampm_order: bool = True) -> DataFrame:
     t = _nation(time_summary(inp))
     return _finish(t.select("level", "area_id", F.lit(C.STATS).alias("series"), F.col("v_time").alias("x"),
-                            ampm_hour(F.col("v_time"), legacy=legacy_ampm_order).alias("x_ord"),
+                            ampm_hour("v_time", legacy=legacy_ampm_order).alias("x_ord"),
                             P.round_pct(F.col("percentage"), P.EVEN).alias("y")), inp)
 
 
@@ -100,12 +100,12 @@ def _with_forecast(stats: DataFrame, fc: DataFrame, keep_live: bool) -> DataFram
     o = overlay_last(stats, fc, ["level", "area_id"], "x", "y", "fo", keep_stats_without_forecast=keep_live)
     return o.select("level", "area_id", F.when(F.col("source") == "forecast", F.lit(C.FORECASTED))
                     .otherwise(F.lit(C.STATS)).alias("series"), "x",
-                    ampm_hour(F.col("x")).alias("x_ord"), "y")
+                    ampm_hour("x").alias("x_ord"), "y")
 
 
 def r3_turnout_with_forecast(inp: Inputs, keep_live: bool = True) -> DataFrame:
     stats = r2_hour_summary(inp).select("level", "area_id", "x", "y")
-    fc = r1_forecast_by_hour(inp).select("level", "area_id", hour_12h(F.col("x_ord")).alias("x"), "y",
+    fc = r1_forecast_by_hour(inp).select("level", "area_id", hour_12h("x_ord").alias("x"), "y",
                                          F.col("x_ord").alias("fo"))
     return _finish(_with_forecast(stats, fc, keep_live), inp)
 
@@ -277,9 +277,9 @@ def r17_area_forecast_cumulative(inp: Inputs) -> DataFrame:
 
 def r18_area_turnout_with_forecast(inp: Inputs, keep_live: bool = True) -> DataFrame:
     stats = _union([_hourly_cumulative(inp, lv) for lv in AREA_LEVELS]).select(
-        "level", "area_id", hour_12h(F.col("x_ord")).alias("x"), "y")
+        "level", "area_id", hour_12h("x_ord").alias("x"), "y")
     fc = _union([_forecast_cumulative(inp, lv) for lv in AREA_LEVELS]).select(
-        "level", "area_id", hour_12h(F.col("x_ord")).alias("x"), "y", F.col("x_ord").alias("fo"))
+        "level", "area_id", hour_12h("x_ord").alias("x"), "y", F.col("x_ord").alias("fo"))
     return _finish(_with_forecast(stats, fc, keep_live), inp)
 
 
@@ -326,7 +326,7 @@ def h1_area_names(inp: Inputs) -> DataFrame:
 def h2_hour_12h(inp: Inputs) -> DataFrame:
     from turnout.functions.timeofday import hour_of
     hours = inp.ballots.select(hour_of(F.col("log_ms")).alias("hour")).distinct()
-    return hours.select("hour", hour_12h(F.col("hour")).alias("label"))
+    return hours.select("hour", hour_12h("hour").alias("label"))
 
 
 REPORTS = {
