@@ -16,9 +16,8 @@ def with_registered(df: DataFrame, reg: DataFrame, on: str = "area_id", prefix:
     no result.  The dimension has one row per area; Spark broadcasts it when its measured size
     is under the broadcast threshold (AQE re-plans on runtime statistics), else sort-merges.
     """
-    r = reg.select(F.col(on).alias("_rk"), *[F.col(c).alias(prefix + c) for c in reg.columns if c != on])
-    j = df.join(r, df[on] == F.col("_rk"), how)
-    return j.drop("_rk")
+    r = reg.selectExpr(f"{on} AS _rk", *[f"{c} AS {prefix}{c}" for c in reg.columns if c != on])
+    return df.join(r, df[on] == r["_rk"], how).drop("_rk")
 
 
 def unknown_areas(df: DataFrame, reg: DataFrame, on: str = "area_id") -> DataFrame:
@@ -28,7 +27,7 @@ def unknown_areas(df: DataFrame, reg: DataFrame, on: str = "area_id") -> DataFra
 
 def with_national(df: DataFrame, nat: DataFrame, prefix: str = "reg_") -> DataFrame:
     """One-row national denominators against every row (broadcast cross join of one row)."""
-    one = nat.select(*[F.col(c).alias(prefix + c) for c in nat.columns if c != "area_id"])
+    one = nat.selectExpr(*[f"{c} AS {prefix}{c}" for c in nat.columns if c != "area_id"])
     return df.crossJoin(F.broadcast(one.limit(1)))
 
 

@@ -31,9 +31,8 @@ AGE_COLS = [b[0] for b in C.SUMMARY_BINS]
 
 def _finish(df: DataFrame, inp: Inputs) -> DataFrame:
     named = with_area_name(df, inp.names)
-    return named.select(F.col("level"), F.col("area_id").cast("long"), F.col("area_name"),
-                        F.col("series").cast("string"), F.col("x").cast("string"),
-                        F.col("x_ord").cast("long"), F.col("y"))
+    return named.selectExpr("level", "CAST(area_id AS BIGINT) AS area_id", "area_name", "CAST(series AS STRING) AS series",
+                            "CAST(x AS STRING) AS x", "CAST(x_ord AS BIGINT) AS x_ord", "y")
 
 
 def _nation(df: DataFrame) -> DataFrame:

@@ -58,9 +58,9 @@ def area_names(dim: DataFrame) -> DataFrame:
 def with_area_name(df: DataFrame, names: DataFrame, level_col: str = "level", id_col: str = "area_id",
                    out: str = "area_name") -> DataFrame:
     """Left lookup of a display name; an unknown id shows as its own text."""
-    n = names.select(F.col("level").alias("_nl"), F.col("area_id").alias("_ni"), F.col("area_name").alias("_nn"))
+    n = names.selectExpr("level AS _nl", "area_id AS _ni", "area_name AS _nn")
     j = df.join(n, (df[level_col] == n["_nl"]) & (df[id_col] == n["_ni"]), "left")
-    return j.withColumn(out, F.coalesce(F.col("_nn"), F.col(id_col).cast("string"))).drop("_nl", "_ni", "_nn")
+    return j.withColumn(out, F.expr(f"coalesce(_nn, CAST({id_col} AS STRING))")).drop("_nl", "_ni", "_nn")
 
 
 # ---- registered voters -------------------------------------------------------------------
