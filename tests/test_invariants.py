@@ -85,3 +85,23 @@ def test_bundles_have_all_charts(spark):
     import json
     charts = json.loads(nation[0]["charts"])
     assert {c["type"] for c in charts} <= {"stats", "forcasted"} and all("plots" in c for c in charts)
+
+
+def test_report_switches(spark):
+    inp = Inputs(spark, SMALL)
+    r1 = {r["x_ord"]: r["y"] for r in R.r1_forecast_by_hour(inp).collect()}
+    r1c = {r["x_ord"]: r["y"] for r in R.r1_forecast_by_hour(inp, cumulative_total=True).collect()}
+    hours = sorted(r1)
+    assert r1c[hours[0]] == r1[hours[0]] and r1c[hours[-1]] >= max(r1.values())
+    per = R.r17_area_forecast_cumulative(inp, cumulative_total=False).count()
+    assert per == R.r17_area_forecast_cumulative(inp).count()
+    fixed = [r["x_ord"] for r in R.r2_hour_summary(inp, legacy_ampm_order=False).orderBy("x_ord").collect()]
+    assert fixed == sorted(set(fixed))
+
+
+def test_forecast_from_last_minutes(spark):
+    from turnout.plans import forecast as FC
+    mc = M._minute_counts(spark, SMALL)
+    steps = FC.model_steps(mc, take="last")
+    assert steps.groupBy("area_l2").count().filter("count <> 60").count() == 0
+    assert FC.forecast(mc, take="last").count() == mc.select("area_l2").distinct().count()

@@ -42,10 +42,16 @@ def trend_model(x: np.ndarray) -> np.ndarray:
     return a[None, :] + future[:, None] * b[None, :]
 
 
-def model_steps(minute_counts: DataFrame, n: int = STEPS) -> DataFrame:
-    """W3 + W4: each area's first ``n`` minutes in time order, padded with zero rows to ``n``."""
-    first = first_steps(minute_counts, ["area_l2"], "minute", n)
-    return pad_steps(first.select("area_l1", "area_l2", "step", *C.COUNTERS), ["area_l2"], n, C.COUNTERS,
+def model_steps(minute_counts: DataFrame, n: int = STEPS, take: str = "first") -> DataFrame:
+    """W3 + W4: each area's first ``n`` minutes in time order (``take="last"``: the latest ``n``,
+    still numbered in time order), padded with zero rows up to ``n``."""
+    if take == "last":
+        from pyspark.sql import Window
+        latest = first_steps(minute_counts, ["area_l2"], F.col("minute").desc(), n, step="_back")
+        picked = latest.withColumn("step", F.row_number().over(Window.partitionBy("area_l2").orderBy("minute")).cast("long"))
+    else:
+        picked = first_steps(minute_counts, ["area_l2"], "minute", n)
+    return pad_steps(picked.select("area_l1", "area_l2", "step", *C.COUNTERS), ["area_l2"], n, C.COUNTERS,
                      carry_cols=["area_l1"])
 
 
@@ -64,11 +70,12 @@ def _group_forecaster(model: Callable[[np.ndarray], np.ndarray]):
     return run
 
 
-def forecast(minute_counts: DataFrame, model: Callable[[np.ndarray], np.ndarray] = trend_model) -> DataFrame:
+def forecast(minute_counts: DataFrame, model: Callable[[np.ndarray], np.ndarray] = trend_model,
+             take: str = "first") -> DataFrame:
     """M5: one forecast row per area_l2 -- scale by the group's own min/max (M6 parity), model,
     sum the predicted steps, invert, cut to integers (negative forecasts are kept)."""
     ship_package(minute_counts.sparkSession)
-    steps = model_steps(minute_counts)
+    steps = model_steps(minute_counts, take=take)
     return steps.groupBy("area_l2").applyInPandas(_group_forecaster(model), FORECAST_SCHEMA)
 
 

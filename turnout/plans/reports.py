@@ -70,9 +70,16 @@ def forecast_by_slot(inp: Inputs, level: str = C.LEVEL_NATION) -> DataFrame:
 
 # ---- nation reports --------------------------------------------------------------------------
 
-def r1_forecast_by_hour(inp: Inputs) -> DataFrame:
-    """Forecast turnout per hour slot (not cumulative); same hour: the later slot wins; null -> 0."""
-    s = last_per(forecast_by_slot(inp), ["hour"], ["time_slot"])
+def r1_forecast_by_hour(inp: Inputs, cumulative_total: bool = False) -> DataFrame:
+    """Forecast turnout per hour slot; same hour: the later slot wins; null -> 0.
+
+    Not cumulative, as published (the area version R17 is); ``cumulative_total=True`` runs a
+    total over the hours like R17.
+    """
+    s = forecast_by_slot(inp)
+    if cumulative_total:
+        s = cumulative(s, [], [F.col("hour"), F.col("time_slot")], "total", "cum").withColumn("total", F.col("cum"))
+    s = last_per(s, ["hour"], ["time_slot"])
     s = with_national(s, inp.reg_nat)
     y = F.coalesce(P.percent("total", "reg_voters", P.EVEN, P.ZERO_NULL), F.lit(0).cast("long"))
     return _finish(s.select("level", "area_id", F.lit(C.FORECASTED).alias("series"),
@@ -260,9 +267,12 @@ def r16_area_gender_turnout(inp: Inputs) -> DataFrame:
     return _finish(_union(frames), inp)
 
 
-def _forecast_cumulative(inp: Inputs, level: str) -> DataFrame:
+def _forecast_cumulative(inp: Inputs, level: str, cumulative_total: bool = True) -> DataFrame:
     s = forecast_by_slot(inp, level)
-    s = cumulative(s, ["area_id"], [F.col("hour"), F.col("time_slot")], "total", "cum_total")
+    if cumulative_total:
+        s = cumulative(s, ["area_id"], [F.col("hour"), F.col("time_slot")], "total", "cum_total")
+    else:
+        s = s.withColumn("cum_total", F.col("total"))
     s = last_per(s, ["area_id", "hour"], ["time_slot"])
     s = with_registered(s, inp.registered(level), how="inner")
     y = F.coalesce(P.percent("cum_total", "reg_voters", P.EVEN, P.ZERO_ZERO), F.lit(0).cast("long"))
@@ -270,8 +280,10 @@ def _forecast_cumulative(inp: Inputs, level: str) -> DataFrame:
                     F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"), y.alias("y"))
 
 
-def r17_area_forecast_cumulative(inp: Inputs) -> DataFrame:
-    return _finish(_union([_forecast_cumulative(inp, lv) for lv in AREA_LEVELS]), inp)
+def r17_area_forecast_cumulative(inp: Inputs, cumulative_total: bool = True) -> DataFrame:
+    """Area forecast per hour slot as a running total (published rule, although the forecast
+    already contains the live totals); ``cumulative_total=False`` gives per-slot values."""
+    return _finish(_union([_forecast_cumulative(inp, lv, cumulative_total) for lv in AREA_LEVELS]), inp)
 
 
 def r18_area_turnout_with_forecast(inp: Inputs, keep_live: bool = True) -> DataFrame:
