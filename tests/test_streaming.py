@@ -102,3 +102,17 @@ def test_live_pipeline_publishes_every_batch(spark):
     assert all(per[(b, "nation_en")] == 1 for b in range(n_batches))
     pred = PL.latest_version(spark, f"{state}/prediction")
     assert pred.count() == Inputs(spark, SMALL).dim.count()          # one row per hierarchy pair
+
+
+def test_running_minutes_forecast_option(spark):
+    from turnout.plans import streams as S
+    from turnout.plans.inputs import Inputs
+    from turnout.streaming import pipeline as PL
+    src = S._source(spark, SMALL)
+    state, ckpt = scratch_path(spark, "live-run"), scratch_path(spark, "live-run-ckpt")
+    q = PL.run_live_pipeline(spark, src, state, ckpt, Inputs(spark, SMALL).dim, publish=False, forecast_from="running")
+    q.awaitTermination()
+    last = len(q.recentProgress) - 1
+    minutes = spark.read.parquet(f"{state}/minutes/v={last}")
+    assert minutes.agg(F.sum("male")).first()[0] == _batch_counts(spark).agg(F.sum("male")).first()[0]
+    assert PL.latest_version(spark, f"{state}/prediction").count() == Inputs(spark, SMALL).dim.count()

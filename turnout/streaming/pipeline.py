@@ -49,12 +49,25 @@ def merge_base(prev: DataFrame | None, inc: DataFrame) -> DataFrame:
     return u.groupBy(*BASE_KEYS).agg(*[F.sum(c).cast("long").alias(c) for c in SUMMARY_MEASURES])
 
 
+MINUTE_KEYS = ["area_l1", "area_l2", "minute"]
+
+
+def merge_minutes(prev: DataFrame | None, inc: DataFrame) -> DataFrame:
+    """Running minute counts across batches, by (area, minute); bounded by areas x 1440."""
+    if prev is None:
+        return inc
+    u = prev.select(*MINUTE_KEYS, *C.COUNTERS).unionByName(inc.select(*MINUTE_KEYS, *C.COUNTERS))
+    return u.groupBy(*MINUTE_KEYS).agg(*[F.sum(c).cast("long").alias(c) for c in C.COUNTERS])
+
+
 def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, data_dir: str | None = None,
-                  publish: bool = True):
+                  publish: bool = True, forecast_from: str = "batch"):
     """foreachBatch body for the live pipeline.
 
     ``data_dir`` names where the registered-voter and area dimensions come from; with
     ``publish`` the report bundles of the batch go to ``{state_dir}/reports/batch_id=<n>``.
+    ``forecast_from="batch"`` forecasts from the batch's own minutes (published behaviour);
+    ``"running"`` keeps running minute counts and forecasts from each area's latest 60 minutes.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         ballots = decoded_ballots(batch)
@@ -64,7 +77,14 @@ def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, data_di
             base = merge_base(prev_base, batch_base(ballots))
             base.write.mode("overwrite").parquet(_version(f"{state_dir}/summary", batch_id))
             summary = rollup(spark.read.parquet(_version(f"{state_dir}/summary", batch_id)))
-            fc = FC.forecast(minute_counts(ballot_features(ballots)))
+            batch_minutes = minute_counts(ballot_features(ballots))
+            if forecast_from == "running":
+                prev_min = _read_version(spark, f"{state_dir}/minutes", batch_id - 1)
+                merge_minutes(prev_min, batch_minutes).write.mode("overwrite").parquet(
+                    _version(f"{state_dir}/minutes", batch_id))
+                fc = FC.forecast(spark.read.parquet(_version(f"{state_dir}/minutes", batch_id)), take="last")
+            else:
+                fc = FC.forecast(batch_minutes)
             updates = PR.add_live_totals(fc, at_level(summary, C.LEVEL_L2))
             # next full hour after the newest ballot, by epoch arithmetic (no session zone involved)
             slot = ballots.agg(F.expr("timestamp_millis((max(log_ms) DIV 3600000 + 1) * 3600000)").alias("slot"))
@@ -87,8 +107,9 @@ def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, data_di
 
 
 def run_live_pipeline(spark: SparkSession, source: dict, state_dir: str, checkpoint: str, pairs: DataFrame,
-                      trigger: dict | None = None, data_dir: str | None = None, publish: bool = True):
-    body = process_batch(spark, state_dir, pairs, data_dir, publish)
+                      trigger: dict | None = None, data_dir: str | None = None, publish: bool = True,
+                      forecast_from: str = "batch"):
+    body = process_batch(spark, state_dir, pairs, data_dir, publish, forecast_from)
     q = (log_stream(spark, source).writeStream.foreachBatch(body)
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     return q.start()
