@@ -123,8 +123,16 @@ def r4_gender_turnout(inp: Inputs) -> DataFrame:
 
 
 def top_ages_summary(inp: Inputs) -> DataFrame:
-    """Per single year of age: ballots / registered voters of that age (unrounded percentage)."""
-    live = inp.ballots.filter(F.col("age").isNotNull()).groupBy("age").agg(F.count("*").alias("n"))
+    """Per single year of age: ballots / registered voters of that age (unrounded percentage).
+
+    Ages come from the event row, so events are counted per (citizen, age) first and only then
+    checked against the citizen table (a semi join: a ballot needs a known citizen).
+    """
+    from turnout.sources import proof_views as pv
+    ev = pv.ballot_events(inp.spark, inp.data_dir).filter(F.col("age").isNotNull())
+    per = ev.groupBy("user_id", "age").agg(F.count("*").alias("n"))
+    cit = pv.citizen_areas(inp.spark, inp.data_dir).select(F.col("citizen_id").alias("user_id"))
+    live = per.join(cit, "user_id", "left_semi").groupBy("age").agg(F.sum("n").cast("long").alias("n"))
     j = live.join(F.broadcast(inp.reg_ages.withColumnRenamed("n", "den")), "age", "left")
     return j.select("age", P.percent("n", "den", P.NONE, P.ZERO_NULL).alias("percentage"))
 
@@ -328,16 +336,13 @@ def r20_area_age_turnout(inp: Inputs) -> DataFrame:
 
 def h1_area_names(inp: Inputs) -> DataFrame:
     """Names of every area that has ballots, at both levels; an unknown id shows as text."""
-    b = inp.ballots
-    ids = (b.select(F.lit(C.LEVEL_L1).alias("level"), F.col("area_l1").alias("area_id"))
-            .unionByName(b.select(F.lit(C.LEVEL_L2).alias("level"), F.col("area_l2").alias("area_id"))).distinct())
+    ids = inp.level(C.LEVEL_L1).select("level", "area_id").unionByName(inp.level(C.LEVEL_L2).select("level", "area_id"))
     return with_area_name(ids, inp.names)
 
 
 def h2_hour_12h(inp: Inputs) -> DataFrame:
-    from turnout.functions.timeofday import hour_of
-    hours = inp.ballots.select(hour_of(F.col("log_ms")).alias("hour")).distinct()
-    return hours.select("hour", hour_12h("hour").alias("label"))
+    """12-hour labels of every hour that has ballots."""
+    return inp.level("hour").select("hour", hour_12h("hour").alias("label"))
 
 
 REPORTS = {
