@@ -192,19 +192,23 @@ def registered_single_ages(spark: SparkSession, data_dir: str) -> DataFrame:
 @memo
 def prediction(spark: SparkSession, data_dir: str) -> DataFrame:
     """One forecast row per (area_l1, area_l2): slot at 08:00-12:00 of a fixed day by area,
-    counters = 2 x ballot sums in the history age classes folded to six."""
-    b = ballots(spark, data_dir)
-    age = b.age
+    counters = 2 x ballot sums in the history age classes folded to six.
+
+    Counters come from the event row, so they are summed per citizen before the area lookup.
+    """
+    ev = ballot_events(spark, data_dir)
     folded = [("col_1", 20, 30), ("col_2", 30, 40), ("col_3", 40, 50), ("col_4", 50, 60),
               ("col_5", 60, 70), ("col_6", 70, None)]
-    aggs = [(2 * F.sum(flags.male_flag(b.sex))).alias("male"),
-            (2 * F.sum(flags.female_flag(b.sex))).alias("female")]
-    aggs += [(2 * F.sum(flags.in_bin(age, lo, hi))).alias(n) for n, lo, hi in folded]
-    p = b.groupBy("area_l1", "area_l2").agg(*aggs)
+    flags_sql = ([f"{flags.male_sql('sex')} AS male", f"{flags.female_sql('sex')} AS female"]
+                 + [f"{flags.in_bin_sql('age', lo, hi)} AS {n}" for n, lo, hi in folded])
+    rows = ev.selectExpr("user_id", *flags_sql)
+    per = rows.groupBy("user_id").agg(*[F.expr(f"sum({c}) AS {c}") for c in C.PREDICTION_COUNTERS])
+    areas = citizen_areas(spark, data_dir)
+    j = per.join(areas, per.user_id == areas.citizen_id)
+    p = j.groupBy("area_l1", "area_l2").agg(*[F.expr(f"CAST(2 * sum({c}) AS BIGINT) AS {c}") for c in C.PREDICTION_COUNTERS])
     slot = (F.lit(PREDICTION_BASE).cast("timestamp_ntz")
             + F.make_dt_interval(hours=(8 + F.col("area_l2") % 5).cast("int")))
-    return p.select("area_l1", "area_l2", slot.alias("time_slot"),
-                    *[F.col(c).cast("long") for c in C.PREDICTION_COUNTERS])
+    return p.select("area_l1", "area_l2", slot.alias("time_slot"), *C.PREDICTION_COUNTERS)
 
 
 @memo
