@@ -116,3 +116,12 @@ def test_running_minutes_forecast_option(spark):
     minutes = spark.read.parquet(f"{state}/minutes/v={last}")
     assert minutes.agg(F.sum("male")).first()[0] == _batch_counts(spark).agg(F.sum("male")).first()[0]
     assert PL.latest_version(spark, f"{state}/prediction").count() == Inputs(spark, SMALL).dim.count()
+
+
+def test_ingest_counts_add_up(spark):
+    from turnout.plans import streams as S
+    df = S.stream_ingest_counts(spark, SMALL)
+    tot = df.agg(F.sum("messages").alias("m"), F.sum("ballots").alias("b")).first()
+    raw = pv.cdc_raw(spark, SMALL)
+    assert tot["m"] == raw.count()
+    assert tot["b"] == ST.decoded_ballots(raw).count()
