@@ -64,9 +64,11 @@ def cdc_latest_state(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def stream_forecast(spark: SparkSession, data_dir: str) -> DataFrame:
+    """ST8: per-batch forecast and upsert; the table after the last batch.  (Publishing bundles
+    per batch, ST9, is the same pipeline with ``publish=True``; see tests/test_streaming.py.)"""
     src = _source(spark, data_dir)
     state, ckpt = scratch_path(spark, "live-state"), scratch_path(spark, "live-ckpt")
-    q = PL.run_live_pipeline(spark, src, state, ckpt, Inputs(spark, data_dir).dim, data_dir=data_dir)
+    q = PL.run_live_pipeline(spark, src, state, ckpt, Inputs(spark, data_dir).dim, data_dir=data_dir, publish=False)
     q.awaitTermination()
     t = PL.latest_version(spark, f"{state}/prediction")
     return t.withColumn("time_slot", F.date_format("time_slot", "yyyy-MM-dd HH:mm:ss"))
