@@ -71,6 +71,11 @@ def ship_package(spark: SparkSession) -> None:
     key = (id(sc), sc.applicationId)
     if key in _SHIPPED:
         return
+    base = ensure_checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        # shared remote storage: the package is deployed with --py-files / installed on the cluster
+        _SHIPPED.add(key)
+        return
     root = os.path.dirname(os.path.abspath(__file__))
     path = scratch_path(spark, "pyfiles") + ".zip"
     os.makedirs(os.path.dirname(path), exist_ok=True)
