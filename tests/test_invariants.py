@@ -105,3 +105,13 @@ def test_forecast_from_last_minutes(spark):
     steps = FC.model_steps(mc, take="last")
     assert steps.groupBy("area_l2").count().filter("count <> 60").count() == 0
     assert FC.forecast(mc, take="last").count() == mc.select("area_l2").distinct().count()
+
+
+def test_empty_forecast_keeps_or_drops_live_points(spark):
+    base = Inputs(spark, SMALL)
+    empty = base.prediction.limit(0)
+    inp = Inputs(spark, SMALL, prediction_table=empty)
+    kept = R.r3_turnout_with_forecast(inp).collect()
+    assert len(kept) == R.r2_hour_summary(base).count() and {r["series"] for r in kept} == {"stats"}
+    assert R.r3_turnout_with_forecast(inp, keep_live=False).count() == 0          # published behaviour
+    assert R.r18_area_turnout_with_forecast(inp, keep_live=False).count() == 0
