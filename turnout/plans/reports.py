@@ -5,7 +5,8 @@ Each report returns long rows ``(level, area_id, area_name, series, x, x_ord, y)
 axis label and its order, ``series`` the inner key of stacked charts, ``y`` the value.
 Percentages follow the published rounding (E = half-even, U = half-up) and the zero/missing
 denominator rule of each report.  A report for all areas is one query: summaries are grouped
-once, denominators are broadcast lookups, no per-area loop exists.
+once, denominators are one-row-per-area lookups (broadcast when Spark measures them small), and
+no per-area loop exists.
 """
 
 from __future__ import annotations
