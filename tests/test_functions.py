@@ -89,3 +89,22 @@ def test_offset_range(spark):
     log = spark.createDataFrame([(p, o) for p in (0, 1) for o in range(10)], "partition int, offset long")
     got = cdc.offset_range(log, {0: 3, 1: 0}, {0: 5, 1: 2}).collect()
     assert sorted((r["partition"], r["offset"]) for r in got) == [(0, 3), (0, 4), (1, 0), (1, 1)]
+
+
+def test_names_lookup_and_cleaning(spark):
+    from turnout.sources.dims import clean_name, with_area_name
+    names = spark.createDataFrame([("l1", 6, "Inner​ Region "), ("l2", 3, "Town")], "level string, area_id long, area_name string")
+    names = names.withColumn("area_name", clean_name(F.col("area_name")))
+    rows = spark.createDataFrame([("l1", 6), ("l2", 3), ("l2", 99)], "level string, area_id long")
+    got = {(r["level"], r["area_id"]): r["area_name"] for r in with_area_name(rows, names).collect()}
+    assert got == {("l1", 6): "Inner Region", ("l2", 3): "Town", ("l2", 99): "99"}
+
+
+def test_strict_lookup_raises_on_unknown_area(spark):
+    import pytest
+    from tests.conftest import MEDIUM
+    from turnout.plans.live import area_lookup_strict
+    ok = area_lookup_strict(spark, MEDIUM)
+    assert 24 not in {r["area_id"] for r in ok.collect()}           # area 24 has no registered row
+    with pytest.raises(KeyError):
+        area_lookup_strict(spark, MEDIUM, raise_on_unknown=True)
