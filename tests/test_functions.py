@@ -93,7 +93,7 @@ def test_offset_range(spark):
 
 def test_names_lookup_and_cleaning(spark):
     from turnout.sources.dims import clean_name, with_area_name
-    names = spark.createDataFrame([("l1", 6, "Inner​ Region "), ("l2", 3, "Town")], "level string, area_id long, area_name string")
+    names = spark.createDataFrame([("l1", 6, "Inner\u200b Region\ufeff "), ("l2", 3, "Town")], "level string, area_id long, area_name string")
     names = names.withColumn("area_name", clean_name(F.col("area_name")))
     rows = spark.createDataFrame([("l1", 6), ("l2", 3), ("l2", 99)], "level string, area_id long")
     got = {(r["level"], r["area_id"]): r["area_name"] for r in with_area_name(rows, names).collect()}
