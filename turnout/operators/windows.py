@@ -29,6 +29,7 @@ def top_k(df: DataFrame, order: list, k: int, rank: str = "x_ord") -> DataFrame:
     only those k rows per partition meet in the final step, so no task sees the whole input.
     """
     top = df.orderBy(*order).limit(k)
+    # numbering runs over the k rows left after the limit, so an unpartitioned window is bounded by k
     return top.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
