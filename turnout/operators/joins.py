@@ -26,9 +26,9 @@ def unknown_areas(df: DataFrame, reg: DataFrame, on: str = "area_id") -> DataFra
 
 
 def with_national(df: DataFrame, nat: DataFrame, prefix: str = "reg_") -> DataFrame:
-    """One-row national denominators against every row (broadcast cross join of one row)."""
-    one = nat.selectExpr(*[f"{c} AS {prefix}{c}" for c in nat.columns if c != "area_id"])
-    return df.crossJoin(F.broadcast(one.limit(1)))
+    """National denominators against national rows.  Nation-level rows carry ``area_id = 0``
+    like the one-row national dimension, so this is an equi-join on that key, not a product."""
+    return with_registered(df, nat, on="area_id", prefix=prefix)
 
 
 def densify(df: DataFrame, keys: list[str], step_col: str, lo: int, hi: int, fill_cols: list[str]) -> DataFrame:

@@ -96,15 +96,17 @@ def pick_u(batch_id: Column, name: Column) -> Column:
     return (h + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-def weighted_pick(candidates: DataFrame, batches: DataFrame, k: int = 1) -> DataFrame:
+def weighted_pick(candidates: list[tuple[int, str, float]], batches: DataFrame, k: int = 1) -> DataFrame:
     """weighted choice of ``k`` names per (batch, group) without replacement.
 
     Exponential keys ``-ln(u) / w`` (smallest first) give the weighted draw; the draw is a
-    hash of (batch, name), so replaying a batch picks the same charts.  Candidates are a
-    small fixed list, so they are broadcast against the batches.
+    hash of (batch, name), so replaying a batch picks the same charts.  The candidates are a
+    fixed list of ten, attached to each batch row by exploding a literal array.
     """
     from pyspark.sql import Window
-    j = batches.crossJoin(F.broadcast(candidates))
+    lit_rows = F.array(*[F.struct(F.lit(g).alias("grp"), F.lit(n).alias("name"), F.lit(w).alias("weight"))
+                         for g, n, w in candidates])
+    j = batches.select("batch_id", F.explode(lit_rows).alias("c")).select("batch_id", "c.*")
     j = j.withColumn("key", -F.log(pick_u(F.col("batch_id"), F.col("name"))) / F.col("weight"))
     w = Window.partitionBy("batch_id", "grp").orderBy("key", "name")
     return (j.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
@@ -115,15 +117,13 @@ PICK_ROWS = ([(1, n, float(w)) for n, w in zip(NATION_PICK_1, C.NATION_PICK_WEIG
                               + [(2, n, float(w)) for n, w in zip(NATION_PICK_2, C.FORECAST_PICK_WEIGHTS)])
 
 
-def pick_candidates(spark) -> DataFrame:
-    return spark.createDataFrame(PICK_ROWS, "grp int, name string, weight double")
 
 
 def bundles(inp: Inputs, batch_id: int = 0) -> DataFrame:
     """(endpoint, area_key, charts JSON array) -- nation bundle for every language endpoint,
     and one line per area for the region and wilayat endpoints."""
     spark = inp.spark
-    picks = weighted_pick(pick_candidates(spark), spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")))
+    picks = weighted_pick(PICK_ROWS, spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")))
     chosen = [r["name"] for r in picks.collect()]          # two names: the pick itself, not data
     nation_names = NATION_ALWAYS + chosen
     pos = {n: i for i, n in enumerate(nation_names + AREA_BUNDLE)}
@@ -134,8 +134,8 @@ def bundles(inp: Inputs, batch_id: int = 0) -> DataFrame:
     per_area = grouped.select("level", F.col("area_id").cast("string").alias("area_key"), arr.alias("charts"),
                               F.size("c").alias("n_charts"))
     nation = per_area.filter(F.col("level") == C.LEVEL_NATION)
-    langs = spark.createDataFrame([(e,) for e in LANG_ENDPOINTS], "endpoint string")
-    nation_out = nation.crossJoin(F.broadcast(langs)).select("endpoint", "area_key", "charts", "n_charts")
+    langs = F.explode(F.array(*[F.lit(e) for e in LANG_ENDPOINTS])).alias("endpoint")
+    nation_out = nation.select(langs, "area_key", "charts", "n_charts")
     area_out = per_area.filter(F.col("level") != C.LEVEL_NATION).select(
         F.when(F.col("level") == C.LEVEL_L1, F.lit("region")).otherwise(F.lit("wilayat")).alias("endpoint"),
         "area_key", "charts", "n_charts")

@@ -18,11 +18,12 @@ KEYS = ["area_l1", "area_l2"]
 def seed_predictions(pred: DataFrame, pairs: DataFrame, slot: DataFrame) -> DataFrame:
     """One zero row for every hierarchy pair not yet in the table.
 
-    ``slot`` is a one-row frame with column ``slot`` (the next full hour of the batch).
+    ``slot`` is a one-row frame with column ``slot`` (the next full hour of the batch); it enters
+    as a scalar subquery.
     """
     missing = pairs.select(*KEYS).distinct().join(pred.select(*KEYS), KEYS, "left_anti")
-    zeros = missing.crossJoin(F.broadcast(slot.limit(1))).select(
-        *KEYS, F.col("slot").alias("time_slot"), *[F.lit(0).cast("long").alias(c) for c in C.PREDICTION_COUNTERS])
+    zeros = missing.select(*KEYS, slot.select("slot").scalar().alias("time_slot"),
+                           *[F.lit(0).cast("long").alias(c) for c in C.PREDICTION_COUNTERS])
     return pred.select(*KEYS, "time_slot", *C.PREDICTION_COUNTERS).unionByName(zeros)
 
 
@@ -45,7 +46,7 @@ def add_live_totals(fc: DataFrame, live_l2: DataFrame) -> DataFrame:
 def upsert_predictions(pred: DataFrame, updates: DataFrame, slot: DataFrame) -> DataFrame:
     """K2: matching (area_l1, area_l2) rows take the update and the new slot; others are unchanged."""
     u = updates.select(*KEYS, *[F.col(c).alias(f"u_{c}") for c in C.PREDICTION_COUNTERS]).withColumn("_hit", F.lit(True))
-    u = u.crossJoin(F.broadcast(slot.limit(1)))
+    u = u.withColumn("slot", slot.select("slot").scalar())
     j = pred.join(u, KEYS, "left")
     hit = F.col("_hit").isNotNull()
     return j.select(

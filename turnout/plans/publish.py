@@ -23,7 +23,7 @@ def weighted_pick(spark: SparkSession, data_dir: str) -> DataFrame:
     """One pick from each weighted list for every day of ballots (a day = one batch, id = day number)."""
     b = pv.ballots(spark, data_dir)
     batches = b.select(F.datediff(F.to_date("ts"), F.lit("1970-01-01")).cast("long").alias("batch_id")).distinct()
-    return CH.weighted_pick(CH.pick_candidates(spark), batches)
+    return CH.weighted_pick(CH.PICK_ROWS, batches)
 
 
 def report_bundle_json(spark: SparkSession, data_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ def r1_forecast_by_hour(inp: Inputs, cumulative_total: bool = False) -> DataFram
 
 def time_summary(inp: Inputs) -> DataFrame:
     """Hourly national turnout summary: cumulative ballots up to each hour / registered voters."""
-    h = inp.level("hour").select("hour", "total")
+    h = inp.level("hour").select("area_id", "hour", "total")
     # national running total over at most 24 aggregated rows: one window partition is the right size
     h = cumulative(h, [], [F.col("hour")], "total", "cum_total")
     h = with_national(h, inp.reg_nat)
