@@ -30,8 +30,10 @@ AREA_LEVELS = [C.LEVEL_L1, C.LEVEL_L2]
 AGE_COLS = [b[0] for b in C.SUMMARY_BINS]
 
 
-def _finish(df: DataFrame, inp: Inputs) -> DataFrame:
-    named = with_area_name(df, inp.names)
+def _finish(df: DataFrame, inp: Inputs, nation: bool = False) -> DataFrame:
+    """Attach area names and the common column types.  Nation charts have one owner, so their
+    name is a constant rather than a join on constant keys (which would plan as a nested loop)."""
+    named = df.withColumn("area_name", F.lit(C.LEVEL_NATION)) if nation else with_area_name(df, inp.names)
     return named.selectExpr("level", "CAST(area_id AS BIGINT) AS area_id", "area_name", "CAST(series AS STRING) AS series",
                             "CAST(x AS STRING) AS x", "CAST(x_ord AS BIGINT) AS x_ord", "y")
 
@@ -84,7 +86,7 @@ def r1_forecast_by_hour(inp: Inputs, cumulative_total: bool = False) -> DataFram
     s = with_national(s, inp.reg_nat)
     y = F.coalesce(P.percent("total", "reg_voters", P.EVEN, P.ZERO_NULL), F.lit(0).cast("long"))
     return _finish(s.select("level", "area_id", F.lit(C.FORECASTED).alias("series"),
-                            F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"), y.alias("y")), inp)
+                            F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"), y.alias("y")), inp, nation=True)
 
 
 def time_summary(inp: Inputs) -> DataFrame:
@@ -101,7 +103,7 @@ def r2_hour_summary(inp: Inputs, legacy_ampm_order: bool = True) -> DataFrame:
     t = _nation(time_summary(inp))
     return _finish(t.select("level", "area_id", F.lit(C.STATS).alias("series"), F.col("v_time").alias("x"),
                             ampm_hour("v_time", legacy=legacy_ampm_order).alias("x_ord"),
-                            P.round_pct(F.col("percentage"), P.EVEN).alias("y")), inp)
+                            P.round_pct(F.col("percentage"), P.EVEN).alias("y")), inp, nation=True)
 
 
 def _with_forecast(stats: DataFrame, fc: DataFrame, keep_live: bool) -> DataFrame:
@@ -115,13 +117,13 @@ def r3_turnout_with_forecast(inp: Inputs, keep_live: bool = True) -> DataFrame:
     stats = r2_hour_summary(inp).select("level", "area_id", "x", "y")
     fc = r1_forecast_by_hour(inp).select("level", "area_id", hour_12h("x_ord").alias("x"), "y",
                                          F.col("x_ord").alias("fo"))
-    return _finish(_with_forecast(stats, fc, keep_live), inp)
+    return _finish(_with_forecast(stats, fc, keep_live), inp, nation=True)
 
 
 def r4_gender_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
     pairs = [("M", P.percent("male", "reg_male_count")), ("F", P.percent("female", "reg_female_count"))]
-    return _finish(_pairs(n, pairs, ["level", "area_id"]), inp)
+    return _finish(_pairs(n, pairs, ["level", "area_id"]), inp, nation=True)
 
 
 def top_ages_summary(inp: Inputs) -> DataFrame:
@@ -145,7 +147,7 @@ def r5_top_ages(inp: Inputs, k: int = 10) -> DataFrame:
     t = top_k(t, [F.col("percentage").desc(), F.col("age")], k)
     return _finish(_nation(t).select("level", "area_id", F.lit(C.STATS).alias("series"),
                                      F.concat(F.lit("Age_"), F.col("age").cast("string")).alias("x"),
-                                     "x_ord", F.col("percentage").alias("y")), inp)
+                                     "x_ord", F.col("percentage").alias("y")), inp, nation=True)
 
 
 def _prediction_totals(inp: Inputs, level: str, cols: list[str]) -> DataFrame:
@@ -156,7 +158,7 @@ def _prediction_totals(inp: Inputs, level: str, cols: list[str]) -> DataFrame:
 def r6_gender_forecast(inp: Inputs) -> DataFrame:
     n = with_national(_prediction_totals(inp, C.LEVEL_NATION, ["male", "female"]), inp.reg_nat)
     pairs = [("Male", P.percent("male", "reg_male_count")), ("Female", P.percent("female", "reg_female_count"))]
-    return _finish(_pairs(n, pairs, ["level", "area_id"], C.FORECASTED), inp)
+    return _finish(_pairs(n, pairs, ["level", "area_id"], C.FORECASTED), inp, nation=True)
 
 
 def registered_age_fold(inp: Inputs) -> DataFrame:
@@ -178,7 +180,7 @@ def r7_age_forecast(inp: Inputs) -> DataFrame:
     j = long.join(F.broadcast(fold), long.col_ord == fold.label_ord)
     return _finish(j.select("level", "area_id", F.lit(C.FORECASTED).alias("series"), F.col("label").alias("x"),
                             F.col("label_ord").alias("x_ord"),
-                            P.percent("n", "den", P.EVEN, P.ZERO_ZERO).alias("y")), inp)
+                            P.percent("n", "den", P.EVEN, P.ZERO_ZERO).alias("y")), inp, nation=True)
 
 
 def _area_axis(df: DataFrame, level: str, inp: Inputs) -> DataFrame:
@@ -194,7 +196,7 @@ def r8_region_gender_turnout(inp: Inputs) -> DataFrame:
     long = _union([s.select("area_id", F.lit(lbl).alias("series"), pct(n, d).alias("y"))
                    for lbl, n, d in [("MalePercentage", "male", "reg_male_count"),
                                      ("FemalePercentage", "female", "reg_female_count")]])
-    return _finish(_area_axis(long, C.LEVEL_L1, inp), inp)
+    return _finish(_area_axis(long, C.LEVEL_L1, inp), inp, nation=True)
 
 
 def r9_wilayat_gender_top10(inp: Inputs, k: int = 10) -> DataFrame:
@@ -203,26 +205,26 @@ def r9_wilayat_gender_top10(inp: Inputs, k: int = 10) -> DataFrame:
     pct = lambda n, d: P.percent(n, d, P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO)
     long = _union([s.select("area_id", F.lit(lbl).alias("series"), pct(n, d).alias("y"))
                    for lbl, n, d in [("M", "male", "reg_male_count"), ("F", "female", "reg_female_count")]])
-    return _finish(_area_axis(long, C.LEVEL_L2, inp), inp)
+    return _finish(_area_axis(long, C.LEVEL_L2, inp), inp, nation=True)
 
 
 def r10_age_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
     pairs = [(lbl, P.percent(c, "reg_" + c)) for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)]
-    return _finish(_pairs(n, pairs, ["level", "area_id"]), inp)
+    return _finish(_pairs(n, pairs, ["level", "area_id"]), inp, nation=True)
 
 
 def r11_regyear_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
     pairs = [(f"RY_{y}", P.percent(f"ry_{y}", f"reg_ry_{y}", P.UP)) for y in C.REG_YEARS]
-    return _finish(_pairs(n, pairs, ["level", "area_id"]), inp)
+    return _finish(_pairs(n, pairs, ["level", "area_id"]), inp, nation=True)
 
 
 def r12_region_turnout(inp: Inputs) -> DataFrame:
     s = with_registered(inp.level(C.LEVEL_L1), inp.reg_l1)
     long = s.select("area_id", F.lit(C.STATS).alias("series"),
                     P.percent("total", "reg_voters", P.EVEN, P.ZERO_NULL).alias("y"))
-    return _finish(_area_axis(long, C.LEVEL_L1, inp), inp)
+    return _finish(_area_axis(long, C.LEVEL_L1, inp), inp, nation=True)
 
 
 def area_age_percent(inp: Inputs, level: str) -> DataFrame:
@@ -241,7 +243,7 @@ def _age_top2(inp: Inputs, level: str, n_areas: int = 10, n_labels: int = 2) ->
     kept = named.join(top.select("area_id"), "area_id", "left_semi")
     best = top_per_group(kept, ["area_id"], [F.col("pct").desc(), F.col("label_ord")], n_labels)
     out = best.select("area_id", F.col("label").alias("series"), F.col("pct").alias("y"))
-    return _finish(_area_axis(out, level, inp), inp)
+    return _finish(_area_axis(out, level, inp), inp, nation=True)
 
 
 def r13_region_age_top2(inp: Inputs) -> DataFrame:
