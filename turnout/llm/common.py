@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from turnout.session import scratch_path, ship_package
@@ -35,7 +36,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_chars: int =
     for batch in batches:
         texts = batch.column(column)
         start = size = 0
-        lengths = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
         for i, n in enumerate(lengths):
             if i > start and size + n > max_chars:
                 yield batch.slice(start, i - start), texts.slice(start, i - start).to_pylist()

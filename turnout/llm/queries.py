@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnout.llm import token_io
+from turnout.llm import piece_codec, token_io
 from turnout.llm.common import table
 
 
@@ -16,5 +16,9 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_io.token_checksums(tokens)
 
 
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(piece_codec.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_files": op1_token_files}
+    return {"op1_token_files": op1_token_files, "op4_piece_codec": op4_piece_codec}
