@@ -55,15 +55,21 @@ class PieceCache:
 
     def encode(self, texts: list[list[str]], make) -> list[bytes]:
         """The joined bytes of each text, given as a list of pieces; ``make(list)`` encodes unseen pieces."""
-        found = [list(map(self.young.get, pieces)) for pieces in texts]
-        missing = {p for pieces, values in zip(texts, found) if None in values for p, v in zip(pieces, values) if v is None}
-        if missing:
-            fresh = {p: v for p in missing if (v := self.old.get(p)) is not None}
-            new = [p for p in missing if p not in fresh]
-            fresh.update(zip(new, make(new)))
-            found = [[fresh[p] if v is None else v for p, v in zip(pieces, values)] if None in values else values
-                     for pieces, values in zip(texts, found)]
-            if len(self.young) + len(fresh) > self.limit:
+        unknown = set().union(*texts).difference(self.young)
+        if unknown:
+            if len(self.young) + len(unknown) > self.limit:
                 self.old, self.young = self.young, {}
-            self.young.update((p, v) for p, v in fresh.items() if len(p) <= self.longest)
-        return [b"".join(values) for values in found]
+                unknown = set().union(*texts)
+            fresh = []
+            for piece in unknown:
+                known = self.old.get(piece)
+                if known is None:
+                    fresh.append(piece)
+                else:
+                    self.young[piece] = known
+            self.young.update(zip(fresh, make(fresh)))
+        joined = [b"".join(map(self.young.__getitem__, pieces)) for pieces in texts]
+        for piece in unknown:
+            if len(piece) > self.longest:
+                del self.young[piece]
+        return joined

@@ -4,10 +4,11 @@ Adjacent symbols that concatenate to a vocabulary piece form a pair; the agenda
 score (highest first, then leftmost).  The best pair is merged and the pairs on both sides of the new
 symbol replace the old ones, until no pair is left.  Symbols outside the vocabulary fall back to bytes.
 
-No piece of such a vocabulary has the space mark behind another character (checked when the model is
-loaded; a model that has one is encoded text by text).  So no merge crosses the start of a word, and
-the words of an Arrow batch have agendas of their own, which are worked off side by side: one matrix
-row per distinct word, one merge per row and step.  Every distinct word is checked against the
+No merge crosses two adjacent characters that are adjacent in no piece.  When the model is loaded, the
+space mark and the marks of ``_MARKS`` are checked for standing behind another character, or behind a
+letter, in any piece; texts are cut before those that never do (a model without any is encoded text by
+text).  The parts of an Arrow batch have agendas of their own, which are worked off side by side: one
+matrix row per distinct part, one merge per row and step.  Every distinct part is checked against the
 sentencepiece library; where the two differ the library's ids are used and the difference is counted.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from turnout.llm.common import PieceCache, map_arrow, text_slices
 
 MARK = "▁"  # what sentencepiece writes for a space
+_LETTER, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,!?;:|#$%&*"
 NONE = np.int32(2**31 - 1)
 WIDTHS = (4, 8, 12, 16, 24, 32, 64)
 
@@ -38,6 +41,9 @@ class MergeVocabulary:
         plain = {processor.id_to_piece(i): i for i in range(n)
                  if not (processor.is_control(i) or processor.is_byte(i) or processor.is_unknown(i) or processor.is_unused(i))}
         self.words_alone = not any(MARK in p.lstrip(MARK) for p in plain)
+        behind_letters = {b for p in plain for a, b in zip(p, p[1:]) if a.isalpha()}
+        marks = "".join(m for m in _MARKS if m not in behind_letters)
+        self.cut = re.compile(rf"(?<=[^{MARK}])(?={MARK})" + (rf"|(?<=[{_LETTER}])(?=[{re.escape(marks)}])" if marks else ""))
         self.byte_ids = [processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.unknown = processor.unk_id()
         self.fallback = processor.is_byte(self.byte_ids[0])
@@ -165,9 +171,6 @@ class MergeVocabulary:
 
 
 _LOADED: dict = {}
-_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-
-
 def _model(path: str):
     if path not in _LOADED:
         import sentencepiece
@@ -178,11 +181,9 @@ def _model(path: str):
 
 def _words(text: str, vocabulary: MergeVocabulary) -> list[str]:
     """The parts of a normalised text that merge on their own."""
-    if not vocabulary.words_alone:
-        return [text] if text else []
-    if text[:1] == MARK and MARK + MARK not in text:
-        return [MARK + w for w in text[1:].split(MARK)]
-    return _WORD.findall(text)
+    if not text:
+        return []
+    return vocabulary.cut.split(text) if vocabulary.words_alone else [text]
 
 
 def encode_texts(texts: list[str], path: str) -> tuple[list[np.ndarray], int]:
@@ -198,7 +199,7 @@ def encode_texts(texts: list[str], path: str) -> tuple[list[np.ndarray], int]:
             checked = _library(processor, part)
             for a, b in zip(own, checked):
                 differ += a != b
-                yield np.array(b, dtype=np.uint32).tobytes()
+                yield array("I", b).tobytes()
 
     normal = processor.normalize(texts)
     ids = cache.encode([_words(t, vocabulary) for t in normal], encode)
@@ -206,12 +207,12 @@ def encode_texts(texts: list[str], path: str) -> tuple[list[np.ndarray], int]:
 
 
 def _library(processor, words: list[str]) -> list[list[int]]:
-    """What the library makes of normalised words: it adds the first space mark itself."""
-    if not all(w[0] == MARK for w in words):  # a model without that mark takes them as they are
-        return processor.encode(words, num_threads=1)
-    found = processor.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
+    """What the library makes of normalised parts.  It adds the first space mark itself; a part that starts
+    otherwise follows a letter in its text, so it is encoded behind one, whose ids are then taken off."""
+    letter = processor.encode("a")
+    found = processor.encode([w[1:].replace(MARK, " ") if w[0] == MARK else "a" + w.replace(MARK, " ") for w in words], num_threads=1)
     # an empty text gets no first mark, so a mark on its own is looked up instead
-    return [[processor.piece_to_id(MARK)] if w == MARK else ids for w, ids in zip(words, found)]
+    return [[processor.piece_to_id(MARK)] if w == MARK else ids if w[0] == MARK else ids[len(letter):] for w, ids in zip(words, found)]
 
 
 def _codec(path: str, keep: list[str]):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnout.llm import piece_codec, token_io
+from turnout.llm import decontaminate, line_dedup, pii, piece_codec, quality_rules, simhash_index, token_io
 from turnout.llm.common import table
 
 
@@ -16,9 +16,32 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_io.token_checksums(tokens)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, made = line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"), min_words=50)
+    return docs.select("doc_id", f"{made}.n_lines", f"{made}.n_deleted", f"{made}.runs", "text")
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_index.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_files": op1_token_files, "op4_piece_codec": op4_piece_codec}
+    found = (op1_token_files, op3_quality_rules, op4_piece_codec, op7_pii, op8_line_dedup,
+             op9_simhash_near_dedup, op10_benchmark_decontamination)
+    return {f.__name__: f for f in found}

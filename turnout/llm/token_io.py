@@ -18,6 +18,7 @@ Ids of 60 bits or more do not fit a word: the word holds 0 and the block lists p
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -39,6 +40,16 @@ HEAD = struct.Struct("<4s4Q")
 LIMIT = np.uint64(1 << 60)
 
 
+def _widths(values: np.ndarray) -> np.ndarray:
+    """Bits that each value needs."""
+    if len(values) and values.max() < 1 << 17:
+        return _WIDTH[values]
+    return np.searchsorted(1 << np.arange(60, dtype=np.uint64), values, side="right").astype(np.uint8)
+
+
+_WIDTH = np.searchsorted(1 << np.arange(18), np.arange(1 << 17), side="right").astype(np.uint8)
+
+
 def pack(ids: np.ndarray) -> bytes:
     """One block of unsigned 64-bit ids as Simple-8b bytes (an empty array gives an empty block)."""
     ids = np.asarray(ids, dtype=np.uint64)
@@ -48,27 +59,27 @@ def pack(ids: np.ndarray) -> bytes:
     # zeros behind the end let the last word take any selector; the header keeps the true length
     low = np.concatenate([ids, np.zeros(240, dtype=np.uint64)])
     low[escapes] = 0
-    end = len(low)
-    choice = np.full(n, 13, dtype=np.int64)
-    index = np.arange(end, dtype=np.int64)
-    top = int(low.max()) if n else 0
-    for s in [*range(12, -1, -1), 15, 14]:  # from sparse to dense: the densest that fits stays
-        count, limit = int(COUNT[s]), 1 << int(BITS[s])
-        if top < limit:
-            choice[:] = s
-            continue
-        bad = low >= np.uint64(limit)
-        if end - int(bad.sum()) < count:
-            continue
-        next_bad = np.minimum.accumulate(np.where(bad, index, end)[::-1])[::-1]
-        choice[next_bad[:n] - index[:n] >= count] = s
-    step = (index[:n] + COUNT[choice]).tolist()
+    width = _widths(low)
+    choice = np.full(n, 13, dtype=np.uint8)
+    # widest id of the next 2**k places, for the sizes a selector asks for; from sparse to dense, the densest that fits stays
+    doubled = [width]
+    for s in [*range(12, -1, -1), 15, 14]:
+        count, bits = int(COUNT[s]), int(BITS[s])
+        k = count.bit_length() - 1
+        while len(doubled) <= k:
+            last, half = doubled[-1], 1 << (len(doubled) - 1)
+            doubled.append(np.maximum(last[:-half], last[half:]))
+        span = doubled[k]
+        fits = np.maximum(span[:n], span[count - (1 << k):][:n]) <= bits
+        if fits.any():
+            choice[fits] = s
+    step = (np.arange(n) + COUNT[choice]).tolist()
     starts, i = [], 0
     while i < n:
         starts.append(i)
         i = step[i]
     at = np.array(starts, dtype=np.int64)
-    selectors = choice[at] if len(at) else np.zeros(0, dtype=np.int64)
+    selectors = choice[at].astype(np.int64) if len(at) else np.zeros(0, dtype=np.int64)
     words = selectors.astype(np.uint64) << np.uint64(60)
     for s in np.unique(selectors):
         if s < 14:
@@ -123,33 +134,40 @@ def _tokenizer(path: str):
     return _LOADED[path]
 
 
+# a single space between two characters that are no white space
+_START = re.compile(r"(?<=\S)(?= \S)")
+_OTHER_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def _parts(text: str) -> list[str]:
+    """The text cut before every single space between two characters that are no white space; the parts but
+    the first are given without that space.  The byte-level pre-tokeniser always starts a token there."""
+    if ("  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text)):
+        first, *rest = _START.split(text)
+        return [_FIRST + first, *(p[1:] for p in rest)]
+    parts = text.split(" ")
+    parts[0] = _FIRST + parts[0]
+    return parts
+
+
+_FIRST = "\0first "  # no part without its space has one at its end, so no other part is spelt so
+
+
 def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
     """``encode(text, add_special_tokens=False).ids`` of the tokenizers library for every text.
 
-    Texts are cut before each single space that stands between two characters that are not white
-    space.  The byte-level pre-tokeniser always starts a token there, so the parts encode alone to
-    what they give in the text, and the library encodes repeated parts once.
+    Texts are cut where the byte-level pre-tokeniser starts a token whatever stands around it.  The
+    parts encode alone to what they give in the text, so the library encodes repeated parts once.
     """
     tokenizer, cache = _tokenizer(path)
 
     def encode(parts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(parts), 10_000):
-            for e in tokenizer.encode_batch_fast(parts[i:i + 10_000], add_special_tokens=False):
+        whole = [p[len(_FIRST):] if p.startswith(_FIRST) else " " + p for p in parts]
+        for i in range(0, len(parts), 1000):
+            for e in tokenizer.encode_batch_fast(whole[i:i + 1000], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
-    return [np.frombuffer(x, dtype=np.uint32) for x in cache.encode([_safe_parts(t) for t in texts], encode)]
-
-
-def _safe_parts(text: str) -> list[str]:
-    words = text.split(" ")
-    out = [words[0]]
-    for w in words[1:]:
-        # a space next to other white space (or at an end) stays inside its part
-        if w and out[-1] and not w[0].isspace() and not out[-1][-1].isspace():
-            out.append(" " + w)
-        else:
-            out[-1] += " " + w
-    return out
+    return [np.frombuffer(x, dtype=np.uint32) for x in cache.encode(list(map(_parts, texts)), encode)]
 
 
 BLOCK_SCHEMA = "shard int, block int, first long, doc_ids array<long>, lengths array<long>, n_ids long, payload binary"
