@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnout.llm import decontaminate, line_dedup, pii, piece_codec, quality_rules, simhash_index, token_io
+from turnout.llm import decontaminate, html_extract, line_dedup, line_quality, pii, piece_codec, quality_rules, simhash_index, token_io, toxicity
 from turnout.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_io.token_checksums(tokens)
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,16 @@ def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
+def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_quality.score(docs, line_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.find_spans(table(spark, sf_dir, "documents")))
 
@@ -42,6 +56,6 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_token_files, op3_quality_rules, op4_piece_codec, op7_pii, op8_line_dedup,
-             op9_simhash_near_dedup, op10_benchmark_decontamination)
+    found = (op1_token_files, op2_html_main_text, op3_quality_rules, op4_piece_codec, op5_toxicity_chain, op6_line_quality, op7_pii,
+             op8_line_dedup, op9_simhash_near_dedup, op10_benchmark_decontamination)
     return {f.__name__: f for f in found}
