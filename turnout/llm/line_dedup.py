@@ -141,7 +141,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> tuple[DataFrame, str]:
     runs = written(repeated_runs(docs, min_words), "runs")
     runs = runs.select(F.col("doc_id").alias(f"{p}id"), F.col("text_hash").alias(f"{p}hash"), F.col("runs").alias(f"{p}runs"))
     keyed = docs.withColumn(f"{p}text_hash", F.xxhash64("text"))
-    joined = keyed.join(runs, F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & (F.col(f"{p}text_hash") == F.col(f"{p}hash")), "left")
+    # the runs grow with the corpus: always a shuffled join, never a broadcast that only small inputs allow
+    joined = keyed.join(runs.hint("merge"), F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & (F.col(f"{p}text_hash") == F.col(f"{p}hash")), "left")
     joined = joined.withColumn(f"{p}lines", F.split("text", "\n", -1))
     # what stays is the lines between the runs
     between = F.expr(f"""flatten(zip_with(concat(array(-1), transform({p}runs, r -> r.last)),
