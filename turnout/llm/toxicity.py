@@ -1,8 +1,8 @@
 """Toxicity by a chain of linear classifiers.
 
 The chain predicts one category after the other and ends with toxicity itself.  Every link is a logistic
-model over the words of a text, their first 4, 5 and 6 letters, and the probabilities that the earlier
-links give.  A later link learns from out-of-fold probabilities: each training text is judged by earlier
+model over the words of a text, their first 4, 5 and 6 letters, the categories they are listed in, and
+the probabilities that the earlier links give.  A later link learns from out-of-fold probabilities: each training text is judged by earlier
 links that have not seen it.
 
 The labels only say whether a text is toxic.  A category is taught by the toxic texts that have one of
@@ -35,14 +35,19 @@ def words_of(text: str | None) -> set[str]:
     return set(_WORD.findall((text or "").lower()))
 
 
-def features_of(word: str) -> list[str]:
-    return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n)]
+def tags_of(categories: dict) -> dict[str, list[str]]:
+    """Features that listed words have besides their own: that of their category, and that of any category."""
+    return {w: [f"#{name}", "#"] for name, listed in categories.items() for w in listed}
 
 
-def feature_hashes(words: set[str]) -> np.ndarray:
+def features_of(word: str, tags: dict[str, list[str]]) -> list[str]:
+    return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n), *tags.get(word, ())]
+
+
+def feature_hashes(words: set[str], tags: dict[str, list[str]]) -> np.ndarray:
     """Sorted 64-bit hashes of the features of a text's words."""
     from xxhash import xxh64_intdigest
-    found = {f for w in words for f in features_of(w)}
+    found = {f for w in words for f in features_of(w, tags)}
     return np.unique(np.fromiter((xxh64_intdigest(f) for f in found), np.uint64, len(found)))
 
 
@@ -99,9 +104,9 @@ def chance(texts: Texts, extra: np.ndarray, link: tuple[np.ndarray, np.ndarray])
 class ToxicityChain:
     """Known features (hashes) and the links, in order; a link's dense weights are for 1 and the earlier probabilities."""
 
-    def __init__(self, names: list[str], known: np.ndarray, links: list):
+    def __init__(self, names: list[str], known: np.ndarray, links: list, tags: dict[str, list[str]]):
         used = np.flatnonzero(np.any([w != 0 for w, _ in links], axis=0)) if len(known) else np.zeros(0, np.int64)
-        self.names, self.dense = names, [d for _, d in links]
+        self.names, self.dense, self.tags = names, [d for _, d in links], tags
         self.place = {h: k for k, h in enumerate(known[used].tolist())}
         self.weight = np.array([w[used] for w, _ in links]).reshape(len(links), len(used))
         self.memo: dict = {}
@@ -109,7 +114,7 @@ class ToxicityChain:
     def features(self, word: str) -> tuple:
         """Places of the word's known features (none for most words)."""
         from xxhash import xxh64_intdigest
-        found = tuple(k for f in features_of(word) if (k := self.place.get(xxh64_intdigest(f))) is not None)
+        found = tuple(k for f in features_of(word, self.tags) if (k := self.place.get(xxh64_intdigest(f))) is not None)
         if len(self.memo) > 300_000:
             self.memo.clear()
         self.memo[word] = found
@@ -127,8 +132,9 @@ class ToxicityChain:
         return out
 
 
-def _best_threshold(chances: np.ndarray, labels: np.ndarray) -> float:
-    """Logit at which the fewest texts are judged wrongly, in the middle of its gap; 0 without both labels."""
+def _best_threshold(chances: np.ndarray, labels: np.ndarray, prior: int = 50) -> float:
+    """Logit at which the fewest texts are judged wrongly, in the middle of its gap, drawn to 0 as by ``prior``
+    more toxic texts; 0 without both labels."""
     if labels.min() == labels.max():
         return 0.0
     order = np.argsort(chances, kind="stable")
@@ -137,14 +143,15 @@ def _best_threshold(chances: np.ndarray, labels: np.ndarray) -> float:
     wrong = np.cumsum(y)[:-1] + (len(y) - y.sum()) - np.cumsum(1 - y)[:-1]  # toxic below the cut, clean above it
     best = np.flatnonzero(wrong == wrong.min())
     cut = best[np.argmax(x[best + 1] - x[best])]
-    return float((x[cut] + x[cut + 1]) / 2)
+    return float((x[cut] + x[cut + 1]) / 2 * y.sum() / (y.sum() + prior))
 
 
-def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], fold: np.ndarray, n_folds: int = 3, most_features: int = 5000) -> ToxicityChain:
+def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], fold: np.ndarray, tags: dict[str, list[str]],
+              n_folds: int = 3, most_features: int = 5000) -> ToxicityChain:
     """The chain over ``labels`` (in order) from training texts' feature hashes; ``fold`` numbers each text's fold."""
     n = len(rows)
     if not n:
-        return ToxicityChain(list(labels), np.zeros(0, np.uint64), [(np.zeros(0), np.zeros(1 + k)) for k in range(len(labels))])
+        return ToxicityChain(list(labels), np.zeros(0, np.uint64), [(np.zeros(0), np.zeros(1 + k)) for k in range(len(labels))], tags)
     last = labels[list(labels)[-1]]
     features, index = np.unique(np.concatenate(rows), return_inverse=True)
     text = np.repeat(np.arange(n), [len(r) for r in rows])
@@ -168,15 +175,17 @@ def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], fold: np.nd
     # the penalty draws chances down: move the last link so that its best out-of-fold threshold is 0.5
     weight, dense = links[-1]
     links[-1] = weight, np.concatenate([dense[:1] - _best_threshold(earlier[:, -1], last), dense[1:]])
-    return ToxicityChain(list(labels), known, links)
+    return ToxicityChain(list(labels), known, links, tags)
 
 
 def _featuriser(categories: dict):
+    tags = tags_of(categories)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches, "text"):
             words = [words_of(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("label"), pa.array([feature_hashes(w).tobytes() for w in words], pa.binary()),
+                [rows.column("doc_id"), rows.column("label"), pa.array([feature_hashes(w, tags).tobytes() for w in words], pa.binary()),
                  pa.array([[not w.isdisjoint(c) for c in categories.values()] for w in words], pa.list_(pa.bool_()))],
                 names=["doc_id", "label", "features", "found"])
     return run
@@ -190,7 +199,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, categories: di
     toxic = np.array([r.label for r in rows], dtype=np.int64)
     found = np.array([r.found for r in rows], dtype=bool).reshape(len(rows), len(categories))
     taught = {name: toxic * found[:, k] for k, name in enumerate(categories)} | {"toxic": toxic}
-    return fit_chain([np.frombuffer(r.features, np.uint64) for r in rows], taught, np.array([r.fold for r in rows], dtype=np.int64))
+    return fit_chain([np.frombuffer(r.features, np.uint64) for r in rows], taught,
+                     np.array([r.fold for r in rows], dtype=np.int64), tags_of(categories))
 
 
 def _scorer(chain):
