@@ -55,8 +55,8 @@ _RULES = {
     "word_length": ("word_chars < 3 * n_words OR word_chars > 6.5 * n_words", "word_chars >= 3.5 * n_words AND word_chars <= 6 * n_words"),
     "symbols": ("n_symbols > 0.05 * word_chars", "n_symbols <= 0.005 * word_chars"),
     "bars": ("n_bars > 0.05 * n_words", "n_bars = 0"),
-    "repeated_lines": ("n_dup_lines > 0.3 * n_lines", "n_dup_lines = 0"),
-    "repeated_words": ("n_repeat_words > 0.2 * n_words", "n_repeat_words <= 0.05 * n_words"),
+    "repeated_lines": ("n_dup_lines > 0.5 * n_lines", "n_dup_lines = 0"),
+    "repeated_words": ("n_repeat_words > 0.3 * n_words", "n_repeat_words <= 0.05 * n_words"),
     "capitals": ("n_capitals > 0.25 * word_chars", "n_capitals <= 0.1 * word_chars"),
     "shouting": ("n_shouts > 0.05 * n_words", "n_shouts = 0"),
 }
