@@ -57,7 +57,7 @@ def test_scaled_values_in_unit_range_for_fit_dataset(spark):
 
 def test_seed_and_upsert_are_repeatable(spark):
     inp = Inputs(spark, SMALL)
-    slot = M.batch_slot(inp.ballots)
+    slot = M.batch_slot(spark, SMALL)
     table = PR.seed_predictions(inp.prediction, inp.dim, slot)
     pairs = inp.dim.count()
     assert table.count() == pairs                                  # one row per hierarchy pair
@@ -99,12 +99,12 @@ def test_report_switches(spark):
     assert fixed == sorted(set(fixed))
 
 
-def test_forecast_from_last_minutes(spark):
+def test_forecast_from_last_hour_covers_every_area(spark):
     from turnout.plans import forecast as FC
-    mc = M._minute_counts(spark, SMALL)
-    steps = FC.model_steps(mc, take="last")
+    pairs = Inputs(spark, SMALL).dim
+    steps = FC.last_hour_steps(M._last_hour(spark, SMALL), pairs)
     assert steps.groupBy("area_l2").count().filter("count <> 60").count() == 0
-    assert FC.forecast(mc, take="last").count() == mc.select("area_l2").distinct().count()
+    assert FC.forecast_steps(steps).count() == pairs.count()
 
 
 def test_empty_forecast_keeps_or_drops_live_points(spark):

@@ -15,21 +15,34 @@ def test_report_plans_stay_in_the_jvm(spark):
         assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p and "FlatMapGroupsInPandas" not in p, name
 
 
+def _final(df) -> str:
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
 def test_scans_read_only_needed_columns(spark):
     p = _plan(R.r12_region_turnout(Inputs(spark, SMALL)))
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in R.r12_region_turnout(Inputs(spark, SMALL))._jdf \
-        .queryExecution().executedPlan().toString() or "struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in p \
-        or "user_id" in p
-    assert "c_acctbal" not in p and "c_mktsegment" not in p and "event_type" not in p
+    scans = [line for line in p.splitlines() if "FileScan" in line and "/events.parquet" in line]
+    assert scans and all("c_acctbal" not in line and "event_type" not in line and "value" not in line for line in scans)
+    assert all("ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in line for line in scans)
 
 
 def test_area_reports_scan_events_once(spark):
-    df = R.r20_area_age_turnout(Inputs(spark, SMALL))
-    df.collect()
-    p = df._jdf.queryExecution().executedPlan().toString()
-    scans = p.count("events.parquet")
-    reused = p.count("ReusedExchange")
-    assert scans == 1 or reused >= 1
+    assert _final(R.r20_area_age_turnout(Inputs(spark, SMALL))).count("/events.parquet") == 1
+
+
+def test_history_scans_events_once(spark):
+    from turnout.plans import modeling as M
+    for query in (M.minute_grid_dense, M.outlier_zeroed, M.history_scaled, M.supervised_windows, M.forecast_eval):
+        assert _final(query(spark, SMALL)).count("/events.parquet") == 1, query.__name__
+
+
+def test_summary_filter_reaches_the_scan(spark):
+    from turnout.plans.live import summary_scan
+    p = _plan(summary_scan(spark, SMALL))
+    assert "PushedFilters: [IsNotNull(total), GreaterThan(total,0)]" in p
+    assert "ReadSchema: struct<area_id:bigint,total:bigint,male:bigint,female:bigint>" in p
 
 
 def test_minute_counts_combines_before_shuffle_unless_colocated(spark):

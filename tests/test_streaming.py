@@ -4,6 +4,7 @@ import os
 import shutil
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
@@ -13,6 +14,7 @@ from turnout.session import scratch_path
 from turnout.sources import cdc
 from turnout.sources import proof_views as pv
 from turnout.streaming import ingest as ST
+from turnout.streaming import state
 
 
 def _batch_counts(spark):
@@ -40,7 +42,8 @@ def test_restart_resumes_without_loss(spark):
     for d in days[half:]:
         shutil.copytree(os.path.join(staged, d), os.path.join(src_dir, d))
     ST.run_minute_counts(spark, src, table, ckpt).awaitTermination()      # same checkpoint: resumes
-    got = ST.latest_per_key(spark, table, ["area_l1", "area_l2", "minute"])
+    got = state.current(spark, table)
+    assert len(state.versions(spark, table)) <= state.KEEP
     keys = ["area_l1", "area_l2", "minute", "male", "female", "col_1", "col_7"]
     assert _rows(got, keys) == _rows(_batch_counts(spark), keys)
 
@@ -71,7 +74,7 @@ def test_watermark_drops_late_rows_only_when_asked(spark):
         table, ckpt = scratch_path(spark, "late-table"), scratch_path(spark, "late-ckpt")
         ST.run_minute_counts(spark, src, table, ckpt, watermark=wm).awaitTermination()
         keys = ["area_l1", "area_l2", "minute"] if wm is None else ["area_l1", "area_l2", "window_start"]
-        t = ST.latest_per_key(spark, table, keys)
+        t = state.current(spark, table)
         first_minute = t.orderBy(keys[-1]).first()
         assert first_minute["male"] == expect
 
@@ -92,36 +95,94 @@ def test_live_pipeline_publishes_every_batch(spark):
     from turnout.plans.inputs import Inputs
     from turnout.streaming import pipeline as PL
     src = S._source(spark, SMALL)
-    state, ckpt = scratch_path(spark, "live"), scratch_path(spark, "live-ckpt")
-    q = PL.run_live_pipeline(spark, src, state, ckpt, Inputs(spark, SMALL).dim, data_dir=SMALL)
+    folder, ckpt = scratch_path(spark, "live"), scratch_path(spark, "live-ckpt")
+    q = PL.run_live_pipeline(spark, src, folder, ckpt, Inputs(spark, SMALL).dim, data_dir=SMALL)
     q.awaitTermination()
     n_batches = len(q.recentProgress)
-    reports = spark.read.json(f"{state}/reports")
+    reports = spark.read.json(f"{folder}/reports")
     per = {(r["batch_id"], r["endpoint"]): r["count"] for r in reports.groupBy("batch_id", "endpoint").count().collect()}
     assert {b for b, _ in per} == set(range(n_batches))
     assert all(per[(b, "nation_en")] == 1 for b in range(n_batches))
-    pred = PL.latest_version(spark, f"{state}/prediction")
+    pred = state.current(spark, f"{folder}/prediction")
     assert pred.count() == Inputs(spark, SMALL).dim.count()          # one row per hierarchy pair
 
 
-def test_running_minutes_forecast_option(spark):
+def test_running_forecast_does_not_depend_on_batches(spark):
     from turnout.plans import streams as S
     from turnout.plans.inputs import Inputs
     from turnout.streaming import pipeline as PL
-    src = S._source(spark, SMALL)
-    state, ckpt = scratch_path(spark, "live-run"), scratch_path(spark, "live-run-ckpt")
-    q = PL.run_live_pipeline(spark, src, state, ckpt, Inputs(spark, SMALL).dim, publish=False, forecast_from="running")
-    q.awaitTermination()
-    last = len(q.recentProgress) - 1
-    minutes = spark.read.parquet(f"{state}/minutes/v={last}")
-    assert minutes.agg(F.sum("male")).first()[0] == _batch_counts(spark).agg(F.sum("male")).first()[0]
-    assert PL.latest_version(spark, f"{state}/prediction").count() == Inputs(spark, SMALL).dim.count()
+    tables = []
+    for files in (1000, 20, 7):
+        src = S._source(spark, SMALL, files_per_trigger=files)
+        folder, ckpt = scratch_path(spark, "live-run"), scratch_path(spark, "live-run-ckpt")
+        q = PL.run_live_pipeline(spark, src, folder, ckpt, Inputs(spark, SMALL).dim, publish=False, forecast_from="running")
+        q.awaitTermination()
+        for name in ("minutes", "summary", "prediction"):
+            assert len(state.versions(spark, f"{folder}/{name}")) <= state.KEEP
+        tables.append(sorted(map(tuple, state.current(spark, f"{folder}/prediction").collect())))
+    assert tables[0] == tables[1] == tables[2]
+    assert len(tables[0]) == Inputs(spark, SMALL).dim.count()
+
+
+@pytest.mark.parametrize("files", [1000, 30, 6])
+def test_dedup_does_not_depend_on_batches(spark, files):
+    from turnout.plans import streams as S
+    raw = pv.cdc_raw(spark, SMALL)
+    got = S.stream_dedup(spark, SMALL, files_per_trigger=files)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, cdc.decode_cdc(raw).collect()), key=str)
+    first = S.stream_dedup_citizen(spark, SMALL, files_per_trigger=files)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, ST.first_ballots(raw).collect()))
+
+
+def test_last_hour_crosses_midnight(spark):
+    from turnout.plans import forecast as FC
+    day = 86_400_000
+    ms = [day * 20_000 + 23 * 3_600_000, day * 20_000 + 86_390_000, day * 20_001 + 600_000]  # 23:00, 23:59:50, 00:10 next day
+    ballots = spark.createDataFrame([(1, 2, 40, 1, t) for t in ms] + [(1, 3, 40, 2, ms[0])],
+                                    "area_l1 long, area_l2 long, age long, sex long, log_ms long")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "area_l1 long, area_l2 long")
+    steps = FC.last_hour_steps(FC.event_minute_counts(ballots), pairs)
+    assert steps.count() == 120
+    assert [(r.area_l2, r.step) for r in steps.filter("male + female > 0").orderBy("step").collect()] == [(2, 50), (2, 60)]
+
+
+def test_bundles_from_given_documents(spark):
+    """Denominators, names, ages and summary all given: nothing is read from a data directory."""
+    from turnout.operators.aggregate import summaries_eager
+    from turnout.plans import charts as CH
+    from turnout.plans.inputs import Inputs
+    from turnout.sources import dims
+    given = Inputs(spark, SMALL)
+    docs = {}
+    for level in ("nation", "l1", "l2"):
+        path = scratch_path(spark, f"doc-{level}")
+        dims.write_registered_doc(given.registered(level), path, level)
+        docs[level] = dims.read_registered(spark, path, level)
+    rows = [tuple(r) for r in given.dim.collect()]
+    own = Inputs(spark, None, summary=summaries_eager(pv.ballot_events(spark, SMALL), pv.citizen_areas(spark, SMALL)),
+                 prediction_table=given.prediction, registered_tables=docs, area_table=dims.area_table(spark, rows),
+                 age_counts=given.ages, registered_age_counts=given.reg_ages)
+    assert sorted(map(tuple, CH.bundles(own).collect())) == sorted(map(tuple, CH.bundles(given).collect()))
+
+
+def test_live_age_chart_counts_the_ballots_so_far(spark):
+    from turnout.plans import reports as R
+    from turnout.plans import streams as S
+    from turnout.plans.inputs import Inputs
+    from turnout.streaming import pipeline as PL
+    src = S._source(spark, SMALL, files_per_trigger=20)
+    folder, ckpt = scratch_path(spark, "live-ages"), scratch_path(spark, "live-ages-ckpt")
+    PL.run_live_pipeline(spark, src, folder, ckpt, Inputs(spark, SMALL).dim, data_dir=SMALL).awaitTermination()
+    ages = state.current(spark, f"{folder}/ages")
+    decoded = ST.decoded_ballots(pv.cdc_raw(spark, SMALL)).filter("age IS NOT NULL").groupBy("age").count()
+    assert sorted(map(tuple, ages.collect())) == sorted(map(tuple, decoded.collect()))
+    live = R.r5_top_ages(Inputs(spark, SMALL, age_counts=ages))
+    assert live.count() == 10
 
 
 def test_ingest_counts_add_up(spark):
     from turnout.plans import streams as S
-    df = S.stream_ingest_counts(spark, SMALL)
-    tot = df.agg(F.sum("messages").alias("m"), F.sum("ballots").alias("b")).first()
+    tot = S.stream_ingest_counts(spark, SMALL).first()
     raw = pv.cdc_raw(spark, SMALL)
-    assert tot["m"] == raw.count()
-    assert tot["b"] == ST.decoded_ballots(raw).count()
+    assert tot["messages"] == raw.count()
+    assert tot["ballots"] == ST.decoded_ballots(raw).count()

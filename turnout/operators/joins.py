@@ -34,12 +34,14 @@ def with_national(df: DataFrame, nat: DataFrame, prefix: str = "reg_") -> DataFr
 def densify(df: DataFrame, keys: list[str], step_col: str, lo: int, hi: int, fill_cols: list[str]) -> DataFrame:
     """Every key combination present x every step in [lo, hi]; missing counters -> 0.
 
-    The grid is built from distinct keys (A13) exploded against ``sequence(lo, hi)``, so its
-    size is keys x steps and nothing is collected to the driver.
+    One pass: a key's rows (one per step, so at most hi - lo + 1) become a map from step to counters,
+    and the steps are looked up in it.  No self-join, and the input is read once.
     """
-    grid = df.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"))).alias(step_col))
-    j = grid.join(df, keys + [step_col], "left")
-    return j.selectExpr(*keys, step_col, *[f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in fill_cols])
+    row = F.struct(*[F.col(c).cast("long").alias(c) for c in fill_cols])
+    per_key = df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col(step_col).cast("long"), row))).alias("_at"))
+    steps = per_key.select(*keys, "_at", F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"))).alias(step_col))
+    found = steps.select(*keys, step_col, F.try_element_at("_at", F.col(step_col)).alias("_row"))
+    return found.selectExpr(*keys, step_col, *[f"coalesce(_row.{c}, 0L) AS {c}" for c in fill_cols])
 
 
 def overlay_last(stats: DataFrame, fc: DataFrame, keys: list[str], x: str, y: str, order: str,

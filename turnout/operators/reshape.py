@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnout.functions.jsontext import json_object, json_value
+
 
 def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str], label: str, value: str,
                      labels: dict | None = None) -> DataFrame:
@@ -43,6 +45,5 @@ def plots_json(rows: DataFrame, keys: list[str], x: str = "x", y: str = "y", ord
     Each group is one chart (bounded by its x axis: hours, labels, top-k entries), so
     ``collect_list`` here gathers tens of points, never ballots.
     """
-    pts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(x).cast("string").alias("k"), F.col(y).alias("v"))))
-    return rows.groupBy(*keys).agg(pts.alias("_p")).select(
-        *keys, F.to_json(F.map_from_arrays(F.col("_p.k"), F.col("_p.v"))).alias("plots"))
+    pts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(x).cast("string").alias("x"), json_value(F.col(y)).alias("y"))))
+    return rows.groupBy(*keys).agg(pts.alias("_p")).select(*keys, json_object(F.col("_p")).alias("plots"))

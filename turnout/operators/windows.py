@@ -48,7 +48,8 @@ def first_steps(df: DataFrame, keys: list[str], order: str, n: int, step: str =
 def pad_steps(df: DataFrame, keys: list[str], n: int, fill_cols: list[str], step: str = "step",
               carry_cols: list[str] = ()) -> DataFrame:
     """Groups shorter than ``n`` steps get zero rows appended up to ``n``."""
-    carried = [F.first(c).alias(c) for c in carry_cols]
+    # what a group carries comes from its first step
+    carried = [F.min_by(c, step).alias(c) for c in carry_cols]
     groups = df.groupBy(*keys).agg(*carried) if carried else df.select(*keys).distinct()
     grid = groups.select(*keys, *carry_cols, F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long"))).alias(step))
     j = grid.join(df.drop(*carry_cols), keys + [step], "left")

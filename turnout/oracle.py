@@ -7,6 +7,9 @@ never translated here; the statements restate the rules in plain SQL.
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 from turnout import constants as C
 
 YEARS_LIST = "[" + ", ".join(str(y) for y in C.REG_YEARS) + "]"
@@ -428,7 +431,8 @@ def live_sql() -> dict[str, str]:
 def live_sql_raw() -> dict[str, str]:
     d = {
         "cdc_range_read": "SELECT 'server1.votes.dbo.ballots' AS topic, 0 AS partition, event_id AS offset, "
-                          "(CASE WHEN event_id % 103 = 0 THEN 0 ELSE 1 END)::BIGINT AS has_value FROM ballots",
+                          "(CASE WHEN event_id % 103 = 0 THEN 0 ELSE 1 END)::BIGINT AS has_value FROM ballots, "
+                          "(SELECT max(event_id) + 1 AS n FROM ballots) WHERE event_id >= n // 4 AND event_id < n - n // 4",
         "cdc_decode": f"SELECT event_id AS offset, op, " + ", ".join(
             f"CASE WHEN op IN ('c', 'u') THEN {c} END AS {c}" for c in BALLOT_FIELDS)
             + f" FROM (SELECT *, {OP} AS op FROM ballots)",
@@ -451,6 +455,9 @@ def live_sql_raw() -> dict[str, str]:
         "area_rollup": rollup_sql(),
         "summary_scan": "SELECT area_id, total, male, female FROM s_l2 WHERE total > 0",
         "registered_dim": "SELECT * FROM reg_l2",
+        "registered_dim_nation": "SELECT * FROM reg_nat",
+        "registered_dim_region": "SELECT * FROM reg_l1",
+        "registered_dim_wilayat": "SELECT * FROM reg_l2",
         "area_dim": "SELECT n.n_regionkey::BIGINT AS area_l1, trim(r.r_name) AS l1_name, n.n_nationkey::BIGINT AS area_l2, "
                     "trim(n.n_name) AS l2_name FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey",
         "area_names": "SELECT i.level, i.area_id, coalesce(nm.area_name, i.area_id::VARCHAR) AS area_name FROM "
@@ -557,15 +564,53 @@ view("first60", "SELECT *, row_number() OVER (PARTITION BY area_l2 ORDER BY minu
 view("steps60", "SELECT k.area_l1, k.area_l2, g.step, " + ", ".join(f"coalesce(f.{c}, 0)::BIGINT AS {c}" for c in COUNTERS)
      + " FROM (SELECT DISTINCT area_l1, area_l2 FROM first60) k CROSS JOIN (SELECT range::BIGINT AS step FROM range(1, 61)) g "
      "LEFT JOIN first60 f ON f.area_l2 = k.area_l2 AND f.step = g.step", ["first60"])
-view("fc", "SELECT area_l1, area_l2, " + ", ".join(f"max(v) FILTER (WHERE feature = '{c}') AS {c}" for c in COUNTERS)
-     + " FROM (SELECT area_l1, area_l2, feature, "
-     "trunc(round((60 * regr_intercept(y, step) + 5430 * regr_slope(y, step)) * any_value(span) + any_value(lo), 6))::BIGINT AS v "
-     "FROM (SELECT l.*, s.lo, CASE WHEN s.hi = s.lo THEN 1.0 ELSE (s.hi - s.lo)::DOUBLE END AS span, "
-     "      (l.x - s.lo) / (CASE WHEN s.hi = s.lo THEN 1.0 ELSE (s.hi - s.lo)::DOUBLE END) AS y "
-     "      FROM (UNPIVOT steps60 ON " + ", ".join(COUNTERS) + " INTO NAME feature VALUE x) l "
-     "      JOIN (SELECT area_l2, feature, min(x) AS lo, max(x) AS hi FROM (UNPIVOT steps60 ON " + ", ".join(COUNTERS)
-     + " INTO NAME feature VALUE x) GROUP BY area_l2, feature) s ON s.area_l2 = l.area_l2 AND s.feature = l.feature) "
-     "GROUP BY area_l1, area_l2, feature) GROUP BY area_l1, area_l2", ["steps60"])
+
+
+def trend_sql(steps: str, bounds: str | None = None) -> str:
+    """Forecast of a 60-step view by its trend, scaled by each group's own bounds, or by (area_l2, feature, lo, hi) of ``bounds``."""
+    flat = f"(UNPIVOT {steps} ON " + ", ".join(COUNTERS) + " INTO NAME feature VALUE x)"
+    own = f"(SELECT area_l2, feature, min(x)::DOUBLE AS lo, max(x)::DOUBLE AS hi FROM {flat} GROUP BY area_l2, feature)"
+    s = own if bounds is None else (f"(SELECT o.area_l2, o.feature, coalesce(b.lo, o.lo) AS lo, coalesce(b.hi, o.hi) AS hi FROM {own} o "
+                                    f"LEFT JOIN ({bounds}) b ON b.area_l2 = o.area_l2 AND b.feature = o.feature)")
+    return ("SELECT area_l1, area_l2, " + ", ".join(f"max(v) FILTER (WHERE feature = '{c}') AS {c}" for c in COUNTERS)
+            + " FROM (SELECT area_l1, area_l2, feature, "
+            "trunc(round((60 * regr_intercept(y, step) + 5430 * regr_slope(y, step)) * any_value(span) + any_value(lo), 6))::BIGINT AS v "
+            "FROM (SELECT l.*, s.lo, CASE WHEN s.hi = s.lo THEN 1.0 ELSE (s.hi - s.lo)::DOUBLE END AS span, "
+            "      (l.x - s.lo) / (CASE WHEN s.hi = s.lo THEN 1.0 ELSE (s.hi - s.lo)::DOUBLE END) AS y "
+            f"      FROM {flat} l JOIN {s} s ON s.area_l2 = l.area_l2 AND s.feature = l.feature) "
+            "GROUP BY area_l1, area_l2, feature) GROUP BY area_l1, area_l2")
+
+
+def last_hour_sql(src: str) -> str:
+    """60 clock minutes up to the newest ballot of ``src`` for every area pair, silent minutes as zeros."""
+    ev = f"SELECT area_l1, area_l2, ((log_ms + 30000) // 60000)::BIGINT AS em, {MALE} AS male, {FEMALE} AS female, {LIVE_FLAGS} FROM {src}"
+    return ("SELECT p.area_l1, p.area_l2, g.step, " + ", ".join(f"coalesce(m.{c}, 0)::BIGINT AS {c}" for c in COUNTERS)
+            + " FROM (SELECT n_regionkey::BIGINT AS area_l1, n_nationkey::BIGINT AS area_l2 FROM nation) p "
+            "CROSS JOIN (SELECT range::BIGINT AS step FROM range(1, 61)) g "
+            f"CROSS JOIN (SELECT max((log_ms + 30000) // 60000)::BIGINT AS newest FROM {src}) t "
+            f"LEFT JOIN (SELECT area_l1, area_l2, em, {sums(COUNTERS)} FROM ({ev}) GROUP BY area_l1, area_l2, em) m "
+            "ON m.area_l1 = p.area_l1 AND m.area_l2 = p.area_l2 AND m.em = t.newest - 60 + g.step")
+
+
+view("fc", trend_sql("steps60"), ["steps60"])
+view("steps_lh", last_hour_sql("ballots"), ["ballots"])
+view("iqr_l2", "SELECT dataset, area_id, " + ", ".join(
+    f"quantile_cont({c}::DOUBLE, 0.25) AS q1_{c}, quantile_cont({c}::DOUBLE, 0.75) AS q3_{c}" for c in COUNTERS)
+    + " FROM dense_l2 GROUP BY dataset, area_id", ["dense_l2"])
+view("zeroed_l2", "SELECT d.dataset, d.area_id, d.minute, " + ", ".join(
+    f"CASE WHEN d.{c} < q.q1_{c} - 1.5 * (q.q3_{c} - q.q1_{c}) OR d.{c} > q.q3_{c} + 1.5 * (q.q3_{c} - q.q1_{c}) "
+    f"THEN 0.0 ELSE d.{c}::DOUBLE END AS {c}" for c in COUNTERS)
+    + " FROM dense_l2 d JOIN iqr_l2 q ON q.dataset = d.dataset AND q.area_id = d.area_id", ["iqr_l2"])
+view("fit_l2", fit_sql("zeroed_l2"), ["zeroed_l2"])
+STORED = ("SELECT area_id AS area_l2, feature, lo, hi FROM (UNPIVOT (SELECT * FROM fit_l2) ON "
+          + ", ".join(f"(lo_{c}, hi_{c}) AS {c}" for c in COUNTERS) + " INTO NAME feature VALUE lo, hi)")
+# ballots that the change log carries (inserts and updates), and what the live job makes of them
+view("stream_ballots", f"SELECT * FROM (SELECT *, {OP} AS op FROM ballots) WHERE op IN ('c', 'u')", ["ballots"])
+view("stream_steps", last_hour_sql("stream_ballots"), ["stream_ballots"])
+view("stream_fc", trend_sql("stream_steps"), ["stream_steps"])
+view("stream_l2", "SELECT area_l2, " + ", ".join(f"sum({e})::BIGINT AS {n}" for n, e in (
+    [("male", flag("sex = 1")), ("female", flag("sex = 2"))] + [(n, flag(closed("age", lo, hi))) for n, lo, hi in C.SUMMARY_BINS]))
+    + " FROM stream_ballots GROUP BY area_l2", ["stream_ballots"])
 view("fc_live", "SELECT f.area_l1, f.area_l2, f.male + s.male AS male, f.female + s.female AS female, "
      + ", ".join(f"f.col_{i + 1} + s.{AGE_COLS[i]} AS col_{i + 1}" for i in range(5))
      + ", f.col_6 + f.col_7 + s.age_71_p AS col_6 FROM fc f JOIN s_l2 s ON s.area_id = f.area_l2", ["fc", "s_l2"])
@@ -622,6 +667,8 @@ def modeling_sql() -> dict[str, str]:
         "pad_to_60": "SELECT * FROM steps60",
         "forecast_minutes": "SELECT * FROM fc",
         "forecast_trend_sql": "SELECT * FROM fc",
+        "forecast_last_hour": trend_sql("steps_lh"),
+        "forecast_stored_scaler": trend_sql("steps60", STORED),
         "forecast_eval": eval_sql(),
         "forecast_plus_live": "SELECT * FROM fc_live",
         "prediction_seed": f"SELECT area_l1, area_l2, {fmt}, {pc} FROM seeded",
@@ -632,7 +679,7 @@ def modeling_sql() -> dict[str, str]:
                              + " FROM seeded t LEFT JOIN fc_live u ON u.area_l1 = t.area_l1 AND u.area_l2 = t.area_l2",
     }
     views = ALL_VIEWS + ["hist", "dense_l1", "dense_l2", "iqr_l1", "zeroed_l1", "fit_l1", "scaled_l1", "windows_l1",
-                         "split_l1", "mc", "first60", "steps60", "fc", "fc_live", "slot", "seeded"]
+                         "split_l1", "mc", "first60", "steps60", "fc", "fc_live", "slot", "seeded", "steps_lh", "fit_l2"]
     return {k: with_views(v, *views) for k, v in d.items()}
 
 
@@ -643,12 +690,22 @@ def stream_sql() -> dict[str, str]:
                                 + FEATURES.replace("FROM ballots", f"FROM ({decoded}) WHERE op IN ('c', 'u')")
                                 + ") GROUP BY area_l1, area_l2, minute",
         "stream_dedup": live_sql_raw()["cdc_decode"],
+        "stream_dedup_citizen": "SELECT citizen_id, event_id AS offset, age, sex, reg_year, log_ms, area_l1, area_l2 FROM stream_ballots "
+                                "QUALIFY row_number() OVER (PARTITION BY citizen_id ORDER BY event_id) = 1",
+        "stream_ingest_counts": f"SELECT count(*)::BIGINT AS messages, count(*) FILTER (op IN ('c', 'u'))::BIGINT AS ballots, "
+                                f"min(event_id)::BIGINT AS first_offset, max(event_id)::BIGINT AS last_offset FROM ({decoded})",
+        "stream_forecast": "SELECT f.area_l1, f.area_l2, strftime(make_timestamp(((SELECT max(log_ms) FROM stream_ballots) // 3600000 + 1) "
+                           "* 3600000000), '%Y-%m-%d %H:%M:%S') AS time_slot, "
+                           + ", ".join(f"(f.{c} + coalesce(s.{c}, 0))::BIGINT AS {c}" for c in ("male", "female")) + ", "
+                           + ", ".join(f"(f.col_{i + 1} + coalesce(s.{AGE_COLS[i]}, 0))::BIGINT AS col_{i + 1}" for i in range(5))
+                           + ", (f.col_6 + f.col_7 + coalesce(s.age_71_p, 0))::BIGINT AS col_6 "
+                           "FROM stream_fc f LEFT JOIN stream_l2 s ON s.area_l2 = f.area_l2",
         "cdc_latest_state": "SELECT citizen_id, event_id AS offset, age, sex, reg_year, log_ms, area_l1, area_l2 FROM ("
                             f"SELECT * FROM ({decoded}) WHERE op IS NOT NULL "
                             "QUALIFY row_number() OVER (PARTITION BY citizen_id ORDER BY log_ms DESC, event_id DESC) = 1"
                             ") WHERE op <> 'd'",
     }
-    return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()}
+    return {k: with_views(v, *ALL_VIEWS, "stream_ballots", "stream_fc", "stream_l2") for k, v in d.items()}
 
 
 def pick_sql() -> str:
@@ -662,6 +719,42 @@ def pick_sql() -> str:
             f"CROSS JOIN ({cands}) c) WHERE rnk <= 1")
 
 
+# the bundle of batch 0: charts of the nation (two of them drawn), and of every region and wilayat
+BUNDLE_NATION = ["hour_summary", "gender_turnout", "turnout_with_forecast"]
+BUNDLE_AREA = ["area_cumulative_turnout", "area_gender_turnout", "area_turnout_with_forecast", "area_gender_forecast", "area_age_turnout"]
+NESTED = ["region_gender_turnout", "wilayat_gender_top10", "region_age_top2", "wilayat_age_top2"]
+BUNDLE_ENDPOINTS = ["nation", "nation_en", "nation_cn", "nation_ru", "nation_fr", "nation_es"]
+
+
+def drawn(batch: int = 0) -> list[str]:
+    """The report drawn from each weighted list: smallest -ln(u) / weight, u from md5 of '<batch>:<name>'."""
+    from turnout.plans.charts import PICK_ROWS
+    best: dict[int, tuple] = {}
+    for group, name, weight in PICK_ROWS:
+        u = (int(hashlib.md5(f"{batch}:{name}".encode()).hexdigest()[:13], 16) + 0.5) / float(1 << 52)
+        best[group] = min(best.get(group, (math.inf, "")), (-math.log(u) / weight, name))
+    return [best[g][1] for g in sorted(best)]
+
+
+def bundle_sql() -> str:
+    from turnout.plans.charts import CHART_SPECS
+    reports, names = report_sql(), BUNDLE_NATION + drawn() + BUNDLE_AREA
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS pos, '{CHART_SPECS[n][0]}' AS type, '{CHART_SPECS[n][1]}' AS graph, '{CHART_SPECS[n][2]}' AS info, level, area_id, area_name, "
+        f"x, x_ord, {'series' if n in NESTED else chr(39) * 2} AS series, y::DOUBLE AS y FROM ({reports[n]})" for i, n in enumerate(names))
+    # an axis label that occurred before in its chart gets its place in brackets
+    axis = ("SELECT *, CASE WHEN row_number() OVER (PARTITION BY pos, level, area_id, x ORDER BY k) > 1 THEN x || ' (' || k || ')' ELSE x END AS label "
+            "FROM (SELECT *, row_number() OVER (PARTITION BY pos, level, area_id ORDER BY x_ord, x) AS k "
+            f"FROM (SELECT DISTINCT pos, level, area_id, x, x_ord FROM ({rows})))")
+    placed = f"SELECT *, dense_rank() OVER (PARTITION BY level, area_id ORDER BY pos) - 1 AS position FROM ({rows})"
+    ends = (" UNION ALL ".join(f"SELECT 'nation' AS level, '{e}' AS endpoint" for e in BUNDLE_ENDPOINTS)
+            + " UNION ALL SELECT 'l1', 'region' UNION ALL SELECT 'l2', 'wilayat'")
+    return (f"SELECT e.endpoint, r.area_id::VARCHAR AS area_key, r.position::BIGINT AS position, r.type, r.graph, "
+            f"replace(r.info, '{{name}}', r.area_name) AS info, r.series, a.label AS x, r.y FROM ({placed}) r "
+            f"JOIN ({axis}) a ON a.pos = r.pos AND a.level = r.level AND a.area_id = r.area_id AND a.x = r.x AND a.x_ord = r.x_ord "
+            f"JOIN ({ends}) e ON e.level = r.level")
+
+
 def publish_sql() -> dict[str, str]:
     r15 = _r15()
     d = {
@@ -670,7 +763,7 @@ def publish_sql() -> dict[str, str]:
                             f"FROM ({r15}) "
                             "GROUP BY level, area_id",
     }
-    return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()}
+    return {k: with_views(v, *ALL_VIEWS) for k, v in d.items()} | {"report_bundle_json": bundle_sql()}
 
 
 def all_sql() -> dict[str, str]:

@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnout import constants as C
+from turnout.functions.jsontext import json_object, json_value
 from turnout.plans import reports as R
 from turnout.plans.inputs import Inputs
 
-# Chart descriptors per report -- (type, graph, info, x label, y label, sub-info).
-# "{name}" is replaced by the area name.
+# Chart descriptors per report: (type, graph, info, x label, y label, sub-info).  "{name}" is replaced
+# by the area name.
 CHART_SPECS = {
     "forecast_by_hour": (C.FORECASTED, "LineGraph", "Overall polling prediction", "Hour", "Polling Percentage", None),
     "hour_summary": (C.STATS, "LineGraph", "Nation polling stats", "Hours", "Polling Percentage", None),
@@ -52,13 +53,17 @@ NATION_PICK_2 = ["gender_forecast", "age_forecast"]
 AREA_BUNDLE = ["area_cumulative_turnout", "area_gender_turnout", "area_turnout_with_forecast", "area_gender_forecast",
                "area_age_turnout"]
 LANG_ENDPOINTS = ["nation", "nation_en", "nation_cn", "nation_ru", "nation_fr", "nation_es"]
+# reports whose values are published as floats (fixed values)
+FLOATS = {"region_gender_turnout", "wilayat_gender_top10", "regyear_turnout", "area_gender_forecast", "area_age_turnout"}
 STACKED = {k for k, v in CHART_SPECS.items() if v[1] == "ColumnStackedChart"}
 
 
 def report_rows(inp: Inputs, names: list[str]) -> DataFrame:
-    """Long rows of several reports with a ``report`` column; y as double for JSON."""
-    frames = [R.REPORTS[n](inp).withColumn("report", F.lit(n)).withColumn("y", F.col("y").cast("double"))
-              for n in names]
+    """Long rows of several reports with a ``report`` column; y as its JSON text: whole numbers, but for
+    the reports that publish floats."""
+    def text(name: str) -> Column:
+        return json_value(F.col("y").cast("double") if name in FLOATS else F.col("y"))
+    frames = [R.REPORTS[n](inp).withColumn("report", F.lit(n)).withColumn("y", text(n)) for n in names]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -71,16 +76,12 @@ def charts(rows: DataFrame) -> DataFrame:
     """One JSON chart per (report, level, area_id) ordered by ``x_ord``."""
     keys = ["report", "level", "area_id", "area_name"]
     flat = rows.filter(~F.col("report").isin(*STACKED))
-    flat_pts = F.array_sort(F.collect_list(F.struct("x_ord", "x", "y")))
-    flat_plots = flat.groupBy(*keys).agg(flat_pts.alias("p")).select(
-        *keys, F.to_json(F.map_from_arrays(F.col("p.x"), F.col("p.y"))).alias("plots"))
-    nested = rows.filter(F.col("report").isin(*STACKED))
-    inner = nested.groupBy(*keys, "x", "x_ord").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("series", "y")))).alias("m"))
-    by_ord = lambda a, b: F.when(a["x_ord"] < b["x_ord"], -1).when(a["x_ord"] > b["x_ord"], 1).otherwise(0)
-    nested_plots = inner.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("x_ord", "x", "m")), by_ord).alias("p")).select(
-        *keys, F.to_json(F.map_from_arrays(F.col("p.x"), F.col("p.m"))).alias("plots"))
-    plots = flat_plots.unionByName(nested_plots)
+    ordered = lambda: F.array_sort(F.collect_list(F.struct("x_ord", "x", "y"))).alias("p")
+    nested = rows.filter(F.col("report").isin(*STACKED)).groupBy(*keys, "x", "x_ord").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("series").alias("x"), "y"))).alias("p")).select(
+        *keys, "x", "x_ord", json_object(F.col("p")).alias("y"))
+    plots = flat.select(*keys, "x", "x_ord", "y").unionByName(nested).groupBy(*keys).agg(ordered()).select(
+        *keys, json_object(F.col("p")).alias("plots"))
     info = F.regexp_replace(_spec_col(2), r"\{name\}", F.coalesce(F.col("area_name"), F.lit("")))
     doc = F.struct(_spec_col(0).alias("type"), _spec_col(1).alias("graph"), info.alias("info"),
                    _spec_col(5).alias("suinfo"), F.array(_spec_col(3), _spec_col(4)).alias("xandy"))

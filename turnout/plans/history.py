@@ -8,7 +8,7 @@ ballots there are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnout import constants as C
@@ -57,8 +57,11 @@ def iqr_bounds(dense: DataFrame, cols=C.COUNTERS) -> DataFrame:
 
 def outliers_zeroed(dense: DataFrame, cols=C.COUNTERS) -> DataFrame:
     """values outside the strict 1.5 x IQR fence of their own series become 0."""
-    j = dense.join(iqr_bounds(dense, cols), KEYS)
-    return j.selectExpr(*KEYS, "minute", *[f"{zero_outliers_sql(c, f'q1_{c}', f'q3_{c}')} AS {c}" for c in cols])
+    # over each series' own rows (720 at most), so the grid is built once and not joined with itself
+    w = Window.partitionBy(*KEYS)
+    q = dense.select(*KEYS, "minute", *cols, *[
+        F.expr(f"percentile(CAST({c} AS DOUBLE), array(0.25, 0.75))").over(w).alias(f"_q_{c}") for c in cols])
+    return q.selectExpr(*KEYS, "minute", *[f"{zero_outliers_sql(c, f'_q_{c}[0]', f'_q_{c}[1]')} AS {c}" for c in cols])
 
 
 def fit_minmax(zeroed: DataFrame, cols=C.COUNTERS) -> DataFrame:
@@ -73,16 +76,30 @@ def fit_minmax(zeroed: DataFrame, cols=C.COUNTERS) -> DataFrame:
     return fit.select("area_id", *[F.col(f"_p.{n}").alias(n) for n in names])
 
 
+def with_own_minmax(zeroed: DataFrame, cols=C.COUNTERS) -> DataFrame:
+    """Every grid row with ``lo_*``/``hi_*`` of the first dataset of its area: ``fit_minmax`` as windows over
+    the series and over the area's datasets, so a fit and its use share one pass."""
+    names = [x for c in cols for x in (f"lo_{c}", f"hi_{c}")]
+    series, area = Window.partitionBy(*KEYS), Window.partitionBy("area_id")
+    own = F.struct(*[f(c).over(series).alias(f"{e}_{c}") for c in cols for e, f in (("lo", F.min), ("hi", F.max))])
+    j = zeroed.select(*KEYS, "minute", *cols, own.alias("_own"))
+    j = j.withColumn("_p", F.min_by("_own", "dataset").over(area))
+    return j.select(*KEYS, "minute", *cols, *[F.col(f"_p.{n}").alias(n) for n in names])
+
+
+def scale(bounded: DataFrame, cols=C.COUNTERS, keep: tuple = ()) -> DataFrame:
+    """F18 on rows that carry their ``lo_*``/``hi_*``."""
+    return bounded.selectExpr(*KEYS, "minute", *[f"{minmax_sql(c, f'lo_{c}', f'hi_{c}')} AS {c}" for c in cols], *keep)
+
+
 def apply_minmax(zeroed: DataFrame, params: DataFrame, cols=C.COUNTERS) -> DataFrame:
     """F18 with stored parameters: later datasets reuse the scaler of the first."""
-    j = zeroed.join(params, "area_id")
-    return j.selectExpr(*KEYS, "minute", *[f"{minmax_sql(c, f'lo_{c}', f'hi_{c}')} AS {c}" for c in cols])
+    return scale(zeroed.join(params, "area_id"), cols)
 
 
 def scaled(spark: SparkSession, data_dir: str, area_col: str = "area_l1", split: bool = False) -> DataFrame:
     """M2: outliers zeroed, then min-max scaled with per-area parameters."""
-    z = outliers_zeroed(prepared(spark, data_dir, area_col, split))
-    return apply_minmax(z, fit_minmax(z))
+    return scale(with_own_minmax(outliers_zeroed(prepared(spark, data_dir, area_col, split))))
 
 
 def save_scaler(params: DataFrame, path: str) -> None:

@@ -14,46 +14,51 @@ from turnout.sources import proof_views as pv
 from turnout.sources.dims import area_dim, area_names
 
 
-def _names(spark: SparkSession, data_dir: str) -> DataFrame:
-    nat = spark.range(1).select(F.lit(C.LEVEL_NATION).alias("level"), F.lit(0).cast("long").alias("area_id"),
-                                F.lit(C.LEVEL_NATION).alias("area_name"))
-    return area_names(pv.memo(area_dim)(spark, data_dir)).unionByName(nat)
-
-
 @dataclass
 class Inputs:
-    spark: SparkSession
-    data_dir: str
-    summary: DataFrame | None = None          # all levels, shared when many reports run together
-    prediction_table: DataFrame | None = None  # the live prediction table, when reports follow an upsert
+    """What the reports read.  Frames that are given are used; those that are not come from the proof views
+    of ``data_dir`` (None: everything a report needs must be given)."""
 
-    @cached_property
-    def ballots(self) -> DataFrame:
-        return pv.ballots(self.spark, self.data_dir)
+    spark: SparkSession
+    data_dir: str | None = None
+    summary: DataFrame | None = None            # all levels, shared when many reports run together
+    prediction_table: DataFrame | None = None   # the live prediction table, when reports follow an upsert
+    registered_tables: dict[str, DataFrame] | None = None  # level -> registered voters (dims.read_registered)
+    area_table: DataFrame | None = None         # (area_l1, l1_name, area_l2, l2_name)
+    age_counts: DataFrame | None = None         # ballots per single year of age: (age, n)
+    registered_age_counts: DataFrame | None = None  # registered voters per single year of age: (age, n)
 
     @cached_property
     def reg_l2(self) -> DataFrame:
-        return pv.registered_l2(self.spark, self.data_dir)
+        return self.registered(C.LEVEL_L2)
 
     @cached_property
     def reg_l1(self) -> DataFrame:
-        return pv.registered_l1(self.spark, self.data_dir)
+        return self.registered(C.LEVEL_L1)
 
     @cached_property
     def reg_nat(self) -> DataFrame:
-        return pv.registered_nat(self.spark, self.data_dir)
+        return self.registered(C.LEVEL_NATION)
 
     @cached_property
     def reg_ages(self) -> DataFrame:
+        if self.registered_age_counts is not None:
+            return self.registered_age_counts
         return pv.registered_single_ages(self.spark, self.data_dir)
 
+    @cached_property
+    def ages(self) -> DataFrame:
+        return self.age_counts if self.age_counts is not None else pv.ballot_ages(self.spark, self.data_dir)
+
     @cached_property
     def dim(self) -> DataFrame:
-        return pv.memo(area_dim)(self.spark, self.data_dir)
+        return self.area_table if self.area_table is not None else area_dim(self.spark, self.data_dir)
 
     @cached_property
     def names(self) -> DataFrame:
-        return pv.memo(_names)(self.spark, self.data_dir)
+        nation = self.spark.range(1).select(F.lit(C.LEVEL_NATION).alias("level"), F.lit(0).cast("long").alias("area_id"),
+                                            F.lit(C.LEVEL_NATION).alias("area_name"))
+        return area_names(self.dim).unionByName(nation)
 
     @cached_property
     def prediction(self) -> DataFrame:
@@ -65,12 +70,11 @@ class Inputs:
         """One summary level, always cut from the same all-levels summary frame, so every level a
         query uses comes from one pass over ballots (Spark reuses the identical exchange)."""
         if self.summary is None:
-            key = ("summaries", pv.session_key(self.spark), self.data_dir)
-            if key not in pv._MEMO:
-                pv._MEMO[key] = summaries_eager(pv.ballot_events(self.spark, self.data_dir),
-                                                pv.citizen_areas(self.spark, self.data_dir))
-            self.summary = pv._MEMO[key]
+            self.summary = summaries_eager(pv.ballot_events(self.spark, self.data_dir), pv.citizen_areas(self.spark, self.data_dir))
         return at_level(self.summary, lv)
 
     def registered(self, lv: str) -> DataFrame:
-        return {C.LEVEL_L1: self.reg_l1, C.LEVEL_L2: self.reg_l2, C.LEVEL_NATION: self.reg_nat}[lv]
+        if self.registered_tables is not None:
+            return self.registered_tables[lv]
+        view = {C.LEVEL_L1: pv.registered_l1, C.LEVEL_L2: pv.registered_l2, C.LEVEL_NATION: pv.registered_nat}[lv]
+        return view(self.spark, self.data_dir)

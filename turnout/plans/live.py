@@ -28,12 +28,12 @@ def latest_offsets(log: DataFrame) -> dict[int, int]:
 
 
 def cdc_range_read(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Write the change log as a Parquet log, then read the range [earliest, latest) back."""
+    """Write the change log as a Parquet log, then read the middle half of its offsets back."""
     path = scratch_path(spark, "cdc-log")
     pv.cdc_raw(spark, data_dir).write.mode("overwrite").parquet(path)
     log = spark.read.schema(cdc.LOG_SCHEMA).parquet(path)
-    end = latest_offsets(log)
-    start = {p: 0 for p in end}
+    latest = latest_offsets(log)
+    start, end = {p: n // 4 for p, n in latest.items()}, {p: n - n // 4 for p, n in latest.items()}
     batch = cdc.read_cdc_batch(spark, {"path": path}, start, end)
     return batch.select("topic", "partition", "offset", F.col("value").isNotNull().cast("long").alias("has_value"))
 
@@ -106,15 +106,18 @@ def area_rollup(spark, data_dir) -> DataFrame:
 
 
 def summary_scan(spark, data_dir) -> DataFrame:
-    """The l2 summary as a catalog view, scanned with a projection and a filter."""
-    Inputs(spark, data_dir).level("l2").createOrReplaceTempView("l2_summary")
+    """The written l2 summary as a catalog view; projection and filter reach its scan."""
+    path = scratch_path(spark, "l2-summary")
+    Inputs(spark, data_dir).level("l2").write.mode("overwrite").parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("l2_summary")
     return table(spark, "l2_summary", ["area_id", "total", "male", "female"], F.col("total") > 0)
 
 
-def registered_dim(spark, data_dir) -> DataFrame:
-    path = scratch_path(spark, "registered-l2")
-    write_registered_doc(pv.registered_l2(spark, data_dir), path)
-    return read_registered(spark, path)
+def registered_dim(spark, data_dir, level: str = C.LEVEL_L2) -> DataFrame:
+    """The registered voters of a level as documents, written and read back."""
+    path = scratch_path(spark, f"registered-{level}")
+    write_registered_doc(Inputs(spark, data_dir).registered(level), path, level)
+    return read_registered(spark, path, level)
 
 
 def area_dim_rows(spark, data_dir) -> DataFrame:
@@ -173,9 +176,9 @@ def area_lookup_strict(spark, data_dir, raise_on_unknown: bool = False) -> DataF
     inp = Inputs(spark, data_dir)
     s = inp.level("l2")
     if raise_on_unknown:
-        missing = [r["area_id"] for r in unknown_areas(s, inp.reg_l2).limit(20).collect()]
-        if missing:
-            raise KeyError(f"areas without registered voters: {missing}")
+        missing = unknown_areas(s, inp.reg_l2).agg(F.count("*").alias("n"), F.min("area_id").alias("first")).first()
+        if missing["n"]:
+            raise KeyError(f"{missing['n']} areas without registered voters, the first is {missing['first']}")
     j = with_registered(s, inp.reg_l2, how="inner")
     return j.select("area_id", "total", F.col("reg_voters").alias("voters"))
 
@@ -189,8 +192,9 @@ def forecast_by_slot_rows(spark, data_dir) -> DataFrame:
 
 
 def next_hour_slot(spark, data_dir) -> DataFrame:
-    b = pv.ballots(spark, data_dir)
-    last = b.groupBy("area_l2").agg(F.max("ts").alias("as_of"))
+    per = pv.ballot_events(spark, data_dir).groupBy("user_id").agg(F.max("ts").alias("ts"))
+    areas = pv.citizen_areas(spark, data_dir)
+    last = per.join(areas, per.user_id == areas.citizen_id).groupBy("area_l2").agg(F.max("ts").alias("as_of"))
     return last.select("area_l2", F.date_format(tod.next_hour_slot(F.col("as_of")), "yyyy-MM-dd HH:mm:ss").alias("slot"))
 
 
@@ -217,8 +221,3 @@ def ampm_order(spark, data_dir) -> DataFrame:
     t = time_summary(Inputs(spark, data_dir))
     return t.select(F.col("v_time").alias("label"), tod.ampm_hour(F.col("v_time"), legacy=True).alias("legacy_ord"),
                     tod.ampm_hour(F.col("v_time")).alias("hour_ord"))
-
-
-def hour_summary_table(spark, data_dir) -> DataFrame:
-    from turnout.plans.reports import time_summary
-    return time_summary(Inputs(spark, data_dir))

@@ -49,7 +49,7 @@ def outlier_zeroed(spark, data_dir) -> DataFrame:
 def minmax_scaled(spark, data_dir) -> DataFrame:
     """Min-max of the l2 grids with the dataset split: later datasets reuse the first one's scaler."""
     dense = H.prepared(spark, data_dir, "area_l2", split=True)
-    return H.apply_minmax(dense, H.fit_minmax(dense))
+    return H.scale(H.with_own_minmax(dense))
 
 
 def scaler_params(spark, data_dir) -> DataFrame:
@@ -82,16 +82,32 @@ def forecast_minutes(spark, data_dir) -> DataFrame:
     return FC.forecast(_minute_counts(spark, data_dir))
 
 
+def _last_hour(spark, data_dir) -> DataFrame:
+    """Event-minute counts of the last clock hour; older ballots are left out before the citizen lookup."""
+    newest = pv.ballot_events(spark, data_dir).agg(F.expr("(max(log_ms) + 30000) DIV 60000").alias("m")).select("m").scalar()
+    ballots = pv.ballots(spark, data_dir).filter((F.col("log_ms") + 30000) >= (newest - FC.STEPS + 1) * 60000)
+    return FC.event_minute_counts(ballots)
+
+
+def forecast_last_hour(spark, data_dir) -> DataFrame:
+    """Forecast of every area from the last clock hour of event time."""
+    return FC.forecast_last_hour(_last_hour(spark, data_dir), Inputs(spark, data_dir).dim)
+
+
+def forecast_stored_scaler(spark, data_dir) -> DataFrame:
+    """As ``forecast_minutes``, scaled by parameters that were fitted on the history, stored and loaded (K4)."""
+    path = scratch_path(spark, "scaler")
+    H.save_scaler(H.fit_minmax(H.outliers_zeroed(H.prepared(spark, data_dir, "area_l2", split=True))), path)
+    return FC.forecast(_minute_counts(spark, data_dir), params=H.load_scaler(spark, path))
+
+
 def forecast_trend_sql(spark, data_dir) -> DataFrame:
     return FC.trend_forecast_sql(_minute_counts(spark, data_dir))
 
 
 def forecast_eval(spark, data_dir) -> DataFrame:
-    from turnout.operators.windows import supervised_windows, time_split as split
-    z = H.outliers_zeroed(H.prepared(spark, data_dir, "area_l1", split=False))
-    params = H.fit_minmax(z)
-    w = supervised_windows(H.apply_minmax(z, params), H.KEYS, "minute", C.COUNTERS, C.WINDOW_IN, C.WINDOW_OUT)
-    return FC.evaluate(split(w, H.KEYS, "start", C.TEST_FRACTION).join(params, "area_id"))
+    z = H.with_own_minmax(H.outliers_zeroed(H.prepared(spark, data_dir, "area_l1", split=False)))
+    return FC.evaluate(H.scale(z, keep=tuple(f"{e}_{c}" for c in C.COUNTERS for e in ("lo", "hi"))))
 
 
 def forecast_plus_live(spark, data_dir) -> DataFrame:
@@ -99,9 +115,12 @@ def forecast_plus_live(spark, data_dir) -> DataFrame:
     return PR.add_live_totals(FC.forecast(_minute_counts(spark, data_dir)), inp.level(C.LEVEL_L2))
 
 
-def batch_slot(ballots: DataFrame) -> DataFrame:
-    """F16: the next full hour after the newest ballot of the batch (a one-row frame)."""
-    return ballots.agg(tod.next_hour_slot(F.max("ts")).alias("slot"))
+def batch_slot(spark: SparkSession, data_dir: str) -> DataFrame:
+    """F16: the next full hour after the newest ballot (a one-row frame).  The newest per citizen is found
+    first, so the citizen lookup (a ballot needs a known citizen) does not move ballots."""
+    last = pv.ballot_events(spark, data_dir).groupBy("user_id").agg(F.max("ts").alias("ts"))
+    known = last.join(pv.citizen_areas(spark, data_dir).select(F.col("citizen_id").alias("user_id")), "user_id", "left_semi")
+    return known.agg(tod.next_hour_slot(F.max("ts")).alias("slot"))
 
 
 def _fmt(df: DataFrame) -> DataFrame:
@@ -110,13 +129,13 @@ def _fmt(df: DataFrame) -> DataFrame:
 
 def prediction_seed(spark, data_dir) -> DataFrame:
     inp = Inputs(spark, data_dir)
-    return _fmt(PR.seed_predictions(inp.prediction, inp.dim, batch_slot(inp.ballots)))
+    return _fmt(PR.seed_predictions(inp.prediction, inp.dim, batch_slot(spark, data_dir)))
 
 
 def prediction_upsert(spark, data_dir) -> DataFrame:
     """Seed, upsert forecast + live totals, write the new table version, read it back."""
     inp = Inputs(spark, data_dir)
-    slot = batch_slot(inp.ballots)
+    slot = batch_slot(spark, data_dir)
     table = PR.seed_predictions(inp.prediction, inp.dim, slot)
     updates = PR.add_live_totals(FC.forecast(_minute_counts(spark, data_dir)), inp.level(C.LEVEL_L2))
     path = scratch_path(spark, "prediction")

@@ -129,15 +129,9 @@ def r4_gender_turnout(inp: Inputs) -> DataFrame:
 def top_ages_summary(inp: Inputs) -> DataFrame:
     """Per single year of age: ballots / registered voters of that age (unrounded percentage).
 
-    Ages come from the event row, so events are counted per (citizen, age) first and only then
-    checked against the citizen table (a semi join: a ballot needs a known citizen).
+    The counts are those of the frames' caller (a live job passes its running counts).
     """
-    from turnout.sources import proof_views as pv
-    ev = pv.ballot_events(inp.spark, inp.data_dir).filter(F.col("age").isNotNull())
-    per = ev.groupBy("user_id", "age").agg(F.count("*").alias("n"))
-    cit = pv.citizen_areas(inp.spark, inp.data_dir).select(F.col("citizen_id").alias("user_id"))
-    live = per.join(cit, "user_id", "left_semi").groupBy("age").agg(F.sum("n").cast("long").alias("n"))
-    j = live.join(F.broadcast(inp.reg_ages.withColumnRenamed("n", "den")), "age", "left")
+    j = inp.ages.join(inp.reg_ages.withColumnRenamed("n", "den"), "age", "left")
     return j.select("age", P.percent("n", "den", P.NONE, P.ZERO_NULL).alias("percentage"))
 
 
@@ -167,9 +161,9 @@ def registered_age_fold(inp: Inputs) -> DataFrame:
     classes = [(lbl, lo, hi) for lbl, (_, lo, hi) in zip(C.FORECAST_AGE_LABELS, C.SUMMARY_BINS)]
     sums = [F.sum(F.when((F.col("age") >= lo) & ((F.col("age") <= hi) if hi else F.lit(True)), F.col("n"))
                   .otherwise(0)).cast("long").alias(f"d{i}") for i, (_, lo, hi) in enumerate(classes)]
-    row = a.agg(*sums)
-    return _union([row.select(F.lit(lbl).alias("label"), F.lit(i + 1).cast("long").alias("label_ord"),
-                              F.col(f"d{i}").alias("n")) for i, (lbl, _, _) in enumerate(classes)])
+    labels = F.array(*[F.struct(F.lit(lbl).alias("label"), F.lit(i + 1).cast("long").alias("label_ord"), F.col(f"d{i}").alias("n"))
+                       for i, (lbl, _, _) in enumerate(classes)])
+    return a.agg(*sums).select(F.inline(labels))
 
 
 def r7_age_forecast(inp: Inputs) -> DataFrame:
@@ -177,7 +171,7 @@ def r7_age_forecast(inp: Inputs) -> DataFrame:
     t = _prediction_totals(inp, C.LEVEL_NATION, cols)
     long = unpivot_measures(t, ["level", "area_id"], cols, "col", "n")
     fold = registered_age_fold(inp).withColumnRenamed("n", "den")
-    j = long.join(F.broadcast(fold), long.col_ord == fold.label_ord)
+    j = long.join(fold, long.col_ord == fold.label_ord)
     return _finish(j.select("level", "area_id", F.lit(C.FORECASTED).alias("series"), F.col("label").alias("x"),
                             F.col("label_ord").alias("x_ord"),
                             P.percent("n", "den", P.EVEN, P.ZERO_ZERO).alias("y")), inp, nation=True)
@@ -190,12 +184,15 @@ def _area_axis(df: DataFrame, level: str, inp: Inputs) -> DataFrame:
         "area_id", F.lit(0).cast("long"))
 
 
+def _series(df: DataFrame, pairs: list) -> DataFrame:
+    """One row per area and (label, value) pair, from one pass over ``df``."""
+    return df.select("area_id", F.inline(F.array(*[F.struct(F.lit(lbl).alias("series"), y.alias("y")) for lbl, y in pairs])))
+
+
 def r8_region_gender_turnout(inp: Inputs) -> DataFrame:
     s = with_registered(inp.level(C.LEVEL_L1), inp.reg_l1)
     pct = lambda n, d: P.percent(n, d, P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO)
-    long = _union([s.select("area_id", F.lit(lbl).alias("series"), pct(n, d).alias("y"))
-                   for lbl, n, d in [("MalePercentage", "male", "reg_male_count"),
-                                     ("FemalePercentage", "female", "reg_female_count")]])
+    long = _series(s, [("MalePercentage", pct("male", "reg_male_count")), ("FemalePercentage", pct("female", "reg_female_count"))])
     return _finish(_area_axis(long, C.LEVEL_L1, inp), inp, nation=True)
 
 
@@ -203,8 +200,7 @@ def r9_wilayat_gender_top10(inp: Inputs, k: int = 10) -> DataFrame:
     s = top_k(inp.level(C.LEVEL_L2), [(F.col("male") + F.col("female")).desc(), F.col("area_id")], k).drop("x_ord")
     s = with_registered(s, inp.reg_l2)
     pct = lambda n, d: P.percent(n, d, P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO)
-    long = _union([s.select("area_id", F.lit(lbl).alias("series"), pct(n, d).alias("y"))
-                   for lbl, n, d in [("M", "male", "reg_male_count"), ("F", "female", "reg_female_count")]])
+    long = _series(s, [("M", pct("male", "reg_male_count")), ("F", pct("female", "reg_female_count"))])
     return _finish(_area_axis(long, C.LEVEL_L2, inp), inp, nation=True)
 
 

@@ -13,23 +13,25 @@ from turnout.sources import cdc
 from turnout.sources import proof_views as pv
 from turnout.streaming import ingest as ST
 from turnout.streaming import pipeline as PL
+from turnout.streaming import state
 
 FILES_PER_TRIGGER = 15
 
 
-def write_log_files(raw: DataFrame, path: str, copies: int = 1) -> None:
-    """Log records in one folder per day (``day=<n>``); ``copies`` > 1 simulates redelivery."""
+def write_log_files(raw: DataFrame, path: str, copies: int = 1, files_per_day: int = 2) -> None:
+    """Log records in one folder per day (``day=<n>``), each day dealt by offset over ``files_per_day``
+    tasks and files; ``copies`` > 1 simulates redelivery."""
     day = F.floor(F.unix_seconds("timestamp") / 86400).cast("long")
     out = raw.withColumn("day", day)
     for _ in range(copies - 1):
         out = out.unionByName(raw.withColumn("day", day))
-    out.repartition("day").write.mode("overwrite").partitionBy("day").parquet(path)
+    out.repartition("day", F.pmod("offset", F.lit(files_per_day))).write.mode("overwrite").partitionBy("day").parquet(path)
 
 
-def _source(spark, data_dir, copies: int = 1) -> dict:
+def _source(spark, data_dir, copies: int = 1, files_per_trigger: int = FILES_PER_TRIGGER) -> dict:
     path = scratch_path(spark, "cdc-stream-in")
     write_log_files(pv.cdc_raw(spark, data_dir), path, copies)
-    return {"path": path, "maxFilesPerTrigger": FILES_PER_TRIGGER}
+    return {"path": path, "maxFilesPerTrigger": files_per_trigger}
 
 
 def stream_minute_counts(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def stream_minute_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     table, ckpt = scratch_path(spark, "minute-counts"), scratch_path(spark, "minute-counts-ckpt")
     q = ST.run_minute_counts(spark, src, table, ckpt)
     q.awaitTermination()
-    return ST.latest_per_key(spark, table, ["area_l1", "area_l2", "minute"])
+    return state.current(spark, table)
 
 
 def stream_ingest_counts(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -45,12 +47,12 @@ def stream_ingest_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     out, ckpt = scratch_path(spark, "ingest-counts"), scratch_path(spark, "ingest-counts-ckpt")
     q = ST.run_ingest_counts(spark, src, out, ckpt)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return ST.ingest_totals(spark.read.parquet(out))
 
 
-def stream_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+def stream_dedup(spark: SparkSession, data_dir: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Every message delivered twice; the stream keeps one copy, then decodes."""
-    src = _source(spark, data_dir, copies=2)
+    src = _source(spark, data_dir, copies=2, files_per_trigger=files_per_trigger)
     out, ckpt = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
     d = cdc.decode_cdc(ST.dedup_stream(ST.log_stream(spark, src)))
     q = (d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
@@ -59,16 +61,25 @@ def stream_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return spark.read.schema(d.schema).parquet(out)
 
 
+def stream_dedup_citizen(spark: SparkSession, data_dir: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Each citizen's first ballot, from a log in which every message is delivered twice."""
+    src = _source(spark, data_dir, copies=2, files_per_trigger=files_per_trigger)
+    table, ckpt = scratch_path(spark, "first-ballots"), scratch_path(spark, "first-ballots-ckpt")
+    ST.run_first_ballots(spark, src, table, ckpt).awaitTermination()
+    return state.current(spark, table)
+
+
 def cdc_latest_state(spark: SparkSession, data_dir: str) -> DataFrame:
     return ST.latest_state(cdc.decode_state(pv.cdc_raw(spark, data_dir)))
 
 
 def stream_forecast(spark: SparkSession, data_dir: str) -> DataFrame:
-    """ST8: per-batch forecast and upsert; the table after the last batch.  (Publishing bundles
-    per batch, ST9, is the same pipeline with ``publish=True``; see tests/test_streaming.py.)"""
+    """ST8: per-batch forecast (from the last clock hour of all ballots so far) and upsert; the table
+    after the last batch.  (Publishing bundles per batch, ST9, is the same pipeline with
+    ``publish=True``; see tests/test_streaming.py.)"""
     src = _source(spark, data_dir)
-    state, ckpt = scratch_path(spark, "live-state"), scratch_path(spark, "live-ckpt")
-    q = PL.run_live_pipeline(spark, src, state, ckpt, Inputs(spark, data_dir).dim, data_dir=data_dir, publish=False)
+    folder, ckpt = scratch_path(spark, "live-state"), scratch_path(spark, "live-ckpt")
+    q = PL.run_live_pipeline(spark, src, folder, ckpt, Inputs(spark, data_dir).dim, publish=False, forecast_from="running")
     q.awaitTermination()
-    t = PL.latest_version(spark, f"{state}/prediction")
+    t = state.current(spark, f"{folder}/prediction")
     return t.withColumn("time_slot", F.date_format("time_slot", "yyyy-MM-dd HH:mm:ss"))

@@ -13,6 +13,7 @@ from turnout.plans import publish as PB
 from turnout.plans import reports as R
 from turnout.plans import streams as S
 from turnout.plans.inputs import Inputs
+from turnout.sources import proof_views as pv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,14 @@ def _report(fn) -> Query:
     return lambda spark, data_dir: fn(Inputs(spark, data_dir))
 
 
+def _fresh(fn: Query) -> Query:
+    """The query on views built anew, so files that changed since the last one are seen."""
+    def run(spark: SparkSession, data_dir: str) -> DataFrame:
+        pv.clear_memo()
+        return fn(spark, data_dir)
+    return run
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {k: _report(fn) for k, fn in R.REPORTS.items()}
     q.update({
@@ -43,6 +52,9 @@ def queries() -> dict[str, Query]:
         "area_rollup": L.area_rollup,
         "summary_scan": L.summary_scan,
         "registered_dim": L.registered_dim,
+        "registered_dim_nation": lambda s, d: L.registered_dim(s, d, C.LEVEL_NATION),
+        "registered_dim_region": lambda s, d: L.registered_dim(s, d, C.LEVEL_L1),
+        "registered_dim_wilayat": lambda s, d: L.registered_dim(s, d, C.LEVEL_L2),
         "area_dim": L.area_dim_rows,
         "area_names": _report(R.h1_area_names),
         "hour_12h": _report(R.h2_hour_12h),
@@ -73,6 +85,8 @@ def queries() -> dict[str, Query]:
         "first_60_steps": M.first_60_steps,
         "pad_to_60": M.pad_to_60,
         "forecast_minutes": M.forecast_minutes,
+        "forecast_last_hour": M.forecast_last_hour,
+        "forecast_stored_scaler": M.forecast_stored_scaler,
         "forecast_trend_sql": M.forecast_trend_sql,
         "forecast_eval": M.forecast_eval,
         "forecast_plus_live": M.forecast_plus_live,
@@ -81,10 +95,11 @@ def queries() -> dict[str, Query]:
         "stream_minute_counts": S.stream_minute_counts,
         "stream_ingest_counts": S.stream_ingest_counts,
         "stream_dedup": S.stream_dedup,
+        "stream_dedup_citizen": S.stream_dedup_citizen,
         "cdc_latest_state": S.cdc_latest_state,
         "stream_forecast": S.stream_forecast,
         "chart_plots_json": PB.chart_plots_json,
         "weighted_pick": PB.weighted_pick,
         "report_bundle_json": PB.report_bundle_json,
     })
-    return q
+    return {k: _fresh(fn) for k, fn in q.items()}

@@ -34,8 +34,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is only read.
-    Where it is unset (local tests) a folder is made once and set.
+    On a cluster the setting points at shared storage and is only read; without it nothing there may
+    be written, so it must be set.  A local session without it (tests) gets a folder, made once.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         conf = tempfile.mkdtemp(prefix="turnout-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -12,28 +12,11 @@ from turnout.sources.tables import read_table
 # zero-width space, non-joiner, joiner and byte-order mark
 _ZERO_WIDTH = "[\u200b\u200c\u200d\ufeff]"
 
-# an area dimension is one row per area of a fixed geography; anything larger is a bug
-MAX_AREA_ROWS = 100_000
-
 
 def clean_name(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, _ZERO_WIDTH, ""))
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_AREA_ROWS) -> DataFrame:
-    """Explicit broadcast for a frame whose row count is checked first (one small job).
-
-    ``limit(max_rows + 1).count()`` stops after ``max_rows + 1`` rows; above the bound the
-    frame is returned unhinted and Spark falls back to a shuffle join.  Hot paths do not call
-    this: they leave join selection to Spark, which broadcasts a side only when its estimated
-    size (file statistics, or AQE's runtime shuffle statistics) is under
-    ``spark.sql.autoBroadcastJoinThreshold`` / ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    and sort-merges otherwise.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def area_dim(spark: SparkSession, data_dir: str) -> DataFrame:
     """Two-level hierarchy with names: (area_l1, l1_name, area_l2, l2_name)."""
     nation = read_table(spark, data_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
@@ -70,23 +53,45 @@ def registered_measures() -> list[str]:
             + [f"ry_{y}" for y in C.REG_YEARS])
 
 
-def registered_doc_schema() -> T.StructType:
-    fields = [T.StructField("area_id", T.LongType())] + [
-        T.StructField(m, T.LongType()) for m in registered_measures()]
-    return T.StructType([T.StructField("areas", T.ArrayType(T.StructType(fields)))])
+# registered-voter documents (wire format, fixed values): the field that holds a level's areas, the name of
+# their id (the nation has none), and the names of their counts
+DOC_FIELDS = {C.LEVEL_NATION: ("Oman", None), C.LEVEL_L1: ("allRegion", "RegionId"), C.LEVEL_L2: ("allWilayat", "wilayat")}
+
+
+def document_names() -> dict[str, str]:
+    """Measure -> its name in the documents."""
+    names = {"voters": "CountOfVoters", "male_count": "MaleCount", "female_count": "FemaleCount"}
+    names |= {n: f"AgeCount{lo}to{hi}" if hi else f"AgeCountAbove{lo - 1}" for n, lo, hi in C.SUMMARY_BINS}
+    return names | {f"ry_{y}": f"RegisteredYear{y}" for y in C.REG_YEARS}
+
+
+def registered_doc_schema(level: str) -> T.StructType:
+    field, id_name = DOC_FIELDS[level]
+    names = ([id_name] if id_name else []) + list(document_names().values())
+    return T.StructType([T.StructField(field, T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in names])))])
+
 
+def write_registered_doc(reg: DataFrame, path: str, level: str = C.LEVEL_L2, areas_per_doc: int = 1000) -> None:
+    """Registered counts of one level as documents, one JSON line each, of about ``areas_per_doc`` areas at
+    most, so that reading them splits by line."""
+    field, id_name = DOC_FIELDS[level]
+    ids = [F.col("area_id").alias(id_name)] if id_name else []
+    area = F.struct(*ids, *[F.col(m).alias(n) for m, n in document_names().items()])
+    docs = reg.groupBy(F.expr(f"area_id DIV {areas_per_doc}")).agg(F.sort_array(F.collect_list(area)).alias(field))
+    docs.select(field).write.mode("overwrite").json(path)
 
-def write_registered_doc(reg: DataFrame, path: str) -> None:
-    """Registered counts of one level as one nested JSON document ``{"areas": [...]}``.
 
-    The document is bounded by the number of areas, so one output file is right.
-    """
-    cols = ["area_id"] + registered_measures()
-    (reg.select(*cols).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("areas"))
-        .coalesce(1).write.mode("overwrite").json(path))
+def read_registered(spark: SparkSession, path: str, level: str = C.LEVEL_L2, multi_line: bool = False) -> DataFrame:
+    """Reference documents of a level -> (area_id, counts); explicit schema, no inference, a count that a
+    document lacks is null.  Documents are JSON lines, or with ``multi_line`` one document per file."""
+    field, id_name = DOC_FIELDS[level]
+    doc = spark.read.schema(registered_doc_schema(level)).option("multiLine", multi_line).json(path)
+    areas = doc.select(F.inline(field))
+    area_id = F.col(id_name) if id_name else F.lit(0).cast("long")
+    return areas.select(area_id.alias("area_id"), *[F.col(n).alias(m) for m, n in document_names().items()])
 
 
-def read_registered(spark: SparkSession, path: str) -> DataFrame:
-    """Nested reference document -> one row per area, explicit schema, no inference."""
-    doc = spark.read.schema(registered_doc_schema()).option("multiLine", True).json(path)
-    return doc.select(F.explode("areas").alias("a")).select("a.*")
+def area_table(spark: SparkSession, rows: list[tuple[int, str, int, str]]) -> DataFrame:
+    """An area dimension from given (area_l1, l1_name, area_l2, l2_name) rows; names are cleaned."""
+    df = spark.createDataFrame(rows, "area_l1 long, l1_name string, area_l2 long, l2_name string")
+    return df.withColumns({c: clean_name(F.col(c)) for c in ("l1_name", "l2_name")})

@@ -26,8 +26,8 @@ _MEMO: dict = {}
 
 
 def memo(fn):
-    """Build a view once per (session, data directory); DataFrames are immutable plans, and
-    reusing the same object lets Spark reuse identical exchanges inside one query."""
+    """Build a view once per query: every registered query and every micro-batch starts from ``clear_memo``,
+    so table files are listed anew and frames are shared only inside it."""
     @wraps(fn)
     def wrapper(spark: SparkSession, data_dir: str) -> DataFrame:
         key = (fn.__name__, session_key(spark), data_dir)
@@ -132,6 +132,18 @@ def cdc_raw(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+@memo
+def ballot_ages(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Ballots per single year of age: (age, n).
+
+    Ages come from the event row, so events are counted per (citizen, age) first and only then
+    checked against the citizen table (a semi join: a ballot needs a known citizen).
+    """
+    per = ballot_events(spark, data_dir).filter("age IS NOT NULL").groupBy("user_id", "age").agg(F.count("*").alias("n"))
+    known = citizen_areas(spark, data_dir).select(F.col("citizen_id").alias("user_id"))
+    return per.join(known, "user_id", "left_semi").groupBy("age").agg(F.sum("n").cast("long").alias("n"))
+
+
 # ---- registered voters ---------------------------------------------------------------------
 
 @memo

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnout import constants as C
 from turnout.operators.features import ballot_features
 from turnout.sources import cdc
+from turnout.streaming import state
 
 
 def log_stream(spark: SparkSession, options: dict) -> DataFrame:
@@ -54,26 +55,31 @@ def minute_count_stream(log: DataFrame, watermark: str | None = None) -> DataFra
             .select(F.col("w.start").alias("window_start"), "area_l1", "area_l2", *C.COUNTERS))
 
 
-def versioned_sink(table_path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer for update-mode aggregates: each batch's changed keys go to
-    ``batch_id=<n>``; replaying a batch overwrites that folder only (idempotent)."""
+def versioned_sink(table_path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer for update-mode aggregates: the last version without the changed keys, and
+    the changed rows, become version ``batch_id``.  A replayed batch rewrites its version; older
+    versions than the last two are removed, so the folder stays as small as the table."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        last = state.version_before(spark, table_path, batch_id)
+        if last is None:
+            state.write_version(batch, table_path, batch_id)
+            return
+        batch.persist()  # the aggregate's state is read once per batch
+        try:
+            kept = spark.read.schema(batch.schema).parquet(last).join(batch.select(*keys), keys, "left_anti")
+            state.write_version(kept.select(*batch.columns).unionByName(batch), table_path, batch_id)
+        finally:
+            batch.unpersist()
     return write
 
 
-def latest_per_key(spark: SparkSession, table_path: str, keys: list[str]) -> DataFrame:
-    """Current table: for every key, the row from the newest batch that updated it."""
-    t = spark.read.parquet(table_path)
-    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return t.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
-
-
 def run_minute_counts(spark: SparkSession, source: dict, table_path: str, checkpoint: str,
                       watermark: str | None = None, trigger: dict | None = None):
     """ST1/ST2/ST9: start (or resume from ``checkpoint``) the minute-count stream."""
     agg = minute_count_stream(log_stream(spark, source), watermark)
-    w = (agg.writeStream.outputMode("update").foreachBatch(versioned_sink(table_path))
+    keys = [c for c in agg.columns if c not in C.COUNTERS]
+    w = (agg.writeStream.outputMode("update").foreachBatch(versioned_sink(table_path, keys))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
@@ -98,11 +104,40 @@ def run_ingest_counts(spark: SparkSession, source: dict, out_path: str, checkpoi
             .trigger(availableNow=True).start())
 
 
-def dedup_stream(log: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """ST6 option: a redelivered message (same topic, partition and offset) counts once.
-    State is bounded by the watermark delay (``dropDuplicatesWithinWatermark``)."""
-    return (log.withWatermark("timestamp", delay)
-               .dropDuplicatesWithinWatermark(["topic", "partition", "offset"]))
+MESSAGE_KEY = ["topic", "partition", "offset"]
+
+
+def ingest_totals(counts: DataFrame) -> DataFrame:
+    """Messages, ballots and offset range over all micro-batches."""
+    return counts.agg(F.sum("messages").cast("long").alias("messages"), F.sum("ballots").cast("long").alias("ballots"),
+                      F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"))
+
+
+def dedup_stream(log: DataFrame, delay: str | None = None) -> DataFrame:
+    """ST6: a redelivered message (same topic, partition and offset) counts once.
+
+    The result is that of the whole log, however it is cut into micro-batches; the state is one key per
+    message.  ``delay`` bounds the state by a watermark instead; Spark then also drops every message
+    older than the watermark, and counts them as ``numRowsDroppedByWatermark`` in the query progress.
+    """
+    if delay is None:
+        return log.dropDuplicates(MESSAGE_KEY)
+    return log.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(MESSAGE_KEY)
+
+
+def first_ballots(log: DataFrame) -> DataFrame:
+    """ST6 by citizen: of all messages that carry a ballot, each citizen's first by offset, so an update
+    event is no further ballot.  An aggregate (update mode), so neither the order in which messages
+    arrive nor the cut into micro-batches changes the final table."""
+    d = decoded_ballots(log).filter(F.col("citizen_id").isNotNull())
+    image = F.struct("offset", *[c for _, _, c in cdc.AFTER_FIELDS if c != "citizen_id"])
+    return d.groupBy("citizen_id").agg(F.min_by(image, F.col("offset")).alias("s")).select("citizen_id", "s.*")
+
+
+def run_first_ballots(spark: SparkSession, source: dict, table_path: str, checkpoint: str):
+    return (first_ballots(log_stream(spark, source)).writeStream.outputMode("update")
+            .foreachBatch(versioned_sink(table_path, ["citizen_id"]))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def latest_state(decoded: DataFrame) -> DataFrame:

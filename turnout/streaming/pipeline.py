@@ -3,8 +3,8 @@ forecasts the next hour per area, adds the running live totals, upserts the pred
 publishes every report bundle -- all inside ``foreachBatch``, all DataFrame work, nothing
 collected.
 
-State tables are versioned by ``batch_id``: batch ``n`` reads version ``n-1`` and writes
-version ``n``, so a batch replayed after a failure rewrites the same version.
+State tables are versioned by ``batch_id``: batch ``n`` reads the version before it and writes
+version ``n``, so a batch replayed after a failure rewrites the same version; older versions go.
 """
 
 from __future__ import annotations
@@ -19,17 +19,15 @@ from turnout.plans import forecast as FC
 from turnout.plans import predictions as PR
 from turnout.plans.charts import bundles, write_reports
 from turnout.plans.inputs import Inputs
+from turnout.sources import proof_views as pv
+from turnout.streaming import state
 from turnout.streaming.ingest import decoded_ballots, log_stream
 
-def _version(path: str, batch_id: int) -> str:
-    return f"{path}/v={batch_id}"
 
-
-def _read_version(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Version ``batch_id`` of a state table, or None before the first batch."""
-    if batch_id < 0:
-        return None
-    return spark.read.parquet(_version(path, batch_id))
+def _before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """The state table as the batch found it, or None before the first batch."""
+    last = state.version_before(spark, path, batch_id)
+    return None if last is None else spark.read.parquet(last)
 
 
 BASE_KEYS = ["area_l1", "area_l2", "hour"]
@@ -49,57 +47,71 @@ def merge_base(prev: DataFrame | None, inc: DataFrame) -> DataFrame:
     return u.groupBy(*BASE_KEYS).agg(*[F.sum(c).cast("long").alias(c) for c in SUMMARY_MEASURES])
 
 
-MINUTE_KEYS = ["area_l1", "area_l2", "minute"]
+MINUTE_KEYS = ["area_l1", "area_l2", "event_minute"]
 
 
 def merge_minutes(prev: DataFrame | None, inc: DataFrame) -> DataFrame:
-    """Running minute counts across batches, by (area, minute); bounded by areas x 1440."""
+    """Running counts by (area, minute of event time) and the newest ballot of each.
+
+    Only the last clock hour is ever forecast from, and the newest minute only moves forward, so
+    minutes before that hour are let go: the state is bounded by areas x 60.
+    """
+    u = inc if prev is None else prev.select(*inc.columns).unionByName(inc)
+    sums = u.groupBy(*MINUTE_KEYS).agg(*[F.sum(c).cast("long").alias(c) for c in C.COUNTERS], F.max("newest_ms").alias("newest_ms"))
+    return sums.filter(F.col("event_minute") > FC.newest_minute(u) - FC.STEPS)
+
+
+def merge_ages(prev: DataFrame | None, ballots: DataFrame) -> DataFrame:
+    """Running ballots per single year of age (R5 in live bundles)."""
+    inc = ballots.filter("age IS NOT NULL").groupBy("age").agg(F.count("*").alias("n"))
     if prev is None:
         return inc
-    u = prev.select(*MINUTE_KEYS, *C.COUNTERS).unionByName(inc.select(*MINUTE_KEYS, *C.COUNTERS))
-    return u.groupBy(*MINUTE_KEYS).agg(*[F.sum(c).cast("long").alias(c) for c in C.COUNTERS])
+    return prev.unionByName(inc).groupBy("age").agg(F.sum("n").cast("long").alias("n"))
 
 
 def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, data_dir: str | None = None,
-                  publish: bool = True, forecast_from: str = "batch"):
+                  publish: bool = True, forecast_from: str = "batch", dims: dict | None = None):
     """foreachBatch body for the live pipeline.
 
-    ``data_dir`` names where the registered-voter and area dimensions come from; with
-    ``publish`` the report bundles of the batch go to ``{state_dir}/reports/batch_id=<n>``.
-    ``forecast_from="batch"`` forecasts from the batch's own minutes (published behaviour);
-    ``"running"`` keeps running minute counts and forecasts from each area's latest 60 minutes.
+    ``dims`` gives the registered voters, areas and age counts as ``Inputs`` takes them; what it lacks
+    comes from ``data_dir``.  With ``publish`` the report bundles of the batch go to ``{state_dir}/reports/batch_id=<n>``.
+    ``forecast_from="batch"`` forecasts from the first 60 clock minutes of the batch's own ballots
+    (published behaviour); ``"running"`` forecasts every area from the last clock hour of all
+    ballots so far, so the table after a batch does not depend on how ballots fell into batches.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
+        pv.clear_memo()  # refreshed voter and area tables are seen
         ballots = decoded_ballots(batch)
         ballots.persist()
         try:
-            prev_base = _read_version(spark, f"{state_dir}/summary", batch_id - 1)
-            base = merge_base(prev_base, batch_base(ballots))
-            base.write.mode("overwrite").parquet(_version(f"{state_dir}/summary", batch_id))
-            summary = rollup(spark.read.parquet(_version(f"{state_dir}/summary", batch_id)))
-            batch_minutes = minute_counts(ballot_features(ballots))
+            base = merge_base(_before(spark, f"{state_dir}/summary", batch_id), batch_base(ballots))
+            summary = rollup(state.write_version(base, f"{state_dir}/summary", batch_id))
+            minutes = state.write_version(
+                merge_minutes(_before(spark, f"{state_dir}/minutes", batch_id), FC.event_minute_counts(ballots)),
+                f"{state_dir}/minutes", batch_id)
             if forecast_from == "running":
-                prev_min = _read_version(spark, f"{state_dir}/minutes", batch_id - 1)
-                merge_minutes(prev_min, batch_minutes).write.mode("overwrite").parquet(
-                    _version(f"{state_dir}/minutes", batch_id))
-                fc = FC.forecast(spark.read.parquet(_version(f"{state_dir}/minutes", batch_id)), take="last")
+                # every area is forecast, so a silent one adds live totals of zero
+                fc = FC.forecast_last_hour(minutes, pairs)
+                live = at_level(summary, C.LEVEL_L2)
+                live = pairs.select(F.col("area_l2").alias("area_id")).distinct().join(live, "area_id", "left").fillna(0)
             else:
-                fc = FC.forecast(batch_minutes)
-            updates = PR.add_live_totals(fc, at_level(summary, C.LEVEL_L2))
-            # next full hour after the newest ballot, by epoch arithmetic (no session zone involved)
-            slot = ballots.agg(F.expr("timestamp_millis((max(log_ms) DIV 3600000 + 1) * 3600000)").alias("slot"))
-            prev_pred = _read_version(spark, f"{state_dir}/prediction", batch_id - 1)
+                fc = FC.forecast(minute_counts(ballot_features(ballots)))
+                live = at_level(summary, C.LEVEL_L2)
+            updates = PR.add_live_totals(fc, live)
+            # next full hour after the newest ballot so far, by epoch arithmetic (no session zone involved)
+            slot = minutes.agg(F.expr("timestamp_millis((max(newest_ms) DIV 3600000 + 1) * 3600000)").alias("slot"))
+            prev_pred = _before(spark, f"{state_dir}/prediction", batch_id)
             if prev_pred is None:
                 empty = pairs.select("area_l1", "area_l2").limit(0).withColumn("time_slot", F.lit(None).cast("timestamp"))
                 for c in C.PREDICTION_COUNTERS:
                     empty = empty.withColumn(c, F.lit(0).cast("long"))
                 prev_pred = empty
             table = PR.seed_predictions(prev_pred, pairs, slot)
-            PR.upsert_predictions(table, updates, slot).write.mode("overwrite").parquet(
-                _version(f"{state_dir}/prediction", batch_id))
-            if publish and data_dir:
-                pred = spark.read.parquet(_version(f"{state_dir}/prediction", batch_id))
-                inp = Inputs(spark, data_dir, summary=summary, prediction_table=pred)
+            pred = state.write_version(PR.upsert_predictions(table, updates, slot), f"{state_dir}/prediction", batch_id)
+            if publish and (data_dir or dims):
+                ages = state.write_version(merge_ages(_before(spark, f"{state_dir}/ages", batch_id), ballots),
+                                           f"{state_dir}/ages", batch_id)
+                inp = Inputs(spark, data_dir, summary=summary, prediction_table=pred, age_counts=ages, **(dims or {}))
                 write_reports(bundles(inp, batch_id), f"{state_dir}/reports/batch_id={batch_id}")
         finally:
             ballots.unpersist()
@@ -108,15 +120,8 @@ def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, data_di
 
 def run_live_pipeline(spark: SparkSession, source: dict, state_dir: str, checkpoint: str, pairs: DataFrame,
                       trigger: dict | None = None, data_dir: str | None = None, publish: bool = True,
-                      forecast_from: str = "batch"):
-    body = process_batch(spark, state_dir, pairs, data_dir, publish, forecast_from)
+                      forecast_from: str = "batch", dims: dict | None = None):
+    body = process_batch(spark, state_dir, pairs, data_dir, publish, forecast_from, dims)
     q = (log_stream(spark, source).writeStream.foreachBatch(body)
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     return q.start()
-
-
-def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a versioned state table."""
-    t = spark.read.parquet(path)
-    last = t.agg(F.max("v").alias("v"))
-    return t.join(last, "v").drop("v")
