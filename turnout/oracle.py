@@ -108,12 +108,12 @@ view("names", "SELECT 'l1' AS level, r_regionkey::BIGINT AS area_id, trim(r_name
      "UNION ALL SELECT 'l2', n_nationkey::BIGINT, trim(n_name) FROM nation "
      "UNION ALL SELECT 'nation', 0::BIGINT, 'nation'")
 view("prediction", "SELECT area_l1, area_l2, "
-     "TIMESTAMP '2024-01-31 00:00:00' + to_hours((8 + area_l2 % 5)::BIGINT) AS time_slot, "
+     "TIMESTAMP '2024-01-31 00:00:00' + to_days(CASE WHEN area_l2 % 3 = 0 THEN 1 ELSE 0 END) + to_hours((8 + area_l2 % 4)::BIGINT) AS time_slot, "
      f"(2 * sum({flag('sex = 1')}))::BIGINT AS male, (2 * sum({flag('sex = 2')}))::BIGINT AS female, "
      + ", ".join(f"(2 * sum({flag(half_open('age', lo, hi))}))::BIGINT AS {n}"
                  for n, lo, hi in [("col_1", 20, 30), ("col_2", 30, 40), ("col_3", 40, 50), ("col_4", 50, 60),
                                    ("col_5", 60, 70), ("col_6", 70, None)])
-     + " FROM ballots GROUP BY area_l1, area_l2", ["ballots"])
+     + " FROM ballots WHERE area_l2 <> 13 GROUP BY area_l1, area_l2", ["ballots"])
 
 LEVEL_SQL = {
     "nation": ("0::BIGINT AS area_id", ""),
@@ -557,8 +557,8 @@ view("split_l1", "SELECT dataset, area_id, start, CASE WHEN row_number() OVER (P
      "> count(*) OVER (PARTITION BY dataset, area_id) - ceil(0.1 * count(*) OVER (PARTITION BY dataset, area_id)) "
      "THEN 'test' ELSE 'train' END AS split FROM windows_l1", ["windows_l1"])
 
-view("mc", "SELECT area_l1, area_l2, minute, " + sums(COUNTERS) + f" FROM ({FEATURES}) GROUP BY area_l1, area_l2, minute",
-     ["ballots"])
+view("mc", "SELECT area_l1, area_l2, minute, " + sums(COUNTERS) + f" FROM ({FEATURES}) "
+     "WHERE area_l2 <> 5 OR minute < '00:20' GROUP BY area_l1, area_l2, minute", ["ballots"])
 view("first60", "SELECT *, row_number() OVER (PARTITION BY area_l2 ORDER BY minute)::BIGINT AS step FROM mc "
      "QUALIFY step <= 60", ["mc"])
 view("steps60", "SELECT k.area_l1, k.area_l2, g.step, " + ", ".join(f"coalesce(f.{c}, 0)::BIGINT AS {c}" for c in COUNTERS)
@@ -676,7 +676,7 @@ def modeling_sql() -> dict[str, str]:
                              f"ELSE (SELECT slot FROM slot) END, '%Y-%m-%d %H:%M:%S') AS time_slot, "
                              + ", ".join(f"(CASE WHEN u.area_l2 IS NULL THEN t.{c} ELSE u.{c} END)::BIGINT AS {c}"
                                          for c in C.PREDICTION_COUNTERS)
-                             + " FROM seeded t LEFT JOIN fc_live u ON u.area_l1 = t.area_l1 AND u.area_l2 = t.area_l2",
+                             + " FROM seeded t LEFT JOIN (SELECT * FROM fc_live WHERE area_l2 <> 7) u ON u.area_l1 = t.area_l1 AND u.area_l2 = t.area_l2",
     }
     views = ALL_VIEWS + ["hist", "dense_l1", "dense_l2", "iqr_l1", "zeroed_l1", "fit_l1", "scaled_l1", "windows_l1",
                          "split_l1", "mc", "first60", "steps60", "fc", "fc_live", "slot", "seeded", "steps_lh", "fit_l2"]

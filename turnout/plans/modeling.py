@@ -19,7 +19,8 @@ from turnout.sources.history import coerce_history, read_history, write_history
 
 
 def _minute_counts(spark, data_dir) -> DataFrame:
-    return minute_counts(ballot_features(pv.ballots(spark, data_dir)))
+    counts = minute_counts(ballot_features(pv.ballots(spark, data_dir)))
+    return counts.filter((F.col("area_l2") != pv.SPARSE_L2) | (F.col("minute") < pv.SPARSE_UNTIL))
 
 
 def history_load(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -137,7 +138,8 @@ def prediction_upsert(spark, data_dir) -> DataFrame:
     inp = Inputs(spark, data_dir)
     slot = batch_slot(spark, data_dir)
     table = PR.seed_predictions(inp.prediction, inp.dim, slot)
-    updates = PR.add_live_totals(FC.forecast(_minute_counts(spark, data_dir)), inp.level(C.LEVEL_L2))
+    minutes = _minute_counts(spark, data_dir).filter(F.col("area_l2") != pv.NO_FORECAST_L2)
+    updates = PR.add_live_totals(FC.forecast(minutes), inp.level(C.LEVEL_L2))
     path = scratch_path(spark, "prediction")
     PR.upsert_predictions(table, updates, slot).write.mode("overwrite").parquet(path)
     return _fmt(spark.read.parquet(path))
