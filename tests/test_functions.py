@@ -12,21 +12,21 @@ from turnout.sources import cdc
 def test_live_history_summary_bins(spark):
     ages = [19, 20, 29, 30, 31, 40, 70, 71, 80, 81, 89, 90, None]
     df = spark.createDataFrame([(a,) for a in ages], "age int")
-    rows = {r["age"]: r for r in df.select("age", *flags.age_flags(F.col("age"), C.LIVE_BINS)).collect()}
+    rows = {r["age"]: r for r in df.select("age", *flags.age_flags("age", C.LIVE_BINS)).collect()}
     assert [rows[30][c] for c in ("col_1", "col_2")] == [0, 0]          # 30 falls in no live bin
     assert rows[31]["col_2"] == 1 and rows[81]["col_7"] == 1 and rows[90]["col_7"] == 0
     assert sum(rows[None][c] for c in ("col_1", "col_7")) == 0
-    hist = {r["age"]: r for r in df.select("age", *flags.age_flags(F.col("age"), C.HISTORY_BINS)).collect()}
+    hist = {r["age"]: r for r in df.select("age", *flags.age_flags("age", C.HISTORY_BINS)).collect()}
     assert hist[30]["col_2"] == 1 and hist[90]["col_7"] == 1 and hist[19]["col_1"] == 0
-    summ = {r["age"]: r for r in df.select("age", *flags.age_flags(F.col("age"), C.SUMMARY_BINS, closed=True)).collect()}
+    summ = {r["age"]: r for r in df.select("age", *flags.age_flags("age", C.SUMMARY_BINS, closed=True)).collect()}
     assert summ[30]["age_21_30"] == 1 and summ[20]["age_21_30"] == 0 and summ[90]["age_71_p"] == 1
 
 
 def test_gender_rules(spark):
     df = spark.createDataFrame([(0,), (1,), (2,), (None,)], "sex int")
-    live = df.select("sex", flags.male_flag(F.col("sex")).alias("m"), flags.female_flag(F.col("sex")).alias("f")).collect()
+    live = df.select("sex", flags.male_flag("sex").alias("m"), flags.female_flag("sex").alias("f")).collect()
     assert {(r["sex"], r["m"], r["f"]) for r in live} == {(0, 0, 0), (1, 1, 0), (2, 0, 1), (None, 0, 0)}
-    hist = df.select("sex", flags.female_flag(F.col("sex"), other_is_female=True).alias("f")).collect()
+    hist = df.select("sex", flags.female_flag("sex", other_is_female=True).alias("f")).collect()
     assert {(r["sex"], r["f"]) for r in hist} == {(0, 1), (1, 0), (2, 1), (None, 1)}
 
 
@@ -47,8 +47,8 @@ def test_minute_rounding_carry_and_legacy(spark):
 
 def test_12_hour_labels_and_order(spark):
     df = spark.range(24).select(F.col("id").alias("h"))
-    out = df.select("h", tod.hour_12h(F.col("h")).alias("l")).withColumn(
-        "legacy", tod.ampm_hour(F.col("l"), legacy=True)).withColumn("fixed", tod.ampm_hour(F.col("l"))).collect()
+    out = df.select("h", tod.hour_12h("h").alias("l")).withColumn(
+        "legacy", tod.ampm_hour("l", legacy=True)).withColumn("fixed", tod.ampm_hour("l")).collect()
     by = {r["h"]: r for r in out}
     assert by[0]["l"] == "12 AM" and by[12]["l"] == "12 PM" and by[13]["l"] == "01 PM"
     assert by[12]["legacy"] == 24 and by[0]["legacy"] == 12          # published ordering defect
@@ -58,12 +58,12 @@ def test_12_hour_labels_and_order(spark):
 def test_rounding_modes_and_policies(spark):
     df = spark.createDataFrame([(1, 8), (5, 200), (3, 40), (7, 0), (1, None)], "n long, d long")
     out = df.select("n", "d",
-                    P.percent(F.col("n"), F.col("d"), P.EVEN).alias("e"),
-                    P.percent(F.col("n"), F.col("d"), P.UP).alias("u"),
-                    P.percent(F.col("n"), F.col("d"), P.EVEN, P.ZERO_ZERO).alias("z"),
-                    P.percent(F.col("n"), F.col("d"), P.EVEN, P.ZERO_ONE).alias("o"),
-                    P.percent(F.col("n"), F.col("d"), P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO).alias("mz"),
-                    P.percent(F.col("n"), F.col("d"), P.EVEN, P.ZERO_NULL, P.MISSING_DEN_ONE).alias("m1")).collect()
+                    P.percent("n", "d", P.EVEN).alias("e"),
+                    P.percent("n", "d", P.UP).alias("u"),
+                    P.percent("n", "d", P.EVEN, P.ZERO_ZERO).alias("z"),
+                    P.percent("n", "d", P.EVEN, P.ZERO_ONE).alias("o"),
+                    P.percent("n", "d", P.EVEN, P.ZERO_NULL, P.MISSING_PCT_ZERO).alias("mz"),
+                    P.percent("n", "d", P.EVEN, P.ZERO_NULL, P.MISSING_DEN_ONE).alias("m1")).collect()
     r = {(x["n"], x["d"]): x for x in out}
     assert (r[(1, 8)]["e"], r[(1, 8)]["u"]) == (12, 13)       # 12.5
     assert (r[(5, 200)]["e"], r[(5, 200)]["u"]) == (2, 3)     # 2.5

@@ -1,20 +1,4 @@
-"""Fixed values that results depend on.
-
-Fixed values (must stay exactly as written for results to match):
-
-* live age bins, half-open ``[lo, hi)``:
-  20-30, 31-40, 41-50, 51-60, 61-70, 71-80, 81-90
-  (so ages 30, 40, 50, 60, 70, 80, below 20 and 90 or more fall in none)
-* history age bins, half-open: 20-30, 30-40, 40-50, 50-60, 60-70, 70-80, 80 and over
-* summary age intervals, closed: 21-30, 31-40, 41-50, 51-60, 61-70, 71 and over
-* registration years: 2003, 2007, 2011, 2012, 2015, 2016, 2019, 2020, 2022, 2023
-* polling hours: 07:00 to 18:59 inclusive (720 minutes)
-* forecast window: 60 input steps, 60 output steps
-* outlier fence: 1.5 times the inter-quartile range, strict comparison
-* chart pick weights, first list (8 entries): 0.1, 0.2, 0.2, 0.2, 0.1, 0.1, 0.05, 0.05
-* chart pick weights, second list (2 entries): 0.5, 0.5
-* chart type words: "stats", "forcasted" (spelled so in the published documents)
-"""
+"""Fixed values that results depend on; they must stay exactly as written for results to match."""
 
 from __future__ import annotations
 

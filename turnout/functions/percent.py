@@ -32,7 +32,7 @@ def round_pct(x: Column, rounding: str | None) -> Column:
 
 def percent_sql(num: str, den: str, rounding: str | None = EVEN, on_zero: str = ZERO_NULL,
                 on_missing: str = MISSING_AS_ZERO_DEN) -> str:
-    """The same rule as a Spark SQL expression over column names (one JVM call to build)."""
+    """``percent`` as a Spark SQL expression (one JVM call to build)."""
     d = {MISSING_DEN_ONE: f"coalesce({den}, 1)", MISSING_AS_ZERO_DEN: f"coalesce({den}, 0)"}.get(on_missing, den)
     raw = f"try_divide({num} * 100, cast({d} as double))"
     if rounding == EVEN:
@@ -46,21 +46,7 @@ def percent_sql(num: str, den: str, rounding: str | None = EVEN, on_zero: str =
     return f"cast({out} as {'bigint' if rounding else 'double'})"
 
 
-def percent(num, den, rounding: str | None = EVEN, on_zero: str = ZERO_NULL,
+def percent(num: str, den: str, rounding: str | None = EVEN, on_zero: str = ZERO_NULL,
             on_missing: str = MISSING_AS_ZERO_DEN) -> Column:
-    """``num * 100 / den`` (integer product, double quotient), then rounding and policies.
-
-    ``num`` and ``den`` are column names or Columns; names compile to one SQL expression.
-    """
-    if isinstance(num, str) and isinstance(den, str):
-        return F.expr(percent_sql(num, den, rounding, on_zero, on_missing))
-    if on_missing == MISSING_DEN_ONE:
-        den = F.coalesce(den, F.lit(1))
-    elif on_missing == MISSING_AS_ZERO_DEN:
-        den = F.coalesce(den, F.lit(0))
-    raw = round_pct(F.try_divide(num * F.lit(100), den.cast("double")), rounding)
-    zero_value = {ZERO_NULL: F.lit(None), ZERO_ZERO: F.lit(0), ZERO_ONE: F.lit(1)}[on_zero]
-    out = F.when(den == 0, zero_value).otherwise(raw)
-    if on_missing == MISSING_PCT_ZERO:
-        out = F.when(den.isNull(), F.lit(0)).otherwise(out)
-    return out.cast("long") if rounding else out.cast("double")
+    """``num * 100 / den`` (integer product, double quotient) of two columns by name, then rounding and policies."""
+    return F.expr(percent_sql(num, den, rounding, on_zero, on_missing))

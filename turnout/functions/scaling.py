@@ -1,4 +1,4 @@
-"""Outlier fence and min-max scaling written as columns.
+"""Outlier fence and min-max scaling as SQL text over column names.
 
 Min-max is written out because Spark ML's scaler maps a constant column to 0.5,
 while the published preparation maps it to 0 (scale 1 on a zero range).
@@ -6,42 +6,15 @@ while the published preparation maps it to 0 (scale 1 on a zero range).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from turnout.constants import IQR_FENCE
 
 
-def outside_fence(x: Column, q1: Column, q3: Column, k: float = IQR_FENCE) -> Column:
-    iqr = q3 - q1
-    return (x < q1 - F.lit(k) * iqr) | (x > q3 + F.lit(k) * iqr)
-
-
-def zero_outliers(x: Column, q1: Column, q3: Column, k: float = IQR_FENCE) -> Column:
-    """strict IQR fence; values outside become 0."""
-    return F.when(outside_fence(x, q1, q3, k), F.lit(0.0)).otherwise(x.cast("double"))
-
-
-def span(lo: Column, hi: Column) -> Column:
-    return F.when(hi == lo, F.lit(1.0)).otherwise((hi - lo).cast("double"))
-
-
-def minmax(x: Column, lo: Column, hi: Column) -> Column:
-    """(x - lo) / (hi - lo); a zero range divides by 1."""
-    return (x - lo) / span(lo, hi)
-
-
-def inverse_minmax(s: Column, lo: Column, hi: Column) -> Column:
-    """inverse of one scaled value -- applied to a *sum* of scaled steps, lo is added once."""
-    return s * span(lo, hi) + lo
-
-
-# SQL-text forms over column names (one JVM call per expression when building wide selects)
-
 def zero_outliers_sql(x: str, q1: str, q3: str, k: float = IQR_FENCE) -> str:
+    """strict IQR fence; values outside become 0."""
     return (f"CASE WHEN {x} < {q1} - {k} * ({q3} - {q1}) OR {x} > {q3} + {k} * ({q3} - {q1}) "
             f"THEN CAST(0 AS DOUBLE) ELSE CAST({x} AS DOUBLE) END")
 
 
 def minmax_sql(x: str, lo: str, hi: str) -> str:
+    """(x - lo) / (hi - lo); a zero range divides by 1."""
     return f"({x} - {lo}) / CASE WHEN {hi} = {lo} THEN CAST(1 AS DOUBLE) ELSE CAST({hi} - {lo} AS DOUBLE) END"

@@ -58,43 +58,23 @@ def truncated_minute_key(ms: Column) -> Column:
     return F.format_string("%02d:%02d", idiv(s, 3600), F.pmod(idiv(s, 60), F.lit(60)))
 
 
-def minute_of_key(key: Column) -> Column:
-    """``HH:mm`` -> minute of day (null when unparsable)."""
-    return F.substring(key, 1, 2).try_cast("long") * 60 + F.substring(key, 4, 2).try_cast("long")
+def hour_12h(hour: str) -> Column:
+    """24-hour int column -> ``hh AM``/``hh PM`` (0 -> 12 AM, 12 -> 12 PM)."""
+    h = f"pmod({hour}, 12)"
+    return F.expr(f"format_string('%02d %s', CASE WHEN {h} = 0 THEN 12 ELSE {h} END, "
+                  f"CASE WHEN {hour} < 12 THEN 'AM' ELSE 'PM' END)")
 
 
-def key_of_minute(m: Column) -> Column:
-    return F.format_string("%02d:%02d", idiv(m, 60), F.pmod(m, F.lit(60)))
-
-
-def hour_12h(hour) -> Column:
-    """24-hour int -> ``hh AM``/``hh PM`` (0 -> 12 AM, 12 -> 12 PM).  ``hour`` may be a
-    column name (built as one SQL expression) or a Column."""
-    if isinstance(hour, str):
-        h = f"pmod({hour}, 12)"
-        return F.expr(f"format_string('%02d %s', CASE WHEN {h} = 0 THEN 12 ELSE {h} END, "
-                      f"CASE WHEN {hour} < 12 THEN 'AM' ELSE 'PM' END)")
-    h12 = F.when(F.pmod(hour, F.lit(12)) == 0, 12).otherwise(F.pmod(hour, F.lit(12)))
-    return F.format_string("%02d %s", h12, F.when(hour < 12, "AM").otherwise("PM"))
-
-
-def ampm_hour(label, legacy: bool = False) -> Column:
-    """``h AM/PM`` -> sort key.
+def ampm_hour(label: str, legacy: bool = False) -> Column:
+    """``h AM/PM`` column -> sort key.
 
     ``legacy=True`` reproduces the published ordering, which adds 12 to every PM
     hour and none to AM, so 12 PM sorts as 24 and 12 AM as 12.
     """
-    if isinstance(label, str):
-        n = f"try_cast(substring_index({label}, ' ', 1) AS BIGINT)"
-        am, pm = (n, f"{n} + 12") if legacy else (f"pmod({n}, 12)", f"pmod({n}, 12) + 12")
-        return F.expr(f"CASE WHEN locate(' AM', {label}) > 0 THEN {am} WHEN locate(' PM', {label}) > 0 THEN {pm} "
-                      f"ELSE 0 END")
-    n = F.substring_index(label, " ", 1).try_cast("long")
-    is_am = F.locate(" AM", label) > 0
-    is_pm = F.locate(" PM", label) > 0
-    if legacy:
-        return F.when(is_am, n).when(is_pm, n + 12).otherwise(0)
-    return F.when(is_am, F.pmod(n, F.lit(12))).when(is_pm, F.pmod(n, F.lit(12)) + 12).otherwise(0)
+    n = f"try_cast(substring_index({label}, ' ', 1) AS BIGINT)"
+    am, pm = (n, f"{n} + 12") if legacy else (f"pmod({n}, 12)", f"pmod({n}, 12) + 12")
+    return F.expr(f"CASE WHEN locate(' AM', {label}) > 0 THEN {am} WHEN locate(' PM', {label}) > 0 THEN {pm} "
+                  f"ELSE 0 END")
 
 
 def next_hour_slot(ts: Column) -> Column:

@@ -18,9 +18,9 @@ def ballot_features(ballots: DataFrame, carry: bool = True, bins=C.LIVE_BINS,
         tod.time_of_day(F.col("log_ms")).alias("time_of_day"),
         tod.minute_key(F.col("log_ms"), carry=carry).alias("minute"),
         F.col("area_l1"), F.col("area_l2"),
-        flags.male_flag(F.col("sex")).alias("male"),
-        flags.female_flag(F.col("sex"), other_is_female).alias("female"),
-        *flags.age_flags(F.col("age"), bins),
+        flags.male_flag("sex").alias("male"),
+        flags.female_flag("sex", other_is_female).alias("female"),
+        *flags.age_flags("age", bins),
     )
 
 

@@ -10,7 +10,25 @@ from __future__ import annotations
 import hashlib
 import math
 
-from turnout import constants as C
+
+class C:
+    """Literal values of its own, so that a wrong constant of the engine shows."""
+
+    LIVE_BINS = [("col_1", 20, 30), ("col_2", 31, 40), ("col_3", 41, 50), ("col_4", 51, 60), ("col_5", 61, 70), ("col_6", 71, 80), ("col_7", 81, 90)]
+    HISTORY_BINS = [("col_1", 20, 30), ("col_2", 30, 40), ("col_3", 40, 50), ("col_4", 50, 60), ("col_5", 60, 70), ("col_6", 70, 80), ("col_7", 80, None)]
+    SUMMARY_BINS = [("age_21_30", 21, 30), ("age_31_40", 31, 40), ("age_41_50", 41, 50), ("age_51_60", 51, 60), ("age_61_70", 61, 70), ("age_71_p", 71, None)]
+    SUMMARY_LABELS = ["Age_21_30", "Age_31_40", "Age_41_50", "Age_51_60", "Age_61_70", "Age_71_P"]
+    FORECAST_AGE_LABELS = ["20-30", "30-40", "40-50", "50-60", "60-70", "70+"]
+    REG_YEARS = [2003, 2007, 2011, 2012, 2015, 2016, 2019, 2020, 2022, 2023]
+    COUNTERS = ["male", "female", "col_1", "col_2", "col_3", "col_4", "col_5", "col_6", "col_7"]
+    PREDICTION_COUNTERS = ["male", "female", "col_1", "col_2", "col_3", "col_4", "col_5", "col_6"]
+    POLL_FIRST_MINUTE, POLL_LAST_MINUTE = 420, 1139
+    STATS, FORECASTED = "stats", "forcasted"
+    # weighted picks: list, report, weight
+    PICKS = [(1, "top_ages", 0.1), (1, "region_gender_turnout", 0.2), (1, "wilayat_gender_top10", 0.2), (1, "age_turnout", 0.2),
+             (1, "regyear_turnout", 0.1), (1, "region_turnout", 0.1), (1, "region_age_top2", 0.05), (1, "wilayat_age_top2", 0.05),
+             (2, "gender_forecast", 0.5), (2, "age_forecast", 0.5)]
+
 
 YEARS_LIST = "[" + ", ".join(str(y) for y in C.REG_YEARS) + "]"
 AGE_COLS = [b[0] for b in C.SUMMARY_BINS]
@@ -709,8 +727,7 @@ def stream_sql() -> dict[str, str]:
 
 
 def pick_sql() -> str:
-    from turnout.plans.charts import PICK_ROWS
-    cands = " UNION ALL ".join(f"SELECT {g} AS grp, '{n}' AS name, {w}::DOUBLE AS weight" for g, n, w in PICK_ROWS)
+    cands = " UNION ALL ".join(f"SELECT {g} AS grp, '{n}' AS name, {w}::DOUBLE AS weight" for g, n, w in C.PICKS)
     u = ("((('0x' || substr(md5(b.batch_id::VARCHAR || ':' || c.name), 1, 13))::BIGINT)::DOUBLE + 0.5) "
          f"/ {float(1 << 52)}")
     return ("SELECT batch_id, grp, name, rnk::BIGINT AS rank FROM (SELECT b.batch_id, c.grp, c.name, "
@@ -728,9 +745,8 @@ BUNDLE_ENDPOINTS = ["nation", "nation_en", "nation_cn", "nation_ru", "nation_fr"
 
 def drawn(batch: int = 0) -> list[str]:
     """The report drawn from each weighted list: smallest -ln(u) / weight, u from md5 of '<batch>:<name>'."""
-    from turnout.plans.charts import PICK_ROWS
     best: dict[int, tuple] = {}
-    for group, name, weight in PICK_ROWS:
+    for group, name, weight in C.PICKS:
         u = (int(hashlib.md5(f"{batch}:{name}".encode()).hexdigest()[:13], 16) + 0.5) / float(1 << 52)
         best[group] = min(best.get(group, (math.inf, "")), (-math.log(u) / weight, name))
     return [best[g][1] for g in sorted(best)]

@@ -55,8 +55,8 @@ def model_steps(minute_counts: DataFrame, n: int = STEPS) -> DataFrame:
 def event_minute_counts(ballots: DataFrame) -> DataFrame:
     """A1 by minute of event time (rounded, whole days apart), with the newest ballot of each minute."""
     rows = ballots.select("area_l1", "area_l2", F.expr("(log_ms + 30000) DIV 60000").alias("event_minute"), "log_ms",
-                          flags.male_flag(F.col("sex")).alias("male"), flags.female_flag(F.col("sex")).alias("female"),
-                          *flags.age_flags(F.col("age"), C.LIVE_BINS))
+                          flags.male_flag("sex").alias("male"), flags.female_flag("sex").alias("female"),
+                          *flags.age_flags("age", C.LIVE_BINS))
     return rows.groupBy("area_l1", "area_l2", "event_minute").agg(
         *[F.sum(c).cast("long").alias(c) for c in C.COUNTERS], F.max("log_ms").alias("newest_ms"))
 

@@ -52,13 +52,13 @@ def live_minute_counts(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def gender_flags(spark, data_dir, history_rule: bool = False) -> DataFrame:
     b = pv.ballots(spark, data_dir)
-    return b.select("event_id", "sex", flags.male_flag(b.sex).alias("male"),
-                    flags.female_flag(b.sex, other_is_female=history_rule).alias("female"))
+    return b.select("event_id", "sex", flags.male_flag("sex").alias("male"),
+                    flags.female_flag("sex", other_is_female=history_rule).alias("female"))
 
 
 def age_flag_rows(spark, data_dir, bins, closed: bool = False) -> DataFrame:
     b = pv.ballots(spark, data_dir)
-    return b.select("event_id", "age", *flags.age_flags(b.age, bins, closed))
+    return b.select("event_id", "age", *flags.age_flags("age", bins, closed))
 
 
 def drop_incomplete_rows(spark, data_dir) -> DataFrame:
@@ -142,13 +142,13 @@ def coerce_bad_values(spark, data_dir) -> DataFrame:
 def pct_rounding(spark, data_dir, rounding: str) -> DataFrame:
     inp = Inputs(spark, data_dir)
     s = with_registered(inp.level("l2"), pv.registered_l2_full(spark, data_dir))
-    return s.select("area_id", P.percent(F.col("male"), F.col("reg_male_count"), rounding).alias("pct"))
+    return s.select("area_id", P.percent("male", "reg_male_count", rounding).alias("pct"))
 
 
 def zero_denominator_policy(spark, data_dir) -> DataFrame:
     inp = Inputs(spark, data_dir)
     s = with_registered(inp.level("l2"), inp.reg_l2)
-    f, d = F.col("female"), F.col("reg_female_count")
+    f, d = "female", "reg_female_count"
     return s.select(
         "area_id",
         P.percent(f, d, P.EVEN, P.ZERO_NULL).alias("p_error"),
@@ -163,7 +163,7 @@ def national_turnout(spark, data_dir) -> DataFrame:
     inp = Inputs(spark, data_dir)
     n = with_national(inp.level("nation"), inp.reg_nat)
     return n.select("total", F.col("reg_voters").alias("voters"),
-                    P.percent(F.col("total"), F.col("reg_voters")).alias("pct"))
+                    P.percent("total", "reg_voters").alias("pct"))
 
 
 def region_age_turnout(spark, data_dir) -> DataFrame:
@@ -219,5 +219,5 @@ def gender_pivot(spark, data_dir) -> DataFrame:
 def ampm_order(spark, data_dir) -> DataFrame:
     from turnout.plans.reports import time_summary
     t = time_summary(Inputs(spark, data_dir))
-    return t.select(F.col("v_time").alias("label"), tod.ampm_hour(F.col("v_time"), legacy=True).alias("legacy_ord"),
-                    tod.ampm_hour(F.col("v_time")).alias("hour_ord"))
+    return t.select(F.col("v_time").alias("label"), tod.ampm_hour("v_time", legacy=True).alias("legacy_ord"),
+                    tod.ampm_hour("v_time").alias("hour_ord"))
