@@ -108,11 +108,14 @@ def repeated_runs(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """doc_id, text_hash, runs: for each document with repeated passages, the line runs to delete (first and last
     line, from 0), in order and apart."""
     posted = postings(docs, min_words)
-    shared = posted.groupBy("fp").count().filter("count > 1").select("fp")
+    # counts are written before they are joined: both sides of the joins are then plain shuffles, of which
+    # Spark splits the partitions that a common passage makes large
+    shared = written(posted.groupBy("fp").count().filter("count > 1").select("fp"), "shared")
     found = posted.join(shared, "fp").select("doc_id", "text_hash", F.explode("windows").alias("w")).select(
         "w.key", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "w.first").alias("here"), "w.last")
+    found = written(found, "windows")
     earliest = found.groupBy("key").agg(F.min("here").alias("earliest"), F.count("*").alias("n")).filter("n > 1")
-    later = found.join(earliest.drop("n"), "key").filter("here != earliest")
+    later = found.join(written(earliest.drop("n"), "earliest"), "key").filter("here != earliest")
     # equal rows of a document count as one occurrence, so set semantics
     runs = later.groupBy("here.doc_id", "here.text_hash").agg(
         F.collect_set(F.struct(F.col("here.first").alias("first"), "last")).alias("runs"))

@@ -82,8 +82,8 @@ def _keys(fps: DataFrame, max_bits: int) -> DataFrame:
 def _tiles(keys: DataFrame) -> DataFrame:
     """Keys with (lo, hi): groups of more than SPLIT rows are salted into q parts, q as the root of their size,
     and every pair of parts is a group of its own, so that no task gets a hot group whole."""
-    hot = keys.groupBy("block", "value").count().filter(F.col("count") > SPLIT).select(
-        "block", "value", F.ceil(F.sqrt(F.col("count") / SPLIT)).cast("int").alias("q"))
+    hot = written(keys.groupBy("block", "value").count().filter(F.col("count") > SPLIT).select(
+        "block", "value", F.ceil(F.sqrt(F.col("count") / SPLIT)).cast("int").alias("q")), "hot")
     part = keys.join(hot, ["block", "value"], "left").withColumn("q", F.coalesce("q", F.lit(1)))
     part = part.withColumn("salt", F.expr("cast(pmod(xxhash64(fp, 7), q) as int)"))
     return part.select("*", F.explode(F.expr("sequence(0, q - 1)")).alias("other")).select(
@@ -218,7 +218,8 @@ def stars(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
+        # written, so that the join has plain shuffles on both sides and Spark splits a hub's partition
+        least = written(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m")), "least")
         large = both.join(least, "v").filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         near = large.join(least, "v")
@@ -239,8 +240,8 @@ def components(marked: DataFrame, max_bits: int = 4) -> DataFrame:
     fps = marked.groupBy("fp").agg(_first("doc_id", "text_hash").alias("first"))
     star = written(stars(fingerprint_links(fps.select("fp"), max_bits)), "components")
     members = star.select(F.col("v").alias("fp"), "root").unionByName(star.select(F.col("root").alias("fp"), "root").distinct())
-    named = fps.join(members, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    best = named.groupBy("root").agg(F.min("first").alias("best"))
+    named = written(fps.join(members, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
+    best = written(named.groupBy("root").agg(F.min("first").alias("best")), "best")
     return named.join(best, "root").select("fp", "best.doc_id", "best.text_hash")
 
 
