@@ -186,3 +186,19 @@ def test_ingest_counts_add_up(spark):
     raw = pv.cdc_raw(spark, SMALL)
     assert tot["messages"] == raw.count()
     assert tot["ballots"] == ST.decoded_ballots(raw).count()
+
+
+def test_command_line_takes_documents(spark, tmp_path):
+    from turnout import __main__ as cli
+    from turnout.plans.inputs import Inputs
+    from turnout.sources import dims
+    given = Inputs(spark, SMALL)
+    args = ["reports", "--data-dir", SMALL, "--out", str(tmp_path / "out")]
+    for level, name in (("nation", "nation"), ("l1", "region"), ("l2", "wilayat")):
+        doubled = given.registered(level).withColumn("voters", F.col("voters") * 2)
+        dims.write_registered_doc(doubled, str(tmp_path / name), level)
+        args += [f"--{name}-doc", str(tmp_path / name)]
+    (tmp_path / "areas.csv").write_text("area_l1,l1_name,area_l2,l2_name\n" + "".join(f"{a},R{a},{b},W{b}\n" for a, _, b, _ in map(tuple, given.dim.collect())))
+    cli.main([*args, "--areas", str(tmp_path / "areas.csv")])
+    lines = spark.read.json(str(tmp_path / "out")).filter("endpoint = 'region'").collect()
+    assert lines and all("R" + r["area_key"] + " polling stats" in r["charts"] for r in lines)
