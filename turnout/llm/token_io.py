@@ -7,13 +7,15 @@ needs nothing but Spark's own readers.
 
 Block payload, little-endian::
 
-    'S8B1' | n_ids u64 | n_words u64 | n_frames u64 | n_escapes u64
-    frame starts u64[n_frames]        id index at which every 512th word starts
-    words u64[n_words]                selector in the top 4 bits, ids from the low bits up
+    'S8B2' | n_ids u64 | n_words u64 | n_escapes u64
+    frame starts u64[ceil(n_ids / 4096)]   word at which every 4096th id starts
+    words u64[n_words]                     selector in the top 4 bits, ids from the low bits up
     escape positions u64[n_escapes] | escape values u64[n_escapes]
 
 Selector ``s`` < 14 packs ``COUNT[s]`` ids of ``BITS[s]`` bits; 14 packs 240 zeros, 15 packs 120 zeros.
-Ids of 60 bits or more do not fit a word: the word holds 0 and the block lists position and value.
+Each word takes the most ids that fit.  A frame starts a new word, so frames are packed and read side
+by side, and any of them without the others; the last word of a frame may hold fewer ids than its
+selector says.  Ids of 60 bits or more do not fit a word: it holds 0 and the block lists place and value.
 """
 
 from __future__ import annotations
@@ -35,8 +37,9 @@ from turnout.llm.common import PieceCache, map_arrow, text_slices, written
 # Simple-8b selectors: ids per word and bits per id (fixed values of the coding)
 COUNT = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 240, 120], dtype=np.int64)
 BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0, 0], dtype=np.int64)
-FRAME = 512
-HEAD = struct.Struct("<4s4Q")
+FRAME = 4096
+PAD = 240
+HEAD = struct.Struct("<4s3Q")
 LIMIT = np.uint64(1 << 60)
 
 
@@ -55,82 +58,97 @@ def pack(ids: np.ndarray) -> bytes:
     ids = np.asarray(ids, dtype=np.uint64)
     n = len(ids)
     escapes = np.flatnonzero(ids >= LIMIT)
-    escape_values = ids[escapes]
-    # zeros behind the end let the last word take any selector; the header keeps the true length
-    low = np.concatenate([ids, np.zeros(240, dtype=np.uint64)])
-    low[escapes] = 0
-    width = _widths(low)
-    choice = np.full(n, 13, dtype=np.uint8)
-    # widest id of the next 2**k places, for the sizes a selector asks for; from sparse to dense, the densest that fits stays
+    n_frames = -(-n // FRAME)
+    # one row per frame; zeros behind its end let the last word take any selector
+    low = np.zeros((n_frames, FRAME + PAD), dtype=np.uint64)
+    flat = np.zeros(n_frames * FRAME, dtype=np.uint64)
+    flat[:n] = ids
+    flat[escapes] = 0
+    low[:, :FRAME] = flat.reshape(n_frames, FRAME)
+    choice = _choices(_widths(low))
+    starts, rows = [], np.arange(n_frames)
+    ends = np.minimum(n - rows * FRAME, FRAME)
+    at = np.zeros(n_frames, dtype=np.int64)
+    while len(rows):  # one word of every frame that is not at its end
+        starts.append(rows * (FRAME + PAD) + at)
+        at = at + COUNT[choice[rows, at]]
+        more = at < ends[rows]
+        rows, at = rows[more], at[more]
+    place = np.sort(np.concatenate(starts)) if starts else np.zeros(0, dtype=np.int64)
+    selectors = choice.ravel()[place - place // (FRAME + PAD) * PAD] if n else np.zeros(0, dtype=np.uint8)
+    frames = np.searchsorted(place, np.arange(n_frames) * (FRAME + PAD))
+    words = selectors.astype(np.uint64) << np.uint64(60)
+    values = low.ravel()
+    for s in np.unique(selectors).tolist():
+        if s < 14:
+            mine = np.flatnonzero(selectors == s)
+            lanes = np.arange(COUNT[s])
+            words[mine] |= np.bitwise_or.reduce(values[place[mine][:, None] + lanes] << (lanes * BITS[s]).astype(np.uint64), axis=1)
+    return b"".join([HEAD.pack(b"S8B2", n, len(words), len(escapes)), frames.astype("<u8").tobytes(), words.astype("<u8").tobytes(),
+                     escapes.astype("<u8").tobytes(), ids[escapes].astype("<u8").tobytes()])
+
+
+def _choices(width: np.ndarray) -> np.ndarray:
+    """For every place of every frame, the selector that takes the most ids from there on."""
+    choice = np.full((len(width), FRAME), 13, dtype=np.uint8)
+    # widest id of the next 2**k places; selectors from sparse to dense, the densest that fits stays
     doubled = [width]
     for s in [*range(12, -1, -1), 15, 14]:
         count, bits = int(COUNT[s]), int(BITS[s])
         k = count.bit_length() - 1
         while len(doubled) <= k:
             last, half = doubled[-1], 1 << (len(doubled) - 1)
-            doubled.append(np.maximum(last[:-half], last[half:]))
+            doubled.append(np.maximum(last[:, :-half], last[:, half:]))
         span = doubled[k]
-        fits = np.maximum(span[:n], span[count - (1 << k):][:n]) <= bits
+        fits = np.maximum(span[:, :FRAME], span[:, count - (1 << k):][:, :FRAME]) <= bits
         if fits.any():
             choice[fits] = s
-    step = (np.arange(n) + COUNT[choice]).tolist()
-    starts, i = [], 0
-    while i < n:
-        starts.append(i)
-        i = step[i]
-    at = np.array(starts, dtype=np.int64)
-    selectors = choice[at].astype(np.int64) if len(at) else np.zeros(0, dtype=np.int64)
-    words = selectors.astype(np.uint64) << np.uint64(60)
-    for s in np.unique(selectors):
-        if s < 14:
-            rows = np.flatnonzero(selectors == s)
-            lanes = np.arange(COUNT[s])
-            values = low[at[rows][:, None] + lanes] << (lanes * BITS[s]).astype(np.uint64)
-            words[rows] |= np.bitwise_or.reduce(values, axis=1)
-    frames = at[::FRAME].astype(np.uint64)
-    return b"".join([HEAD.pack(b"S8B1", n, len(words), len(frames), len(escapes)), frames.astype("<u8").tobytes(),
-                     words.astype("<u8").tobytes(), escapes.astype("<u8").tobytes(), escape_values.astype("<u8").tobytes()])
+    return choice
 
 
 def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     """Ids ``first`` to ``last`` (exclusive; the end if None) of a block; decodes only the frames they are in."""
-    magic, n, n_words, n_frames, n_escapes = HEAD.unpack_from(payload)
-    if magic != b"S8B1":
+    magic, n, n_words, n_escapes = HEAD.unpack_from(payload)
+    if magic != b"S8B2":
         raise ValueError("not a Simple-8b block")
     last = n if last is None else min(last, n)
     if first >= last:
         return np.zeros(0, dtype=np.uint64)
-    at = HEAD.size
-    frames = np.frombuffer(payload, "<u8", n_frames, at).astype(np.int64)
+    n_frames, at = -(-n // FRAME), HEAD.size
+    frames = np.append(np.frombuffer(payload, "<u8", n_frames, at).astype(np.int64), n_words)
     words = np.frombuffer(payload, "<u8", n_words, at + 8 * n_frames)
     escapes = np.frombuffer(payload, "<u8", 2 * n_escapes, at + 8 * (n_frames + n_words))
-    f0 = int(np.searchsorted(frames, first, "right")) - 1
-    f1 = int(np.searchsorted(frames, last, "left"))
-    words, base = words[f0 * FRAME:f1 * FRAME], int(frames[f0])
+    f0, f1 = first // FRAME, -(-last // FRAME)
+    words = words[frames[f0]:frames[f1]]
     selectors = (words >> np.uint64(60)).astype(np.int64)
     counts = COUNT[selectors]
-    ends = np.cumsum(counts)
-    out = np.zeros(int(ends[-1]), dtype=np.uint64)
-    for s in np.unique(selectors):
+    before = np.cumsum(counts) - counts
+    heads = frames[f0:f1] - frames[f0]
+    row = np.repeat(np.arange(f1 - f0), np.diff(np.append(heads, len(words))))
+    place = before - before[heads][row] + row * (FRAME + PAD)
+    out = np.zeros((f1 - f0) * (FRAME + PAD), dtype=np.uint64)
+    for s in np.unique(selectors).tolist():
         if s < 14:
-            rows = np.flatnonzero(selectors == s)
+            mine = np.flatnonzero(selectors == s)
             lanes = np.arange(COUNT[s])
             mask = np.uint64((1 << int(BITS[s])) - 1)
-            out[(ends - counts)[rows][:, None] + lanes] = (words[rows][:, None] >> (lanes * BITS[s]).astype(np.uint64)) & mask
-    place = escapes[:n_escapes].astype(np.int64) - base
-    inside = (place >= 0) & (place < len(out))
-    out[place[inside]] = escapes[n_escapes:][inside]
-    return out[first - base:last - base]
+            out[place[mine][:, None] + lanes] = (words[mine][:, None] >> (lanes * BITS[s]).astype(np.uint64)) & mask
+    ids = out.reshape(-1, FRAME + PAD)[:, :FRAME].ravel()
+    base = f0 * FRAME
+    there = escapes[:n_escapes].astype(np.int64) - base
+    inside = (there >= 0) & (there < len(ids))
+    ids[there[inside]] = escapes[n_escapes:][inside]
+    return ids[first - base:last - base]
 
 
 _LOADED: dict = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer of ``path`` with its piece memo, loaded once per worker process."""
+    """The tokenizer of ``path`` with the memos of parts and of their pieces, loaded once per worker process."""
     if path not in _LOADED:
         from tokenizers import Tokenizer
-        _LOADED[path] = Tokenizer.from_file(path), PieceCache()
+        _LOADED[path] = Tokenizer.from_file(path), PieceCache(250_000), PieceCache(200_000)
     return _LOADED[path]
 
 
@@ -151,23 +169,28 @@ def _parts(text: str) -> list[str]:
 
 
 _FIRST = "\0first "  # no part without its space has one at its end, so no other part is spelt so
+# inside a part: a mark behind a letter, a lone line break, and what stands behind one
+_PIECE = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,!?;:])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 
 
 def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
     """``encode(text, add_special_tokens=False).ids`` of the tokenizers library for every text.
 
-    Texts are cut where the byte-level pre-tokeniser starts a token whatever stands around it.  The
-    parts encode alone to what they give in the text, so the library encodes repeated parts once.
+    Texts are cut where the byte-level pre-tokeniser starts a token whatever stands around it, first
+    into parts, and unseen parts into pieces.  A piece encodes alone to what it gives in the text, so
+    the library encodes repeated ones once.
     """
-    tokenizer, cache = _tokenizer(path)
+    tokenizer, parts_seen, pieces_seen = _tokenizer(path)
 
-    def encode(parts: list[str]) -> Iterator[bytes]:
-        whole = [p[len(_FIRST):] if p.startswith(_FIRST) else " " + p for p in parts]
-        for i in range(0, len(parts), 1000):
-            for e in tokenizer.encode_batch_fast(whole[i:i + 1000], add_special_tokens=False):
+    def encode(pieces: list[str]) -> Iterator[bytes]:
+        for i in range(0, len(pieces), 1000):
+            for e in tokenizer.encode_batch_fast(pieces[i:i + 1000], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
-    return [np.frombuffer(x, dtype=np.uint32) for x in cache.encode(list(map(_parts, texts)), encode)]
+    def compose(parts: list[str]) -> list[bytes]:
+        return pieces_seen.encode([_PIECE.split(p[len(_FIRST):] if p.startswith(_FIRST) else " " + p) for p in parts], encode)
+
+    return [np.frombuffer(x, dtype=np.uint32) for x in parts_seen.encode(list(map(_parts, texts)), compose)]
 
 
 BLOCK_SCHEMA = "shard int, block int, first long, doc_ids array<long>, lengths array<long>, n_ids long, payload binary"
@@ -203,7 +226,7 @@ def _block_writer(path: str, end_id: int, block_ids: int):
     return write
 
 
-def write_tokens(docs: DataFrame, path: str, end_id: int = 0, block_ids: int = 1 << 16) -> DataFrame:
+def write_tokens(docs: DataFrame, path: str, end_id: int = 0, block_ids: int = 1 << 20) -> DataFrame:
     """Encode ``text`` with the tokenizer file ``path``, append ``end_id``, write Simple-8b shards in
     ascending ``doc_id`` order under the shared folder, and return the written table.
 
