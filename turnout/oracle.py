@@ -529,9 +529,9 @@ view("hist", f"SELECT (day(ts) % 3)::BIGINT AS dataset, area_l1, area_l2, ({SOD}
      f"WHERE {MINUTE_CUT} BETWEEN '07:00' AND '18:59'", ["ballots"])
 
 
-def dense_sql(area: str, split: bool) -> str:
+def dense_sql(area: str, split: bool, src: str = "hist") -> str:
     ds = "dataset" if split else "0::BIGINT"
-    series = (f"SELECT {ds} AS dataset, {area} AS area_id, minute, {sums(COUNTERS)} FROM hist "
+    series = (f"SELECT {ds} AS dataset, {area} AS area_id, minute, {sums(COUNTERS)} FROM {src} "
               f"GROUP BY {'dataset, ' if split else ''}{area}, minute")
     return (f"SELECT k.dataset, k.area_id, g.minute, "
             + ", ".join(f"coalesce(s.{c}, 0)::BIGINT AS {c}" for c in COUNTERS)
@@ -620,6 +620,15 @@ view("zeroed_l2", "SELECT d.dataset, d.area_id, d.minute, " + ", ".join(
     f"THEN 0.0 ELSE d.{c}::DOUBLE END AS {c}" for c in COUNTERS)
     + " FROM dense_l2 d JOIN iqr_l2 q ON q.dataset = d.dataset AND q.area_id = d.area_id", ["iqr_l2"])
 view("fit_l2", fit_sql("zeroed_l2"), ["zeroed_l2"])
+# history files listed as 2, 0, 1
+view("hist_listed", "SELECT * REPLACE (((dataset + 1) % 3)::BIGINT AS dataset) FROM hist", ["hist"])
+view("dense_listed", dense_sql("area_l1", True, "hist_listed"), ["hist_listed"])
+view("zeroed_listed", "SELECT d.dataset, d.area_id, d.minute, " + ", ".join(
+    f"CASE WHEN d.{c} < q.q1_{c} - 1.5 * (q.q3_{c} - q.q1_{c}) OR d.{c} > q.q3_{c} + 1.5 * (q.q3_{c} - q.q1_{c}) "
+    f"THEN 0.0 ELSE d.{c}::DOUBLE END AS {c}" for c in COUNTERS)
+    + " FROM dense_listed d JOIN (SELECT dataset, area_id, " + ", ".join(
+    f"quantile_cont({c}::DOUBLE, 0.25) AS q1_{c}, quantile_cont({c}::DOUBLE, 0.75) AS q3_{c}" for c in COUNTERS)
+    + " FROM dense_listed GROUP BY dataset, area_id) q ON q.dataset = d.dataset AND q.area_id = d.area_id", ["dense_listed"])
 STORED = ("SELECT area_id AS area_l2, feature, lo, hi FROM (UNPIVOT (SELECT * FROM fit_l2) ON "
           + ", ".join(f"(lo_{c}, hi_{c}) AS {c}" for c in COUNTERS) + " INTO NAME feature VALUE lo, hi)")
 # ballots that the change log carries (inserts and updates), and what the live job makes of them
@@ -679,6 +688,7 @@ def modeling_sql() -> dict[str, str]:
         "minmax_scaled": scale_sql("dense_l2", fit_sql("dense_l2")),
         "scaler_params": "SELECT * FROM fit_l1",
         "history_scaled": "SELECT * FROM scaled_l1",
+        "history_scaled_listed": scale_sql("zeroed_listed", fit_sql("zeroed_listed")),
         "supervised_windows": "SELECT * FROM windows_l1",
         "time_split": "SELECT * FROM split_l1",
         "first_60_steps": "SELECT area_l1, area_l2, minute, " + ", ".join(COUNTERS) + ", step FROM first60",
@@ -697,7 +707,7 @@ def modeling_sql() -> dict[str, str]:
                              + " FROM seeded t LEFT JOIN (SELECT * FROM fc_live WHERE area_l2 <> 7) u ON u.area_l1 = t.area_l1 AND u.area_l2 = t.area_l2",
     }
     views = ALL_VIEWS + ["hist", "dense_l1", "dense_l2", "iqr_l1", "zeroed_l1", "fit_l1", "scaled_l1", "windows_l1",
-                         "split_l1", "mc", "first60", "steps60", "fc", "fc_live", "slot", "seeded", "steps_lh", "fit_l2"]
+                         "split_l1", "mc", "first60", "steps60", "fc", "fc_live", "slot", "seeded", "steps_lh", "fit_l2", "zeroed_listed"]
     return {k: with_views(v, *views) for k, v in d.items()}
 
 

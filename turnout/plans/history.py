@@ -17,6 +17,7 @@ from turnout.functions.scaling import minmax_sql, zero_outliers_sql
 from turnout.operators.joins import densify
 from turnout.operators.windows import supervised_windows, time_split
 from turnout.sources import proof_views as pv
+from turnout.sources.history import coerce_history, read_history_files
 
 KEYS = ["dataset", "area_id"]
 
@@ -48,6 +49,13 @@ def prepared(spark: SparkSession, data_dir: str, area_col: str = "area_l2", spli
     return dense_grid(minute_series(history_features(pv.history(spark, data_dir), area_col, split)))
 
 
+def prepared_files(spark: SparkSession, paths: list[str], area_col: str = "area_l2") -> DataFrame:
+    """M1 from history files in list order: each file is a dataset, and the first listed fits the scalers."""
+    rows = coerce_history(read_history_files(spark, paths)).withColumn("time", F.date_format("ts", "HH:mm"))
+    kept = rows.filter(F.col("time").between(C.POLL_START, C.POLL_END))
+    return dense_grid(minute_series(history_features(kept, area_col, split=True)))
+
+
 def iqr_bounds(dense: DataFrame, cols=C.COUNTERS) -> DataFrame:
     """Exact quartiles (linear interpolation) per (dataset, area) and column."""
     aggs = [F.expr(f"percentile(CAST({c} AS DOUBLE), array(0.25, 0.75)) AS _q_{c}") for c in cols]

@@ -63,6 +63,14 @@ def history_scaled(spark, data_dir) -> DataFrame:
     return H.scaled(spark, data_dir)
 
 
+def history_scaled_listed(spark, data_dir) -> DataFrame:
+    """Three history files scaled by the first listed, which is not the first by name."""
+    path = scratch_path(spark, "history")
+    write_history(pv.ballots(spark, data_dir).withColumn("dataset", (F.dayofmonth("ts") % 3).cast("long")), path)
+    dense = H.prepared_files(spark, [f"{path}/dataset={k}" for k in (2, 0, 1)], "area_l1")
+    return H.scale(H.with_own_minmax(H.outliers_zeroed(dense)))
+
+
 def supervised_windows(spark, data_dir) -> DataFrame:
     return H.windows(spark, data_dir)
 

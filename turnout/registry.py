@@ -80,6 +80,7 @@ def queries() -> dict[str, Query]:
         "minmax_scaled": M.minmax_scaled,
         "scaler_params": M.scaler_params,
         "history_scaled": M.history_scaled,
+        "history_scaled_listed": M.history_scaled_listed,
         "supervised_windows": M.supervised_windows,
         "time_split": M.time_split,
         "first_60_steps": M.first_60_steps,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# columns are read by position; these are their names in the published files
 HISTORY_COLUMNS = ["CITIZENID", "WILAYAT_CODE", "TIMESTAMP", "AGE", "SEX", "VOTE_REG_YR", "REGIONID"]
 
 # read as text so that bad cells survive to the coercion step
@@ -29,6 +32,12 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(dataset.alias("dataset"), *HISTORY_COLUMNS)
 
 
+def read_history_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Several files or folders in list order: ``dataset`` is the place in the list, from 0."""
+    read = lambda k, p: spark.read.schema(RAW_SCHEMA).csv(p).select(F.lit(k).cast("long").alias("dataset"), *HISTORY_COLUMNS)
+    return reduce(DataFrame.unionByName, [read(k, p) for k, p in enumerate(paths)])
+
+
 def coerce_history(raw: DataFrame) -> DataFrame:
     """Bad dates and bad numbers become null instead of failing the read."""
     num = lambda c: F.col(c).try_cast("long")
