@@ -24,6 +24,13 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(prefix: str, columns: list[str]) -> str:
+    """``prefix``, with underscores before it until no column starts with it."""
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` with this package importable on the executors."""
     ship_package(df.sparkSession)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.common import map_arrow, text_slices, written
+from turnout.llm.common import fresh, map_arrow, text_slices, written
 from turnout.session import ship_package
 
 POSTINGS = "fp long, doc_id long, text_hash long, at int, windows array<struct<key: binary, first: int, last: int>>"
@@ -124,13 +124,6 @@ def repeated_runs(docs: DataFrame, min_words: int = 50) -> DataFrame:
     return runs.select("doc_id", "text_hash", join("runs.first", "runs.last").alias("runs"))
 
 
-def _fresh(columns: list[str]) -> str:
-    prefix = "_line_"
-    while any(c.lower().startswith(prefix) for c in columns):
-        prefix = "_" + prefix
-    return prefix
-
-
 def dedup_lines(docs: DataFrame, min_words: int = 50) -> tuple[DataFrame, str]:
     """``docs`` with every later repeated run of at least ``min_words`` words deleted from ``text``, and a struct
     column (its name is returned too) of n_lines, n_deleted and runs.
@@ -140,7 +133,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> tuple[DataFrame, str]:
     one document and keep the same text.  A null text stays null and has no lines; an empty one has one.
     All columns, and all other rows, stay as they are.
     """
-    p = _fresh(docs.columns)
+    p = fresh("_line_", docs.columns)
     runs = written(repeated_runs(docs, min_words), "runs")
     runs = runs.select(F.col("doc_id").alias(f"{p}id"), F.col("text_hash").alias(f"{p}hash"), F.col("runs").alias(f"{p}runs"))
     keyed = docs.withColumn(f"{p}text_hash", F.xxhash64("text"))

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.common import written
+from turnout.llm.common import fresh, written
 
 SPACE = r"[\\x20\\x09-\\x0D]+"
 
@@ -42,13 +42,6 @@ KEEP = 0.5
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _fresh(columns: list[str]) -> str:
-    prefix = "_rule_"
-    while any(c.lower().startswith(prefix) for c in columns):
-        prefix = "_" + prefix
-    return prefix
-
-
 def with_statistics(docs: DataFrame, p: str) -> DataFrame:
     """``docs`` with one column ``{p}s``: the statistics of ``text`` as a struct of longs (a null text is empty)."""
     kept = [F.col(f"`{c}`") for c in docs.columns]
@@ -156,7 +149,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
-    p = _fresh(docs.columns)
+    p = fresh("_rule_", docs.columns)
     stats = written(with_statistics(docs, p), "statistics")
     failed, good = _verdict(fit_votes(stats, f"{p}s"), f"{p}s")
     kept = stats.withColumn(f"{p}v", votes(f"{p}s")).filter(F.expr(f"NOT {failed} AND {good.replace('v.', f'{p}v.')} >= {KEEP}"))
