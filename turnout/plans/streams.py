@@ -15,7 +15,7 @@ from turnout.streaming import ingest as ST
 from turnout.streaming import pipeline as PL
 from turnout.streaming import state
 
-FILES_PER_TRIGGER = 15
+FILES_PER_TRIGGER = 30
 
 
 def write_log_files(raw: DataFrame, path: str, copies: int = 1, files_per_day: int = 2) -> None:
