@@ -138,6 +138,38 @@ def test_line_dedup(spark, docs_of, small):
         assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def whole_runs(rows, min_words):
+    """{(doc_id, text): text left} when every line of a run of ``min_words`` words or more that occurred before goes:
+    all pairs of places, each match extended to its end."""
+    order = sorted(set(rows), key=lambda r: r[0])
+    words = [[(k, x.split()) for k, x in enumerate(t.split("\n")) if x.split()] for _, t in order]
+    out = {}
+    for d, own in enumerate(words):
+        drop = set()
+        for e in range(d + 1):
+            for i in range(len(own)):
+                for k in range(i if e == d else len(words[e])):
+                    n = 0
+                    while i + n < len(own) and k + n < len(words[e]) and own[i + n][1] == words[e][k + n][1]:
+                        n += 1
+                    if sum(len(w) for _, w in own[i:i + n]) >= min_words:
+                        drop.update(range(own[i][0], own[i + n - 1][0] + 1))
+        out[order[d]] = "\n".join(x for k, x in enumerate(order[d][1].split("\n")) if k not in drop)
+    return out
+
+
+def test_line_dedup_whole_runs(docs_of):
+    long, short = " ".join(f"w{k}" for k in range(60)), " ".join(f"t{k}" for k in range(10))
+    rows = [(1, f"{long}\n{short}"), (2, f"{long}\n\n{short}"), (3, f"{short}\n{long}\n{short}\nown"), (4, f"own\n{short}"), (4, f"own\n{short}")]
+    got, _ = line_dedup.dedup_lines(docs_of(rows), 50, whole_runs=True)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, rows[0][1]), (2, ""), (3, f"{short}\nown"), (4, rows[3][1]), (4, rows[4][1])]
+    random.seed(7)
+    lines = [" ".join(f"{c}{k}" for k in range(random.randint(1, 12))) for c in "abcde"]
+    rows = [(k, "\n".join(random.choice(["", *lines]) for _ in range(random.randint(1, 25)))) for k in range(60)]
+    got, _ = line_dedup.dedup_lines(docs_of(rows), 20, whole_runs=True)
+    assert {(r.doc_id, r.text) for r in got.collect()} == {(i, t) for (i, _), t in whole_runs(rows, 20).items()}
+
+
 def test_line_dedup_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "x", 5, [1])], "doc_id long, text string, _line_runs int, fp array<int>")
     got, made = line_dedup.dedup_lines(docs)
