@@ -49,6 +49,22 @@ def test_page(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("inside, text", [
+    ("<section id='social-history'><p>a</p></section>", "a"), ("<h2 id='search-results-discussed'>a</h2><p>b</p>", "a\nb"),
+    ("<section id=login><p>a</p></section>", "a"), ("<p data-id='share-3' data-class=ad title='class=ad'>a</p>", "a"),
+    ("<h2 id=comments>a</h2><p class='social-history related'>b</p><div class='notice-of-1812 share widget'>c</div>", "a\nb\nc"),
+    ("<figure><table><tr><td>1<td>2</table><pre>code</pre><figcaption>caption</figcaption></figure>", "1\n2\ncode\ncaption"),
+    ("<pre>x = 1 <span class='token comment'># one</span></pre>", "x = 1 # one"),
+    ("<div class='ad-banner'>no</div><div class='entry-footer'>no</div><div class='login'>a</div><div class='banner'>b</div>", "a\nb"),
+    ("<p><label>l</label> <button>b</button> <math><mi>x</mi></math></p>", "l b x"),
+    ("<div class='ad-slot'>no</div><div class='Comments-area x'>no</div><div class='cookie-notice'>no</div><ul class=siteMenu><li>no</ul>"
+     "<div role=navigation>no</div><div id=respond>no</div><div class='page-footer'>no</div>", ""),
+])
+def test_article_loses_only_what_is_no_text(inside, text):
+    page = f"<body><button>no</button><figure>no</figure><article><p>first</p>{inside}<p>last</p></article></body>"
+    assert html_extract.main_text(page) == "\n".join(t for t in ("first", text, "last") if t)
+
+
 def test_extract_edge_rows(spark):
     rows = [(None, None, None), (1, "u", "<p>a"), (1, "u", "<p>a"), (2, None, "<p>" + "word " * 50000)]
     got = html_extract.extract(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string"))
