@@ -119,6 +119,19 @@ def test_added_spans_need_check_and_context(docs_of):
     assert got[6].startswith("local_phone:") and got[7] == ""
 
 
+def test_account_numbers_before_words_and_digits(docs_of):
+    numbers = ["AT61 1904 3002 3457 3201", "BE68539007547034", "BE68 5390 0754 7034", "SE45 5000 0000 0583 9825 7466", "GB82 WEST 1234 5698 7654 32",
+               "NO93 8601 1117 947", "PL61 1090 1014 0000 0712 1981 2874", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "DE89370400440532013000"]
+    after = [" BIC: BKAUATWW", " EUR 50", " 2024", " 50 EUR", " A1", " BE68 5390 0754 7034", ", x", ""]
+    cases = [(f"IBAN {n}{a}", [n, *([a[1:]] if a == after[5] else [])]) for n in numbers for a in after]
+    cases += [("order QX12 3456 7890 AT61 1904 3002 3457 3201", [numbers[0]]), ("IBAN AT61 1904 3002 3457 320 BIC", []), ("account QX33 1234 5678 90 x", [])]
+    rows = [(k, text) for k, (text, _) in enumerate(cases)]
+    for r in pii.find_spans(docs_of(rows)).collect():
+        text, want = cases[r.doc_id]
+        got = [s for s in r.spans if s.kind == "iban"]
+        assert [s.value for s in got] == want and all(text[s.start:s.end] == s.value for s in got), text
+
+
 def test_many_matches_in_one_text(docs_of):
     text = " ".join(f"u{k}@h.org" for k in range(3000))
     spans = pii.find_spans(docs_of([(1, text)])).first().spans

@@ -24,7 +24,26 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 RUN = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){%d,%d}(?![ -]?[0-9])"
 CARD = RUN % (15, 18)
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# characters of an account number -> the countries whose numbers have that many
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _account_number() -> str:
+    """Numbers of the exact length of their country, so that no word after one is taken in; other countries' numbers
+    have any length, and end before a number of a known country."""
+    exact = "|".join(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+                     + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, countries in IBAN_LENGTHS.items())
+    known = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    apart = f"(?! (?:{exact})(?![A-Za-z0-9]))"
+    other = f"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:{apart} ?[A-Z0-9]{{4}}){{2,7}}(?:{apart} ?[A-Z0-9]{{1,3}})?"
+    return f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{exact}|{other})(?![A-Za-z0-9])"
+
+
+IBAN = _account_number()
 SHORT_CARD = RUN % (12, 14)
 NATIONAL_ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 LOCAL_PHONE = r"(?<![0-9+(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])"
