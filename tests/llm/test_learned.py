@@ -65,6 +65,21 @@ def test_article_loses_only_what_is_no_text(inside, text):
     assert html_extract.main_text(page) == "\n".join(t for t in ("first", text, "last") if t)
 
 
+AD = "<div class=ad>buy</div>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<h1>Title</h1>{AD}<p>{TEXT}</p>{AD}<p>Short.</p>{AD}<p>{TEXT}</p>{AD}<p>The end.</p><div>(c) site</div>",
+     f"Title\n{TEXT.strip()}\nShort.\n{TEXT.strip()}\nThe end."),
+    (f"<div>Site</div>{AD}<h1><a href=1>Title</a></h1><h2>Sub</h2>{AD}<p>{TEXT}</p>", f"Title\nSub\n{TEXT.strip()}"),
+    (f"<p>{TEXT}</p><p>See <a href=1>the long list of sources</a></p><ul><li><a href=2>menu</a></ul><p>{TEXT}</p><p><a href=3>All.</a></p>",
+     f"{TEXT.strip()}\nSee the long list of sources\n{TEXT.strip()}"),
+    (f"<div>Site</div><nav>n</nav><p>{TEXT}</p><nav>n</nav><p>Home</p>", TEXT.strip()),
+])
+def test_short_runs_beside_the_text(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_extract_edge_rows(spark):
     rows = [(None, None, None), (1, "u", "<p>a"), (1, "u", "<p>a"), (2, None, "<p>" + "word " * 50000)]
     got = html_extract.extract(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string"))
