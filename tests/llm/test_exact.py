@@ -78,6 +78,28 @@ def test_pieces_equal_the_library(docs_of, small):
     assert digest.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() and digest.n_tokens == len(ids)
 
 
+def test_whole_texts_are_checked(monkeypatch):
+    import re
+
+    from turnout.llm.common import PieceCache
+    processor, vocabulary, _ = piece_codec._model(PIECES)
+    texts = ["", "the same words", "of the people", "a"]
+    right = [processor.encode(t) for t in texts]
+    ids, differ = piece_codec.encode_texts(texts, PIECES)
+    assert [x.tolist() for x in ids] == right and list(differ) == [False] * 4
+    # parts cut inside words: each is right by itself, the texts are not
+    monkeypatch.setattr(vocabulary, "cut", re.compile("(?<=[a-z])(?=[a-z])"))
+    monkeypatch.setitem(piece_codec._LOADED, PIECES, (processor, vocabulary, PieceCache()))
+    ids, differ = piece_codec.encode_texts(texts, PIECES)
+    assert [x.tolist() for x in ids] == right and list(differ) == [False, True, True, False]
+    # the agenda's ids are the ones that are counted: a vocabulary that merges nothing is seen
+    monkeypatch.undo()
+    monkeypatch.setattr(vocabulary, "encode", lambda words: [[vocabulary.unknown]] * len(words))
+    monkeypatch.setitem(piece_codec._LOADED, PIECES, (processor, vocabulary, PieceCache()))
+    ids, differ = piece_codec.encode_texts(texts, PIECES)
+    assert [x.tolist() for x in ids] == right and list(differ) == [False, True, True, True]
+
+
 def test_long_and_short_agendas_agree():
     processor, vocabulary, _ = piece_codec._model(PIECES)
     random.seed(5)

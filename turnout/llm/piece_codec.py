@@ -8,8 +8,8 @@ No merge crosses two adjacent characters that are adjacent in no piece.  When th
 space mark and the marks of ``_MARKS`` are checked for standing behind another character, or behind a
 letter, in any piece; texts are cut before those that never do (a model without any is encoded text by
 text).  The parts of an Arrow batch have agendas of their own, which are worked off side by side: one
-matrix row per distinct part, one merge per row and step.  Every distinct part is checked against the
-sentencepiece library; where the two differ the library's ids are used and the difference is counted.
+matrix row per distinct part, one merge per row and step.  The ids of every whole text are checked against the
+sentencepiece library; a text where the two differ gets the library's ids and is counted.
 """
 
 from __future__ import annotations
@@ -186,24 +186,22 @@ def _words(text: str, vocabulary: MergeVocabulary) -> list[str]:
     return vocabulary.cut.split(text) if vocabulary.words_alone else [text]
 
 
-def encode_texts(texts: list[str], path: str) -> tuple[list[np.ndarray], int]:
-    """Ids of every text, and how many distinct words the library encodes otherwise (its ids are used)."""
+def encode_texts(texts: list[str], path: str) -> tuple[list[np.ndarray], list[bool]]:
+    """Ids of every text, and whether the library encodes it otherwise as a whole (its ids are used then)."""
     processor, vocabulary, cache = _model(path)
-    differ = 0
 
     def encode(words: list[str]) -> Iterator[bytes]:
-        nonlocal differ
         for i in range(0, len(words), 20_000):
-            part = words[i:i + 20_000]
-            own = vocabulary.encode(part)
-            checked = _library(processor, part)
-            for a, b in zip(own, checked):
-                differ += a != b
-                yield array("I", b).tobytes()
+            for own in vocabulary.encode(words[i:i + 20_000]):
+                yield array("I", own).tobytes()
 
-    normal = processor.normalize(texts)
-    ids = cache.encode([_words(t, vocabulary) for t in normal], encode)
-    return [np.frombuffer(x, dtype=np.uint32) for x in ids], differ
+    joined = cache.encode([_words(t, vocabulary) for t in processor.normalize(texts)], encode)
+    differ = []
+    for k, checked in enumerate(processor.encode(texts, num_threads=1)):
+        whole = array("I", checked).tobytes()
+        differ.append(joined[k] != whole)
+        joined[k] = whole if differ[k] else joined[k]
+    return [np.frombuffer(x, dtype=np.uint32) for x in joined], differ
 
 
 def _library(processor, words: list[str]) -> list[list[int]]:
@@ -223,17 +221,15 @@ def _codec(path: str, keep: list[str]):
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             flat = np.concatenate(ids).astype(np.int32) if len(ids) else np.zeros(0, np.int32)
             decoded = processor.decode([x.tolist() for x in ids], num_threads=1)
-            first = np.zeros(len(ids), dtype=np.int32)
-            first[:1] = differ  # counted once per slice
             yield pa.RecordBatch.from_arrays(
                 [*(rows.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                 pa.array(decoded, pa.string()), pa.array(first)], names=[*keep, "ids", "decoded", "n_differ"])
+                 pa.array(decoded, pa.string()), pa.array(differ, pa.bool_()).cast(pa.int32())], names=[*keep, "ids", "decoded", "n_differ"])
     return run
 
 
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ``ids`` (pieces of the whole text), ``decoded`` (the library's decode of them) and
-    ``n_differ`` (distinct words of the row's batch that own agenda and library encode otherwise, 0 if all is well).
+    ``n_differ`` (1 where own agenda and library encode the whole text otherwise and the library's ids stand, else 0).
 
     A null text is empty: no ids, decoded to ''.  One row per input row, repeated rows included; other
     columns are dropped.  Texts of any length are taken whole.
