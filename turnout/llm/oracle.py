@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express, written from the definitions.
 
-Tokenisers, trained models, extraction, SimHash (its hash is not in DuckDB) and spans that need
-look-around have none; tests/llm holds those against plain versions.
+Tokenisers, trained models, extraction, SimHash (its hash is not in DuckDB), spans that need look-around and
+eigenvectors have none; tests/llm holds those against plain versions.
 """
 
 from __future__ import annotations
@@ -49,6 +49,47 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(r.n,
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN listed r USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+# crc32 by its table, over the distinct words
+IMPORTANCE = rf"""
+WITH tab AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+                    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT doc_id, regexp_extract_all({LETTERS}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT regexp_extract_all({LETTERS}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+words AS (SELECT DISTINCT unnest(w) AS word FROM (SELECT w FROM d UNION ALL SELECT w FROM i)),
+bytes AS (SELECT word, list_transform(range(length(h) // 2), lambda k: CAST('0x' || substr(h, 2 * k + 1, 2) AS BIGINT)) AS b
+          FROM (SELECT word, hex(encode(word)) AS h FROM words)),
+hashed AS (SELECT word, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+           FROM bytes, tab),
+dw AS (SELECT doc_id, bucket FROM (SELECT doc_id, unnest(w) AS word FROM d) JOIN hashed USING (word)),
+s AS (SELECT bucket, count(*) AS s FROM dw GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(w) AS word FROM i) JOIN hashed USING (word) GROUP BY bucket),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)
+                / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)))) AS BIGINT) AS g
+         FROM s FULL JOIN t USING (bucket)),
+mean AS (SELECT doc_id, CAST(floor(sum(g) / count(*)) AS BIGINT) AS weight FROM dw JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                  / 4294967296))) AS BIGINT) AS score
+           FROM d LEFT JOIN mean USING (doc_id)),
+drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT scored.doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN drawn USING (doc_id)
+"""
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+fine AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS size FROM v
+         WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+           AND len(list_filter(e, lambda c: c != 0)) > 0),
+pair AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id != b.vec_id
+         WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS to_id FROM v UNION SELECT reach.vec_id, pair.b FROM reach JOIN pair ON reach.to_id = pair.a),
+comp AS (SELECT vec_id, min(to_id) AS component_id FROM reach GROUP BY vec_id),
+links AS (SELECT a AS vec_id, count(*) AS n FROM pair GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM comp LEFT JOIN links USING (vec_id)
+"""
+
 # votes: rule -> (bad, good); the values are the operator's parameters
 _RULES = {
     "length": ("n_words < 50", "n_words >= 100"),
@@ -105,4 +146,5 @@ FROM v, m{_STEPS}"""
 
 
 def all_sql() -> dict[str, str]:
-    return {"op3_quality_rules": _quality(), "op8_line_dedup": LINE_DEDUP, "op10_benchmark_decontamination": CONTAMINATION}
+    return {"op3_quality_rules": _quality(), "op8_line_dedup": LINE_DEDUP, "op10_benchmark_decontamination": CONTAMINATION,
+            "op11_embedding_near_dedup": NEAR_VECTORS, "op12_importance_resampling": IMPORTANCE}

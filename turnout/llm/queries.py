@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnout.llm import decontaminate, html_extract, line_dedup, line_quality, pii, piece_codec, quality_rules, simhash_index, token_io, toxicity
+from turnout.llm import (decontaminate, embedding_dedup, html_extract, importance, line_dedup, line_quality, pii, piece_codec, quality_rules,
+                         simhash_index, token_io, toxicity, whitening)
 from turnout.llm.common import table
 
 
@@ -55,7 +56,22 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n_words=1, buckets=10_000, percent=10,
+                                min_words=20, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.component_rows(*whitening.whiten(table(spark, sf_dir, "embeddings"), wanted=16))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_token_files, op2_html_main_text, op3_quality_rules, op4_piece_codec, op5_toxicity_chain, op6_line_quality, op7_pii,
-             op8_line_dedup, op9_simhash_near_dedup, op10_benchmark_decontamination)
+             op8_line_dedup, op9_simhash_near_dedup, op10_benchmark_decontamination, op11_embedding_near_dedup, op12_importance_resampling,
+             op13_embedding_whitening)
     return {f.__name__: f for f in found}
