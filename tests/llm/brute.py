@@ -109,25 +109,31 @@ def contamination(rows, items, window=10):
 
 
 def dedup_lines(rows, min_words=50):
-    """{(doc_id, text): (text left, lines deleted)} of (doc_id, text) rows; equal rows are one document."""
+    """{(doc_id, text): (text left, lines deleted)} of (doc_id, text) rows; equal rows are one document.  Every pair of
+    equal lines, the earlier and the later, lies on a diagonal; its unbroken stretches are the repeated runs."""
     order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, _signed(xxhash.xxh64_intdigest((r[1] or "").encode(), 42))))
-    seen, out = {}, {}
-    for doc in order:
+    places, out = {}, {}
+    for d, doc in enumerate(order):
         lines = (doc[1] or "").split("\n")
         own = [(k, tuple(re.findall(SPACES, x))) for k, x in enumerate(lines)]
         own = [x for x in own if x[1]]
-        drop = set()
-        for i in range(len(own)):
-            size = 0
-            for j in range(i, len(own)):
-                size += len(own[j][1])
-                if size >= min_words:
-                    key = tuple(x[1] for x in own[i:j + 1])
-                    if key in seen:
-                        drop.update(range(own[i][0], own[j][0] + 1))
-                    else:
-                        seen[key] = doc
-                    break
+        open_runs, drop = {}, set()
+
+        def close(run):
+            if run[1] >= min_words:
+                drop.update(range(own[run[0]][0], own[run[2]][0] + 1))
+
+        for i, (_, words) in enumerate(own):
+            going = {}
+            for e, k in places.get(words, ()):
+                first, size, _ = open_runs.pop((e, k - i), (i, 0, i))
+                going[e, k - i] = (first, size + len(words), i)
+            for run in open_runs.values():
+                close(run)
+            open_runs = going
+            places.setdefault(words, []).append((d, i))
+        for run in open_runs.values():
+            close(run)
         left = None if doc[1] is None else "\n".join(x for k, x in enumerate(lines) if k not in drop)
         out[doc] = (left, len(drop))
     return out

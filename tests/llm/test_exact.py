@@ -7,7 +7,7 @@ import zlib
 import public_tokenizers
 import pytest
 
-from tests.conftest import SMALL
+from tests.conftest import MEDIUM, SMALL
 from tests.llm import brute
 from turnout.llm import decontaminate, line_dedup, pii, piece_codec, quality_rules, simhash_index, token_io
 from turnout.llm.queries import queries
@@ -196,13 +196,25 @@ def whole_runs(rows, min_words):
 def test_line_dedup_whole_runs(docs_of):
     long, short = " ".join(f"w{k}" for k in range(60)), " ".join(f"t{k}" for k in range(10))
     rows = [(1, f"{long}\n{short}"), (2, f"{long}\n\n{short}"), (3, f"{short}\n{long}\n{short}\nown"), (4, f"own\n{short}"), (4, f"own\n{short}")]
-    got, _ = line_dedup.dedup_lines(docs_of(rows), 50, whole_runs=True)
+    got, _ = line_dedup.dedup_lines(docs_of(rows), 50)
     assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, rows[0][1]), (2, ""), (3, f"{short}\nown"), (4, rows[3][1]), (4, rows[4][1])]
     random.seed(7)
     lines = [" ".join(f"{c}{k}" for k in range(random.randint(1, 12))) for c in "abcde"]
     rows = [(k, "\n".join(random.choice(["", *lines]) for _ in range(random.randint(1, 25)))) for k in range(60)]
-    got, _ = line_dedup.dedup_lines(docs_of(rows), 20, whole_runs=True)
-    assert {(r.doc_id, r.text) for r in got.collect()} == {(i, t) for (i, _), t in whole_runs(rows, 20).items()}
+    got, _ = line_dedup.dedup_lines(docs_of(rows), 20)
+    want = {(i, t) for (i, _), t in whole_runs(rows, 20).items()}
+    assert {(r.doc_id, r.text) for r in got.collect()} == want == {(i, t) for (i, _), (t, _) in brute.dedup_lines(rows, 20).items()}
+
+
+def test_later_exact_copies_become_empty(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text").collect()]
+    first = {}
+    for i, t in sorted(docs):
+        first.setdefault(t, i)
+    got, _ = line_dedup.dedup_lines(spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text"), 50)
+    left = {r.doc_id: r.text for r in got.collect()}
+    copies = [i for i, t in docs if first[t] != i and len(t.split()) >= 50]
+    assert len(copies) > 50 and [i for i in copies if left[i]] == []
 
 
 def test_line_dedup_keeps_columns(spark):
@@ -289,4 +301,5 @@ def test_registered_over_whole_tables(spark):
     n_docs = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     n_pages = spark.read.parquet(f"{SMALL}/pages.parquet").count()
     for name, query in queries().items():
-        assert query(spark, SMALL).count() == (n_pages if name.startswith("op2_") else n_docs), name
+        if not name.startswith(("op11_", "op13_")):  # see test_vectors
+            assert query(spark, SMALL).count() == (n_pages if name.startswith("op2_") else n_docs), name

@@ -1,15 +1,14 @@
 """Line de-duplication: winnowing over line hashes.
 
-A document is its lines that have a word, each by the hash of its words.  A window is the shortest run
-of lines, from a given line on, with at least ``min_words`` words.  Winnowing selects the smallest line
-hash of every window (the last of equal ones): equal windows select equal lines, so any repeated
+A document is its lines that have a word, each by the hash of its words.  Windows are the shortest runs of
+lines with at least ``min_words`` words, from each line on and up to each line.  Winnowing selects the smallest
+line hash of every window (the last of equal ones): equal windows select equal lines, so any repeated
 passage of a window or more shares at least one selected fingerprint with its earlier copy.
 
 Fingerprints that occur twice are joined with their positions.  From such a position the match is
 extended both ways over the windows that hold it: a window whose every line equals those of an earlier
-window is part of a match, and windows that touch or overlap join into one run.  With ``whole_runs`` the
-shortest run that ENDS at each line is a window too: the two kinds together reach both ends of every
-repeated run, without them its last lines (fewer words than a window) stay.  All but the first
+window is part of a match, and windows that touch or overlap join into one run.  The windows that begin inside
+a repeated run and those that end inside it together reach both its ends, so whole runs go.  All but the first
 occurrence, by doc_id and line, are deleted.  Occurrences meet their first one, never each other, so a
 passage that a third of all documents share costs one row per occurrence.
 """
@@ -30,7 +29,7 @@ from turnout.session import ship_package
 POSTINGS = "fp long, doc_id long, text_hash long, at int, windows array<struct<key: binary, first: int, last: int>>"
 
 
-def line_windows(text: str | None, min_words: int, whole_runs: bool = False) -> Iterator[tuple[int, int, list]]:
+def line_windows(text: str | None, min_words: int) -> Iterator[tuple[int, int, list]]:
     """(fingerprint, its line, [(key, first line, last line)]) for every selected line of a text."""
     from xxhash import xxh3_128_digest, xxh64_intdigest
     place, sizes, hashes = [], [], []
@@ -45,11 +44,10 @@ def line_windows(text: str | None, min_words: int, whole_runs: bool = False) ->
     # the window from line i ends with the first line by which it has min_words words
     last = np.searchsorted(until, until[:-1] + min_words) - 1
     ending: dict = {}  # first line -> last lines of the shortest windows that end there and are not in ``last``
-    if whole_runs:
-        begin = np.searchsorted(until, until[1:] - min_words, side="right") - 1
-        for k, i in enumerate(begin.tolist()):
-            if i >= 0 and last[i] != k:
-                ending.setdefault(i, []).append(k)
+    begin = np.searchsorted(until, until[1:] - min_words, side="right") - 1
+    for k, i in enumerate(begin.tolist()):
+        if i >= 0 and last[i] != k:
+            ending.setdefault(i, []).append(k)
     selected: dict = {}
     best = -1
     for i, j in enumerate(last.tolist()):
@@ -69,7 +67,7 @@ def line_windows(text: str | None, min_words: int, whole_runs: bool = False) ->
         yield hashes[k], place[k], windows
 
 
-def _poster(min_words: int, whole_runs: bool):
+def _poster(min_words: int):
     schema = pa.schema([("fp", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("at", pa.int32()),
                         ("windows", pa.list_(pa.struct([("key", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])))])
 
@@ -77,7 +75,7 @@ def _poster(min_words: int, whole_runs: bool):
         for rows, texts in text_slices(batches, "text"):
             fps, owner, at, counts, keys, firsts, lasts = [], [], [], [0], [], [], []
             for k, text in enumerate(texts):
-                for fp, line, windows in line_windows(text, min_words, whole_runs):
+                for fp, line, windows in line_windows(text, min_words):
                     fps.append(fp)
                     owner.append(k)
                     at.append(line)
@@ -95,9 +93,9 @@ def _poster(min_words: int, whole_runs: bool):
     return run
 
 
-def postings(docs: DataFrame, min_words: int, whole_runs: bool = False) -> DataFrame:
+def postings(docs: DataFrame, min_words: int) -> DataFrame:
     """The written table of selected fingerprints with their positions and the windows that hold them."""
-    rows = map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), _poster(min_words, whole_runs), POSTINGS)
+    rows = map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), _poster(min_words), POSTINGS)
     return written(rows, "lines", compression="zstd")
 
 
@@ -113,10 +111,10 @@ def _join_runs(firsts: pd.Series, lasts: pd.Series) -> pd.Series:
     return pd.Series([join(a, b) for a, b in zip(firsts, lasts)])
 
 
-def repeated_runs(docs: DataFrame, min_words: int = 50, whole_runs: bool = False) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """doc_id, text_hash, runs: for each document with repeated passages, the line runs to delete (first and last
     line, from 0), in order and apart."""
-    posted = postings(docs, min_words, whole_runs)
+    posted = postings(docs, min_words)
     # counts are written before they are joined: both sides of the joins are then plain shuffles, of which
     # Spark splits the partitions that a common passage makes large
     shared = written(posted.groupBy("fp").count().filter("count > 1").select("fp"), "shared")
@@ -133,13 +131,9 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, whole_runs: bool = False
     return runs.select("doc_id", "text_hash", join("runs.first", "runs.last").alias("runs"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 50, whole_runs: bool = False) -> tuple[DataFrame, str]:
-    """``docs`` with every later repeated run of at least ``min_words`` words deleted from ``text``, and a struct
-    column (its name is returned too) of n_lines, n_deleted and runs.
-
-    ``whole_runs`` deletes every line of a run of ``min_words`` words or more that occurred before.  Without it
-    only the shortest runs of ``min_words`` words from each line on count, as in the SQL of op8: the last
-    lines of a repeated run stay where no such run starts and ends inside it.
+def dedup_lines(docs: DataFrame, min_words: int = 50) -> tuple[DataFrame, str]:
+    """``docs`` with every line of a run of ``min_words`` words or more that occurred before deleted from ``text``, and a
+    struct column (its name is returned too) of n_lines, n_deleted and runs.
 
     Lines are told apart by their words; a line break is ``\\n``.  The first occurrence, by doc_id (nulls last),
     hash of the text and line, stays; blank lines inside a run go with it.  Equal rows (doc_id and text) count as
@@ -147,7 +141,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, whole_runs: bool = False)
     All columns, and all other rows, stay as they are.
     """
     p = fresh("_line_", docs.columns)
-    runs = written(repeated_runs(docs, min_words, whole_runs), "runs")
+    runs = written(repeated_runs(docs, min_words), "runs")
     runs = runs.select(F.col("doc_id").alias(f"{p}id"), F.col("text_hash").alias(f"{p}hash"), F.col("runs").alias(f"{p}runs"))
     keyed = docs.withColumn(f"{p}text_hash", F.xxhash64("text"))
     # the runs grow with the corpus: always a shuffled join, never a broadcast that only small inputs allow

@@ -26,18 +26,16 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM d LEFT JOIN hits h USING (doc_id) LEFT JOIN names n USING (doc_id)
 """
 
+# a repeated run is a diagonal of equal lines, as long as it goes, of 50 words or more
 LINE_DEDUP = rf"""
 WITH l AS (SELECT doc_id, unnest(x) AS line, unnest(range(0, len(x))) AS k
            FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL)),
-c AS (SELECT doc_id, k, array_to_string(w, ' ') AS line, len(w) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i,
-             sum(len(w)) OVER (PARTITION BY doc_id ORDER BY k) AS upto
+c AS (SELECT doc_id, k, array_to_string(w, ' ') AS line, len(w) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i
       FROM (SELECT doc_id, k, regexp_extract_all(line, '{SPACES}') AS w FROM l) WHERE len(w) > 0),
-e AS (SELECT a.doc_id, a.i, a.k AS first, min(b.i) AS j FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.upto >= a.upto - a.n + 50
-      GROUP BY a.doc_id, a.i, a.k),
-w AS (SELECT e.doc_id, e.first, max(c.k) AS last, string_agg(c.line, chr(10) ORDER BY c.i) AS key
-      FROM e JOIN c ON c.doc_id = e.doc_id AND c.i BETWEEN e.i AND e.j GROUP BY e.doc_id, e.first),
-again AS (SELECT doc_id, first, last FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, first) AS r FROM w) WHERE r > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS k FROM again),
+eq AS (SELECT b.doc_id, b.i, b.k, b.n, a.doc_id AS of, b.i - a.i AS shift, b.i - row_number() OVER (PARTITION BY b.doc_id, a.doc_id, b.i - a.i ORDER BY b.i) AS g
+       FROM c a JOIN c b ON a.line = b.line AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.i < b.i)),
+run AS (SELECT doc_id, of, shift, g, min(k) AS first, max(k) AS last FROM eq GROUP BY doc_id, of, shift, g HAVING sum(n) >= 50),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS k FROM run),
 runs AS (SELECT doc_id, min(k) AS a, max(k) AS b FROM (SELECT doc_id, k, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS g FROM gone)
          GROUP BY doc_id, g),
 listed AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS runs, sum(b - a + 1) AS n FROM runs GROUP BY doc_id),
