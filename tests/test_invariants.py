@@ -91,8 +91,13 @@ def test_report_switches(spark):
     inp = Inputs(spark, SMALL)
     r1 = {r["x_ord"]: r["y"] for r in R.r1_forecast_by_hour(inp).collect()}
     r1c = {r["x_ord"]: r["y"] for r in R.r1_forecast_by_hour(inp, cumulative_total=True).collect()}
-    hours = sorted(r1)
-    assert r1c[hours[0]] == r1[hours[0]] and r1c[hours[-1]] >= max(r1.values())
+    # the running total counts every slot up to the later one of an hour
+    slots = R.forecast_by_slot(inp).orderBy("hour", "time_slot").collect()
+    voters, total, want = inp.reg_nat.first()["voters"], 0, {}
+    for r in slots:
+        total += r["total"]
+        want[r["hour"]] = round(100 * total / voters)
+    assert r1c == want and sorted(r1) == sorted(want) and len(slots) > len(want)
     per = R.r17_area_forecast_cumulative(inp, cumulative_total=False).count()
     assert per == R.r17_area_forecast_cumulative(inp).count()
     fixed = [r["x_ord"] for r in R.r2_hour_summary(inp, legacy_ampm_order=False).orderBy("x_ord").collect()]

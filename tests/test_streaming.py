@@ -14,7 +14,8 @@ from turnout.session import scratch_path
 from turnout.sources import cdc
 from turnout.sources import proof_views as pv
 from turnout.streaming import ingest as ST
-from turnout.streaming import state
+from turnout.streaming import intervals as IV
+from turnout.streaming import keyed, state
 
 
 def _batch_counts(spark):
@@ -42,8 +43,8 @@ def test_restart_resumes_without_loss(spark):
     for d in days[half:]:
         shutil.copytree(os.path.join(staged, d), os.path.join(src_dir, d))
     ST.run_minute_counts(spark, src, table, ckpt).awaitTermination()      # same checkpoint: resumes
-    got = state.current(spark, table)
-    assert len(state.versions(spark, table)) <= state.KEEP
+    got = keyed.current(spark, table)
+    assert len(keyed.manifests(spark, table)) <= keyed.KEEP
     keys = ["area_l1", "area_l2", "minute", "male", "female", "col_1", "col_7"]
     assert _rows(got, keys) == _rows(_batch_counts(spark), keys)
 
@@ -74,7 +75,7 @@ def test_watermark_drops_late_rows_only_when_asked(spark):
         table, ckpt = scratch_path(spark, "late-table"), scratch_path(spark, "late-ckpt")
         ST.run_minute_counts(spark, src, table, ckpt, watermark=wm).awaitTermination()
         keys = ["area_l1", "area_l2", "minute"] if wm is None else ["area_l1", "area_l2", "window_start"]
-        t = state.current(spark, table)
+        t = keyed.current(spark, table)
         first_minute = t.orderBy(keys[-1]).first()
         assert first_minute["male"] == expect
 
@@ -201,4 +202,4 @@ def test_command_line_takes_documents(spark, tmp_path):
     (tmp_path / "areas.csv").write_text("area_l1,l1_name,area_l2,l2_name\n" + "".join(f"{a},R{a},{b},W{b}\n" for a, _, b, _ in map(tuple, given.dim.collect())))
     cli.main([*args, "--areas", str(tmp_path / "areas.csv")])
     lines = spark.read.json(str(tmp_path / "out")).filter("endpoint = 'region'").collect()
-    assert lines and all("R" + r["area_key"] + " polling stats" in r["charts"] for r in lines)
+    assert lines and all("R" + r["area_key"] + ": turnout by hour" in r["charts"] for r in lines)

@@ -13,7 +13,8 @@ EVEN = "even"   # half-even, like Python round / pandas .round
 UP = "up"       # half-up, like SQL ROUND
 NONE = None
 
-ZERO_NULL = "null"   # the published code raises; ours yields null
+ZERO_NULL = "null"   # the default where the published code raises
+ZERO_ERROR = "error"  # the query fails and names the row (the published behaviour)
 ZERO_ZERO = "zero"
 ZERO_ONE = "one"
 
@@ -30,8 +31,13 @@ def round_pct(x: Column, rounding: str | None) -> Column:
     return x
 
 
+def failing(message: str, *names: str) -> str:
+    """SQL that fails the query with ``message`` and the values of the columns ``names``."""
+    return f"raise_error(concat('{message}'" + "".join(f", ' {n} ', coalesce(cast({n} as string), 'null')" for n in names) + "))"
+
+
 def percent_sql(num: str, den: str, rounding: str | None = EVEN, on_zero: str = ZERO_NULL,
-                on_missing: str = MISSING_AS_ZERO_DEN) -> str:
+                on_missing: str = MISSING_AS_ZERO_DEN, what: tuple[str, ...] = ()) -> str:
     """``percent`` as a Spark SQL expression (one JVM call to build)."""
     d = {MISSING_DEN_ONE: f"coalesce({den}, 1)", MISSING_AS_ZERO_DEN: f"coalesce({den}, 0)"}.get(on_missing, den)
     raw = f"try_divide({num} * 100, cast({d} as double))"
@@ -39,7 +45,7 @@ def percent_sql(num: str, den: str, rounding: str | None = EVEN, on_zero: str =
         raw = f"cast(rint({raw}) as bigint)"
     elif rounding == UP:
         raw = f"cast(round({raw}, 0) as bigint)"
-    zero = {ZERO_NULL: "NULL", ZERO_ZERO: "0", ZERO_ONE: "1"}[on_zero]
+    zero = failing(f"zero denominator {den}:", *what) if on_zero == ZERO_ERROR else {ZERO_NULL: "NULL", ZERO_ZERO: "0", ZERO_ONE: "1"}[on_zero]
     out = f"CASE WHEN {d} = 0 THEN {zero} ELSE {raw} END"
     if on_missing == MISSING_PCT_ZERO:
         out = f"CASE WHEN {den} IS NULL THEN 0 ELSE {out} END"
@@ -47,6 +53,7 @@ def percent_sql(num: str, den: str, rounding: str | None = EVEN, on_zero: str =
 
 
 def percent(num: str, den: str, rounding: str | None = EVEN, on_zero: str = ZERO_NULL,
-            on_missing: str = MISSING_AS_ZERO_DEN) -> Column:
-    """``num * 100 / den`` (integer product, double quotient) of two columns by name, then rounding and policies."""
-    return F.expr(percent_sql(num, den, rounding, on_zero, on_missing))
+            on_missing: str = MISSING_AS_ZERO_DEN, what: tuple[str, ...] = ()) -> Column:
+    """``num * 100 / den`` (integer product, double quotient) of two columns by name, then rounding and policies;
+    ``what`` names the columns that an error of ``on_zero="error"`` shows."""
+    return F.expr(percent_sql(num, den, rounding, on_zero, on_missing, what))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnout.functions.percent import failing
 
 
 def with_registered(df: DataFrame, reg: DataFrame, on: str = "area_id", prefix: str = "reg_",
@@ -12,17 +15,24 @@ def with_registered(df: DataFrame, reg: DataFrame, on: str = "area_id", prefix:
     """Attach registered counts by area.
 
     ``how="left"`` keeps areas missing from the dimension (their counts are null and the
-    percentage policy decides); ``how="inner"`` is the strict lookup where an unknown area has
-    no result.  The dimension has one row per area; Spark broadcasts it when its measured size
+    percentage policy decides); ``how="inner"`` is the lookup where an unknown area has
+    no result; ``how="strict"`` fails the query at the first unknown area and names it, in the plan
+    and without a job of its own.  The dimension has one row per area; Spark broadcasts it when its measured size
     is under the broadcast threshold (AQE re-plans on runtime statistics), else sort-merges.
     """
     r = reg.selectExpr(f"{on} AS _rk", *[f"{c} AS {prefix}{c}" for c in reg.columns if c != on])
-    return df.join(r, df[on] == r["_rk"], how).drop("_rk")
-
-
-def unknown_areas(df: DataFrame, reg: DataFrame, on: str = "area_id") -> DataFrame:
-    """J3 check: areas with results but no registered row (a strict lookup would fail on them)."""
-    return df.select(on).distinct().join(reg.select(on), on, "left_anti")
+    if how != "strict":
+        return df.join(r, df[on] == r["_rk"], how).drop("_rk")
+    j = df.join(r, df[on] == r["_rk"], "left")
+    return j.filter(F.expr(f"CASE WHEN _rk IS NULL THEN {failing('no registered voters:', on)} ELSE true END")).drop("_rk")
+
+
+def with_registered_levels(df: DataFrame, registered: dict[str, DataFrame], how: str = "left", prefix: str = "reg_") -> DataFrame:
+    """``with_registered`` for rows of several levels at once: one dimension keyed by (level, area_id), one join."""
+    parts = [r.selectExpr(f"'{lv}' AS _rl", "area_id AS _rk", *[f"{c} AS {prefix}{c}" for c in r.columns if c != "area_id"])
+             for lv, r in registered.items()]
+    r = reduce(lambda a, b: a.unionByName(b), parts)
+    return df.join(r, (df["level"] == r["_rl"]) & (df["area_id"] == r["_rk"]), how).drop("_rl", "_rk")
 
 
 def with_national(df: DataFrame, nat: DataFrame, prefix: str = "reg_") -> DataFrame:

@@ -472,6 +472,9 @@ def live_sql_raw() -> dict[str, str]:
         "area_filter": "SELECT event_id, area_l2 FROM ballots WHERE area_l2 IN (SELECT area_id FROM reg_l2)",
         "area_rollup": rollup_sql(),
         "summary_scan": "SELECT area_id, total, male, female FROM s_l2 WHERE total > 0",
+        "summary_area_scan": f"SELECT s.area_id, s.total, r.voters, {pct('s.total', 'r.voters')} AS pct, p.predicted FROM s_l2 s "
+                             "LEFT JOIN reg_l2 r ON r.area_id = s.area_id LEFT JOIN (SELECT area_l2, sum(male + female)::BIGINT AS predicted "
+                             "FROM prediction GROUP BY area_l2) p ON p.area_l2 = s.area_id",
         "registered_dim": "SELECT * FROM reg_l2",
         "registered_dim_nation": "SELECT * FROM reg_nat",
         "registered_dim_region": "SELECT * FROM reg_l1",
@@ -675,6 +678,70 @@ def eval_sql() -> str:
             f"arg_max(counts, k) AS last_counts FROM ({spl}) GROUP BY dataset, area_id, split")
 
 
+def ridge_sql(src: str, upto: int | None = None) -> str:
+    """area_id, feature, n, c0 and w1..w3 of a ridge fit of a scaled minute on the three before it: centred normal equations
+    with 0.001 per row on the diagonal, solved by Cramer's rule, rounded to six decimals."""
+    long = (f"SELECT dataset, area_id, feature, minute, y FROM {src} UNPIVOT (y FOR feature IN (" + ", ".join(COUNTERS) + "))")
+    lag = ("SELECT *, " + ", ".join(f"lag(y, {i}) OVER w AS x{i}" for i in (1, 2, 3)) + ", row_number() OVER w - 1 AS k "
+           f"FROM ({long}) WINDOW w AS (PARTITION BY dataset, area_id, feature ORDER BY minute)")
+    rows = f"SELECT * FROM ({lag}) WHERE k >= 3" + (f" AND k < {upto}" if upto else "")
+    pairs = {"a": (1, 1), "b": (1, 2), "c": (1, 3), "d": (2, 2), "e": (2, 3), "f": (3, 3)}
+    sums_ = ("SELECT area_id, feature, count(*) AS n, avg(y) AS my, " + ", ".join(f"avg(x{i}) AS m{i}" for i in (1, 2, 3)) + ", "
+             + ", ".join(f"sum(x{i} * x{j}) - count(*) * avg(x{i}) * avg(x{j}){' + 0.001 * count(*)' if i == j else ''} AS {v}"
+                         for v, (i, j) in pairs.items()) + ", "
+             + ", ".join(f"sum(x{i} * y) - count(*) * avg(x{i}) * avg(y) AS r{i}" for i in (1, 2, 3)) + f" FROM ({rows}) GROUP BY area_id, feature")
+    det = "(a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d))"
+    w = (f"(r1 * (d * f - e * e) - b * (r2 * f - e * r3) + c * (r2 * e - d * r3)) / {det}",
+         f"(a * (r2 * f - e * r3) - r1 * (b * f - c * e) + c * (b * r3 - c * r2)) / {det}",
+         f"(a * (d * r3 - e * r2) - b * (b * r3 - c * r2) + r1 * (b * e - c * d)) / {det}")
+    solved = "SELECT *, " + ", ".join(f"{x} AS v{i + 1}" for i, x in enumerate(w)) + f" FROM ({sums_})"
+    return ("SELECT area_id, feature, n::BIGINT AS n, round(my - v1 * m1 - v2 * m2 - v3 * m3, 6) AS c0, "
+            + ", ".join(f"round(v{i}, 6) AS w{i}" for i in (1, 2, 3)) + f" FROM ({solved})")
+
+
+def rolled_sql(kind: str = "'ridge'") -> str:
+    """Forecast of steps60 by the stored models, a step at a time; ``kind`` (SQL over area_id) may name trend or last instead."""
+    scaled = ("SELECT l.area_l1, l.area_l2, l.feature, l.step, s.lo, s.span, (l.x - s.lo) / s.span AS y FROM (UNPIVOT steps60 ON "
+              + ", ".join(COUNTERS) + " INTO NAME feature VALUE x) l JOIN (SELECT area_l2, feature, lo, "
+              f"CASE WHEN hi = lo THEN 1.0 ELSE (hi - lo)::DOUBLE END AS span FROM ({STORED.replace('fit_l2', 'fit_whole_l2')})) s ON s.area_l2 = l.area_l2 AND s.feature = l.feature")
+    start = ("SELECT area_l1, area_l2, feature, any_value(lo) AS lo, any_value(span) AS span, " + ", ".join(
+        f"max(y) FILTER (WHERE step = {61 - i}) AS x{i}" for i in (1, 2, 3))
+        + ", 60 * regr_intercept(y, step) + 5430 * regr_slope(y, step) AS trend FROM scaled GROUP BY area_l1, area_l2, feature")
+    return ("SELECT * FROM (WITH RECURSIVE scaled AS (" + scaled + "), start AS (" + start + "), "
+            "walk AS (SELECT s.area_l1, s.area_l2, s.feature, 0 AS h, 0.0::DOUBLE AS y, x1, x2, x3, c0, w1, w2, w3 FROM start s "
+            "JOIN ridge_l2 m ON m.area_id = s.area_l2 AND m.feature = s.feature "
+            "UNION ALL SELECT area_l1, area_l2, feature, h + 1, c0 + w1 * x1 + w2 * x2 + w3 * x3, c0 + w1 * x1 + w2 * x2 + w3 * x3, x1, x2, "
+            "c0, w1, w2, w3 FROM walk WHERE h < 60), "
+            "total AS (SELECT area_l2, feature, sum(y) AS ridge FROM walk GROUP BY area_l2, feature) "
+            "SELECT area_l1, area_l2, " + ", ".join(f"max(v) FILTER (WHERE feature = '{c}') AS {c}" for c in COUNTERS)
+            + " FROM (SELECT s.area_l1, s.area_l2, s.feature, trunc(round(CASE kind WHEN 'ridge' THEN t.ridge WHEN 'last' THEN 60 * s.x1 ELSE s.trend END "
+            f"* span + lo, 6))::BIGINT AS v FROM (SELECT *, {kind.replace('area_id', 'area_l2')} AS kind FROM start) s "
+            "JOIN total t ON t.area_l2 = s.area_l2 AND t.feature = s.feature) GROUP BY area_l1, area_l2)")
+
+
+def ridge_eval_sql() -> str:
+    """Errors per window of the models fitted before minute 600 (the first test target), and of the trend from eval_sql."""
+    trend = eval_sql().replace(", arg_max(counts, k) AS last_counts", "")
+    long = ("SELECT dataset, area_id, feature, k, y FROM (SELECT *, row_number() OVER (PARTITION BY dataset, area_id ORDER BY minute) - 1 AS k "
+            "FROM scaled_l1) UNPIVOT (y FOR feature IN (" + ", ".join(COUNTERS) + "))")
+    return ("SELECT * FROM (WITH RECURSIVE g AS (" + long + "), m AS (" + ridge_sql("scaled_l1", 600) + "), "
+            "walk AS (SELECT g.dataset, g.area_id, g.feature, g.k AS last, 0 AS h, 0.0::DOUBLE AS p, y AS x1, "
+            "lag(y, 1) OVER w AS x2, lag(y, 2) OVER w AS x3, c0, w1, w2, w3 FROM g JOIN m ON m.area_id = g.area_id AND m.feature = g.feature "
+            "WINDOW w AS (PARTITION BY g.dataset, g.area_id, g.feature ORDER BY g.k) QUALIFY g.k BETWEEN 59 AND 659 "
+            "UNION ALL SELECT dataset, area_id, feature, last, h + 1, c0 + w1 * x1 + w2 * x2 + w3 * x3, c0 + w1 * x1 + w2 * x2 + w3 * x3, x1, x2, "
+            "c0, w1, w2, w3 FROM walk WHERE h < 60), "
+            "err AS (SELECT w.dataset, w.area_id, w.last, avg((w.p - g.y) ** 2) AS mse FROM walk w JOIN g ON g.dataset = w.dataset AND g.area_id = w.area_id "
+            "AND g.feature = w.feature AND g.k = w.last + w.h WHERE w.h > 0 GROUP BY w.dataset, w.area_id, w.last) "
+            "SELECT e.dataset, e.area_id, e.split, e.n_windows, e.mse, t.mse AS mse_trend FROM (SELECT dataset, area_id, "
+            "CASE WHEN last >= 599 THEN 'test' ELSE 'train' END AS split, count(*)::BIGINT AS n_windows, round(avg(mse), 6) AS mse FROM err GROUP BY ALL) e "
+            f"JOIN ({trend}) t ON t.dataset = e.dataset AND t.area_id = e.area_id AND t.split = e.split)")
+
+
+view("fit_whole_l2", fit_sql("dense_l2"), ["dense_l2"])
+view("scaled_l2", scale_sql("dense_l2", "SELECT * FROM fit_whole_l2"), ["fit_whole_l2"])
+view("ridge_l2", ridge_sql("scaled_l2"), ["scaled_l2"])
+
+
 def modeling_sql() -> dict[str, str]:
     fmt = "strftime(time_slot, '%Y-%m-%d %H:%M:%S') AS time_slot"
     pc = ", ".join(C.PREDICTION_COUNTERS)
@@ -698,6 +765,10 @@ def modeling_sql() -> dict[str, str]:
         "forecast_last_hour": trend_sql("steps_lh"),
         "forecast_stored_scaler": trend_sql("steps60", STORED),
         "forecast_eval": eval_sql(),
+        "ridge_models": "SELECT area_id, feature, n AS n_rows, c0 AS intercept, w1, w2, w3 FROM ridge_l2",
+        "forecast_ridge": rolled_sql(),
+        "forecast_area_models": rolled_sql("CASE area_id % 4 WHEN 0 THEN 'ridge' WHEN 2 THEN 'last' ELSE 'trend' END"),
+        "forecast_ridge_eval": ridge_eval_sql(),
         "forecast_plus_live": "SELECT * FROM fc_live",
         "prediction_seed": f"SELECT area_l1, area_l2, {fmt}, {pc} FROM seeded",
         "prediction_upsert": f"SELECT t.area_l1, t.area_l2, strftime(CASE WHEN u.area_l2 IS NULL THEN t.time_slot "
@@ -707,13 +778,24 @@ def modeling_sql() -> dict[str, str]:
                              + " FROM seeded t LEFT JOIN (SELECT * FROM fc_live WHERE area_l2 <> 7) u ON u.area_l1 = t.area_l1 AND u.area_l2 = t.area_l2",
     }
     views = ALL_VIEWS + ["hist", "dense_l1", "dense_l2", "iqr_l1", "zeroed_l1", "fit_l1", "scaled_l1", "windows_l1",
-                         "split_l1", "mc", "first60", "steps60", "fc", "fc_live", "slot", "seeded", "steps_lh", "fit_l2", "zeroed_listed"]
+                         "split_l1", "mc", "first60", "steps60", "fc", "fc_live", "slot", "seeded", "steps_lh", "fit_l2", "zeroed_listed",
+                         "scaled_l2", "ridge_l2"]
     return {k: with_views(v, *views) for k, v in d.items()}
 
 
 def stream_sql() -> dict[str, str]:
     decoded = f"SELECT *, {OP} AS op FROM ballots"
+    seen = "SELECT DISTINCT event_id AS o FROM ballots WHERE (event_id + 123) % 500 >= 7"
+    # arrival: eight days of the month a part, every eleventh message a part later; late after two days
+    arrived = ("SELECT *, (day(ts) - 1) // 8 + CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS part FROM stream_ballots")
+    judged = (f"SELECT *, coalesce(log_ms < (SELECT max(log_ms) FROM ({arrived}) e WHERE e.part < a.part) - 172800000, false) AS late FROM ({arrived}) a")
     d = {
+        "stream_dedup_intervals": live_sql_raw()["cdc_decode"],
+        "cdc_offset_gaps": "SELECT 'server1.votes.dbo.ballots' AS topic, 0 AS partition, (o + 1)::BIGINT AS first_missing, (n - 1)::BIGINT AS last_missing, "
+                           f"(n - o - 1)::BIGINT AS n_missing FROM (SELECT o, lead(o) OVER (ORDER BY o) AS n FROM ({seen})) WHERE n > o + 1",
+        "stream_late_rows": f"SELECT area_l1, area_l2, minute, count(*) FILTER (NOT late)::BIGINT AS on_time, count(*) FILTER (late)::BIGINT AS late "
+                            f"FROM (SELECT area_l1, area_l2, late, {MINUTE} AS minute FROM ({judged})) "
+                            "GROUP BY area_l1, area_l2, minute",
         "stream_minute_counts": "SELECT area_l1, area_l2, minute, " + sums(C.COUNTERS) + " FROM ("
                                 + FEATURES.replace("FROM ballots", f"FROM ({decoded}) WHERE op IN ('c', 'u')")
                                 + ") GROUP BY area_l1, area_l2, minute",
@@ -733,6 +815,7 @@ def stream_sql() -> dict[str, str]:
                             "QUALIFY row_number() OVER (PARTITION BY citizen_id ORDER BY log_ms DESC, event_id DESC) = 1"
                             ") WHERE op <> 'd'",
     }
+    d["stream_cdc_state"] = d["cdc_latest_state"]
     return {k: with_views(v, *ALL_VIEWS, "stream_ballots", "stream_fc", "stream_l2") for k, v in d.items()}
 
 

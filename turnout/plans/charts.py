@@ -18,32 +18,32 @@ from turnout.plans import reports as R
 from turnout.plans.inputs import Inputs
 
 # Chart descriptors per report: (type, graph, info, x label, y label, sub-info).  "{name}" is replaced
-# by the area name.
+# by the name of the area, the nation's too.
 CHART_SPECS = {
-    "forecast_by_hour": (C.FORECASTED, "LineGraph", "Overall polling prediction", "Hour", "Polling Percentage", None),
-    "hour_summary": (C.STATS, "LineGraph", "Nation polling stats", "Hours", "Polling Percentage", None),
-    "turnout_with_forecast": (C.FORECASTED, "LineGraph", "Overall polling prediction", "Hour", "Polling Percentage", None),
-    "gender_turnout": (C.STATS, "radial", "Nation gender distribution (realtime/overall)", "", "", None),
-    "top_ages": (C.STATS, "BarGraph", "Nation Age wise polling stats", "Age", "Polling Percentage", None),
-    "gender_forecast": (C.FORECASTED, "BarGraph", "Nation Gender wise prediction", "Gender", "Polling Percentage", None),
-    "age_forecast": (C.FORECASTED, "BarGraph", "Nation Age wise prediction", "Age", "Polling Percentage", None),
-    "region_gender_turnout": (C.STATS, "ColumnStackedChart", "Nation Region wise Gender stats", "Region",
+    "forecast_by_hour": (C.FORECASTED, "LineGraph", "{name}: expected turnout by hour", "Hour", "Polling Percentage", None),
+    "hour_summary": (C.STATS, "LineGraph", "{name}: turnout by hour", "Hours", "Polling Percentage", None),
+    "turnout_with_forecast": (C.FORECASTED, "LineGraph", "{name}: expected turnout by hour", "Hour", "Polling Percentage", None),
+    "gender_turnout": (C.STATS, "radial", "{name}: turnout of men and women so far", "", "", None),
+    "top_ages": (C.STATS, "BarGraph", "{name}: ages with the highest turnout", "Age", "Polling Percentage", None),
+    "gender_forecast": (C.FORECASTED, "BarGraph", "{name}: expected turnout of men and women", "Gender", "Polling Percentage", None),
+    "age_forecast": (C.FORECASTED, "BarGraph", "{name}: expected turnout by age class", "Age", "Polling Percentage", None),
+    "region_gender_turnout": (C.STATS, "ColumnStackedChart", "{name}: turnout of men and women by region", "Region",
                               "percentage of polling", "Gender"),
-    "wilayat_gender_top10": (C.STATS, "ColumnStackedChart", "Nation Wilayat wise Gender stats", "Wilayat",
+    "wilayat_gender_top10": (C.STATS, "ColumnStackedChart", "{name}: turnout of men and women in the largest wilayats", "Wilayat",
                              "percentage of polling", "Gender"),
-    "age_turnout": (C.STATS, "BarGraph", "Nation Age interval stats", "Age interval", "Percentage", None),
-    "regyear_turnout": (C.STATS, "BarGraph", "Nation Registered year-wise stats", "RY_YEAR", "Percentage", None),
-    "region_turnout": (C.STATS, "BarGraph", "Nation Region Wise stats", "Region", "Percentage of polling", None),
-    "region_age_top2": (C.STATS, "ColumnStackedChart", "Nation Region wise Age stats (Top 2 Age Intervals)", "Region",
+    "age_turnout": (C.STATS, "BarGraph", "{name}: turnout by age class", "Age interval", "Percentage", None),
+    "regyear_turnout": (C.STATS, "BarGraph", "{name}: turnout by year of registration", "RY_YEAR", "Percentage", None),
+    "region_turnout": (C.STATS, "BarGraph", "{name}: turnout by region", "Region", "Percentage of polling", None),
+    "region_age_top2": (C.STATS, "ColumnStackedChart", "{name}: the two strongest age classes by region", "Region",
                         "Percentage of polling", "Age"),
-    "wilayat_age_top2": (C.STATS, "ColumnStackedChart", "Nation Top 10 Wilayats wise Age stats (Top 2 Age Intervals)",
+    "wilayat_age_top2": (C.STATS, "ColumnStackedChart", "{name}: the two strongest age classes in ten wilayats",
                          "Wilayat", "Percentage of polling", "Age"),
-    "area_cumulative_turnout": (C.STATS, "LineGraph", "{name} polling stats", "Time", "Percentage of Total", None),
-    "area_gender_turnout": (C.STATS, "radial", "{name} gender stats", "Gender", "percentage of polling", None),
-    "area_forecast_cumulative": (C.FORECASTED, "LineGraph", "{name} polling prediction", "Hour", "Polling Percentage", None),
-    "area_turnout_with_forecast": (C.FORECASTED, "LineGraph", "{name} polling prediction", "Hour", "Polling Percentage", None),
-    "area_gender_forecast": (C.FORECASTED, "radial", "{name} Gender prediction", "Gender", "Percentage of polling", None),
-    "area_age_turnout": (C.STATS, "BarGraph", "{name} Age interval polling stats", "Age interval", "Percentage of polling", None),
+    "area_cumulative_turnout": (C.STATS, "LineGraph", "{name}: turnout by hour", "Time", "Percentage of Total", None),
+    "area_gender_turnout": (C.STATS, "radial", "{name}: turnout of men and women", "Gender", "percentage of polling", None),
+    "area_forecast_cumulative": (C.FORECASTED, "LineGraph", "{name}: expected turnout by hour", "Hour", "Polling Percentage", None),
+    "area_turnout_with_forecast": (C.FORECASTED, "LineGraph", "{name}: expected turnout by hour", "Hour", "Polling Percentage", None),
+    "area_gender_forecast": (C.FORECASTED, "radial", "{name}: expected turnout of men and women", "Gender", "Percentage of polling", None),
+    "area_age_turnout": (C.STATS, "BarGraph", "{name}: turnout by age class", "Age interval", "Percentage of polling", None),
 }
 
 NATION_ALWAYS = ["hour_summary", "gender_turnout", "turnout_with_forecast"]

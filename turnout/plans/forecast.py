@@ -76,7 +76,7 @@ def last_hour_steps(minutes: DataFrame, pairs: DataFrame, n: int = STEPS) -> Dat
     return j.select("area_l1", "area_l2", "step", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in C.COUNTERS])
 
 
-def _group_forecaster(model: Callable[[np.ndarray], np.ndarray]):
+def group_forecaster(model: Callable[[np.ndarray], np.ndarray]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("step")
         x = pdf[C.COUNTERS].to_numpy(dtype=float)
@@ -93,6 +93,12 @@ def _group_forecaster(model: Callable[[np.ndarray], np.ndarray]):
     return run
 
 
+def with_bounds(steps: DataFrame, params: DataFrame) -> DataFrame:
+    """Steps with the stored bounds (K4: area_id, lo_*, hi_*) of their area, null where it has none."""
+    bounds = [f"{e}_{c}" for c in C.COUNTERS for e in ("lo", "hi")]
+    return steps.join(params.select(F.col("area_id").alias("area_l2"), *[F.col(b).cast("double").alias(b) for b in bounds]), "area_l2", "left")
+
+
 def forecast_steps(steps: DataFrame, model: Callable[[np.ndarray], np.ndarray] = trend_model,
                    params: DataFrame | None = None) -> DataFrame:
     """M5: one forecast row per area_l2 -- scale, model, sum the predicted steps, invert, cut to integers
@@ -100,10 +106,8 @@ def forecast_steps(steps: DataFrame, model: Callable[[np.ndarray], np.ndarray] =
     stored ``params`` (K4: area_id, lo_*, hi_*) of areas that have any."""
     ship_package(steps.sparkSession)
     if params is not None:
-        bounds = [f"{e}_{c}" for c in C.COUNTERS for e in ("lo", "hi")]
-        steps = steps.join(params.select(F.col("area_id").alias("area_l2"), *[F.col(b).cast("double").alias(b) for b in bounds]),
-                           "area_l2", "left")
-    return steps.groupBy("area_l2").applyInPandas(_group_forecaster(model), FORECAST_SCHEMA)
+        steps = with_bounds(steps, params)
+    return steps.groupBy("area_l2").applyInPandas(group_forecaster(model), FORECAST_SCHEMA)
 
 
 def forecast(minute_counts: DataFrame, model: Callable[[np.ndarray], np.ndarray] = trend_model,
@@ -144,6 +148,27 @@ EVAL_SCHEMA = T.StructType([T.StructField("dataset", T.LongType()), T.StructFiel
                             T.StructField("last_counts", T.ArrayType(T.LongType()))])
 
 
+def windows_of(grid: pd.DataFrame) -> np.ndarray:
+    """(window, step, counter): every stretch of 60 inputs and 60 targets of a scaled grid in minute order."""
+    x = grid.sort_values("minute")[C.COUNTERS].to_numpy(dtype=float)
+    n = C.WINDOW_IN + C.WINDOW_OUT
+    if len(x) < n:
+        return np.zeros((0, n, len(C.COUNTERS)))
+    return np.lib.stride_tricks.sliding_window_view(x, n, axis=0).transpose(0, 2, 1)
+
+
+def split_parts(n: int) -> list[tuple[str, slice]]:
+    """The chronological split (W9) of ``n`` windows."""
+    n_test = math.ceil(C.TEST_FRACTION * n)
+    return [("train", slice(0, n - n_test)), ("test", slice(n - n_test, n))]
+
+
+def window_errors(grid: pd.DataFrame, model: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Mean squared error of the model on each window of a series."""
+    cut = windows_of(grid)
+    return ((np.asarray(model(cut[:, :C.WINDOW_IN]), dtype=float) - cut[:, C.WINDOW_IN:]) ** 2).mean(axis=(1, 2))
+
+
 def evaluate(series: DataFrame, model: Callable[[np.ndarray], np.ndarray] = trend_model) -> DataFrame:
     """Mean squared error of the model on each window's targets, per series and split,
     and the last window's forecast back in counts (summed steps, inverse-scaled with the
@@ -151,23 +176,15 @@ def evaluate(series: DataFrame, model: Callable[[np.ndarray], np.ndarray] = tren
 
     ``series`` is the scaled grid (at most 720 rows per series); the windows are cut in the task.
     """
-    n_in, n_out = C.WINDOW_IN, C.WINDOW_OUT
-
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("minute")
-        x = pdf[C.COUNTERS].to_numpy(dtype=float)
         lo, hi = (pdf[[f"{e}_{c}" for c in C.COUNTERS]].to_numpy(dtype=float)[0] for e in ("lo", "hi"))
         span = np.where(hi == lo, 1.0, hi - lo)
-        n = len(x) - n_in - n_out + 1
-        if n < 1:
-            return pd.DataFrame([], columns=[f.name for f in EVAL_SCHEMA.fields])
-        cut = np.lib.stride_tricks.sliding_window_view(x, n_in + n_out, axis=0).transpose(0, 2, 1)
-        predicted = np.asarray(model(cut[:, :n_in]), dtype=float)
-        errors = ((predicted - cut[:, n_in:]) ** 2).mean(axis=(1, 2))
+        cut = windows_of(pdf)
+        predicted = np.asarray(model(cut[:, :C.WINDOW_IN]), dtype=float)
+        errors = ((predicted - cut[:, C.WINDOW_IN:]) ** 2).mean(axis=(1, 2))
         total = np.rint(np.round(predicted.sum(axis=1) * span + lo, SNAP_DECIMALS)).astype("int64")
-        n_test = math.ceil(C.TEST_FRACTION * n)
         rows = []
-        for split, part in (("train", slice(0, n - n_test)), ("test", slice(n - n_test, n))):
+        for split, part in split_parts(len(cut)):
             if len(errors[part]):
                 rows.append({"dataset": int(pdf["dataset"].iloc[0]), "area_id": int(pdf["area_id"].iloc[0]), "split": split,
                              "n_windows": len(errors[part]), "mse": round(float(errors[part].mean()), SNAP_DECIMALS),

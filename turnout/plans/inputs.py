@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnout import constants as C
+from turnout.functions import percent as P
 from turnout.operators.aggregate import at_level, summaries_eager
 from turnout.sources import proof_views as pv
 from turnout.sources.dims import area_dim, area_names
@@ -27,6 +28,7 @@ class Inputs:
     area_table: DataFrame | None = None         # (area_l1, l1_name, area_l2, l2_name)
     age_counts: DataFrame | None = None         # ballots per single year of age: (age, n)
     registered_age_counts: DataFrame | None = None  # registered voters per single year of age: (age, n)
+    on_zero: str = P.ZERO_NULL                  # a zero denominator of R4, R6, R10-R12, R15, R19: null, or "error" as published
 
     @cached_property
     def reg_l2(self) -> DataFrame:
@@ -73,6 +75,11 @@ class Inputs:
             self.summary = summaries_eager(pv.ballot_events(self.spark, self.data_dir), pv.citizen_areas(self.spark, self.data_dir))
         return at_level(self.summary, lv)
 
+    def levels(self, *names: str) -> DataFrame:
+        """Several summary levels as one frame."""
+        self.level(names[0])
+        return self.summary.filter(F.col("level").isin(*names))
+
     def registered(self, lv: str) -> DataFrame:
         if self.registered_tables is not None:
             return self.registered_tables[lv]

@@ -3,6 +3,8 @@ smaller operator checks on ballots (flags, rounding, filters, policies, dimensio
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +13,14 @@ from turnout.functions import flags
 from turnout.functions import percent as P
 from turnout.functions import timeofday as tod
 from turnout.operators.features import ballot_features, drop_incomplete, minute_counts
-from turnout.operators.joins import unknown_areas, with_national, with_registered
+from turnout.operators.joins import with_national, with_registered
 from turnout.operators.reshape import pivot_series, unpivot_measures
 from turnout.plans.inputs import Inputs
 from turnout.session import scratch_path
 from turnout.sources import cdc
 from turnout.sources import proof_views as pv
 from turnout.sources.dims import read_registered, write_registered_doc
-from turnout.sources.tables import table
+from turnout.sources.tables import save_bucketed, table
 
 
 def latest_offsets(log: DataFrame) -> dict[int, int]:
@@ -113,6 +115,36 @@ def summary_scan(spark, data_dir) -> DataFrame:
     return table(spark, "l2_summary", ["area_id", "total", "male", "female"], F.col("total") > 0)
 
 
+SUMMARY_BUCKETS = 8
+
+
+def summary_area_tables(spark, data_dir) -> tuple[str, str, str]:
+    """Names of the written summary (partitioned by level), registered voters and forecast totals, all in buckets by area."""
+    inp = Inputs(spark, data_dir)
+    inp.level("nation")
+    names = tuple(f"{n}_{uuid.uuid4().hex[:12]}" for n in ("summary", "registered", "predicted"))
+    save_bucketed(inp.summary, names[0], scratch_path(spark, "summary"), "area_id", SUMMARY_BUCKETS, partition_by="level")
+    save_bucketed(inp.reg_l2, names[1], scratch_path(spark, "registered"), "area_id", SUMMARY_BUCKETS)
+    predicted = inp.prediction.groupBy(F.col("area_l2").alias("area_id")).agg(F.sum(F.col("male") + F.col("female")).cast("long").alias("predicted"))
+    save_bucketed(predicted, names[2], scratch_path(spark, "predicted"), "area_id", SUMMARY_BUCKETS)
+    return names
+
+
+def summary_area_rows(spark, names: tuple[str, str, str], areas: list[int] | None = None) -> DataFrame:
+    """Turnout and forecast totals of l2 areas (all, or those named) from the bucketed tables: the level prunes partitions,
+    the areas prune buckets, and the joins need no exchange."""
+    where = F.col("level") == C.LEVEL_L2
+    if areas is not None:
+        where = where & F.col("area_id").isin(areas)
+    s = with_registered(table(spark, names[0], ["area_id", "total"], where), table(spark, names[1], ["area_id", "voters"]))
+    s = s.join(table(spark, names[2]), "area_id", "left")
+    return s.select("area_id", "total", F.col("reg_voters").alias("voters"), P.percent("total", "reg_voters").alias("pct"), "predicted")
+
+
+def summary_area_scan(spark, data_dir) -> DataFrame:
+    return summary_area_rows(spark, summary_area_tables(spark, data_dir))
+
+
 def registered_dim(spark, data_dir, level: str = C.LEVEL_L2) -> DataFrame:
     """The registered voters of a level as documents, written and read back."""
     path = scratch_path(spark, f"registered-{level}")
@@ -172,14 +204,9 @@ def region_age_turnout(spark, data_dir) -> DataFrame:
 
 
 def area_lookup_strict(spark, data_dir, raise_on_unknown: bool = False) -> DataFrame:
-    """Inner lookup; ``raise_on_unknown`` turns the anti-join check into an error."""
+    """Inner lookup; ``raise_on_unknown`` makes an area without registered voters fail the query."""
     inp = Inputs(spark, data_dir)
-    s = inp.level("l2")
-    if raise_on_unknown:
-        missing = unknown_areas(s, inp.reg_l2).agg(F.count("*").alias("n"), F.min("area_id").alias("first")).first()
-        if missing["n"]:
-            raise KeyError(f"{missing['n']} areas without registered voters, the first is {missing['first']}")
-    j = with_registered(s, inp.reg_l2, how="inner")
+    j = with_registered(inp.level("l2"), inp.reg_l2, how="strict" if raise_on_unknown else "inner")
     return j.select("area_id", "total", F.col("reg_voters").alias("voters"))
 
 

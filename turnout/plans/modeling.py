@@ -12,6 +12,7 @@ from turnout.operators.windows import first_steps
 from turnout.plans import forecast as FC
 from turnout.plans import history as H
 from turnout.plans import predictions as PR
+from turnout.plans import ridge as RG
 from turnout.plans.inputs import Inputs
 from turnout.session import scratch_path
 from turnout.sources import proof_views as pv
@@ -19,8 +20,7 @@ from turnout.sources.history import coerce_history, read_history, write_history
 
 
 def _minute_counts(spark, data_dir) -> DataFrame:
-    counts = minute_counts(ballot_features(pv.ballots(spark, data_dir)))
-    return counts.filter((F.col("area_l2") != pv.SPARSE_L2) | (F.col("minute") < pv.SPARSE_UNTIL))
+    return minute_counts(ballot_features(pv.early_ballots(spark, data_dir)))
 
 
 def history_load(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -119,6 +119,44 @@ def forecast_eval(spark, data_dir) -> DataFrame:
     return FC.evaluate(H.scale(z, keep=tuple(f"{e}_{c}" for c in C.COUNTERS for e in ("lo", "hi"))))
 
 
+def ridge_models(spark, data_dir) -> DataFrame:
+    """The fitted coefficients of every area and counter, as the table that forecasts read."""
+    path = scratch_path(spark, "models")
+    H.save_scaler(RG.fit_ridge(minmax_scaled(spark, data_dir)), path)
+    m = H.load_scaler(spark, path)
+    return m.select("area_id", "feature", "n_rows", "intercept", *[F.element_at("weights", i + 1).alias(f"w{i + 1}") for i in range(RG.LAGS)])
+
+
+def _stored(spark, data_dir) -> tuple[DataFrame, DataFrame]:
+    """Models and scaler parameters, each fitted on the history, stored and loaded."""
+    models, params = scratch_path(spark, "models"), scratch_path(spark, "scaler")
+    dense = H.prepared(spark, data_dir, "area_l2", split=True)  # whole: most minutes of a small area are empty, so a fence would clear it
+    H.save_scaler(H.fit_minmax(dense), params)
+    H.save_scaler(RG.fit_ridge(H.apply_minmax(dense, H.load_scaler(spark, params))), models)
+    return H.load_scaler(spark, models), H.load_scaler(spark, params)
+
+
+def forecast_ridge(spark, data_dir) -> DataFrame:
+    """The next hour of every area by its own fitted model, scaled by its stored parameters."""
+    models, params = _stored(spark, data_dir)
+    return RG.forecast_area_models(FC.model_steps(_minute_counts(spark, data_dir)), models, params)
+
+
+def forecast_area_models(spark, data_dir) -> DataFrame:
+    """Areas with different kinds of model in one job: fitted, trend, last value, and areas without a model."""
+    models, params = _stored(spark, data_dir)
+    kind = F.expr(f"CASE area_id % 4 WHEN 0 THEN '{RG.RIDGE}' WHEN 1 THEN '{RG.TREND}' WHEN 2 THEN '{RG.LAST}' END")
+    kinds = models.withColumn("kind", kind).filter("kind IS NOT NULL")
+    return RG.forecast_area_models(FC.model_steps(_minute_counts(spark, data_dir)), kinds, params)
+
+
+def forecast_ridge_eval(spark, data_dir) -> DataFrame:
+    """Errors of the fitted models and of the trend per region, split in time; the fit sees no test target."""
+    series = H.scaled(spark, data_dir)
+    n = C.POLL_LAST_MINUTE - C.POLL_FIRST_MINUTE + 1
+    return RG.evaluate_area_models(series, RG.fit_ridge(series, upto=RG.training_cut(n)))
+
+
 def forecast_plus_live(spark, data_dir) -> DataFrame:
     inp = Inputs(spark, data_dir)
     return PR.add_live_totals(FC.forecast(_minute_counts(spark, data_dir)), inp.level(C.LEVEL_L2))
@@ -146,7 +184,7 @@ def prediction_upsert(spark, data_dir) -> DataFrame:
     inp = Inputs(spark, data_dir)
     slot = batch_slot(spark, data_dir)
     table = PR.seed_predictions(inp.prediction, inp.dim, slot)
-    minutes = _minute_counts(spark, data_dir).filter(F.col("area_l2") != pv.NO_FORECAST_L2)
+    minutes = minute_counts(ballot_features(pv.forecast_ballots(spark, data_dir)))
     updates = PR.add_live_totals(FC.forecast(minutes), inp.level(C.LEVEL_L2))
     path = scratch_path(spark, "prediction")
     PR.upsert_predictions(table, updates, slot).write.mode("overwrite").parquet(path)

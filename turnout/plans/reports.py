@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from turnout import constants as C
 from turnout.functions import percent as P
 from turnout.functions.timeofday import ampm_hour, hour_12h
-from turnout.operators.joins import overlay_last, with_national, with_registered
+from turnout.operators.joins import overlay_last, with_national, with_registered, with_registered_levels
 from turnout.operators.reshape import columns_with_suffix, strip_suffix, unpivot_measures
 from turnout.operators.windows import cumulative, last_per, top_k, top_per_group
 from turnout.plans.inputs import Inputs
@@ -71,6 +71,11 @@ def forecast_by_slot(inp: Inputs, level: str = C.LEVEL_NATION) -> DataFrame:
             .withColumn("level", F.lit(level)).withColumn("hour", F.hour("time_slot").cast("long")))
 
 
+def _strict(inp: Inputs, num: str, den: str, rounding: str = P.EVEN) -> Column:
+    """A percentage whose zero denominator raises in the published code: null, or an error that names the area."""
+    return P.percent(num, den, rounding, inp.on_zero, what=("area_id",))
+
+
 # ---- nation reports --------------------------------------------------------------------------
 
 def r1_forecast_by_hour(inp: Inputs, cumulative_total: bool = False) -> DataFrame:
@@ -122,7 +127,7 @@ def r3_turnout_with_forecast(inp: Inputs, keep_live: bool = True) -> DataFrame:
 
 def r4_gender_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
-    pairs = [("M", P.percent("male", "reg_male_count")), ("F", P.percent("female", "reg_female_count"))]
+    pairs = [("M", _strict(inp, "male", "reg_male_count")), ("F", _strict(inp, "female", "reg_female_count"))]
     return _finish(_pairs(n, pairs, ["level", "area_id"]), inp, nation=True)
 
 
@@ -151,7 +156,7 @@ def _prediction_totals(inp: Inputs, level: str, cols: list[str]) -> DataFrame:
 
 def r6_gender_forecast(inp: Inputs) -> DataFrame:
     n = with_national(_prediction_totals(inp, C.LEVEL_NATION, ["male", "female"]), inp.reg_nat)
-    pairs = [("Male", P.percent("male", "reg_male_count")), ("Female", P.percent("female", "reg_female_count"))]
+    pairs = [("Male", _strict(inp, "male", "reg_male_count")), ("Female", _strict(inp, "female", "reg_female_count"))]
     return _finish(_pairs(n, pairs, ["level", "area_id"], C.FORECASTED), inp, nation=True)
 
 
@@ -206,20 +211,20 @@ def r9_wilayat_gender_top10(inp: Inputs, k: int = 10) -> DataFrame:
 
 def r10_age_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
-    pairs = [(lbl, P.percent(c, "reg_" + c)) for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)]
+    pairs = [(lbl, _strict(inp, c, "reg_" + c)) for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)]
     return _finish(_pairs(n, pairs, ["level", "area_id"]), inp, nation=True)
 
 
 def r11_regyear_turnout(inp: Inputs) -> DataFrame:
     n = with_national(inp.level(C.LEVEL_NATION), inp.reg_nat)
-    pairs = [(f"RY_{y}", P.percent(f"ry_{y}", f"reg_ry_{y}", P.UP)) for y in C.REG_YEARS]
+    pairs = [(f"RY_{y}", _strict(inp, f"ry_{y}", f"reg_ry_{y}", P.UP)) for y in C.REG_YEARS]
     return _finish(_pairs(n, pairs, ["level", "area_id"]), inp, nation=True)
 
 
 def r12_region_turnout(inp: Inputs) -> DataFrame:
     s = with_registered(inp.level(C.LEVEL_L1), inp.reg_l1)
     long = s.select("area_id", F.lit(C.STATS).alias("series"),
-                    P.percent("total", "reg_voters", P.EVEN, P.ZERO_NULL).alias("y"))
+                    _strict(inp, "total", "reg_voters").alias("y"))
     return _finish(_area_axis(long, C.LEVEL_L1, inp), inp, nation=True)
 
 
@@ -252,64 +257,70 @@ def r14_wilayat_age_top2(inp: Inputs) -> DataFrame:
 
 # ---- area reports (every l1 and l2 area in one query) ----------------------------------------
 
-def _hourly_cumulative(inp: Inputs, level: str) -> DataFrame:
-    h = inp.level(f"{level}_hour").select("area_id", "hour", "total")
-    h = cumulative(h, ["area_id"], [F.col("hour")], "total", "cum_total")
-    h = with_registered(h, inp.registered(level), how="inner")
-    return h.select(F.lit(level).alias("level"), "area_id", F.lit(C.STATS).alias("series"),
-                    F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"),
-                    P.percent("cum_total", "reg_voters", P.EVEN, P.ZERO_NULL).alias("y"))
+def _areas(inp: Inputs) -> dict[str, DataFrame]:
+    return {lv: inp.registered(lv) for lv in AREA_LEVELS}
+
+
+KEYS = ["level", "area_id"]
+
+
+def _hourly_cumulative(inp: Inputs) -> DataFrame:
+    h = inp.levels(*[f"{lv}_hour" for lv in AREA_LEVELS]).select(
+        F.expr("replace(level, '_hour', '') AS level"), "area_id", "hour", "total")
+    h = cumulative(h, KEYS, [F.col("hour")], "total", "cum_total")
+    h = with_registered_levels(h, _areas(inp), how="inner")
+    return h.select(*KEYS, F.lit(C.STATS).alias("series"), F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"),
+                    _strict(inp, "cum_total", "reg_voters").alias("y"))
 
 
 def r15_area_cumulative_turnout(inp: Inputs) -> DataFrame:
-    return _finish(_union([_hourly_cumulative(inp, lv) for lv in AREA_LEVELS]), inp)
+    return _finish(_hourly_cumulative(inp), inp)
 
 
 def r16_area_gender_turnout(inp: Inputs) -> DataFrame:
-    frames = []
-    for lv in AREA_LEVELS:
-        s = with_registered(inp.level(lv), inp.registered(lv), how="inner").withColumn("level", F.lit(lv))
-        pairs = [("M", P.percent("male", "reg_male_count", P.EVEN, P.ZERO_ZERO)),
-                 ("F", P.percent("female", "reg_female_count", P.EVEN, P.ZERO_ZERO))]
-        frames.append(_pairs(s, pairs, ["level", "area_id"]))
-    return _finish(_union(frames), inp)
+    s = with_registered_levels(inp.levels(*AREA_LEVELS), _areas(inp), how="inner")
+    pairs = [("M", P.percent("male", "reg_male_count", P.EVEN, P.ZERO_ZERO)),
+             ("F", P.percent("female", "reg_female_count", P.EVEN, P.ZERO_ZERO))]
+    return _finish(_pairs(s, pairs, KEYS), inp)
+
+
+def _prediction_areas(inp: Inputs, *columns: str) -> DataFrame:
+    """Prediction rows as rows of both area levels: each is listed for its region and for its wilayat."""
+    areas = F.inline(F.array(*[F.struct(F.lit(lv).alias("level"), F.col(c).cast("long").alias("area_id"))
+                               for lv, c in ((C.LEVEL_L1, "area_l1"), (C.LEVEL_L2, "area_l2"))]))
+    return inp.prediction.select(areas, *columns)
 
 
-def _forecast_cumulative(inp: Inputs, level: str, cumulative_total: bool = True) -> DataFrame:
-    s = forecast_by_slot(inp, level)
+def _forecast_cumulative(inp: Inputs, cumulative_total: bool = True) -> DataFrame:
+    s = _prediction_areas(inp, "time_slot", "male", "female").groupBy(*KEYS, "time_slot").agg(
+        F.sum(F.col("male") + F.col("female")).cast("long").alias("total")).withColumn("hour", F.hour("time_slot").cast("long"))
     if cumulative_total:
-        s = cumulative(s, ["area_id"], [F.col("hour"), F.col("time_slot")], "total", "cum_total")
+        s = cumulative(s, KEYS, [F.col("hour"), F.col("time_slot")], "total", "cum_total")
     else:
         s = s.withColumn("cum_total", F.col("total"))
-    s = last_per(s, ["area_id", "hour"], ["time_slot"])
-    s = with_registered(s, inp.registered(level), how="inner")
+    s = last_per(s, [*KEYS, "hour"], ["time_slot"])
+    s = with_registered_levels(s, _areas(inp), how="inner")
     y = F.coalesce(P.percent("cum_total", "reg_voters", P.EVEN, P.ZERO_ZERO), F.lit(0).cast("long"))
-    return s.select(F.lit(level).alias("level"), "area_id", F.lit(C.FORECASTED).alias("series"),
-                    F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"), y.alias("y"))
+    return s.select(*KEYS, F.lit(C.FORECASTED).alias("series"), F.col("hour").cast("string").alias("x"), F.col("hour").alias("x_ord"), y.alias("y"))
 
 
 def r17_area_forecast_cumulative(inp: Inputs, cumulative_total: bool = True) -> DataFrame:
     """Area forecast per hour slot as a running total (published rule, although the forecast
     already contains the live totals); ``cumulative_total=False`` gives per-slot values."""
-    return _finish(_union([_forecast_cumulative(inp, lv, cumulative_total) for lv in AREA_LEVELS]), inp)
+    return _finish(_forecast_cumulative(inp, cumulative_total), inp)
 
 
 def r18_area_turnout_with_forecast(inp: Inputs, keep_live: bool = True) -> DataFrame:
-    stats = _union([_hourly_cumulative(inp, lv) for lv in AREA_LEVELS]).select(
-        "level", "area_id", hour_12h("x_ord").alias("x"), "y")
-    fc = _union([_forecast_cumulative(inp, lv) for lv in AREA_LEVELS]).select(
-        "level", "area_id", hour_12h("x_ord").alias("x"), "y", F.col("x_ord").alias("fo"))
+    stats = _hourly_cumulative(inp).select(*KEYS, hour_12h("x_ord").alias("x"), "y")
+    fc = _forecast_cumulative(inp).select(*KEYS, hour_12h("x_ord").alias("x"), "y", F.col("x_ord").alias("fo"))
     return _finish(_with_forecast(stats, fc, keep_live), inp)
 
 
 def r19_area_gender_forecast(inp: Inputs) -> DataFrame:
-    frames = []
-    for lv in AREA_LEVELS:
-        t = with_registered(_prediction_totals(inp, lv, ["male", "female"]), inp.registered(lv), how="inner")
-        pairs = [("Male", P.percent("male", "reg_male_count", P.UP, P.ZERO_NULL)),
-                 ("Female", P.percent("female", "reg_female_count", P.UP, P.ZERO_NULL))]
-        frames.append(_pairs(t, pairs, ["level", "area_id"], C.FORECASTED))
-    return _finish(_union(frames), inp)
+    t = _prediction_areas(inp, "male", "female").groupBy(*KEYS).agg(F.expr("CAST(sum(male) AS BIGINT) AS male"), F.expr("CAST(sum(female) AS BIGINT) AS female"))
+    t = with_registered_levels(t, _areas(inp), how="inner")
+    pairs = [("Male", _strict(inp, "male", "reg_male_count", P.UP)), ("Female", _strict(inp, "female", "reg_female_count", P.UP))]
+    return _finish(_pairs(t, pairs, KEYS, C.FORECASTED), inp)
 
 
 def r20_area_age_turnout(inp: Inputs) -> DataFrame:
@@ -319,17 +330,11 @@ def r20_area_age_turnout(inp: Inputs) -> DataFrame:
     unpivoted with the suffix stripped from the label (F21).
     """
     suffix = "_Percentage"
-    frames = []
-    for lv in AREA_LEVELS:
-        s = with_registered(inp.level(lv), inp.registered(lv)).withColumn("level", F.lit(lv))
-        wide = s.select("level", "area_id", *[
-            P.percent(c, "reg_" + c, P.EVEN, P.ZERO_NULL, P.MISSING_DEN_ONE).cast("double").alias(lbl + suffix)
-            for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)])
-        picked = columns_with_suffix(wide, suffix)
-        long = unpivot_measures(wide, ["level", "area_id"], picked, "x", "y")
-        frames.append(long.select("level", "area_id", strip_suffix(F.col("x"), suffix).alias("x"), "x_ord", "y",
-                                  F.lit(C.STATS).alias("series")))
-    return _finish(_union(frames), inp)
+    s = with_registered_levels(inp.levels(*AREA_LEVELS), _areas(inp))
+    wide = s.selectExpr(*KEYS, *[f"cast({P.percent_sql(c, 'reg_' + c, P.EVEN, P.ZERO_NULL, P.MISSING_DEN_ONE)} as double) AS {lbl}{suffix}"
+                                 for lbl, c in zip(C.SUMMARY_LABELS, AGE_COLS)])
+    long = unpivot_measures(wide, KEYS, columns_with_suffix(wide, suffix), "x", "y")
+    return _finish(long.select(*KEYS, strip_suffix(F.col("x"), suffix).alias("x"), "x_ord", "y", F.lit(C.STATS).alias("series")), inp)
 
 
 # ---- helpers H1, H2 --------------------------------------------------------------------------

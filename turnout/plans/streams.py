@@ -12,16 +12,23 @@ from turnout.session import scratch_path
 from turnout.sources import cdc
 from turnout.sources import proof_views as pv
 from turnout.streaming import ingest as ST
+from turnout.streaming import intervals as IV
+from turnout.streaming import keyed, state
 from turnout.streaming import pipeline as PL
-from turnout.streaming import state
 
 FILES_PER_TRIGGER = 30
+MESSAGES_PER_FILE = 1_000_000
+LATE_FILES = 4
 
 
-def write_log_files(raw: DataFrame, path: str, copies: int = 1, files_per_day: int = 2) -> None:
+def write_log_files(raw: DataFrame, path: str, copies: int = 1, files_per_day: int | None = None) -> None:
     """Log records in one folder per day (``day=<n>``), each day dealt by offset over ``files_per_day``
-    tasks and files; ``copies`` > 1 simulates redelivery."""
+    tasks and files (by default as many as its share of the offsets needs at MESSAGES_PER_FILE, two at least);
+    ``copies`` > 1 simulates redelivery."""
     day = F.floor(F.unix_seconds("timestamp") / 86400).cast("long")
+    if files_per_day is None:
+        span = raw.agg(F.count("*").alias("n"), F.count_distinct(day).alias("days")).first()
+        files_per_day = max(2, -(-copies * span["n"] // max(span["days"], 1) // MESSAGES_PER_FILE))
     out = raw.withColumn("day", day)
     for _ in range(copies - 1):
         out = out.unionByName(raw.withColumn("day", day))
@@ -39,15 +46,16 @@ def stream_minute_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     table, ckpt = scratch_path(spark, "minute-counts"), scratch_path(spark, "minute-counts-ckpt")
     q = ST.run_minute_counts(spark, src, table, ckpt)
     q.awaitTermination()
-    return state.current(spark, table)
+    return keyed.current(spark, table)
 
 
 def stream_ingest_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     src = _source(spark, data_dir)
     out, ckpt = scratch_path(spark, "ingest-counts"), scratch_path(spark, "ingest-counts-ckpt")
-    q = ST.run_ingest_counts(spark, src, out, ckpt)
+    q, store = ST.run_ingest_counts(spark, src, out, ckpt)
     q.awaitTermination()
-    return ST.ingest_totals(spark.read.parquet(out))
+    store.close()
+    return ST.ingest_totals(store.read("messages long, ballots long, first_offset long, last_offset long"))
 
 
 def stream_dedup(spark: SparkSession, data_dir: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
@@ -66,7 +74,50 @@ def stream_dedup_citizen(spark: SparkSession, data_dir: str, files_per_trigger:
     src = _source(spark, data_dir, copies=2, files_per_trigger=files_per_trigger)
     table, ckpt = scratch_path(spark, "first-ballots"), scratch_path(spark, "first-ballots-ckpt")
     ST.run_first_ballots(spark, src, table, ckpt).awaitTermination()
-    return state.current(spark, table)
+    return keyed.current(spark, table)
+
+
+def stream_dedup_intervals(spark: SparkSession, data_dir: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """As ``stream_dedup``, from the intervals of offsets seen instead of a row of state per message."""
+    src = _source(spark, data_dir, copies=2, files_per_trigger=files_per_trigger)
+    return _dedup_by_intervals(spark, src, scratch_path(spark, "dedup-iv-ckpt"))
+
+
+def _dedup_by_intervals(spark: SparkSession, src: dict, ckpt: str) -> DataFrame:
+    out = scratch_path(spark, "dedup-iv-out")
+    d = cdc.decode_cdc(IV.dedup_by_intervals(ST.log_stream(spark, src)))
+    q = (d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(d.schema).parquet(out)
+
+
+def stream_cdc_state(spark: SparkSession, data_dir: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """ST7 as a stream: the net state of ``cdc_latest_state``, merged batch by batch."""
+    table, ckpt = scratch_path(spark, "change-state"), scratch_path(spark, "change-state-ckpt")
+    src = _source(spark, data_dir, files_per_trigger=files_per_trigger)
+    ST.run_change_state(spark, src, table, ckpt, horizon_ms=90 * 86_400_000).awaitTermination()
+    return ST.change_state(spark, table)
+
+
+def cdc_offset_gaps(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The ranges of offsets that a log with holes and repeats lacks, audited batch by batch."""
+    path, table, ckpt = (scratch_path(spark, n) for n in ("holed-in", "islands", "islands-ckpt"))
+    write_log_files(pv.cdc_raw_holed(spark, data_dir), path)
+    IV.run_offset_audit(spark, {"path": path, "maxFilesPerTrigger": FILES_PER_TRIGGER}, table, ckpt).awaitTermination()
+    return IV.gaps(state.current(spark, table))
+
+
+def stream_late_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """ST5: ballots in time and late per area and minute.  The log arrives in five parts, written one after the
+    other and read one a batch; every eleventh message comes a part late."""
+    path, out, ckpt = (scratch_path(spark, n) for n in ("parts-in", "late-split", "late-split-ckpt"))
+    parts = pv.cdc_raw_delayed(spark, data_dir)
+    for k in range(pv.DELAYED_PARTS):
+        parts.filter(F.col("part") == k).drop("part").repartition(LATE_FILES).write.parquet(f"{path}/day={k}")
+    src = {"path": path, "maxFilesPerTrigger": LATE_FILES}
+    ST.run_late_split(spark, src, out, ckpt, pv.LATE_AFTER_MS).awaitTermination()
+    return ST.late_split_counts(spark, out)
 
 
 def cdc_latest_state(spark: SparkSession, data_dir: str) -> DataFrame:

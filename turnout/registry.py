@@ -23,9 +23,9 @@ def _report(fn) -> Query:
 
 
 def _fresh(fn: Query) -> Query:
-    """The query on views built anew, so files that changed since the last one are seen."""
+    """The query on views that are built anew where table files have changed since the last one."""
     def run(spark: SparkSession, data_dir: str) -> DataFrame:
-        pv.clear_memo()
+        pv.refresh(spark, data_dir)
         return fn(spark, data_dir)
     return run
 
@@ -51,6 +51,7 @@ def queries() -> dict[str, Query]:
         "area_filter": L.area_filter,
         "area_rollup": L.area_rollup,
         "summary_scan": L.summary_scan,
+        "summary_area_scan": L.summary_area_scan,
         "registered_dim": L.registered_dim,
         "registered_dim_nation": lambda s, d: L.registered_dim(s, d, C.LEVEL_NATION),
         "registered_dim_region": lambda s, d: L.registered_dim(s, d, C.LEVEL_L1),
@@ -90,6 +91,10 @@ def queries() -> dict[str, Query]:
         "forecast_stored_scaler": M.forecast_stored_scaler,
         "forecast_trend_sql": M.forecast_trend_sql,
         "forecast_eval": M.forecast_eval,
+        "ridge_models": M.ridge_models,
+        "forecast_ridge": M.forecast_ridge,
+        "forecast_area_models": M.forecast_area_models,
+        "forecast_ridge_eval": M.forecast_ridge_eval,
         "forecast_plus_live": M.forecast_plus_live,
         "prediction_seed": M.prediction_seed,
         "prediction_upsert": M.prediction_upsert,
@@ -97,7 +102,11 @@ def queries() -> dict[str, Query]:
         "stream_ingest_counts": S.stream_ingest_counts,
         "stream_dedup": S.stream_dedup,
         "stream_dedup_citizen": S.stream_dedup_citizen,
+        "stream_dedup_intervals": S.stream_dedup_intervals,
+        "stream_late_rows": S.stream_late_rows,
         "cdc_latest_state": S.cdc_latest_state,
+        "stream_cdc_state": S.stream_cdc_state,
+        "cdc_offset_gaps": S.cdc_offset_gaps,
         "stream_forecast": S.stream_forecast,
         "chart_plots_json": PB.chart_plots_json,
         "weighted_pick": PB.weighted_pick,

@@ -28,11 +28,12 @@ REGISTERED_FACTOR = 20
 PREDICTION_BASE = "2024-01-31 00:00:00"
 
 _MEMO: dict = {}
+_STAMPS: dict = {}
 
 
 def memo(fn):
-    """Build a view once per query: every registered query and every micro-batch starts from ``clear_memo``,
-    so table files are listed anew and frames are shared only inside it."""
+    """Build a view once per session and data directory; every registered query and every micro-batch starts with
+    ``refresh``, which drops the views of tables whose files have changed."""
     @wraps(fn)
     def wrapper(spark: SparkSession, data_dir: str) -> DataFrame:
         key = (fn.__name__, session_key(spark), data_dir)
@@ -49,6 +50,23 @@ def session_key(spark: SparkSession) -> tuple:
 
 def clear_memo() -> None:
     _MEMO.clear()
+    _STAMPS.clear()
+
+
+def refresh(spark: SparkSession, data_dir: str) -> None:
+    """Forget the views of ``data_dir`` if a table they read has another size or modification time than before."""
+    jvm = spark.sparkContext._jvm
+    tables = jvm.org.apache.hadoop.fs.Path(f"{data_dir.rstrip('/')}/{{customer,events,nation,region}}.parquet")
+    fs = tables.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stamp = []
+    for status in fs.globStatus(tables) or []:
+        files = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        stamp += [(f.getPath().toString(), f.getModificationTime(), f.getLen()) for f in files]
+    key = session_key(spark), data_dir
+    if _STAMPS.get(key) != stamp:
+        for view in [k for k in _MEMO if k[1:] == key]:
+            del _MEMO[view]
+        _STAMPS[key] = stamp
 
 
 @memo
@@ -95,6 +113,20 @@ def ballots(spark: SparkSession, data_dir: str) -> DataFrame:
         "event_id", "ts", "citizen_id", "age", "sex", "reg_year", "log_ms", "area_l1", "area_l2")
 
 
+@memo
+def early_ballots(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Ballots of a poll in which one area falls silent early (its steps are padded): area 5 until 00:20."""
+    from turnout.functions.timeofday import minute_key
+    b = ballots(spark, data_dir)
+    return b.filter((F.col("area_l2") != SPARSE_L2) | (minute_key(b.log_ms) < SPARSE_UNTIL))
+
+
+@memo
+def forecast_ballots(spark: SparkSession, data_dir: str) -> DataFrame:
+    """As ``early_ballots``, from a poll without a ballot of one area (the upsert leaves its row): area 7."""
+    return early_ballots(spark, data_dir).filter(F.col("area_l2") != NO_FORECAST_L2)
+
+
 def _after_struct(b) -> "F.Column":
     return F.struct(
         b.citizen_id.alias("CITIZENID"), b.age.alias("Age"), b.sex.alias("SEX"),
@@ -137,6 +169,30 @@ def cdc_raw(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+# offsets that a log with losses lacks: HOLE of every HOLE_EVERY, from the phase on; and which offsets it has twice
+HOLE_EVERY, HOLE, HOLE_PHASE, REPEAT_EVERY = 500, 7, 123, 13
+
+
+@memo
+def cdc_raw_holed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The change log with holes (7 offsets in every 500) and repeats (every 13th offset twice)."""
+    raw = cdc_raw(spark, data_dir)
+    kept = raw.filter((F.col("offset") + HOLE_PHASE) % HOLE_EVERY >= HOLE)
+    return kept.unionByName(kept.filter(F.col("offset") % REPEAT_EVERY == 0))
+
+
+# parts in which a delayed log arrives, days in each, and after how long a row counts as late
+DELAYED_PARTS, PART_DAYS, DELAY_EVERY, LATE_AFTER_MS = 5, 8, 11, 2 * 86_400_000
+
+
+@memo
+def cdc_raw_delayed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The change log with the ``part`` in which a message arrives: eight days of the month each, every 11th one part later."""
+    day = F.dayofmonth(F.col("timestamp").cast("timestamp_ntz"))
+    part = F.floor((day - 1) / PART_DAYS) + F.when(F.col("offset") % DELAY_EVERY == 0, 1).otherwise(0)
+    return cdc_raw(spark, data_dir).withColumn("part", part.cast("int"))
+
+
 @memo
 def ballot_ages(spark: SparkSession, data_dir: str) -> DataFrame:
     """Ballots per single year of age: (age, n).

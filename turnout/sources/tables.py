@@ -16,3 +16,10 @@ def table(spark: SparkSession, name: str, columns: list[str] | None = None, wher
     if where is not None:
         df = df.filter(where)
     return df.select(*columns) if columns else df
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, partition_by: str | None = None) -> None:
+    """A catalog table in hash buckets of ``key`` (and partitions): a filter on the key reads its bucket only, and tables
+    with equal buckets join on the key without a shuffle.  One task writes a bucket, so each is one file per partition."""
+    w = df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+    (w.partitionBy(partition_by) if partition_by else w).saveAsTable(name)

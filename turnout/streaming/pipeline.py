@@ -80,7 +80,8 @@ def process_batch(spark: SparkSession, state_dir: str, pairs: DataFrame, data_di
     ballots so far, so the table after a batch does not depend on how ballots fell into batches.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        pv.clear_memo()  # refreshed voter and area tables are seen
+        if data_dir:
+            pv.refresh(spark, data_dir)  # changed voter and area tables are seen
         ballots = decoded_ballots(batch)
         ballots.persist()
         try:
