@@ -80,6 +80,72 @@ def test_short_runs_beside_the_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+MENU = "<ul>" + "".join(f"<li><a href={k}>More about {k}</a></li>" for k in range(5)) + "</ul>"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>a</p><p title='the hidden gem'>b</p><p hidden>no</p><p style='display : none'>no</p><p aria-hidden=true>c</p></article>", "a\nb\nc"),
+    ("<article><p>a</p><div><form><input>f<p>g</div><p>b</p><aside>no<p>no</article><p>out", "a\nb"),
+    ("<body><div class='social-history'><p>" + TEXT + "</p></div>", TEXT.strip()),
+    ("<body><div class='widget-area'>" + TEXT + "</div><div class=footer>(c)</div>", TEXT.strip()),
+    ("<body><div class='widget-area'>" + TEXT + "</div><p>" + TEXT + "Main.</p>", TEXT + "Main."),
+    ("<main><article><p>story</p></article><div><p>teaser</p></div></main>", "story"),
+    ("<main><p>story</p><article></article></main>", "story"),
+])
+def test_probes(page, text):
+    assert html_extract.main_text(page) == text
+
+
+def test_blocks_decide_inside_articles():
+    """Three or more lines of links in a row are a menu; fewer, or links in text, are text."""
+    page = f"<article><p>first</p>{MENU}<p>second <a href=1>with a link</a></p><p><a href=2>One</a></p><p><a href=3>Two</a></p><p>last</p></article>"
+    assert html_extract.main_text(page) == "first\nsecond with a link\nOne\nTwo\nlast"
+    assert html_extract.main_text(f"<article>{MENU}</article>") == "\n".join(f"More about {k}" for k in range(5))
+
+
+def line_blocks(lines, window=3, surge=80):
+    """The text between surge and dive points of plain lines, straight from the definition."""
+    sums = [sum(map(len, lines[i:i + window])) for i in range(len(lines))]
+    kept, i = [], 0
+    while i < len(lines):
+        j = i
+        while j < len(lines) and sums[j] > 0:
+            j += 1
+        if j > i and max(sums[i:j]) > surge:
+            kept += [x for x in lines[i:min(j - 1 + window, len(lines))] if x]
+        i = max(j, i + 1)
+    return "\n".join(kept)
+
+
+def test_line_blocks_against_plain_version(monkeypatch):
+    """Pages without an article, made of paragraphs, short lines and dropped elements: the blocks alone decide."""
+    import random
+    random.seed(6)
+    different = 0
+    for _ in range(300):
+        parts, lines, paragraphs = [], [], 0
+        for _ in range(random.randint(1, 14)):
+            kind = random.choice(["long", "short", "nav", "nav"])
+            if kind == "nav":
+                parts.append("<nav><a href=1>menu</a></nav>")
+                lines += [""] * html_extract.WINDOW
+            else:
+                text = " ".join(random.choice(["word", "and", "more", "text"]) for _ in range(30 if kind == "long" else 3))
+                paragraphs += kind == "long"
+                parts.append(f"<div>{text}</div>")
+                lines.append(text)
+        if not paragraphs:
+            continue
+        runs = line_blocks(lines)
+        got = html_extract.main_text("<body>" + "".join(parts))
+        first, last = runs.split("\n")[0], runs.split("\n")[-1]
+        full = [x for x in lines if x]
+        # what stands between two runs stays as well
+        assert got.split("\n")[0] == first and got.split("\n")[-1] == last and set(runs.split("\n")) <= set(got.split("\n"))
+        different += got != "\n".join(full)
+    assert different > 50  # without the blocks every line would stay
+
+
 def test_extract_edge_rows(spark):
     rows = [(None, None, None), (1, "u", "<p>a"), (1, "u", "<p>a"), (2, None, "<p>" + "word " * 50000)]
     got = html_extract.extract(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string"))
