@@ -6,6 +6,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM, SMALL
 from tests.llm import brute
@@ -79,32 +80,88 @@ def test_pieces_equal_the_library(docs_of, small):
 
 
 def test_whole_texts_are_checked(monkeypatch):
-    import re
-
-    from turnout.llm.common import PieceCache
+    from turnout.llm.common import LETTERS, PieceCache
     processor, vocabulary, _ = piece_codec._model(PIECES)
     texts = ["", "the same words", "of the people", "a"]
     right = [processor.encode(t) for t in texts]
-    ids, differ = piece_codec.encode_texts(texts, PIECES)
-    assert [x.tolist() for x in ids] == right and list(differ) == [False] * 4
+
+    def encoded():
+        ids, until, differ, same = piece_codec.encode_texts(texts, PIECES)
+        assert same == right
+        return [ids[a:b].tolist() for a, b in zip(until, until[1:])], differ.tolist()
+
+    assert encoded() == (right, [False] * 4)
     # parts cut inside words: each is right by itself, the texts are not
-    monkeypatch.setattr(vocabulary, "cut", re.compile("(?<=[a-z])(?=[a-z])"))
+    monkeypatch.setattr(piece_codec, "_cuts", lambda raw, _: raw.behind_letter() & LETTERS[raw.at])
     monkeypatch.setitem(piece_codec._LOADED, PIECES, (processor, vocabulary, PieceCache()))
-    ids, differ = piece_codec.encode_texts(texts, PIECES)
-    assert [x.tolist() for x in ids] == right and list(differ) == [False, True, True, False]
+    assert encoded() == (right, [False, True, True, False])
     # the agenda's ids are the ones that are counted: a vocabulary that merges nothing is seen
     monkeypatch.undo()
     monkeypatch.setattr(vocabulary, "encode", lambda words: [[vocabulary.unknown]] * len(words))
     monkeypatch.setitem(piece_codec._LOADED, PIECES, (processor, vocabulary, PieceCache()))
-    ids, differ = piece_codec.encode_texts(texts, PIECES)
-    assert [x.tolist() for x in ids] == right and list(differ) == [False, True, True, True]
+    assert encoded() == (right, [False, True, True, True])
+
+
+def library(processor, words):
+    """What the library makes of normalised parts.  It adds the first space mark itself; a part that starts
+    otherwise follows a letter in its text, so it is encoded behind one, whose ids are then taken off."""
+    mark, letter = piece_codec.MARK, processor.encode("a")
+    found = processor.encode([w[1:].replace(mark, " ") if w[0] == mark else "a" + w.replace(mark, " ") for w in words], num_threads=1)
+    # an empty text gets no first mark, so a mark on its own is looked up instead
+    return [[processor.piece_to_id(mark)] if w == mark else ids if w[0] == mark else ids[len(letter):] for w, ids in zip(words, found)]
 
 
 def test_long_and_short_agendas_agree():
     processor, vocabulary, _ = piece_codec._model(PIECES)
     random.seed(5)
     words = ["▁" + "".join(random.choice("theranding'é日x") for _ in range(n)) for n in [0, 1, 2, 3, 7, 20, 63, 64, 65, 200] * 8]
-    assert vocabulary.encode(words) == [vocabulary._agenda(w) for w in words] == piece_codec._library(processor, words)
+    assert vocabulary.encode(words) == [vocabulary._agenda(w) for w in words] == library(processor, words)
+
+
+def test_pair_table_finds_every_pair():
+    import numpy as np
+    _, vocabulary, _ = piece_codec._model(PIECES)
+    keys = np.array(list(vocabulary.pairs), dtype=np.int64)
+    rank, merged = vocabulary.look_up((keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32))
+    assert list(zip(merged.tolist(), rank.tolist())) == list(vocabulary.pairs.values())
+    rank, _ = vocabulary.look_up(np.array([-1, -2, 5, -1], np.int32), np.array([-1, 5, -2, 7], np.int32))
+    assert (rank == piece_codec.NONE).all()
+
+
+BREAKS = " \n\t\x0b\x1c\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000"
+
+
+def test_cuts_encode_as_whole_texts(spark, docs_of):
+    """Texts made of white space, stops and letters in any order, against the library on whole texts."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+    tokenizer, processor = Tokenizer.from_file(BYTES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    random.seed(8)
+    texts = ["".join(random.choice(BREAKS * 2 + "ab'sZé÷×“’.,!?;:1日😀▁\0|#" + "  \n") for _ in range(40)) for _ in range(2000)] + [" ", "\n", "a", ""]
+    ids, until = token_io.token_ids(texts, BYTES)
+    for k, t in enumerate(texts):
+        assert ids[until[k]:until[k + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    ids, until, differ, _ = piece_codec.encode_texts(texts, PIECES)
+    assert not differ.any() and [ids[a:b].tolist() for a, b in zip(until, until[1:])] == processor.encode(texts)
+
+
+def test_a_hot_id_is_dealt_over_tasks(spark, docs_of):
+    """A third of all rows have one doc_id, others none: their order is that of the text hash, and no task has them all."""
+    rows = [(7, f"hot row {k} " * 30) for k in range(300)] + [(None, f"none {k}") for k in range(100)] + [(k, f"row {k}") for k in range(300)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tokens = token_io.write_tokens(docs_of(rows).repartition(4), BYTES, block_ids=400)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = token_io.read_tokens(tokens).collect()
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(BYTES)
+    want = sorted(([*tokenizer.encode(t).ids, 0] for i, t in rows if i == 7))
+    hot = sorted((r for r in got if r.doc_id == 7), key=lambda r: r.start)
+    assert sorted(r.ids for r in hot) == want and all(a.start + a.n_tokens == b.start for a, b in zip(hot, hot[1:]))
+    assert [r.start for r in got if r.doc_id is None] and max(r.start for r in got if r.doc_id is None) < min(r.start for r in got if r.doc_id is not None)
+    shards = tokens.selectExpr("shard", "explode(doc_ids) AS d").filter("d = 7").select("shard").distinct().count()
+    assert shards > 1
 
 
 def test_base_statistics(spark, docs_of, small):
@@ -139,6 +196,10 @@ def test_added_spans_need_check_and_context(docs_of):
     assert got[2].startswith("short_card:") and got[3] == ""
     assert got[4].startswith("national_id:") and got[5] == ""
     assert got[6].startswith("local_phone:") and got[7] == ""
+    # the words beside a span set its score: the same number with and without them
+    near = [(1, f"card {CARD}"), (2, f"code {CARD}"), (3, "none")]
+    scores = {r.doc_id: r.scores for r in pii.summary(pii.find_spans(docs_of(near))).collect()}
+    assert int(scores[1]) > int(scores[2]) and scores[3] == ""
 
 
 def test_account_numbers_before_words_and_digits(docs_of):
@@ -246,6 +307,36 @@ def test_near_duplicates_in_tiles(docs_of, monkeypatch):
     assert rows_of(simhash_index.near_duplicates(docs_of(rows))) == sorted(brute.near_duplicates(rows), key=str)
 
 
+@pytest.mark.parametrize("agree", [1, 2, 3])
+def test_near_duplicates_by_choices_of_blocks(docs_of, monkeypatch, agree):
+    monkeypatch.setattr(simhash_index, "agreeing_blocks", lambda n, bits: agree)
+    rows = EDGES + near_copies()
+    assert rows_of(simhash_index.near_duplicates(docs_of(rows))) == sorted(brute.near_duplicates(rows), key=str)
+
+
+def test_index_rows_per_fingerprint(spark):
+    """Keys get longer with the number of fingerprints, so that groups stay small and a fingerprint has a row per key."""
+    assert [simhash_index.agreeing_blocks(n, 4) for n in (0, 10**5, 10**6, 3 * 10**6, 10**8, 10**9, 10**11)] == [1, 1, 1, 2, 2, 3, 4]
+    for n, keys in ((10**5, 5), (3 * 10**6, 15)):
+        fps = spark.range(n).select(F.xxhash64("id").alias("fp"))
+        rows = simhash_index._tiles(simhash_index._keys(fps, 4, simhash_index.agreeing_blocks(n, 4))).count()
+        assert keys * n <= rows < 1.5 * keys * n
+
+
+def test_keys_are_fingerprints_turned(spark):
+    import itertools
+    fps = [0x0123456789ABCDEF, -1, 1 << 62, 0]
+    got = simhash_index._keys(spark.createDataFrame([(f,) for f in fps], "fp long"), 4, 2).collect()
+    blocks, pairs = simhash_index._blocks(6), list(itertools.combinations(range(6), 2))
+    assert len(got) == len(fps) * len(pairs) and sum(w for _, w in blocks) == 64
+    for r in got:
+        value = 0
+        for b in pairs[r.block]:
+            shift, width = blocks[b]
+            value = value << width | (r.fp % 2**64) >> shift & (1 << width) - 1
+        assert r.value == value
+
+
 def test_null_ids_link(docs_of):
     got = rows_of(simhash_index.near_duplicates(docs_of([(None, "a b c d e"), (7, "a b c d e"), (None, "other words are here now")])).select(
         "doc_id", "component_id"))
@@ -287,14 +378,43 @@ def test_index_shards_and_benchmark_blocks(spark, docs_of, small, monkeypatch):
     monkeypatch.setattr(decontaminate, "item_blocks", lambda b: blocks(b, block_bytes=500))
     index = decontaminate.build_index
     monkeypatch.setattr(decontaminate, "build_index", lambda d: index(d, shard_tokens=700))
+    assert len(list(decontaminate.item_blocks(items))) > 1
     assert rows_of(decontaminate.contamination(docs_of(small), items)) == whole
 
 
+def near_matches(rows, phrase, slop):
+    """{(doc_id, start)}: every start for which each term is within ``slop`` of its place, least displacement of a row of starts."""
+    out = set()
+    for doc, text in rows:
+        w = text.lower().split()
+        good = {}
+        for s in range(-len(phrase) - slop, len(w) + slop + 1):
+            apart = [min((abs(p - s - k) for p, x in enumerate(w) if x == t), default=slop + 1) for k, t in enumerate(phrase)]
+            if max(apart) <= slop:
+                good[s] = sum(apart)
+        for s in sorted(good):
+            if s - 1 not in good:
+                run = [s]
+                while run[-1] + 1 in good:
+                    run.append(run[-1] + 1)
+                out.add((doc, min(run, key=lambda x: (good[x], x))))
+    return out
+
+
 def test_proximity_matches(spark, docs_of):
-    index = decontaminate.build_index(docs_of([(1, "x alpha beta gamma y"), (2, "alpha z beta gamma"), (3, "gamma alpha"), (4, "alpha b c d beta gamma")]))
+    rows = [(1, "x alpha beta gamma y"), (2, "alpha z beta gamma"), (3, "gamma alpha"), (4, "alpha b c d beta gamma"),
+            (5, "alpha z beta z gamma"), (6, "alpha gamma alpha gamma"), (7, "beta gamma"), (8, "alpha"), (9, "gamma beta alpha")]
+    random.seed(12)
+    rows += [(100 + k, " ".join(random.choice(["alpha", "beta", "gamma", "z", "z"]) for _ in range(random.randrange(1, 12)))) for k in range(120)]
     bench = spark.createDataFrame([(7, "Alpha beta gamma")], "item_id long, text string")
-    assert rows_of(decontaminate.matches(index, bench)) == [(1, "7", 1, 3)]
-    assert {r.doc_id for r in decontaminate.matches(index, bench, slop=1).collect()} == {1, 2}
+    phrase = ["alpha", "beta", "gamma"]
+    for tokens in (1, 40, 10**6):                      # the result does not depend on the shards
+        index = decontaminate.build_index(docs_of(rows).coalesce(2), shard_tokens=tokens)
+        exact = {(r.doc_id, r.start) for r in decontaminate.matches(index, bench).collect()}
+        assert exact == near_matches(rows, phrase, 0) and (1, 1) in exact
+        for slop in (1, 2):
+            got = [(r.doc_id, r.start) for r in decontaminate.matches(index, bench, slop=slop).collect()]
+            assert len(got) == len(set(got)) and set(got) == near_matches(rows, phrase, slop)
 
 
 def test_registered_over_whole_tables(spark):

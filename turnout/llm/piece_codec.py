@@ -15,7 +15,6 @@ sentencepiece library; a text where the two differ gets the library's ids and is
 from __future__ import annotations
 
 import heapq
-import re
 from array import array
 from collections.abc import Iterator
 
@@ -24,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.common import PieceCache, map_arrow, text_slices
+from turnout.llm.common import Bytes, PieceCache, joined_ids, map_arrow, text_slices
 
 MARK = "▁"  # what sentencepiece writes for a space
-_LETTER, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,!?;:|#$%&*"
+_MARKS = ".,!?;:|#$%&*"
 NONE = np.int32(2**31 - 1)
 WIDTHS = (4, 8, 12, 16, 24, 32, 64)
 
@@ -43,7 +42,8 @@ class MergeVocabulary:
         self.words_alone = not any(MARK in p.lstrip(MARK) for p in plain)
         behind_letters = {b for p in plain for a, b in zip(p, p[1:]) if a.isalpha()}
         marks = "".join(m for m in _MARKS if m not in behind_letters)
-        self.cut = re.compile(rf"(?<=[^{MARK}])(?={MARK})" + (rf"|(?<=[{_LETTER}])(?=[{re.escape(marks)}])" if marks else ""))
+        self.stops = np.zeros(256, bool)
+        self.stops[list(marks.encode())] = True
         self.byte_ids = [processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.unknown = processor.unk_id()
         self.fallback = processor.is_byte(self.byte_ids[0])
@@ -64,18 +64,43 @@ class MergeVocabulary:
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i, order[scores[i]]
         self.pairs = pairs
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        self.merged = np.array([pairs[k][0] for k in self.keys.tolist()] or [0], dtype=np.int32)
-        self.rank = np.array([pairs[k][1] for k in self.keys.tolist()] or [0], dtype=np.int32)
+        # the pairs as a hash table with open places, half empty at least
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.rank, self.merged = np.full(1 << self.bits, NONE, np.int32), np.zeros(1 << self.bits, np.int32)
+        left = np.array(list(pairs), dtype=np.int64)
+        into = np.array(list(pairs.values()), dtype=np.int32).reshape(-1, 2)
+        at, self.probes = self._home(left), 0
+        while len(left):  # one key takes each free place, the others go on to the next
+            free = np.flatnonzero(self.keys[at] < 0)
+            _, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.keys[at[put]], self.merged[at[put]], self.rank[at[put]] = left[put], into[put, 0], into[put, 1]
+            rest = np.ones(len(left), bool)
+            rest[put] = False
+            left, into, at = left[rest], into[rest], (at[rest] + 1) & ((1 << self.bits) - 1)
+            self.probes += 1
+
+    def _home(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NONE if they do not merge) and merged symbol of each pair; symbols below 0 never merge."""
-        if not len(self.keys):
-            return np.full(left.shape, NONE), np.zeros(left.shape, np.int32)
-        key = left.astype(np.int64) << 32 | right.astype(np.int64)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.rank[at], NONE), self.merged[at]
+        shape = left.shape
+        # a symbol below 0 makes a key that no pair has
+        key = (left.astype(np.int64) << 32 | right.astype(np.int64) & 0xFFFFFFFF).ravel()
+        at = self._home(key)
+        rank, merged = np.full(len(key), NONE), np.zeros(len(key), np.int32)
+        open_ = np.arange(len(key))
+        for _ in range(self.probes):
+            there = self.keys[at]
+            hit = there == key[open_]
+            rank[open_[hit]], merged[open_[hit]] = self.rank[at[hit]], self.merged[at[hit]]
+            on = ~hit & (there >= 0)
+            if not on.any():
+                break
+            open_, at = open_[on], (at[on] + 1) & ((1 << self.bits) - 1)
+        return rank.reshape(shape), merged.reshape(shape)
 
     def encode(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, a text without inner word starts; agendas of like length run together."""
@@ -171,6 +196,8 @@ class MergeVocabulary:
 
 
 _LOADED: dict = {}
+
+
 def _model(path: str):
     if path not in _LOADED:
         import sentencepiece
@@ -179,15 +206,21 @@ def _model(path: str):
     return _LOADED[path]
 
 
-def _words(text: str, vocabulary: MergeVocabulary) -> list[str]:
-    """The parts of a normalised text that merge on their own."""
-    if not text:
-        return []
-    return vocabulary.cut.split(text) if vocabulary.words_alone else [text]
+def _cuts(raw: Bytes, vocabulary: MergeVocabulary) -> np.ndarray:
+    """Places of normalised texts that no merge crosses: space marks that stand behind another character, and marks that no
+    piece has behind a letter."""
+    if not vocabulary.words_alone:
+        return np.zeros(len(raw.at), bool)
+    first, second, third = MARK.encode()
+    mark = (raw.at == first) & (raw.shifted(1) == second) & (raw.shifted(2) == third)
+    after_mark = np.zeros_like(mark)
+    after_mark[3:] = mark[:-3]
+    return mark & ~after_mark | vocabulary.stops[raw.at] & raw.behind_letter()
 
 
-def encode_texts(texts: list[str], path: str) -> tuple[list[np.ndarray], list[bool]]:
-    """Ids of every text, and whether the library encodes it otherwise as a whole (its ids are used then)."""
+def encode_texts(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
+    """Ids of all texts in a row, where each text's begin (and the last end), whether the library encodes a text otherwise as
+    a whole (its ids are used then), and the library's ids."""
     processor, vocabulary, cache = _model(path)
 
     def encode(words: list[str]) -> Iterator[bytes]:
@@ -195,35 +228,29 @@ def encode_texts(texts: list[str], path: str) -> tuple[list[np.ndarray], list[bo
             for own in vocabulary.encode(words[i:i + 20_000]):
                 yield array("I", own).tobytes()
 
-    joined = cache.encode([_words(t, vocabulary) for t in processor.normalize(texts)], encode)
-    differ = []
-    for k, checked in enumerate(processor.encode(texts, num_threads=1)):
-        whole = array("I", checked).tobytes()
-        differ.append(joined[k] != whole)
-        joined[k] = whole if differ[k] else joined[k]
-    return [np.frombuffer(x, dtype=np.uint32) for x in joined], differ
-
-
-def _library(processor, words: list[str]) -> list[list[int]]:
-    """What the library makes of normalised parts.  It adds the first space mark itself; a part that starts
-    otherwise follows a letter in its text, so it is encoded behind one, whose ids are then taken off."""
-    letter = processor.encode("a")
-    found = processor.encode([w[1:].replace(MARK, " ") if w[0] == MARK else "a" + w.replace(MARK, " ") for w in words], num_threads=1)
-    # an empty text gets no first mark, so a mark on its own is looked up instead
-    return [[processor.piece_to_id(MARK)] if w == MARK else ids if w[0] == MARK else ids[len(letter):] for w, ids in zip(words, found)]
+    raw = Bytes(processor.normalize(texts))
+    parts, which, counts = raw.parts(_cuts(raw, vocabulary))
+    ids, until = joined_ids(cache.look_up(parts, encode), which, counts)
+    checked = processor.encode(texts, num_threads=1)
+    whole = [array("I", x).tobytes() for x in checked]
+    differ = np.zeros(len(texts), bool)
+    if b"".join(whole) != ids.tobytes() or (np.fromiter(map(len, whole), np.int64, len(whole)) != 4 * np.diff(until)).any():
+        differ[:] = [w != ids[a:b].tobytes() for w, a, b in zip(whole, until, until[1:])]
+        ids = np.frombuffer(b"".join(whole), np.uint32)
+        until = np.concatenate([[0], np.cumsum([len(w) // 4 for w in whole])])
+    return ids, until, differ, checked
 
 
 def _codec(path: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         processor = _model(path)[0]
         for rows, texts in text_slices(batches, "text"):
-            ids, differ = encode_texts([t or "" for t in texts], path)
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = np.concatenate(ids).astype(np.int32) if len(ids) else np.zeros(0, np.int32)
-            decoded = processor.decode([x.tolist() for x in ids], num_threads=1)
+            # the library's lists are the ids by now, so they are what is decoded
+            ids, until, differ, same = encode_texts([t or "" for t in texts], path)
+            decoded = processor.decode(same, num_threads=1)
             yield pa.RecordBatch.from_arrays(
-                [*(rows.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                 pa.array(decoded, pa.string()), pa.array(differ, pa.bool_()).cast(pa.int32())], names=[*keep, "ids", "decoded", "n_differ"])
+                [*(rows.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(until, pa.int32()), pa.array(ids.astype(np.int32))),
+                 pa.array(decoded, pa.string()), pa.array(differ).cast(pa.int32())], names=[*keep, "ids", "decoded", "n_differ"])
     return run
 
 

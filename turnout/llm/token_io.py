@@ -1,7 +1,7 @@
 """Token-id files in Simple-8b word-aligned coding.
 
 ``write_tokens`` encodes documents and writes shards in ascending ``doc_id`` order; ``read_tokens``
-reads them back.  A shard is the sorted range of one task.  It is a run of blocks, each a row of a
+reads them back.  A shard is the sorted range of one task, numbered in order.  It is a run of blocks, each a row of a
 Parquet file whose ``payload`` is one Simple-8b block, so writing is atomic per task and reading
 needs nothing but Spark's own readers.
 
@@ -20,7 +20,6 @@ selector says.  Ids of 60 bits or more do not fit a word: it holds 0 and the blo
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from array import array
@@ -28,11 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.common import PieceCache, map_arrow, text_slices, written
+from turnout.llm.common import Bytes, PieceCache, joined_ids, map_arrow, text_slices, written
 
 # Simple-8b selectors: ids per word and bits per id (fixed values of the coding)
 COUNT = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 240, 120], dtype=np.int64)
@@ -145,77 +143,111 @@ _LOADED: dict = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer of ``path`` with the memos of parts and of their pieces, loaded once per worker process."""
+    """The tokenizer of ``path`` with the memo of parts, loaded once per worker process."""
     if path not in _LOADED:
         from tokenizers import Tokenizer
-        _LOADED[path] = Tokenizer.from_file(path), PieceCache(250_000), PieceCache(200_000)
+        _LOADED[path] = Tokenizer.from_file(path), PieceCache()
     return _LOADED[path]
 
 
-# a single space between two characters that are no white space
-_START = re.compile(r"(?<=\S)(?= \S)")
-_OTHER_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+STOPS = np.zeros(256, bool)
+STOPS[list(b".,!?;:")] = True
 
 
-def _parts(text: str) -> list[str]:
-    """The text cut before every single space between two characters that are no white space; the parts but
-    the first are given without that space.  The byte-level pre-tokeniser always starts a token there."""
-    if ("  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text)):
-        first, *rest = _START.split(text)
-        return [_FIRST + first, *(p[1:] for p in rest)]
-    parts = text.split(" ")
-    parts[0] = _FIRST + parts[0]
-    return parts
+def _cuts(raw: Bytes) -> np.ndarray:
+    """Places where the byte-level pre-tokeniser starts a token whatever stands around: a space between two characters that
+    are no white space, a stop behind a letter, a lone line break, and the character behind one."""
+    space_before, space_behind = raw.beside_space()
+    alone = ~space_before & ~space_behind
+    line = (raw.at == 10) & alone
+    cut = (raw.at == 32) & alone | STOPS[raw.at] & raw.behind_letter() | line
+    cut[1:] |= line[:-1]
+    return cut
 
 
-_FIRST = "\0first "  # no part without its space has one at its end, so no other part is spelt so
-# inside a part: a mark behind a letter, a lone line break, and what stands behind one
-_PIECE = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,!?;:])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
+def token_ids(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """``encode(text, add_special_tokens=False).ids`` of the tokenizers library for all texts in a row, and where each
+    text's ids begin (and the last end).
 
-
-def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
-    """``encode(text, add_special_tokens=False).ids`` of the tokenizers library for every text.
-
-    Texts are cut where the byte-level pre-tokeniser starts a token whatever stands around it, first
-    into parts, and unseen parts into pieces.  A piece encodes alone to what it gives in the text, so
-    the library encodes repeated ones once.
+    Texts are cut where the byte-level pre-tokeniser starts a token whatever stands around it.  A part encodes
+    alone to what it gives in the text, so the library encodes repeated ones once.
     """
-    tokenizer, parts_seen, pieces_seen = _tokenizer(path)
+    tokenizer, seen = _tokenizer(path)
 
-    def encode(pieces: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(pieces), 1000):
-            for e in tokenizer.encode_batch_fast(pieces[i:i + 1000], add_special_tokens=False):
+    def encode(parts: list[str]) -> Iterator[bytes]:
+        for i in range(0, len(parts), 1000):
+            for e in tokenizer.encode_batch_fast(parts[i:i + 1000], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
-    def compose(parts: list[str]) -> list[bytes]:
-        return pieces_seen.encode([_PIECE.split(p[len(_FIRST):] if p.startswith(_FIRST) else " " + p) for p in parts], encode)
+    raw = Bytes(texts)
+    parts, which, counts = raw.parts(_cuts(raw))
+    return joined_ids(seen.look_up(parts, encode), which, counts)
+
+
+def range_bounds(docs: DataFrame, n: int) -> list[int]:
+    """``n`` - 1 doc_ids that cut the rows into about even ranges; a doc_id that many rows have is named as often as it
+    fills ranges (a null one counts as the least).  One pass over doc_id."""
+    if n < 2:
+        return []
+    ids = F.coalesce("doc_id", F.lit(LEAST))
+    found = docs.agg(F.percentile_approx(ids, [k / n for k in range(1, n)], 100 * n)).first()[0]
+    return found or []
+
+
+LEAST = -(1 << 63)
+
 
-    return [np.frombuffer(x, dtype=np.uint32) for x in parts_seen.encode(list(map(_parts, texts)), compose)]
+def range_of(doc_ids: np.ndarray, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The range of each row, rising with (doc_id, hash): the rows of a doc_id that is a bound are dealt by their hash over
+    the ranges that it lies in."""
+    low, high = np.searchsorted(bounds, doc_ids, "left"), np.searchsorted(bounds, doc_ids, "right")
+    share = (hashes >> 32).astype(float) / 2.0 ** 32 + 0.5
+    return low + np.minimum((share * (high - low + 1)).astype(np.int64), high - low)
+
+
+def _encoder(path: str, end_id: int, bounds: list[int]):
+    cuts = np.array(bounds, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_slices(batches, "text"):
+            ids, until = token_ids([t or "" for t in texts], path)
+            # the end id behind each document
+            ids = np.insert(ids, until[1:], end_id)
+            until = until + np.arange(len(until))
+            kind = np.uint16 if ids.max(initial=0) < 1 << 16 else np.uint32
+            packed = ids.astype(kind)
+            doc_ids = rows.column("doc_id").fill_null(LEAST).to_numpy()
+            shard = range_of(doc_ids, rows.column("text_hash").to_numpy(), cuts).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard), rows.column("doc_id"), rows.column("text_hash"), pa.array([kind().itemsize] * len(texts), pa.int32()),
+                 pa.array([packed[a:b].tobytes() for a, b in zip(until, until[1:])], pa.binary())], names=["shard", "doc_id", "text_hash", "width", "ids"])
+    return run
 
 
 BLOCK_SCHEMA = "shard int, block int, first long, doc_ids array<long>, lengths array<long>, n_ids long, payload binary"
 
 
-def _block_writer(path: str, end_id: int, block_ids: int):
+def _block_writer(block_ids: int):
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("lengths", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("payload", pa.binary())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block, first = TaskContext.get().partitionId(), 0, 0
+        block, first = 0, 0
         docs, lengths, ids, size = [], [], [], 0
-        end = np.array([end_id], dtype=np.uint32)
 
         def flush():
             flat = np.concatenate(ids)
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(
                 [shard, block, first, docs, lengths, len(flat), pack(flat)], schema.types)], schema=schema)
 
-        for rows, texts in text_slices(batches, "text", 1 << 20):
-            for doc_id, tokens in zip(rows.column("doc_id").to_pylist(), token_ids([t or "" for t in texts], path)):
+        for batch in batches:
+            shard = batch.column("shard")[0].as_py() if batch.num_rows else None  # all rows of a partition are of one
+            for doc_id, width, packed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "width", "ids"))):
+                tokens = np.frombuffer(packed, f"<u{width}").astype(np.uint32)
                 docs.append(doc_id)
-                lengths.append(len(tokens) + 1)
-                ids += [tokens, end]
-                size += lengths[-1]
+                lengths.append(len(tokens))
+                ids.append(tokens)
+                size += len(tokens)
                 if size >= block_ids:
                     yield flush()
                     block, first, size = block + 1, first + size, 0
@@ -230,52 +262,53 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 0, block_ids: int = 1
     """Encode ``text`` with the tokenizer file ``path``, append ``end_id``, write Simple-8b shards in
     ascending ``doc_id`` order under the shared folder, and return the written table.
 
-    A null text is empty (just the end id).  Null doc_ids come first.  Repeated doc_ids stand next to
-    each other, ordered by a hash of their text.  Other columns are ignored.  A block closes at about
-    ``block_ids`` ids and holds whole documents, one at least.
+    Texts are encoded where they lie; what is shuffled into ranges of (doc_id, hash of the text) is their ids.  The ranges
+    come from quantiles of doc_id, and a doc_id that many rows share is dealt over several by hash.  A null text is empty (just the end id).  Null doc_ids come
+    first.  Repeated doc_ids stand next to each other, ordered by a hash of their text.  Other columns are ignored.
+    A block closes at about ``block_ids`` ids and holds whole documents, one at least.
     """
-    ordered = (docs.select("doc_id", "text").repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", F.xxhash64("text")))
-    return written(map_arrow(ordered, _block_writer(path, end_id, block_ids), BLOCK_SCHEMA), "tokens")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    encoded = map_arrow(rows, _encoder(path, end_id, range_bounds(rows, n)), "shard int, doc_id long, text_hash long, width int, ids binary")
+    ordered = encoded.repartitionById(n, "shard").sortWithinPartitions("doc_id", "text_hash")
+    return written(map_arrow(ordered, _block_writer(block_ids), BLOCK_SCHEMA), "tokens", compression="zstd")
 
 
-def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int64()))])
-    for batch in batches:
-        for row in range(batch.num_rows):  # one block at a time
-            start, docs, lengths, payload = (batch.column(c)[row].as_py() for c in ("start", "doc_ids", "lengths", "payload"))
-            offsets = np.concatenate([[0], np.cumsum(lengths)])
-            values = pa.array(unpack(payload).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(start + offsets[:-1]), pa.array(lengths, pa.int64()),
-                                              pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], schema=schema)
+def shard_starts(tokens: DataFrame) -> dict[int, int]:
+    """The number of ids in the file set before each shard (one row per shard, that is per task that wrote)."""
+    before, out = 0, {}
+    for shard, n in sorted(map(tuple, tokens.groupBy("shard").agg(F.sum("n_ids")).collect())):
+        out[shard] = before
+        before += n
+    return out
 
 
-def with_starts(tokens: DataFrame) -> DataFrame:
-    """Blocks with ``start``, the number of ids in the file set before them (a sum over one row per shard)."""
-    shards = tokens.groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    before = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("shard_start"))
-    return tokens.join(before, "shard").withColumn("start", F.col("shard_start") + F.col("first"))
+def _reader(starts: dict[int, int], names: list[str], types: list, columns):
+    """Rows of every block: doc_id, start, n_tokens and what ``columns(ids, offsets)`` makes of the block's ids."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), *zip(names, types)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):  # one block at a time
+                shard, first, docs, lengths, payload = (batch.column(c)[row].as_py() for c in ("shard", "first", "doc_ids", "lengths", "payload"))
+                offsets = np.concatenate([[0], np.cumsum(lengths)])
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts[shard] + first + offsets[:-1]),
+                                                  pa.array(lengths, pa.int64()), *columns(unpack(payload), offsets)], schema=schema)
+    return run
 
 
 def read_tokens(tokens: DataFrame) -> DataFrame:
     """Documents of a written table: doc_id, start (ids of all documents before it), n_tokens, ids."""
-    blocks = with_starts(tokens).select("start", "doc_ids", "lengths", "payload")
-    return map_arrow(blocks, _reader, "doc_id long, start long, n_tokens long, ids array<long>")
-
-
-def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-    for batch in batches:
-        for row in range(batch.num_rows):
-            start, docs, lengths, payload = (batch.column(c)[row].as_py() for c in ("start", "doc_ids", "lengths", "payload"))
-            ids = unpack(payload).astype("<u4")
-            offsets = np.concatenate([[0], np.cumsum(lengths)])
-            crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(start + offsets[:-1]), pa.array(lengths, pa.int64()),
-                                              pa.array(crc, pa.int64())], schema=schema)
+    def lists(ids: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.astype(np.int64)))]
+    run = _reader(shard_starts(tokens), ["ids"], [pa.list_(pa.int64())], lists)
+    return map_arrow(tokens, run, "doc_id long, start long, n_tokens long, ids array<long>")
 
 
 def token_checksums(tokens: DataFrame) -> DataFrame:
     """As ``read_tokens`` with, instead of the ids, the unsigned crc32 of them as little-endian 32-bit integers."""
-    blocks = with_starts(tokens).select("start", "doc_ids", "lengths", "payload")
-    return map_arrow(blocks, _checksums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    def crc(ids: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        raw = memoryview(ids.astype("<u4").tobytes())
+        return [pa.array([zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(offsets, offsets[1:])], pa.int64())]
+    run = _reader(shard_starts(tokens), ["ids_crc32"], [pa.int64()], crc)
+    return map_arrow(tokens, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
