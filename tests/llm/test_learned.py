@@ -197,9 +197,35 @@ def test_line_quality_held_out(large):
 def test_toxicity_held_out(large):
     docs, labels = large
     scored = toxicity.score(docs, toxicity.train(docs, labels))
-    assert scored.columns == ["doc_id", "held_out", "p_insult", "p_contempt", "p_toxic", "toxic"]
+    assert scored.columns == ["doc_id", "held_out", "p_quality", "p_toxic", "toxic"]
     said, label = judged(scored, labels, "toxic", "toxic")
-    assert said[label == 1].mean() > 0.85 and said[label == 0].mean() < 0.01
+    assert said[label == 1].mean() >= 0.88 and said[label == 0].sum() <= 6
+
+
+def test_later_links_learn_from_texts_their_earlier_links_have_not_seen():
+    """The out-of-fold step, one text at a time, and the chain's use of earlier probabilities."""
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(1, 60, rng.integers(1, 12))).astype(np.uint64) for _ in range(90)]
+    first = np.array([int((r < 8).any()) for r in rows])
+    second = np.array([int(f and (r > 40).any()) for f, r in zip(first, rows)])
+    fold = np.arange(90) % 3
+    texts = toxicity.Texts(rows, np.arange(1, 60, dtype=np.uint64))
+    none = np.zeros((90, 0))
+    got = toxicity.outside_chances(texts, none, first.astype(float), fold, 3)
+    dense = np.zeros((90, 59))
+    for i, r in enumerate(rows):
+        dense[i, r.astype(int) - 1] = 1
+    for k in range(3):
+        # a link fitted on the other folds alone, on texts that do not hold this fold at all
+        away = [i for i in range(90) if fold[i] != k]
+        w, d = toxicity.fit_link(toxicity.Texts([rows[i] for i in away], np.arange(1, 60, dtype=np.uint64)), np.zeros((60, 0)), first[away].astype(float), np.arange(60))
+        for i in np.flatnonzero(fold == k):
+            assert abs(got[i] - 1 / (1 + np.exp(-(dense[i] @ w + d[0])))) < 1e-9
+    # changing the labels of a fold leaves the chances of its texts as they were
+    flipped = np.where(fold == 1, 1 - first, first).astype(float)
+    assert np.allclose(toxicity.outside_chances(texts, none, flipped, fold, 3)[fold == 1], got[fold == 1])
+    chain = toxicity.fit_chain(rows, {"a": first, "b": second}, fold)
+    assert chain.names == ["a", "b"] and [len(d) for d in chain.dense] == [1, 2] and chain.dense[1][1] != 0
 
 
 def test_teaching_rows(spark, large):
@@ -210,6 +236,20 @@ def test_teaching_rows(spark, large):
     assert rows.exceptAll(again).count() == 0
 
 
+def test_a_repeated_doc_id_teaches_once(spark, docs_of):
+    """A taught doc_id with a third of all rows, and texts of any length: one row of it, and bounded lines."""
+    rows = [(6, f"copy {k}\n" * 30) for k in range(200)] + [(6, None)] + [(k, f"text {k}\n" * 3000) for k in range(10, 60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in (6, *range(10, 60))], "doc_id long, quality int, toxic int")
+    taught = taught_sample(docs_of(rows), labels, "quality", 1000)
+    ids = [r.doc_id for r in taught.collect()]
+    assert len(ids) == len(set(ids)) and 6 in ids
+    mine = taught.filter("doc_id = 6").first()
+    again = taught_sample(docs_of(rows[::-1]).repartition(5), labels, "quality", 1000).filter("doc_id = 6").first()
+    assert mine == again and mine.text is not None
+    marked = line_quality.map_arrow(taught, line_quality._marker(50), "label int, bins binary, lengths binary").collect()
+    assert all(len(r.lengths) <= 8 * 50 for r in marked) and sum(len(r.lengths) == 8 * 50 for r in marked) == len(ids) - 1
+
+
 EDGES = [(None, None), (1, None), (2, ""), (3, "\n \n"), (3, "\n \n"), (4, "word " * 30000), (5, "line\n" * 3000), (6, "日本 😀")]
 
 
