@@ -168,10 +168,12 @@ def _scored(kind: str) -> Column:
 
 
 def summary(spans: DataFrame) -> DataFrame:
-    """doc_id, counts of the base kinds, base_sha256 of their list kind:start:end, and the list of all spans."""
+    """doc_id, counts of the base kinds, base_sha256 of their list kind:start:end, the list of all spans, and the list of
+    their scores (in thousandths), which check and context words set."""
     def listed(found: Column) -> Column:
         return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     def of(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"].isin(BASE))
-    return spans.select("doc_id", *map(of, BASE), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return spans.select("doc_id", *map(of, BASE), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+                        F.array_join(F.transform("spans", lambda s: F.round(s["score"] * 1000).cast("int").cast("string")), ",").alias("scores"))
