@@ -6,6 +6,7 @@ import math
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SMALL
@@ -86,7 +87,10 @@ def test_stages_keep_columns_and_take_edge_rows(spark, docs_of):
 
 
 def test_stages_with_clashing_names(spark):
-    docs = spark.createDataFrame([(1, "t", 1, 2, 3, [4])], "doc_id long, text string, _rule_s int, component_id int, text_hash int, ids array<int>")
+    docs = spark.createDataFrame([(1, "t", 1, 2, 3, [4], 5, 6, 7)], "doc_id long, text string, _rule_s int, component_id int, text_hash int, "
+                                 "ids array<int>, _text_hash int, `a.b` int, _group_hash int")
+    docs = docs.withColumn("n_chars", F.lit(1))
     for name, stage in corpus_pipeline.STAGES[1:-1]:
-        assert stage(spark, docs, SMALL).columns == docs.columns, name
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns and out.collect() == docs.collect(), name
     assert corpus_pipeline.STAGES[0][1](spark, docs, SMALL).count() == 0

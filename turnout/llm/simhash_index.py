@@ -1,7 +1,7 @@
 """SimHash near-duplicates by a hierarchical index in Gray order.
 
-Fingerprints at most ``max_bits`` apart agree on at least one of ``max_bits + 1`` blocks of bits.  For
-each block the distinct fingerprints are rotated so that it leads, dealt out by its value, and sorted
+Fingerprints at most ``max_bits`` apart agree on at least k of ``max_bits + k`` blocks of bits.  For every
+choice of k blocks the distinct fingerprints are turned so that these lead, dealt out by their value, and sorted
 by Gray rank, which puts fingerprints with few differing bits next to each other.  Over each sorted
 group stands a tree: an upper node holds the bits that all fingerprints below it share.  The search
 goes down pairs of nodes, adds up the differing shared bits, and drops a pair of whole groups once
@@ -14,13 +14,14 @@ Links are closed to components by alternating large-star and small-star rounds o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.common import map_arrow, text_slices, written
+from turnout.llm.common import fresh, map_arrow, text_slices, written
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 FAN = 8  # children of a node
@@ -63,15 +64,31 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
 def _blocks(n: int) -> list[tuple[int, int]]:
     """(shift, width) of ``n`` blocks that cover the 64 bits, from the top."""
     edges = [64 * k // n for k in range(n + 1)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+    return [(64 - b, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def _keys(fps: DataFrame, max_bits: int) -> DataFrame:
-    """A row per fingerprint and block: block, value of the block, rotated fingerprint ``turned``, Gray rank."""
-    turned = [f"(shiftleft(fp, {s}) | {f'shiftrightunsigned(fp, {64 - s})' if s else '0L'})" if s else "fp" for s, _ in _blocks(max_bits + 1)]
-    rows = fps.selectExpr("fp", "inline(array(" + ", ".join(
-        f"struct({k} AS block, shiftrightunsigned({t}, {64 - w}) AS value, {t} AS turned)"
-        for k, (t, (_, w)) in enumerate(zip(turned, _blocks(max_bits + 1)))) + "))")
+def agreeing_blocks(n_fps: int, max_bits: int) -> int:
+    """How many blocks the keys are made of: as few as keep the groups of ``n_fps`` evenly spread fingerprints at SPLIT
+    or less, since each fingerprint has a row per choice of blocks (5, 15, 35 or 70 for four bits)."""
+    for k in range(1, 5):
+        if n_fps >> min(sum(w for _, w in blocks) for blocks in combinations(_blocks(max_bits + k), k)) <= SPLIT:
+            break
+    return k
+
+
+def _keys(fps: DataFrame, max_bits: int, agree: int = 1) -> DataFrame:
+    """A row per fingerprint and choice of ``agree`` blocks: block (the number of the choice), value of those blocks, and the
+    Gray rank of the fingerprint turned so that they lead."""
+    blocks = _blocks(max_bits + agree)
+    rows = []
+    for k, chosen in enumerate(combinations(range(len(blocks)), agree)):
+        low, parts = 64, []
+        for b in (*chosen, *(b for b in range(len(blocks)) if b not in chosen)):
+            shift, width = blocks[b]
+            low -= width
+            parts.append(f"shiftleft(shiftrightunsigned(fp, {shift}) & {(1 << width) - 1}L, {low})")
+        rows.append(f"struct({k} AS block, {' | '.join(parts)} AS turned, {64 - sum(blocks[b][1] for b in chosen)} AS behind)")
+    rows = fps.selectExpr("fp", f"inline(array({', '.join(rows)}))").selectExpr("fp", "block", "turned", "shiftrightunsigned(turned, behind) AS value")
     rank = F.col("turned")
     for s in (1, 2, 4, 8, 16, 32):  # inverse of the Gray code: prefix exclusive-or
         rows = rows.withColumn("rank", rank.bitwiseXOR(F.shiftrightunsigned(rank, s)))
@@ -208,7 +225,8 @@ def _search(max_bits: int, most: int = 1 << 20):
 def fingerprint_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of the distinct ``fp`` at most ``max_bits`` apart."""
     keys = ["block", "value", "lo", "hi"]
-    rows = _tiles(_keys(fps, max_bits)).repartition(*keys).sortWithinPartitions(*keys, "rank")
+    agree = agreeing_blocks(fps.agg(F.approx_count_distinct("fp")).first()[0], max_bits)
+    rows = _tiles(_keys(fps, max_bits, agree)).repartition(*keys).sortWithinPartitions(*keys, "rank")
     return map_arrow(rows, _search(max_bits), "a long, b long").distinct()
 
 
@@ -264,8 +282,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
 
 def one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` that come first in their component (by doc_id, nulls last, then text hash); equal rows once."""
+    p = fresh("_group_", docs.columns)
     marked = written(fingerprints(docs, shingle), "fingerprints")
-    keep = written(components(marked, max_bits).select("doc_id", "text_hash").distinct(), "kept")
-    keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    stay = keyed.join(keep, keyed["doc_id"].eqNullSafe(keep["doc_id"]) & (keyed["_text_hash"] == keep["text_hash"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "_text_hash"]).select(*docs.columns)
+    first = components(marked, max_bits).select(F.col("doc_id").alias(f"{p}id"), F.col("text_hash").alias(f"{p}first"))
+    keep = written(first.distinct(), "kept")
+    keyed = docs.withColumn(f"{p}hash", F.xxhash64("text"))
+    stay = keyed.join(keep, F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & (F.col(f"{p}hash") == F.col(f"{p}first")), "left_semi")
+    return stay.dropDuplicates(["doc_id", f"{p}hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
