@@ -45,7 +45,8 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 
 def bucket_codes(x: np.ndarray, tables: int = 3, functions: int = 2, probes: int = 6, seed: int = 11) -> np.ndarray:
-    """(rows, tables * probes) bucket numbers of unit rows, apart between tables; the nearest bucket of each table first."""
+    """(rows, tables * probes) bucket numbers of unit rows, apart between tables; the nearest bucket of each table first.
+    In few dimensions a table has fewer buckets than probes; -1 stands for those missing."""
     d = 1 << (x.shape[1] - 1).bit_length()
     padded = np.zeros((len(x), d))
     padded[:, :x.shape[1]] = x
@@ -65,7 +66,9 @@ def bucket_codes(x: np.ndarray, tables: int = 3, functions: int = 2, probes: int
             loss = (loss[:, :, None] + (top[:, :1] - top)[:, None, :] ** 2).reshape(len(x), -1)
             code = (code[:, :, None] * (2 * d) + vertex[:, None, :]).reshape(len(x), -1)
         near = np.argsort(loss, axis=1, kind="stable")[:, :probes]
-        out.append(np.take_along_axis(code, near, 1) + table * (2 * d) ** functions)
+        found = np.full((len(x), probes), -1, dtype=np.int64)
+        found[:, :near.shape[1]] = np.take_along_axis(code, near, 1) + table * (2 * d) ** functions
+        out.append(found)
     return np.hstack(out)
 
 
@@ -90,9 +93,10 @@ def _groups(vectors: DataFrame) -> DataFrame:
     """A row per vector and bucket, with the group (label, size, code, lo, hi) it meets others in and its part ``salt``:
     buckets of more than SPLIT vectors are salted into q parts, q as the root of their size, and every pair of
     parts is a group."""
-    rows = vectors.select("*", F.size("vector").alias("size"), F.explode("codes").alias("code"))
+    code = F.explode(F.expr("filter(codes, c -> c >= 0)")).alias("code")
+    rows = vectors.select("*", F.size("vector").alias("size"), code)
     bucket = ["label", "size", "code"]
-    hot = written(vectors.select("label", F.size("vector").alias("size"), F.explode("codes").alias("code")).groupBy(*bucket).count()
+    hot = written(vectors.select("label", F.size("vector").alias("size"), code).groupBy(*bucket).count()
                   .filter(F.col("count") > SPLIT).select(*bucket, F.ceil(F.sqrt(F.col("count") / SPLIT)).cast("int").alias("q")), "hot")
     part = rows.join(hot, bucket, "left").withColumn("q", F.coalesce("q", F.lit(1)))
     part = part.withColumn("salt", F.expr("cast(pmod(xxhash64(key, 7), q) as int)"))
@@ -143,7 +147,7 @@ class _Groups:
             a, b, own = self.codes[i[at]], self.codes[j[at]], self.group[i[at], 2]
             earlier = np.zeros(len(at), bool)
             for k in range(a.shape[1]):
-                earlier |= ((a[:, k:k + 1] == b) & (b < own[:, None])).any(axis=1)
+                earlier |= ((a[:, k:k + 1] == b) & (b >= 0) & (b < own[:, None])).any(axis=1)
             keep[at] = ~earlier
         return keep
 
