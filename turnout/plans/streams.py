@@ -21,18 +21,16 @@ MESSAGES_PER_FILE = 1_000_000
 LATE_FILES = 4
 
 
-def write_log_files(raw: DataFrame, path: str, copies: int = 1, files_per_day: int | None = None) -> None:
-    """Log records in one folder per day (``day=<n>``), each day dealt by offset over ``files_per_day``
-    tasks and files (by default as many as its share of the offsets needs at MESSAGES_PER_FILE, two at least);
-    ``copies`` > 1 simulates redelivery."""
+def write_log_files(raw: DataFrame, path: str, copies: int = 1) -> None:
+    """Log records in one folder per day (``day=<n>``), each day dealt over files by stretches of MESSAGES_PER_FILE offsets
+    and, within one, by odd and even offsets, so a day's tasks and files grow with its messages; ``copies`` > 1
+    simulates redelivery."""
     day = F.floor(F.unix_seconds("timestamp") / 86400).cast("long")
-    if files_per_day is None:
-        span = raw.agg(F.count("*").alias("n"), F.count_distinct(day).alias("days")).first()
-        files_per_day = max(2, -(-copies * span["n"] // max(span["days"], 1) // MESSAGES_PER_FILE))
     out = raw.withColumn("day", day)
     for _ in range(copies - 1):
         out = out.unionByName(raw.withColumn("day", day))
-    out.repartition("day", F.pmod("offset", F.lit(files_per_day))).write.mode("overwrite").partitionBy("day").parquet(path)
+    stretch = F.expr(f"offset DIV {MESSAGES_PER_FILE}")
+    out.repartition("day", stretch, F.pmod("offset", F.lit(2))).write.mode("overwrite").partitionBy("day").parquet(path)
 
 
 def _source(spark, data_dir, copies: int = 1, files_per_trigger: int = FILES_PER_TRIGGER) -> dict:
