@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnout.llm.common import fresh, map_arrow, written
+from turnout.llm.common import map_arrow, written
 from turnout.llm.simhash_index import _unite, stars
 
 SPLIT = 512  # buckets of more vectors are met in parts
@@ -118,7 +118,6 @@ class _Groups:
         vectors = table["vector"].combine_chunks()
         self.flat = vectors.flatten().to_numpy(zero_copy_only=False)
         self.offset = np.append(0, np.cumsum(vectors.value_lengths().to_numpy()))
-        self.batch = table
 
     def near(self, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Row numbers (i, j) of the pairs of one group with a cosine of at least ``least``, a block at a time."""

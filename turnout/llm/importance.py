@@ -87,7 +87,7 @@ def text_buckets(texts: list[str | None], n_words: int = 1, buckets: int = 10_00
     ends = np.cumsum([len(words) for words in split])
     starts = ends - [len(words) for words in split]
     space = np.full(len(crc), zlib.crc32(b" "), np.uint32)
-    runs, sizes = [crc], [length]
+    runs = [crc]
     for k in range(1, n_words):
         # the run of k words from each place on, a space, and the word behind it; runs past the end wrap and are not read
         run = compose(runs[-1], space, np.ones_like(length))
