@@ -66,6 +66,96 @@ def test_interval_state_is_small_and_files_may_come_in_any_order(spark):
     assert intervals == n_rows                             # a log without gaps is one interval per slice
 
 
+def test_packed_intervals_come_back_whole():
+    random.seed(6)
+    for _ in range(400):
+        low, share = random.choice([0, 0, -300, 10**12]), random.random()
+        offsets = [low + o for o in range(random.choice([5, 90, 800])) if random.random() < share]
+        seen = IV.Seen(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        random.shuffle(offsets)
+        for part in np.array_split(np.array(offsets, dtype=np.int64), random.randrange(1, 9)):
+            seen.add(part)
+        first, last = seen.intervals()
+        stored = IV.packed(first, last)
+        assert len(stored[0]) == len(stored[1]) <= min(len(first), 2 * (800 // 64 + 2) + 1)
+        got = IV.unpacked(*stored)
+        assert got[0].tolist() == first.tolist() and got[1].tolist() == last.tolist()
+        assert [o for a, b in zip(*got) for o in range(a, b + 1)] == sorted(offsets)
+    old = [3, 9], [5, 9]                                    # state of a checkpoint without words
+    assert [x.tolist() for x in IV.unpacked(*old)] == list(old)
+
+
+def _log(spark, offsets):
+    """Log rows of a column of offsets; a null offset is a message too."""
+    return offsets.selectExpr("'t' AS topic", "0 AS partition", "offset", "CAST(repeat(coalesce(string(offset), 'null'), 5) AS BINARY) AS value",
+                              "timestamp_seconds(offset) AS timestamp")
+
+
+def _write_parts(path, *parts):
+    """One file per part, read in their order."""
+    now = time.time() - 10_000
+    for k, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{path}/day={k}")
+        for f in os.listdir(f"{path}/day={k}"):
+            os.utime(f"{path}/day={k}/{f}", (now + 2 * k, now + 2 * k))
+
+
+def test_interval_state_stays_small_while_every_other_offset_is_missing(spark):
+    n, path, ckpt = 40_000, scratch_path(spark, "halves"), scratch_path(spark, "halves-ckpt")
+    log = _log(spark, spark.range(n).withColumnRenamed("id", "offset"))
+    odd = log.filter("offset % 2 = 1")
+    _write_parts(path, odd, odd, log)
+    got = S._dedup_by_intervals(spark, {"path": path, "maxFilesPerTrigger": 1}, ckpt)
+    assert rows_of(got) == rows_of(cdc.decode_cdc(log))
+    size = lambda batch: spark.read.format("statestore").option("batchId", batch).load(ckpt).selectExpr("sum(size(value.groupState.first))").first()[0]
+    assert size(0) == size(1) <= n / 64 + 2 * IV.SLICES     # 20,000 gaps
+    assert size(2) == IV.SLICES
+
+
+def test_interval_dedup_takes_null_offsets_as_equal(spark):
+    path = scratch_path(spark, "null-offsets")
+    nulls = spark.range(3).selectExpr("CAST(NULL AS BIGINT) AS offset")
+    log = _log(spark, spark.range(10).withColumnRenamed("id", "offset").unionByName(nulls))
+    _write_parts(path, log, log, log)
+    got = S._dedup_by_intervals(spark, {"path": path, "maxFilesPerTrigger": 1}, scratch_path(spark, "null-offsets-ckpt"))
+    assert rows_of(got) == rows_of(cdc.decode_cdc(log.dropDuplicates(["offset"])))
+
+
+def test_interval_dedup_holds_few_messages_of_a_group_in_python(spark, monkeypatch):
+    """200,000 messages of one slice in one batch: Python has some of them at a time."""
+    n, path, notes = 200_000, scratch_path(spark, "one-slice"), scratch_path(spark, "one-slice-notes")
+    offsets = f"id DIV {IV.BLOCK} * {IV.BLOCK * IV.SLICES} + id % {IV.BLOCK} AS offset"
+    log = _log(spark, spark.range(n).selectExpr(offsets))
+    _write_parts(path, log)
+    os.makedirs(notes)
+    plain = IV._first_seen
+
+    def watched(slices, block):
+        step = plain(slices, block)
+
+        def run(key, frames, held):
+            import gc
+            import pandas as pd
+
+            def noted():
+                for k, frame in enumerate(frames):
+                    if k % 5 == 0:
+                        rows = sum(len(x) for x in gc.get_objects() if type(x) is pd.Series and x.name == "value")
+                        with open(f"{notes}/{k}", "w") as f:
+                            f.write(str(rows))
+                    yield frame
+            yield from step(key, noted(), held)
+        return run
+    monkeypatch.setattr(IV, "_first_seen", watched)
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    got = S._dedup_by_intervals(spark, {"path": path, "maxFilesPerTrigger": 1}, scratch_path(spark, "one-slice-ckpt"))
+    assert got.count() == got.select("offset").distinct().count() == n
+    held = [int(open(f"{notes}/{name}").read()) for name in os.listdir(notes)]
+    assert 0 < max(held) < 0.75 * n, max(held)
+    assert spark.conf.get(conf) == before
+
+
 def _batch(spark, rows):
     return spark.createDataFrame(rows, "k long, v string, n long")
 

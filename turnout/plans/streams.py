@@ -84,8 +84,9 @@ def stream_dedup_intervals(spark: SparkSession, data_dir: str, files_per_trigger
 def _dedup_by_intervals(spark: SparkSession, src: dict, ckpt: str) -> DataFrame:
     out = scratch_path(spark, "dedup-iv-out")
     d = cdc.decode_cdc(IV.dedup_by_intervals(ST.log_stream(spark, src)))
-    q = (d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
+    with IV.small_batches(spark):
+        q = (d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+             .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(d.schema).parquet(out)
 
